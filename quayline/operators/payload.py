@@ -171,7 +171,7 @@ def payload_lines(payload: DataFrame, charset: str = "UTF-8") -> DataFrame:
 
             def chunks_of(row: int, contents: pa.Array = contents) -> list | None:
                 cell = contents[row]
-                return [memoryview(cell.as_buffer())] if cell.is_valid else None
+                return [memoryview(cell.as_buffer()).cast("B")] if cell.is_valid else None
 
             yield from _lines_of_batch(batch, chunks_of, charset)
 

@@ -44,8 +44,11 @@ def replayed_slots(polls: DataFrame, restart: Column, horizon_start: Column) ->
 
 
 def batch_report(selected: DataFrame) -> DataFrame:
-    """Per batch: how many slots it selected and the range of their dates."""
+    """Per batch: how many slots it selected, their lines (``n_lines``, where that column is given)
+    and the range of their dates."""
     counts = [F.count(F.lit(1)).alias("n_slots")]
+    if "n_lines" in selected.columns:
+        counts.append(F.sum("n_lines").alias("n_lines"))
     if "date" in selected.columns:
         counts += [F.min("date").alias("min_date"), F.max("date").alias("max_date")]
     return selected.groupBy("poll").agg(*counts)

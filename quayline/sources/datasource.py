@@ -84,10 +84,10 @@ class CatalogueReader(DataSourceReader):
     def read(self, partition: RootPartition) -> Iterator[pa.RecordBatch]:
         try:
             slots = list_root(self.connector, partition.root, self.max_retries)
-        except SlotSourceError:
+        except SlotSourceError as error:
             if self.on_list_error == "fail":
                 raise
-            log.exception("listing failed, going on without slots")
+            log.error("going on without slots: %s", error)
             return
         yield from _batches(slots)
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyarrow import fs
 
 from quayline.sources.base import Connector, Slot, require
+from quayline.sources.location import open_location
 
 CHUNK_BYTES = 4 << 20
 
@@ -28,9 +29,7 @@ class FilesConnector(Connector):
         require(path=self.path)
 
     def file_system(self) -> tuple[fs.FileSystem, str]:
-        if "://" in self.path or self.path.startswith("file:"):
-            return fs.FileSystem.from_uri(self.path)
-        return fs.LocalFileSystem(), self.path
+        return open_location(self.path)
 
     @staticmethod
     def _hidden(path: str) -> bool:

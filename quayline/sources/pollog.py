@@ -15,15 +15,15 @@ from pathlib import Path
 import pyarrow as pa
 from pyarrow import fs
 
+from quayline.sources.location import open_location
+
 
 class PollLog:
     def __init__(self, location: str) -> None:
-        self.location = location.rstrip("/")
+        self.location = location
 
     def _open(self) -> tuple[fs.FileSystem, str]:
-        if "://" in self.location or self.location.startswith("file:"):
-            return fs.FileSystem.from_uri(self.location)
-        return fs.LocalFileSystem(), self.location
+        return open_location(self.location)
 
     @staticmethod
     def _folder(base: str, poll: int) -> str:

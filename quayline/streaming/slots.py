@@ -32,8 +32,8 @@ class SlotStream:
 
     ``log_dir`` keeps listings until their batch is committed.  It belongs to one query and lies on
     storage all executors share, beside the checkpoint; keep or drop the two together.
-    ``remember`` (such as ``"100 minutes"``) forgets names not listed for that long; unset, a name
-    is never read twice.
+    ``remember`` (such as ``"100 minutes"``) forgets a name that long after its slot was selected; a
+    slot still listed then is read again.  Unset, a name is never read twice.
     """
 
     spark: SparkSession
