@@ -24,6 +24,7 @@ from quayline.operators.ordering import dense_positions, index_slots, one_slot_p
 from quayline.operators.payload import (
     fetch_lines,
     fetch_payload,
+    ordered_lines,
     payload_lines,
     peek_lines,
     read_lines,
@@ -66,6 +67,7 @@ __all__ = [
     "new_slots",
     "one_slot_per_partition",
     "order_slots",
+    "ordered_lines",
     "parse_dcm_name",
     "payload_lines",
     "peek_lines",

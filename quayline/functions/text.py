@@ -49,7 +49,7 @@ def inflate(chunks: Iterable[bytes]) -> Iterator[bytes]:
         if chunk is None:
             break
         head = head + bytes(chunk) if len(head) else chunk
-    if len(head) >= GZIP_HEADER and head[:2] == GZIP_MAGIC and head[2] == GZIP_DEFLATE:
+    if is_gzip(head):
         yield from _gunzip(itertools.chain([head], source))
         return
     if len(head):
@@ -101,9 +101,40 @@ def _decoder(charset: str, chunks: Iterator[bytes]) -> tuple[codecs.IncrementalD
     return codecs.getincrementaldecoder(name)(errors="replace"), chunks
 
 
-def iter_lines(chunks: Iterable[bytes], charset: str = "UTF-8") -> Iterator[list[str]]:
-    """Lists of consecutive lines of one slot."""
-    decoder, source = _decoder(charset, inflate(chunks))
+def is_gzip(head: bytes) -> bool:
+    return len(head) >= GZIP_HEADER and head[:2] == GZIP_MAGIC and head[2] == GZIP_DEFLATE
+
+
+def cuts_at_bytes(charset: str) -> bool:
+    """Whether a line-end byte of a text in ``charset`` is always a line end."""
+    name = codecs.lookup(charset).name
+    return name in ("utf-8", "ascii") or name.startswith(("iso8859-", "cp125"))
+
+
+def next_line_start(chunks: Iterable[bytes], offset: int) -> int:
+    """The offset of the first line that starts after the byte at ``offset``, where ``chunks``
+    begin; the end of the text if no line does."""
+    ends_in_return = False
+    for chunk in chunks:
+        if ends_in_return:
+            return offset + (chunk[:1] == b"\n")
+        found = [i for i in (chunk.find(b"\n"), chunk.find(b"\r")) if i >= 0]
+        if found:
+            at = min(found)
+            if chunk[at : at + 1] == b"\n":
+                return offset + at + 1
+            if at + 1 < len(chunk):
+                return offset + at + 1 + (chunk[at + 1 : at + 2] == b"\n")
+            ends_in_return = True
+        offset += len(chunk)
+    return offset
+
+
+def iter_lines(
+    chunks: Iterable[bytes], charset: str = "UTF-8", packed: bool = True
+) -> Iterator[list[str]]:
+    """Lists of consecutive lines of one slot; not ``packed``, gzip is not looked for."""
+    decoder, source = _decoder(charset, inflate(chunks) if packed else iter(chunks))
     # The newline decoder turns every line end into \n and copes with \r | \n across chunks.
     reader = io.IncrementalNewlineDecoder(decoder, translate=True)
     unfinished: list[str] = []

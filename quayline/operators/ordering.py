@@ -23,9 +23,10 @@ MAX_PARTITIONS = 50_000
 
 
 def slot_order(columns: Sequence[str]) -> list[Column]:
-    """By date with undated slots last, then by name; by name alone in an undated catalogue."""
+    """By date with undated slots last, then by name; by name alone in an undated catalogue.  Ranges
+    of one slot follow each other."""
     keys = [F.col("date").asc_nulls_last()] if "date" in columns else []
-    return [*keys, F.col("name").asc()]
+    return [*keys, F.col("name").asc(), *([F.col("start")] if "start" in columns else [])]
 
 
 def dense_positions(
@@ -83,15 +84,17 @@ def one_slot_per_partition(
     slots: DataFrame,
     slots_per_partition: int | None = None,
     max_partitions: int = MAX_PARTITIONS,
+    count: int | None = None,
 ) -> DataFrame:
     """Place slot ``i`` in partition ``i``, so that each task reads one slot, in slot order.
 
     ``slots_per_partition`` packs runs of consecutive slots instead.  Left unset, it is 1 until the
-    catalogue has more than ``max_partitions`` slots.
+    catalogue has more than ``max_partitions`` slots.  ``count`` saves counting them.
     """
     indexed = slots if "slot_index" in slots.columns else index_slots(slots)
-    last = indexed.agg(F.max("slot_index")).first()[0]
-    count = 0 if last is None else last + 1
+    if count is None:
+        last = indexed.agg(F.max("slot_index")).first()[0]
+        count = 0 if last is None else last + 1
     pack = slots_per_partition or max(1, math.ceil(count / max_partitions))
     target = F.floor(F.col("slot_index") / pack).cast("int")
     placed = indexed.repartitionById(max(1, math.ceil(count / pack)), target)

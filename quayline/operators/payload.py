@@ -8,21 +8,36 @@ column, ``text_lines`` for text columns (JVM only).  All give ``slot, slot_date,
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import closing
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayline.functions.text import iter_lines, split_lines
-from quayline.operators.ordering import one_slot_per_partition, slot_order
+from quayline.functions.text import (
+    GZIP_HEADER,
+    cuts_at_bytes,
+    is_gzip,
+    iter_lines,
+    next_line_start,
+    split_lines,
+)
+from quayline.operators.ordering import (
+    MAX_PARTITIONS,
+    index_slots,
+    one_slot_per_partition,
+    slot_order,
+)
 from quayline.sources.base import MAX_RETRIES, Connector, Fetcher
 
 LINE_KEYS = ("slot", "slot_date", "line_no")
 # A batch leaves the task when it holds this many lines or characters.
 LINES_PER_BATCH = 20_000
 CHARS_PER_BATCH = 8 << 20
+# Plain slots beyond this size are read by several tasks where the connector can seek.
+SPLIT_BYTES = 512 << 20
 
 
 def lines_schema(slots: DataFrame) -> T.StructType:
@@ -89,15 +104,14 @@ class _LineBatches:
 
 
 def _lines_of_batch(
-    batch: pa.RecordBatch, chunks_of: Callable[[int], Iterable[bytes] | None], charset: str
+    batch: pa.RecordBatch, lines_of: Callable[[int], Iterable[list[str]]]
 ) -> Iterator[pa.RecordBatch]:
+    """Lines of each row's slot, numbered from the row's ``first_line`` if there is one."""
     out = _LineBatches(batch.column("slot"), batch.column("slot_date"))
+    firsts = batch.column("first_line").to_pylist() if "first_line" in batch.schema.names else None
     for row in range(batch.num_rows):
-        chunks = chunks_of(row)
-        if chunks is None:
-            continue
-        number = 0
-        for lines in iter_lines(chunks, charset):
+        number = firsts[row] if firsts else 0
+        for lines in lines_of(row):
             for start in range(0, len(lines), LINES_PER_BATCH):
                 part = lines[start : start + LINES_PER_BATCH]
                 out.add(row, number, part)
@@ -119,15 +133,14 @@ def fetch_lines(
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fetcher = Fetcher(connector, max_retries)
-        try:
+        with closing(Fetcher(connector, max_retries)) as fetcher:
             for batch in batches:
-                names = batch.column("slot")
-                yield from _lines_of_batch(
-                    batch, lambda row, names=names: fetcher.chunks(names[row].as_py()), charset
-                )
-        finally:
-            fetcher.close()
+                names = batch.column("slot").to_pylist()
+
+                def lines_of(row: int, names: list = names) -> Iterator[list[str]]:
+                    return iter_lines(fetcher.chunks(names[row]), charset)
+
+                yield from _lines_of_batch(batch, lines_of)
 
     return slots.select(*_keys(slots)).mapInArrow(read, lines_schema(slots))
 
@@ -146,8 +159,7 @@ def fetch_payload(
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fetcher = Fetcher(connector, max_retries)
-        try:
+        with closing(Fetcher(connector, max_retries)) as fetcher:
             for batch in batches:
                 for row in range(batch.num_rows):
                     one = batch.slice(row, 1)
@@ -156,8 +168,6 @@ def fetch_payload(
                         [*one.columns, pa.array([content], pa.binary())],
                         names=["name", "date", "content"],
                     )
-        finally:
-            fetcher.close()
 
     return slots.select(*_keys(slots)).mapInArrow(read, schema)
 
@@ -169,11 +179,13 @@ def payload_lines(payload: DataFrame, charset: str = "UTF-8") -> DataFrame:
         for batch in batches:
             contents = batch.column("content")
 
-            def chunks_of(row: int, contents: pa.Array = contents) -> list | None:
+            def lines_of(row: int, contents: pa.Array = contents) -> Iterable[list[str]]:
                 cell = contents[row]
-                return [memoryview(cell.as_buffer()).cast("B")] if cell.is_valid else None
+                if not cell.is_valid:
+                    return ()
+                return iter_lines([memoryview(cell.as_buffer()).cast("B")], charset)
 
-            yield from _lines_of_batch(batch, chunks_of, charset)
+            yield from _lines_of_batch(batch, lines_of)
 
     return payload.select(*_keys(payload), "content").mapInArrow(read, lines_schema(payload))
 
@@ -186,6 +198,33 @@ def text_lines(payload: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def ordered_lines(
+    slots: DataFrame,
+    connector: Connector,
+    charset: str = "UTF-8",
+    max_retries: int = MAX_RETRIES,
+    slots_per_partition: int | None = None,
+    split_bytes: int | None = SPLIT_BYTES,
+) -> DataFrame:
+    """The lines of a catalogue in slot order: partition ``i`` holds the lines of slot ``i``.
+
+    Plain slots longer than ``split_bytes`` are read by several consecutive partitions where the
+    connector can seek, with the same lines and line numbers; None never splits a slot.
+    """
+    if "slot_index" not in slots.columns:
+        slots = index_slots(slots)
+    if split_bytes and connector.seekable and cuts_at_bytes(charset) and "length" in slots.columns:
+        if not slots.filter(F.col("length") > split_bytes).isEmpty():
+            ranges = index_slots(
+                split_slots(slots.drop("slot_index"), connector, split_bytes, max_retries)
+            )
+            numbered = number_ranges(ranges, connector, max_retries)
+            placed = one_slot_per_partition(numbered, slots_per_partition, count=ranges.count())
+            return fetch_ranges(placed, connector, charset, max_retries)
+    placed = one_slot_per_partition(slots, slots_per_partition)
+    return fetch_lines(placed, connector, charset, max_retries)
+
+
 def read_lines(
     spark: SparkSession,
     connector: Connector,
@@ -194,8 +233,9 @@ def read_lines(
     max_retries: int = MAX_RETRIES,
     on_list_error: str = "fail",
     slots_per_partition: int | None = None,
+    split_bytes: int | None = SPLIT_BYTES,
 ) -> DataFrame:
-    """List, choose, order and fetch: partition ``i`` holds the lines of slot ``i``.
+    """List, choose, order and fetch.
 
     ``choose`` maps the catalogue to the slots to read, with any DataFrame operation, for example
     ``lambda c: between_dates(c, "2024-01-01")``.
@@ -205,8 +245,121 @@ def read_lines(
     slots = read_catalogue(spark, connector, max_retries, on_list_error)
     if choose is not None:
         slots = choose(slots)
-    placed = one_slot_per_partition(slots, slots_per_partition)
-    return fetch_lines(placed, connector, charset, max_retries)
+    return ordered_lines(
+        slots, connector, charset, max_retries, slots_per_partition, split_bytes
+    )
+
+
+# Large slots
+
+
+def split_slots(
+    slots: DataFrame,
+    connector: Connector,
+    split_bytes: int = SPLIT_BYTES,
+    max_retries: int = MAX_RETRIES,
+) -> DataFrame:
+    """Cut slots longer than ``split_bytes`` into byte ranges ``start`` to ``stop``.
+
+    Slots that turn out to be gzipped, which only their first bytes tell, stay whole: ``stop`` null.
+    """
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with closing(Fetcher(connector, max_retries)) as fetcher:
+            for batch in batches:
+                names, lengths = batch.column("name"), batch.column("length").to_pylist()
+                plain = [
+                    length is not None
+                    and length > split_bytes
+                    and not is_gzip(b"".join(fetcher.chunks(names[i].as_py(), 0, GZIP_HEADER)))
+                    for i, length in enumerate(lengths)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(plain, pa.bool_())],
+                    names=[*batch.schema.names, "_plain"],
+                )
+
+    schema = T.StructType([*slots.schema.fields, T.StructField("_plain", T.BooleanType())])
+    starts = F.when(
+        F.col("_plain"), F.sequence(F.lit(0), F.col("length") - 1, F.lit(split_bytes))
+    ).otherwise(F.array(F.lit(0).cast("long")))
+    return (
+        slots.mapInArrow(look, schema)
+        .withColumn("start", F.explode(starts))
+        .withColumn("stop", F.when(F.col("_plain"), F.col("start") + split_bytes))
+        .drop("_plain")
+    )
+
+
+def _range_lines(
+    fetcher: Fetcher, name: str, start: int, stop: int | None, charset: str
+) -> Iterator[list[str]]:
+    """The lines that start between ``start`` and ``stop``; the last one may end beyond."""
+    if stop is None:
+        yield from iter_lines(fetcher.chunks(name), charset)
+        return
+    first = next_line_start(fetcher.chunks(name, start - 1), start - 1) if start else 0
+    last = next_line_start(fetcher.chunks(name, stop - 1), stop - 1)
+    if first < last:
+        yield from iter_lines(fetcher.chunks(name, first, last), charset, packed=False)
+
+
+def number_ranges(
+    ranges: DataFrame, connector: Connector, max_retries: int = MAX_RETRIES
+) -> DataFrame:
+    """Add ``first_line``, the number of lines in earlier ranges of the slot.
+
+    Reads the split slots once more, one range per task, to count their lines.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with closing(Fetcher(connector, max_retries)) as fetcher:
+            for batch in batches:
+                lines = [
+                    # Any charset that cuts at bytes counts the same lines; this one is fastest.
+                    sum(map(len, _range_lines(fetcher, r["name"], r["start"], r["stop"], "latin-1")))
+                    for r in batch.select(["name", "start", "stop"]).to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("slot_index"), batch.column("name"), pa.array(lines, pa.int64())],
+                    names=["slot_index", "name", "lines"],
+                )
+
+    cut = ranges.filter("stop IS NOT NULL").select("slot_index", "name", "start", "stop")
+    parts = max(1, cut.count())
+    spread = cut.repartition(min(parts, MAX_PARTITIONS), "slot_index")
+    counts = spread.mapInArrow(count, "slot_index long, name string, lines long")
+    # One row per range: a slot of any size is a small group here.
+    earlier = Window.partitionBy("name").orderBy("slot_index").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = counts.select("slot_index", F.sum("lines").over(earlier).alias("first_line"))
+    return ranges.join(offsets, "slot_index", "left").withColumn(
+        "first_line", F.coalesce("first_line", F.lit(0).cast("long"))
+    )
+
+
+def fetch_ranges(
+    ranges: DataFrame,
+    connector: Connector,
+    charset: str = "UTF-8",
+    max_retries: int = MAX_RETRIES,
+) -> DataFrame:
+    """The lines of numbered ranges."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with closing(Fetcher(connector, max_retries)) as fetcher:
+            for batch in batches:
+                rows = batch.select(["slot", "start", "stop"]).to_pylist()
+
+                def lines_of(row: int, rows: list = rows) -> Iterator[list[str]]:
+                    cut = rows[row]
+                    return _range_lines(fetcher, cut["slot"], cut["start"], cut["stop"], charset)
+
+                yield from _lines_of_batch(batch, lines_of)
+
+    keyed = ranges.select(*_keys(ranges), "start", "stop", "first_line")
+    return keyed.mapInArrow(read, lines_schema(ranges))
 
 
 def slot_metrics(lines: DataFrame) -> DataFrame:

@@ -500,3 +500,10 @@ def list_error_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     slots = read_catalogue(spark, files, max_retries=1, on_list_error="empty")
     return slots.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
+@query("slots_split_scan", f"WITH {LINES} SELECT value FROM lines")
+def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, every plain one cut into ranges of 64 KiB for separate tasks."""
+    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
+    return read_lines(spark, files, split_bytes=64 << 10).select("value")

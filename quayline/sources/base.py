@@ -10,7 +10,7 @@ import zlib
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
-from typing import TYPE_CHECKING, Any, NamedTuple, TypeVar
+from typing import TYPE_CHECKING, Any, ClassVar, NamedTuple, TypeVar
 
 if TYPE_CHECKING:
     from pyspark.sql import DataFrame
@@ -72,6 +72,13 @@ class Connector(ABC):
     def fetch(self, name: str) -> Iterable[bytes]:
         """The whole content of a slot, in chunks."""
 
+    # Whether ``fetch_range`` works, so that a large plain-text slot can be read by several tasks.
+    seekable: ClassVar[bool] = False
+
+    def fetch_range(self, name: str, start: int, stop: int | None = None) -> Iterable[bytes]:
+        """The bytes of a slot from ``start`` up to ``stop`` or the end, in chunks."""
+        raise NotImplementedError(f"{type(self).__name__} reads slots only as a whole")
+
     def close(self) -> None:
         """Release the client of this copy."""
 
@@ -137,7 +144,14 @@ class Fetcher:
         self._max_retries = max_retries
         self._connector: Connector | None = None
 
-    def chunks(self, name: str) -> Iterator[bytes]:
+    def _open(self, name: str, start: int, stop: int | None) -> Iterable[bytes]:
+        if self._connector is None:
+            self._connector = self._template.fresh()
+        if start == 0 and stop is None:
+            return self._connector.fetch(name)
+        return self._connector.fetch_range(name, start, stop)
+
+    def chunks(self, name: str, start: int = 0, stop: int | None = None) -> Iterator[bytes]:
         """Content of a slot.  After a failure the slot is opened again and resumed.
 
         Bytes already handed on are read again and compared by checksum, so that an object which
@@ -147,10 +161,8 @@ class Fetcher:
         left = self._max_retries
         while True:
             try:
-                if self._connector is None:
-                    self._connector = self._template.fresh()
                 again, seen = passed, 0
-                for chunk in self._connector.fetch(name):
+                for chunk in self._open(name, start, stop):
                     if again:
                         known, chunk = chunk[:again], chunk[again:]
                         again -= len(known)

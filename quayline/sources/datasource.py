@@ -7,6 +7,7 @@ failure or a restart, sees the listing it saw the first time.  The driver holds
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import json
 import logging
@@ -156,7 +157,7 @@ class SlotSource(DataSource):
         if "parameters" in self.options:
             return cls.from_json(self.options["parameters"])
         given = {}
-        for field in cls.__dataclass_fields__.values():
+        for field in dataclasses.fields(cls):
             if field.name in self.options:
                 text = self.options[field.name]
                 kinds = str(field.type)

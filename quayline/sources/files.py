@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyarrow import fs
 
@@ -25,6 +26,8 @@ class FilesConnector(Connector):
     path: str = ""
     recursive: bool = False
 
+    seekable: ClassVar[bool] = True
+
     def validate(self) -> None:
         require(path=self.path)
 
@@ -58,3 +61,12 @@ class FilesConnector(Connector):
         with files.open_input_stream(posixpath.join(base, name), compression=None) as source:
             while chunk := source.read(CHUNK_BYTES):
                 yield chunk
+
+    def fetch_range(self, name: str, start: int, stop: int | None = None) -> Iterator[bytes]:
+        files, base = self.file_system()
+        with files.open_input_file(posixpath.join(base, name)) as source:
+            source.seek(start)
+            left = source.size() - start if stop is None else stop - start
+            while left > 0 and (chunk := source.read(min(left, CHUNK_BYTES))):
+                left -= len(chunk)
+                yield chunk

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
-from quayline.operators.ordering import index_slots, one_slot_per_partition
-from quayline.operators.payload import fetch_lines
+from quayline.operators.ordering import index_slots
+from quayline.operators.payload import fetch_lines, ordered_lines
 from quayline.operators.ranges import StartRange, apply_start
 from quayline.sources.base import MAX_RETRIES, Connector
 from quayline.sources.datasource import poll_reader
@@ -85,12 +85,10 @@ class SlotStream:
             if slots.isEmpty():
                 log.info("batch %d selected no slot", batch_id)
                 return
-            placed = one_slot_per_partition(slots, slots_per_partition)
-            work(
-                fetch_lines(placed, self.connector, self.charset, self.max_retries),
-                slots,
-                batch_id,
+            lines = ordered_lines(
+                slots, self.connector, self.charset, self.max_retries, slots_per_partition
             )
+            work(lines, slots, batch_id)
 
         return self.slots().writeStream.foreachBatch(run)
 

@@ -1,0 +1,130 @@
+"""Line ends, gzip and decoding, against plain models on small inputs."""
+
+from __future__ import annotations
+
+import gzip
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quayline.functions.text import inflate, iter_lines, next_line_start, split_lines
+from quayline.operators.payload import _range_lines
+
+EDGES = {
+    "": [],
+    "\n": [""],
+    "a\n": ["a"],
+    "a\n\n": ["a", ""],
+    "\r\n": [""],
+    "a\rb\r\nc\n\r": ["a", "b", "c", ""],
+    "\n\na": ["", "", "a"],
+    "a\x0bb c\n": ["a\x0bb c"],
+    "a\x85b\x1cc": ["a\x85b\x1cc"],
+}
+
+
+def model(text: str) -> list[str]:
+    body = re.sub(r"(\r\n|\n|\r)\Z", "", text)
+    return re.split(r"\r\n|\n|\r", body) if text else []
+
+
+def chunked(data: bytes, size: int) -> list[bytes]:
+    return [data[i : i + size] for i in range(0, len(data), size)]
+
+
+def lines_of(data: bytes, size: int = 3, charset: str = "UTF-8") -> list[str]:
+    return [line for part in iter_lines(chunked(data, size), charset) for line in part]
+
+
+@pytest.mark.parametrize(("text", "lines"), EDGES.items())
+def test_edges(text, lines):
+    assert model(text) == lines
+    for size in (1, 2, 100):
+        assert lines_of(text.encode(), size) == lines
+
+
+def test_edges_in_the_jvm(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(EDGES)], "i int, t string")
+    rows = df.select("i", split_lines(df.t).alias("lines")).orderBy("i").collect()
+    assert [r.lines for r in rows] == list(EDGES.values())
+
+
+TEXTS = st.text(st.sampled_from("ab\r\né€😀 "), max_size=60)
+
+
+@given(TEXTS, st.integers(1, 9))
+def test_any_chunking(text, size):
+    assert lines_of(text.encode(), size) == model(text)
+    assert lines_of(gzip.compress(text.encode()), size) == model(text)
+
+
+@given(st.binary(max_size=50), st.integers(1, 7))
+def test_malformed_bytes_are_replaced(data, size):
+    plain = b"x" + data  # never looks like gzip
+    assert lines_of(plain, size) == model(plain.decode("utf-8", "replace"))
+
+
+@given(TEXTS, st.integers(1, 20), st.integers(1, 9))
+@settings(max_examples=300)
+def test_ranges_cover_each_line_once(text, width, size):
+    data = text.encode()
+
+    class Source:
+        def chunks(self, name, start=0, stop=None):
+            return iter(chunked(data[start:stop], size))
+
+    parts = [
+        [li for p in _range_lines(Source(), "s", a, a + width, "UTF-8") for li in p]
+        for a in range(0, len(data), width)
+    ]
+    assert [line for part in parts for line in part] == model(text)
+
+
+@given(TEXTS, st.integers(1, 5))
+def test_next_line_start(text, size):
+    data = text.encode()
+    starts = {m.end() for m in re.finditer(rb"\r\n|\n|\r", data)}
+    for at in range(len(data)):
+        expected = min((s for s in starts if s > at), default=len(data))
+        assert next_line_start(chunked(data[at:], size), at) == expected
+
+
+def test_gzip_is_found_by_content():
+    packed = gzip.compress(b"a\nb")
+    assert lines_of(packed) == ["a", "b"]
+    assert lines_of(packed + gzip.compress(b"c\n")) == ["a", "bc"]
+    assert lines_of(packed + b"\0\0\0padding") == ["a", "b"]
+    assert lines_of(gzip.compress(b"")) == []
+    assert lines_of(b"\x1f") == ["\x1f"]
+    # The magic alone is not a gzip header.
+    assert lines_of(b"\x1f\x8bplain text") == ["\x1f�plain text"]
+
+
+def test_cut_gzip_is_an_error():
+    with pytest.raises(EOFError):
+        list(inflate([gzip.compress(b"some longer content" * 50)[:-12]]))
+
+
+@pytest.mark.parametrize(
+    ("charset", "data", "lines"),
+    [
+        ("ISO-8859-1", b"caf\xe9\nx", ["café", "x"]),
+        ("UTF-8", b"caf\xe9\nx", ["caf�", "x"]),
+        ("US-ASCII", b"caf\xe9", ["caf�"]),
+        ("windows-1252", b"\x80", ["€"]),
+        ("UTF-16", "﻿a\nb".encode("utf-16-le"), ["a", "b"]),
+        ("UTF-16", "a\nb".encode("utf-16-be"), ["a", "b"]),
+        ("UTF-16LE", "a\r\nb".encode("utf-16-le"), ["a", "b"]),
+        ("UTF-32", "a\rb".encode("utf-32-be"), ["a", "b"]),
+    ],
+)
+def test_charsets(charset, data, lines):
+    for size in (1, 3, 100):
+        assert lines_of(data, size, charset) == lines
+
+
+def test_unknown_charset():
+    with pytest.raises(LookupError):
+        lines_of(b"a", charset="no-such")
