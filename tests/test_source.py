@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -30,6 +32,10 @@ from quayline.plans.flaky import FlakyFiles
 from quayline.sources.files import FilesConnector
 
 
+# Workers cannot import this file: send its connectors along, as a notebook's would be.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def values(df) -> list[str]:
     return [r.value for r in df.collect()]
 
