@@ -1,7 +1,7 @@
 """Bytes to lines: gunzip by content, lenient decoding, universal line ends.
 
 Two forms of the same rules.  ``split_lines`` is a column expression for text that is already a
-Spark string.  ``iter_lines`` works on a stream of byte chunks inside an Arrow task, holding one
+Spark string.  ``iter_blocks`` works on a stream of byte chunks inside an Arrow task, holding one
 chunk and one unfinished line at a time, so a slot may be larger than memory.
 """
 
@@ -13,6 +13,8 @@ import itertools
 import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,17 +29,16 @@ INFLATE_STEP = 4 << 20
 
 def split_lines(text: Column) -> Column:
     """The lines of ``text`` as an array: a final line end adds no line, empty text has none."""
-    tail = (
-        F.when(text.endswith("\r\n"), 2)
-        .when(text.endswith("\n") | text.endswith("\r"), 1)
-        .otherwise(0)
-    )
-    body = F.substring(text, F.lit(1), F.char_length(text) - tail)
     # A one-character separator avoids the regex engine; carriage returns are the exception.
-    parts = F.when(F.contains(body, F.lit("\r")), F.split(body, LINE_END)).otherwise(
-        F.split(body, "\n")
+    parts = F.when(F.contains(text, F.lit("\r")), F.split(text, LINE_END)).otherwise(
+        F.split(text, "\n")
     )
-    return F.when(text != "", parts).otherwise(F.array().cast("array<string>"))
+    # Only a final line end, or empty text, leaves an empty last part.  The one-element array binds
+    # the parts to a name, so that the split is evaluated once.
+    return F.transform(
+        F.array(parts),
+        lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p),
+    )[0]
 
 
 def inflate(chunks: Iterable[bytes]) -> Iterator[bytes]:
@@ -130,10 +131,13 @@ def next_line_start(chunks: Iterable[bytes], offset: int) -> int:
     return offset
 
 
-def iter_lines(
+def iter_blocks(
     chunks: Iterable[bytes], charset: str = "UTF-8", packed: bool = True
-) -> Iterator[list[str]]:
-    """Lists of consecutive lines of one slot; not ``packed``, gzip is not looked for."""
+) -> Iterator[str]:
+    """Blocks of whole consecutive lines of one slot, joined by ``\\n``.
+
+    A block of k line breaks is k + 1 lines.  Not ``packed``, gzip is not looked for.
+    """
     decoder, source = _decoder(charset, inflate(chunks) if packed else iter(chunks))
     # The newline decoder turns every line end into \n and copes with \r | \n across chunks.
     reader = io.IncrementalNewlineDecoder(decoder, translate=True)
@@ -145,9 +149,22 @@ def iter_lines(
             unfinished.append(text)
             continue
         unfinished.append(text[:cut])
-        yield "".join(unfinished).split("\n")
+        yield "".join(unfinished)
         unfinished = [text[cut + 1 :]]
     unfinished.append(reader.decode(b"", final=True))
     text = "".join(unfinished)
     if text:
-        yield text.removesuffix("\n").split("\n")
+        yield text.removesuffix("\n")
+
+
+def lines_array(blocks: list[str]) -> pa.StringArray:
+    """The lines of blocks as one array, cut at byte positions rather than line by line."""
+    data = "\n".join(blocks).encode()
+    cuts = np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n"))
+    offsets = np.zeros(len(cuts) + 2, np.int32)
+    # Taking the line breaks out moves each later byte down by one.
+    offsets[1:-1] = cuts - np.arange(len(cuts))
+    offsets[-1] = len(data) - len(cuts)
+    return pa.StringArray.from_buffers(
+        len(cuts) + 1, pa.py_buffer(offsets), pa.py_buffer(data.replace(b"\n", b""))
+    )

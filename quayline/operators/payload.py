@@ -20,7 +20,8 @@ from quayline.functions.text import (
     GZIP_HEADER,
     cuts_at_bytes,
     is_gzip,
-    iter_lines,
+    iter_blocks,
+    lines_array,
     next_line_start,
     split_lines,
 )
@@ -34,8 +35,8 @@ from quayline.sources.base import MAX_RETRIES, Connector, Fetcher
 
 LINE_KEYS = ("slot", "slot_date", "line_no")
 # A batch leaves the task when it holds this many lines or characters.
-LINES_PER_BATCH = 20_000
-CHARS_PER_BATCH = 8 << 20
+LINES_PER_BATCH = 50_000
+CHARS_PER_BATCH = 4 << 20
 # Plain slots beyond this size are read by several tasks where the connector can seek.
 SPLIT_BYTES = 512 << 20
 
@@ -59,7 +60,7 @@ def _keys(slots: DataFrame) -> list:
 
 
 class _LineBatches:
-    """Collects runs of lines of consecutive slots into record batches."""
+    """Collects blocks of lines of consecutive slots into record batches."""
 
     def __init__(self, names: pa.Array, dates: pa.Array) -> None:
         self._names, self._dates = names, dates
@@ -69,56 +70,60 @@ class _LineBatches:
         self._rows: list[int] = []
         self._counts: list[int] = []
         self._firsts: list[int] = []
-        self._values: list[str] = []
-        self._chars = 0
+        self._blocks: list[str] = []
+        self._lines = self._chars = 0
 
-    def add(self, row: int, first: int, lines: list[str]) -> None:
+    def add(self, row: int, first: int, block: str) -> int:
+        """Add a block whose first line has number ``first``; gives its number of lines."""
+        count = block.count("\n") + 1
         self._rows.append(row)
-        self._counts.append(len(lines))
+        self._counts.append(count)
         self._firsts.append(first)
-        self._values.extend(lines)
-        self._chars += sum(map(len, lines))
+        self._blocks.append(block)
+        self._lines += count
+        self._chars += len(block)
+        return count
 
     @property
     def full(self) -> bool:
-        return len(self._values) >= LINES_PER_BATCH or self._chars >= CHARS_PER_BATCH
+        return self._lines >= LINES_PER_BATCH or self._chars >= CHARS_PER_BATCH
 
-    def take(self) -> pa.RecordBatch:
+    def take(self) -> Iterator[pa.RecordBatch]:
+        if not self._blocks:
+            return
+        values = lines_array(self._blocks)
         counts = np.asarray(self._counts, np.int64)
-        starts = np.cumsum(counts) - counts
-        numbers = np.arange(len(self._values)) + np.repeat(
-            np.asarray(self._firsts, np.int64) - starts, counts
-        )
-        rows = pa.array(np.repeat(np.asarray(self._rows, np.int64), counts))
-        batch = pa.RecordBatch.from_arrays(
-            [
-                self._names.take(rows),
-                self._dates.take(rows),
-                pa.array(numbers, pa.int64()),
-                pa.array(self._values, pa.string()),
-            ],
-            names=["slot", "slot_date", "line_no", "value"],
-        )
+        before = np.cumsum(counts) - counts
+        numbers = np.arange(len(values)) + np.repeat(np.asarray(self._firsts) - before, counts)
+        rows = np.repeat(np.asarray(self._rows, np.int64), counts)
         self._clear()
-        return batch
+        for start in range(0, len(values), LINES_PER_BATCH):
+            part = slice(start, start + LINES_PER_BATCH)
+            slots = pa.array(rows[part])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    self._names.take(slots),
+                    self._dates.take(slots),
+                    pa.array(numbers[part], pa.int64()),
+                    values[part],
+                ],
+                names=["slot", "slot_date", "line_no", "value"],
+            )
 
 
 def _lines_of_batch(
-    batch: pa.RecordBatch, lines_of: Callable[[int], Iterable[list[str]]]
+    batch: pa.RecordBatch, blocks_of: Callable[[int], Iterable[str]]
 ) -> Iterator[pa.RecordBatch]:
     """Lines of each row's slot, numbered from the row's ``first_line`` if there is one."""
     out = _LineBatches(batch.column("slot"), batch.column("slot_date"))
     firsts = batch.column("first_line").to_pylist() if "first_line" in batch.schema.names else None
     for row in range(batch.num_rows):
         number = firsts[row] if firsts else 0
-        for lines in lines_of(row):
-            for start in range(0, len(lines), LINES_PER_BATCH):
-                part = lines[start : start + LINES_PER_BATCH]
-                out.add(row, number, part)
-                number += len(part)
-                if out.full:
-                    yield out.take()
-    yield out.take()
+        for block in blocks_of(row):
+            number += out.add(row, number, block)
+            if out.full:
+                yield from out.take()
+    yield from out.take()
 
 
 def fetch_lines(
@@ -137,10 +142,10 @@ def fetch_lines(
             for batch in batches:
                 names = batch.column("slot").to_pylist()
 
-                def lines_of(row: int, names: list = names) -> Iterator[list[str]]:
-                    return iter_lines(fetcher.chunks(names[row]), charset)
+                def blocks_of(row: int, names: list = names) -> Iterator[str]:
+                    return iter_blocks(fetcher.chunks(names[row]), charset)
 
-                yield from _lines_of_batch(batch, lines_of)
+                yield from _lines_of_batch(batch, blocks_of)
 
     return slots.select(*_keys(slots)).mapInArrow(read, lines_schema(slots))
 
@@ -179,13 +184,13 @@ def payload_lines(payload: DataFrame, charset: str = "UTF-8") -> DataFrame:
         for batch in batches:
             contents = batch.column("content")
 
-            def lines_of(row: int, contents: pa.Array = contents) -> Iterable[list[str]]:
+            def blocks_of(row: int, contents: pa.Array = contents) -> Iterable[str]:
                 cell = contents[row]
                 if not cell.is_valid:
                     return ()
-                return iter_lines([memoryview(cell.as_buffer()).cast("B")], charset)
+                return iter_blocks([memoryview(cell.as_buffer()).cast("B")], charset)
 
-            yield from _lines_of_batch(batch, lines_of)
+            yield from _lines_of_batch(batch, blocks_of)
 
     return payload.select(*_keys(payload), "content").mapInArrow(read, lines_schema(payload))
 
@@ -291,17 +296,17 @@ def split_slots(
     )
 
 
-def _range_lines(
+def _range_blocks(
     fetcher: Fetcher, name: str, start: int, stop: int | None, charset: str
-) -> Iterator[list[str]]:
+) -> Iterator[str]:
     """The lines that start between ``start`` and ``stop``; the last one may end beyond."""
     if stop is None:
-        yield from iter_lines(fetcher.chunks(name), charset)
+        yield from iter_blocks(fetcher.chunks(name), charset)
         return
     first = next_line_start(fetcher.chunks(name, start - 1), start - 1) if start else 0
     last = next_line_start(fetcher.chunks(name, stop - 1), stop - 1)
     if first < last:
-        yield from iter_lines(fetcher.chunks(name, first, last), charset, packed=False)
+        yield from iter_blocks(fetcher.chunks(name, first, last), charset, packed=False)
 
 
 def number_ranges(
@@ -317,8 +322,14 @@ def number_ranges(
             for batch in batches:
                 lines = [
                     # Any charset that cuts at bytes counts the same lines; this one is fastest.
-                    sum(map(len, _range_lines(fetcher, r["name"], r["start"], r["stop"], "latin-1")))
-                    for r in batch.select(["name", "start", "stop"]).to_pylist()
+                    sum(
+                        block.count("\n") + 1
+                        for block in _range_blocks(fetcher, name, start, stop, "latin-1")
+                    )
+                    for name, start, stop in zip(
+                        *(batch.column(c).to_pylist() for c in ("name", "start", "stop")),
+                        strict=True,
+                    )
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("slot_index"), batch.column("name"), pa.array(lines, pa.int64())],
@@ -352,11 +363,11 @@ def fetch_ranges(
             for batch in batches:
                 rows = batch.select(["slot", "start", "stop"]).to_pylist()
 
-                def lines_of(row: int, rows: list = rows) -> Iterator[list[str]]:
+                def blocks_of(row: int, rows: list = rows) -> Iterator[str]:
                     cut = rows[row]
-                    return _range_lines(fetcher, cut["slot"], cut["start"], cut["stop"], charset)
+                    return _range_blocks(fetcher, cut["slot"], cut["start"], cut["stop"], charset)
 
-                yield from _lines_of_batch(batch, lines_of)
+                yield from _lines_of_batch(batch, blocks_of)
 
     keyed = ranges.select(*_keys(ranges), "start", "stop", "first_line")
     return keyed.mapInArrow(read, lines_schema(ranges))

@@ -9,8 +9,14 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quayline.functions.text import inflate, iter_lines, next_line_start, split_lines
-from quayline.operators.payload import _range_lines
+from quayline.functions.text import (
+    inflate,
+    iter_blocks,
+    lines_array,
+    next_line_start,
+    split_lines,
+)
+from quayline.operators.payload import _range_blocks
 
 EDGES = {
     "": [],
@@ -34,8 +40,13 @@ def chunked(data: bytes, size: int) -> list[bytes]:
     return [data[i : i + size] for i in range(0, len(data), size)]
 
 
+def lines_in(blocks) -> list[str]:
+    blocks = list(blocks)
+    return lines_array(blocks).to_pylist() if blocks else []
+
+
 def lines_of(data: bytes, size: int = 3, charset: str = "UTF-8") -> list[str]:
-    return [line for part in iter_lines(chunked(data, size), charset) for line in part]
+    return lines_in(iter_blocks(chunked(data, size), charset))
 
 
 @pytest.mark.parametrize(("text", "lines"), EDGES.items())
@@ -76,7 +87,7 @@ def test_ranges_cover_each_line_once(text, width, size):
             return iter(chunked(data[start:stop], size))
 
     parts = [
-        [li for p in _range_lines(Source(), "s", a, a + width, "UTF-8") for li in p]
+        lines_in(_range_blocks(Source(), "s", a, a + width, "UTF-8"))
         for a in range(0, len(data), width)
     ]
     assert [line for part in parts for line in part] == model(text)
