@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,15 +39,11 @@ HOURLY_TYPES = ("click", "impression")
 
 _DAILY = "|".join(t for t in DCM_TYPES if t not in HOURLY_TYPES)
 _HOURLY = "|".join(HOURLY_TYPES)
-# One marked part of a name: (type) and (date digits), hourly or daily.
-SEGMENT = (
-    r"dcm_account[0-9]+_(?:"
-    rf"({_HOURLY})_([0-9]{{10}})|({_DAILY})_([0-9]{{8}})"
-    r")_"
-)
-WHOLE_NAME = rf"^.*{SEGMENT}.*\z"
-LINE_BREAK = r"[\n\r\u0085\u2028\u2029]"
+# One marked part of a name: type and date digits, hourly or daily.
 MARK = "dcm_account"
+SEGMENT = rf"{MARK}[0-9]+_(?:(?:{_HOURLY})_[0-9]{{10}}|(?:{_DAILY})_[0-9]{{8}})_"
+# A name is a single line.
+LINE_BREAKS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
 
 
 def dcm_type_of(label: Column) -> Column:
@@ -52,37 +51,62 @@ def dcm_type_of(label: Column) -> Column:
     return F.when(label.isin([t.upper() for t in DCM_TYPES]), F.lower(label))
 
 
-def _filled(name: Column, pattern: str, *groups: int) -> Column:
-    return F.concat(*[F.regexp_extract(name, pattern, g) for g in groups])
+def _date(digits: Column) -> Column:
+    # Constant patterns, one per branch, are compiled once and not once per row.
+    return F.when(
+        F.length(digits) == 10, F.try_to_timestamp(digits, F.lit("yyyyMMddHH"))
+    ).otherwise(F.try_to_timestamp(digits, F.lit("yyyyMMdd")))
+
+
+def _rolled_date(digits: Column) -> Column:
+    year, month, day, hour = (
+        F.substring(digits, start, size).try_cast("int")
+        for start, size in ((1, 4), (5, 2), (7, 2), (9, 2))
+    )
+    first = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
+    hours = F.make_dt_interval(F.lit(0), F.coalesce(hour, F.lit(0)))
+    return (F.date_add(first, day - 1).cast("timestamp_ntz") + hours).cast("timestamp")
 
 
-def _single(name: Column) -> Column:
+def _fields(part: Column, at: Column) -> Column:
+    """Type and digits of a marked part ``dcm_account<number>_<type>_<digits>_``."""
+    after_number = F.locate("_", part, len(MARK) + 1)
+    digits = F.substring_index(F.substr(part, F.lit(1), F.length(part) - 1), "_", -1)
     return F.struct(
-        _filled(name, WHOLE_NAME, 1, 3).alias("dcm_type"),
-        _filled(name, WHOLE_NAME, 2, 4).alias("digits"),
+        F.substr(
+            part, after_number + 1, F.length(part) - F.length(digits) - 2 - after_number
+        ).alias("dcm_type"),
+        digits.alias("digits"),
+        at.alias("at"),
     )
 
 
-def _several(name: Column) -> Column:
-    """Names with more than one marked part: the earliest listed type wins, its last part counts."""
-    one_line = F.when(~name.rlike(LINE_BREAK), name).otherwise("")
-    parts = F.regexp_extract_all(one_line, F.lit(SEGMENT), F.lit(0))
+def _chosen(parts: Column) -> Column:
+    """The part that decides, as an array: of several, the type listed first, and its last part."""
+    order = F.array(*[F.lit(t) for t in DCM_TYPES])
     ranked = F.transform(
         parts,
-        lambda part, at: F.struct(
-            F.array_position(
-                F.array(*[F.lit(t) for t in DCM_TYPES]), _filled(part, SEGMENT, 1, 3)
-            ).alias("rank"),
-            (-at).alias("back"),
-            _filled(part, SEGMENT, 1, 3).alias("dcm_type"),
-            _filled(part, SEGMENT, 2, 4).alias("digits"),
+        lambda p: F.struct(
+            F.array_position(order, p["dcm_type"]).alias("rank"), (-p["at"]).alias("back"), p.alias("p")
         ),
     )
-    best = F.array_min(ranked)
-    return F.struct(
-        F.coalesce(best["dcm_type"], F.lit("")).alias("dcm_type"),
-        F.coalesce(best["digits"], F.lit("")).alias("digits"),
+    return F.when(F.size(parts) < 2, parts).otherwise(F.array(F.array_min(ranked)["p"]))
+
+
+def parsed_names(name: Column, lenient: bool = False) -> Column:
+    """``parse_dcm_name`` as an array of one element, or none for other names.
+
+    For ``inline``, which evaluates it once however often the fields are used.
+    """
+    one_line = ~reduce(or_, [F.contains(name, F.lit(c)) for c in LINE_BREAKS])
+    parts = F.regexp_extract_all(F.when(one_line, name).otherwise(""), F.lit(SEGMENT), F.lit(0))
+    to_date = _rolled_date if lenient else _date
+    # A one-element array binds a value to a name, so that it is evaluated once.
+    best = F.flatten(F.transform(F.array(F.transform(parts, _fields)), _chosen))
+    dated = F.transform(
+        best, lambda p: F.struct(p["dcm_type"].alias("dcm_type"), to_date(p["digits"]).alias("date"))
     )
+    return F.filter(dated, lambda p: p["date"].isNotNull())
 
 
 def parse_dcm_name(name: Column, lenient: bool = False) -> Column:
@@ -91,23 +115,4 @@ def parse_dcm_name(name: Column, lenient: bool = False) -> Column:
     A date outside the calendar makes the name unparsable, unless ``lenient``: then months beyond
     December and days beyond the month roll over (20161345 is 2017-02-14).
     """
-    # Only names that hold the mark twice need the costlier array form.
-    twice = F.contains(F.substr(name, F.instr(name, MARK) + 1), F.lit(MARK))
-    found = F.when(twice, _several(name)).otherwise(_single(name))
-    kind, digits = found["dcm_type"], found["digits"]
-    if lenient:
-        year, month, day, hour = (
-            F.substring(digits, start, size).try_cast("int")
-            for start, size in ((1, 4), (5, 2), (7, 2), (9, 2))
-        )
-        months = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
-        date = F.date_add(months, day - 1).cast("timestamp_ntz") + F.make_dt_interval(
-            F.lit(0), F.coalesce(hour, F.lit(0))
-        )
-        date = date.cast("timestamp")
-    else:
-        date = F.when(
-            kind.isin(*HOURLY_TYPES), F.try_to_timestamp(digits, F.lit("yyyyMMddHH"))
-        ).otherwise(F.try_to_timestamp(digits, F.lit("yyyyMMdd")))
-    parsed = F.struct(kind.alias("dcm_type"), date.alias("date"))
-    return F.when((kind != "") & date.isNotNull(), parsed)
+    return F.get(parsed_names(name, lenient), F.lit(0))

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.functions.dcm import parse_dcm_name
+from quayline.functions.dcm import parsed_names
 from quayline.operators.ordering import slot_order
 from quayline.sources.base import Connector
 from quayline.sources.datasource import catalogue_reader
@@ -83,12 +83,7 @@ def dcm_slots(
 
     Type and date come from the name; ``types`` keeps only those types, none or empty keeps all.
     """
-    parsed = listing.withColumn("_dcm", parse_dcm_name(F.col("name"), lenient))
     others = [c for c in listing.columns if c not in ("name", "date", "dcm_type")]
-    found = parsed.filter(F.col("_dcm").isNotNull()).select(
-        "name",
-        F.col("_dcm.date").alias("date"),
-        F.col("_dcm.dcm_type").alias("dcm_type"),
-        *others,
-    )
+    parsed = F.inline(parsed_names(F.col("name"), lenient))
+    found = listing.select("name", parsed, *others).select("name", "date", "dcm_type", *others)
     return found.filter(F.col("dcm_type").isin(list(types))) if types else found

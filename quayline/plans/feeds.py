@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """For work on every row that costs more than moving it: a table read by fewer tasks than there
+    are cores is hashed over all of them.  Tables with enough splits stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def order_slots_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as dated slots; one in ten has no date."""
     return table(spark, sf_dir, "orders").select(
@@ -64,7 +71,8 @@ def gzipped(payload: DataFrame, chosen: Column) -> DataFrame:
 
 def document_payload(spark: SparkSession, sf_dir: str, charset: str = "UTF-8") -> DataFrame:
     """Documents as bytes, every second one gzipped."""
-    docs = document_slots(spark, sf_dir).withColumn("content", F.encode("text", charset))
+    docs = spread(document_slots(spark, sf_dir), "name")
+    docs = docs.withColumn("content", F.encode("text", charset))
     return gzipped(docs, F.col("doc_id") % 2 == 0)
 
 
@@ -91,7 +99,7 @@ def dcm_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("dcm_account"), "user_id", F.lit("_"), label, F.lit("_"),
         F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit("_"), "event_id", F.lit(".csv.gz"),
     )
-    return table(spark, sf_dir, "events").select(name.alias("name"))
+    return spread(table(spark, sf_dir, "events"), "event_id").select(name.alias("name"))
 
 
 def event_polls(spark: SparkSession, sf_dir: str) -> DataFrame:

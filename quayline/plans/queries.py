@@ -38,6 +38,7 @@ from quayline.plans.feeds import (
     event_polls,
     gzipped,
     order_slots_feed,
+    spread,
     table,
     write_document_files,
 )
@@ -321,7 +322,7 @@ def slot_lines_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("slot_lines_mixed_ends", f"WITH {LINES} SELECT slot, slot_date, line_no, value FROM lines")
 def slot_lines_mixed_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three line ends give the same lines."""
-    docs = document_slots(spark, sf_dir)
+    docs = spread(document_slots(spark, sf_dir), "name")
     ends = F.when(F.col("doc_id") % 3 == 0, "\r\n").when(F.col("doc_id") % 3 == 1, "\r")
     text = F.replace(F.col("text"), F.lit("\n"), ends.otherwise("\n"))
     payload = docs.withColumn("content", F.encode(text, "UTF-8"))
