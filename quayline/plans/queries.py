@@ -45,6 +45,7 @@ from quayline.plans.feeds import (
 from quayline.plans.flaky import FlakyFiles
 from quayline.session import scratch_path
 from quayline.sources.files import FilesConnector
+from quayline.sources.hadoop import hadoop_slots
 from quayline.streaming.slots import SlotStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,6 +439,19 @@ def slots_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, files).select("value")
 
 
+@query("slots_split_scan", f"WITH {LINES} SELECT value FROM lines")
+def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, every plain one cut into ranges of 64 KiB for separate tasks."""
+    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
+    return read_lines(spark, files, split_bytes=64 << 10).select("value")
+
+
+@query("slots_hadoop_scan", f"WITH {LINES} SELECT value FROM lines")
+def slots_hadoop_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = hadoop_slots(spark, document_files(spark, sf_dir), recursive=True)
+    return payload_lines(files).select("value")
+
+
 @query("slots_stream_scan", f"WITH {LINES} SELECT value FROM lines")
 def slots_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the files, a run, the other half, a second run from the same checkpoint."""
@@ -501,10 +515,3 @@ def list_error_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     slots = read_catalogue(spark, files, max_retries=1, on_list_error="empty")
     return slots.withColumn("date", F.col("date").cast("timestamp_ntz"))
-
-
-@query("slots_split_scan", f"WITH {LINES} SELECT value FROM lines")
-def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files, every plain one cut into ranges of 64 KiB for separate tasks."""
-    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
-    return read_lines(spark, files, split_bytes=64 << 10).select("value")

@@ -20,16 +20,19 @@ class FilesConnector(Connector):
     """Every plain file of a folder is a slot dated by its modification time.
 
     With ``recursive``, slots are named by their path below ``path`` and each sub-folder is listed by
-    a task of its own.  Names starting with ``_`` or ``.`` are hidden, as for Spark's own readers.
+    a task of its own; ``rootDepth`` 2, 3, … takes sub-folders of sub-folders, for trees in which one
+    branch holds much of everything.  Names starting with ``_`` or ``.`` are hidden, as for Spark's
+    own readers.
     """
 
     path: str = ""
     recursive: bool = False
+    rootDepth: int = 1
 
     seekable: ClassVar[bool] = True
 
     def validate(self) -> None:
-        require(path=self.path)
+        require(path=self.path, rootDepth=self.rootDepth)
 
     def file_system(self) -> tuple[fs.FileSystem, str]:
         return open_location(self.path)
@@ -42,15 +45,25 @@ class FilesConnector(Connector):
         if not self.recursive:
             return [""]
         files, base = self.file_system()
-        found = files.get_file_info(fs.FileSelector(base))
-        folders = [i.base_name for i in found if i.type == fs.FileType.Directory]
-        return ["", *sorted(f for f in folders if not self._hidden(f))]
+        roots, level = [""], [""]
+        for _ in range(self.rootDepth):
+            level = [
+                posixpath.relpath(info.path, base)
+                for root in level
+                for info in files.get_file_info(fs.FileSelector(posixpath.join(base, root)))
+                if info.type == fs.FileType.Directory and not self._hidden(info.base_name)
+            ]
+            roots += sorted(level)
+        return roots
 
     def list(self, root: str) -> Iterable[Slot]:
         files, base = self.file_system()
-        below = posixpath.join(base, root) if root else base
-        deep = self.recursive and bool(root)
-        for info in files.get_file_info(fs.FileSelector(below, recursive=deep)):
+        # Folders above the deepest roots are listed alone, the deepest with all below them.
+        depth = root.count("/") + 1 if root else 0
+        deep = self.recursive and depth == self.rootDepth
+        for info in files.get_file_info(
+            fs.FileSelector(posixpath.join(base, root), recursive=deep)
+        ):
             name = posixpath.relpath(info.path, base)
             if info.type == fs.FileType.File and not self._hidden(name):
                 yield Slot(name, info.mtime, info.size)

@@ -28,7 +28,7 @@ class GcsConnector(FilesConnector):
     recursive: bool = True
 
     def validate(self) -> None:
-        require(bucket=self.bucket)
+        require(bucket=self.bucket, rootDepth=self.rootDepth)
 
     def file_system(self) -> tuple[fs.FileSystem, str]:
         options = {"anonymous": True} if self.anonymous else {}

@@ -72,12 +72,18 @@ class SlotStream:
         self,
         work: Callable[[DataFrame, DataFrame, int], None],
         slots_per_partition: int | None = None,
+        slot_table: str | None = None,
     ) -> DataStreamWriter:
         """Call ``work(lines, slots, batch_id)`` for every batch that selected at least one slot.
 
         ``slots`` is the batch's indexed catalogue, read from the checkpoint folder, so using it any
         number of times lists nothing again.  ``lines`` has one partition per slot, in slot order,
         and fetches each slot once per action on it.
+
+        With ``slot_table``, the batch's slots are added to that Parquet folder after ``work``, as
+        partition ``batch_id``; a repeated batch replaces its own.  The table says what was read
+        when (``batch_report``, ``batch_descriptions``) and is a start for another stream
+        (``StartRange(seen=...)``), whole or only its last batches.
         """
 
         def run(selected: DataFrame, batch_id: int) -> None:
@@ -89,6 +95,8 @@ class SlotStream:
                 slots, self.connector, self.charset, self.max_retries, slots_per_partition
             )
             work(lines, slots, batch_id)
+            if slot_table is not None:
+                slots.write.mode("overwrite").parquet(f"{slot_table}/batch_id={batch_id}")
 
         return self.slots().writeStream.foreachBatch(run)
 

@@ -17,6 +17,7 @@ from quayline import (
     between_dates,
     exclude_previous,
     fetch_payload,
+    hadoop_slots,
     index_slots,
     ordered_lines,
     payload_lines,
@@ -122,6 +123,30 @@ def test_large_slots_are_read_in_ranges(spark, folder):
     ).rdd.getNumPartitions() == 4
 
 
+def test_nested_folders(spark, folder):
+    for name in ("top.txt", "a/1.txt", "a/x/2.txt", "a/x/deep/3.txt", "b/y/4.txt", "_no/5.txt"):
+        folder.put(name)
+    for depth, roots in ((1, 3), (2, 5), (3, 6), (9, 6)):
+        connector = FilesConnector(str(folder.path), recursive=True, rootDepth=depth)
+        slots = read_catalogue(spark, connector)
+        assert slots.rdd.getNumPartitions() == len(connector.roots()) == roots
+        assert sorted(r.name for r in slots.collect()) == [
+            "a/1.txt", "a/x/2.txt", "a/x/deep/3.txt", "b/y/4.txt", "top.txt",
+        ]
+    assert FilesConnector(str(folder.path)).roots() == [""]
+    assert read_catalogue(spark, FilesConnector(str(folder.path))).count() == 1
+
+
+def test_hadoop_paths(spark, files, folder):
+    slots = hadoop_slots(spark, str(folder.path))
+    dated = between_dates(slots, "2016-12-02")
+    plan = dated.select("name")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan  # listing does not read files
+    assert "GreaterThanOrEqual" in plan
+    found = payload_lines(slots).orderBy("slot", "line_no")
+    assert values(found) == values(read_lines(spark, files))
+
+
 def test_retries(spark, files, folder):
     def listed(**fields):
         connector = flaky(folder, **fields)

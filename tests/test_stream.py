@@ -8,7 +8,13 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from conftest import FIVE
-from quayline import BatchReportListener, SlotStream, StartRange
+from quayline import (
+    BatchReportListener,
+    SlotStream,
+    StartRange,
+    batch_descriptions,
+    batch_report,
+)
 from quayline.plans.flaky import FlakyFiles
 from quayline.sources.datasource import CATALOGUE_ARROW, PollReader, _batches
 from quayline.sources.base import Slot
@@ -103,6 +109,42 @@ def test_start_from_a_table(spark, folder):
     assert Run(spark, folder, StartRange(seen=seen)).append() == lines("y.txt")
 
 
+def test_slot_table(spark, folder):
+    """What was read when, and going on from it under a new checkpoint."""
+    run = Run(spark, folder)
+    table = str(folder.path.parent / "table")
+    for name in ("a.txt", "b.txt"):
+        folder.put(name)
+        query = (
+            run.stream.for_each_batch(lambda found, slots, batch: found.count(), slot_table=table)
+            .option("checkpointLocation", str(folder.path.parent / "checkpoint"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    read = spark.read.parquet(table).drop("poll").withColumnRenamed("batch_id", "poll")
+    assert {(r.poll, r.description) for r in batch_descriptions(read).collect()} == {
+        (0, "a.txt"), (1, "b.txt"),
+    }
+    assert {(r.poll, r.n_slots) for r in batch_report(read).collect()} == {(0, 1), (1, 1)}
+    folder.put("c.txt")
+    # Remembering everything, and only the last batch.
+    for seen, expected in ((read, ["c.txt"]), (read.filter("poll = 1"), ["a.txt", "c.txt"])):
+        again = SlotStream(
+            spark, run.connector, str(folder.path.parent / f"polls{len(expected)}"),
+            StartRange(seen=seen), poll_interval_ms=1,
+        )
+        got = []
+        query = (
+            again.for_each_batch(
+                lambda found, slots, batch, got=got: got.extend(r.name for r in slots.collect())
+            )
+            .option("checkpointLocation", str(folder.path.parent / f"checkpoint{len(expected)}"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        assert sorted(got) == expected
+
+
 def test_failures(spark, folder):
     folder.put("one.txt")
     marks = str(folder.path.parent / "marks")
