@@ -69,6 +69,9 @@ def _gunzip(source: Iterator[bytes]) -> Iterator[bytes]:
                 if len(between) < 3:
                     break
                 if between[:2] != GZIP_MAGIC or between[2] != GZIP_DEFLATE:
+                    # Read to the end all the same: a transfer left open would block the next one.
+                    for _ in source:
+                        pass
                     return
                 data, between, member = between, b"", zlib.decompressobj(31)
             out = member.decompress(data, INFLATE_STEP)

@@ -21,6 +21,7 @@ from quayline.operators.catalogue import (
 from quayline.operators.ordering import index_slots, one_slot_per_partition
 from quayline.operators.payload import (
     fetch_lines,
+    fetch_payload,
     payload_lines,
     peek_lines,
     read_lines,
@@ -441,9 +442,9 @@ def slots_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("slots_split_scan", f"WITH {LINES} SELECT value FROM lines")
 def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files, every plain one cut into ranges of 64 KiB for separate tasks."""
+    """The same files, every plain one cut into ranges of 256 KiB for separate tasks."""
     files = FilesConnector(document_files(spark, sf_dir), recursive=True)
-    return read_lines(spark, files, split_bytes=64 << 10).select("value")
+    return read_lines(spark, files, split_bytes=256 << 10).select("value")
 
 
 @query("slots_hadoop_scan", f"WITH {LINES} SELECT value FROM lines")
@@ -460,14 +461,14 @@ def slots_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = SlotStream(
         spark, FilesConnector(f"{base}/in", recursive=True), f"{base}/polls", poll_interval_ms=1
     )
+    lines = stream.lines()
     for part, chosen, packed in (
         ("english", "lang = 'en'", True),
         ("other", "lang <> 'en'", False),
     ):
         write_document_files(spark, docs.filter(chosen), f"{base}/in/{part}", packed)
         run = (
-            stream.lines()
-            .writeStream.format("parquet")
+            lines.writeStream.format("parquet")
             .option("checkpointLocation", f"{base}/checkpoint")
             .trigger(availableNow=True)
             .start(f"{base}/out")
@@ -476,6 +477,45 @@ def slots_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("value")
 
 
+PARTS_OF_FILES = f"""{LINES}
+    SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS part, value
+    FROM lines JOIN docs ON name = slot"""
+
+
+@query("slots_payload_scan", f"WITH {PARTS_OF_FILES}")
+def slots_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
+    lines = payload_lines(fetch_payload(read_catalogue(spark, files), files))
+    return lines.select(F.substring_index("slot", "/", 1).alias("part"), "value")
+
+
+@query("slots_batch_scan", f"WITH {PARTS_OF_FILES}")
+def slots_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch by batch with a table of what was read; the second stream goes on from that table."""
+    base = scratch_path(spark, "batches")
+    docs = document_slots(spark, sf_dir)
+    files = FilesConnector(f"{base}/in", recursive=True)
+
+    def keep(lines: DataFrame, slots: DataFrame, batch_id: int) -> None:
+        lines.write.mode("overwrite").parquet(f"{base}/out/run={runs}/batch={batch_id}")
+
+    for runs, (part, chosen, packed) in enumerate(
+        (("english", "lang = 'en'", True), ("other", "lang <> 'en'", False))
+    ):
+        write_document_files(spark, docs.filter(chosen), f"{base}/in/{part}", packed)
+        start = StartRange(seen=spark.read.parquet(f"{base}/slots/run=0")) if runs else None
+        stream = SlotStream(spark, files, f"{base}/polls{runs}", start, poll_interval_ms=1)
+        run = (
+            stream.for_each_batch(keep, slot_table=f"{base}/slots/run={runs}")
+            .option("checkpointLocation", f"{base}/checkpoint{runs}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
+    lines = spark.read.parquet(f"{base}/out")
+    return lines.select(F.substring_index("slot", "/", 1).alias("part"), "value")
+
+
 @query("list_retry", f"WITH {LINES} SELECT value FROM lines")
 def list_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = FlakyFiles(

@@ -97,12 +97,18 @@ class PollReader(DataSourceStreamReader):
     """Offsets are poll times in milliseconds; a poll lists everything once."""
 
     def __init__(
-        self, connector: Connector, max_retries: int, log_dir: str, interval_ms: int
+        self,
+        connector: Connector,
+        max_retries: int,
+        log_dir: str,
+        interval_ms: int,
+        with_poll: bool = True,
     ) -> None:
         self.connector = connector
         self.max_retries = max_retries
         self.log = PollLog(log_dir)
         self.interval_ms = interval_ms
+        self.with_poll = with_poll
 
     def initialOffset(self) -> dict:
         return {"poll": 0}
@@ -125,6 +131,9 @@ class PollReader(DataSourceStreamReader):
             self.log.write_once(partition.poll, key, CATALOGUE_ARROW, _batches(slots))
         poll = datetime.fromtimestamp(partition.poll / 1000, UTC)
         for batch in self.log.read(partition.poll, key):
+            if not self.with_poll:
+                yield batch
+                continue
             stamp = pa.array([poll] * batch.num_rows, _INSTANT)
             yield pa.RecordBatch.from_arrays([*batch.columns, stamp], schema=POLL_ARROW)
 
@@ -136,8 +145,10 @@ class SlotSource(DataSource):
     """``spark.read.format("slots")`` / ``spark.readStream.format("slots")``.
 
     Options: ``connector`` (its short name) and ``parameters`` (its fields as JSON), or the scalar
-    fields as options of their own; ``maxRetries`` (3); batch: ``onListError`` (``fail`` or
-    ``empty``); stream: ``logDir`` (shared folder, required) and ``pollInterval`` in ms (1000).
+    fields as options of their own; ``maxRetries`` (3).  Batch: ``onListError`` (``fail`` or
+    ``empty``).  Stream: ``logDir`` (shared folder, required), ``pollInterval`` in ms (1000) and
+    ``withPoll`` (``true`` adds the time of the poll as a column).  A stream repeats a slot with
+    every poll; ``SlotStream`` keeps the first.
     """
 
     connectors: dict[str, type[Connector]] = {}
@@ -146,8 +157,11 @@ class SlotSource(DataSource):
     def name(cls) -> str:
         return FORMAT
 
+    def _with_poll(self) -> bool:
+        return self.options.get("withPoll", "false").lower() == "true"
+
     def schema(self) -> str:
-        return CATALOGUE_SCHEMA
+        return POLL_SCHEMA if self._with_poll() else CATALOGUE_SCHEMA
 
     def _connector(self) -> Connector:
         kind = self.options.get("connector")
@@ -171,27 +185,20 @@ class SlotSource(DataSource):
         return int(self.options.get("maxRetries", MAX_RETRIES))
 
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
+        if self._with_poll():
+            raise ValueError("withPoll is for streams")
         on_error = self.options.get("onListError", "fail")
         if on_error not in ("fail", "empty"):
             raise ValueError("onListError must be fail or empty")
         return CatalogueReader(self._connector(), self._max_retries(), on_error)
 
-
-class SlotPollSource(SlotSource):
-    """The streaming side has one more column, the time of the poll."""
-
-    @classmethod
-    def name(cls) -> str:
-        return f"{FORMAT}_polls"
-
-    def schema(self) -> str:
-        return POLL_SCHEMA
-
     def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001
         log_dir = self.options.get("logDir")
         interval = int(self.options.get("pollInterval", 1000))
         require(logDir=log_dir, pollInterval=interval)
-        return PollReader(self._connector(), self._max_retries(), log_dir, interval)
+        return PollReader(
+            self._connector(), self._max_retries(), log_dir, interval, self._with_poll()
+        )
 
 
 def built_in() -> dict[str, type[Connector]]:
@@ -213,10 +220,9 @@ def built_in() -> dict[str, type[Connector]]:
 
 
 def register_sources(spark: SparkSession, **plugins: type[Connector]) -> None:
-    """Make the formats known to the session, with further connectors by short name."""
+    """Make the format known to the session, with further connectors by short name."""
     known = {**built_in(), **plugins}
-    for source in (SlotSource, SlotPollSource):
-        spark.dataSource.register(type(source.__name__, (source,), {"connectors": known}))
+    spark.dataSource.register(type("SlotSource", (SlotSource,), {"connectors": known}))
 
 
 def _configured(reader, connector: Connector, kind: str, max_retries: int):  # noqa: ANN001, ANN202
@@ -253,6 +259,6 @@ def poll_reader(
     poll_interval_ms: int,
 ) -> DataStreamReader:
     kind = _register_for(spark, connector)
-    reader = spark.readStream.format(SlotPollSource.name())
+    reader = spark.readStream.format(SlotSource.name()).option("withPoll", True)
     reader = reader.option("logDir", log_dir).option("pollInterval", poll_interval_ms)
     return _configured(reader, connector, kind, max_retries)

@@ -13,5 +13,6 @@ def open_location(location: str) -> tuple[fs.FileSystem, str]:
     if local:
         return fs.LocalFileSystem(), f"/{local.group(1)}".rstrip("/") or "/"
     if "://" in location:
-        return fs.FileSystem.from_uri(location)
+        # Hadoop's names for the same stores.
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", location))
     return fs.LocalFileSystem(), location.rstrip("/") or "/"

@@ -199,3 +199,38 @@ def test_descriptions_continue_over_rows(spark):
     assert [(r.poll, r.piece, r.description) for r in rows] == [
         (1, 0, "n0\nn1"), (1, 1, "n2\nn3"), (1, 2, "n4"), (2, 0, "z"),
     ]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path, dated):
+    path = str(tmp_path / "catalogue")
+    dated.withColumn("content", F.lit("x")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    chosen = apply_start(
+        between_dates(stored, "2016-10-12", "2016-10-14"), StartRange("2016-10-11", ("a",))
+    ).select("name", "date")
+    plan = plan_of(chosen)
+    assert "GreaterThanOrEqual(date," in plan
+    assert "LessThan(date," in plan
+    assert "ReadSchema: struct<name:string,date:timestamp>" in plan
+    assert names(chosen.orderBy("name")) == ["b", "c"]
+
+
+def test_plans_stay_distributed(spark, mixed):
+    """No cross join, and no window or sort over the rows of a catalogue in one task."""
+    for df in (
+        exclude_previous(mixed, mixed.limit(1)),
+        apply_start(mixed, StartRange(seen=mixed.limit(1))),
+        new_slots(mixed.withColumn("poll", F.lit(1))),
+    ):
+        plan = plan_of(df)
+        assert "CartesianProduct" not in plan
+        assert "BroadcastNestedLoopJoin" not in plan
+        assert "Window" not in plan
+    # The only unpartitioned window sees one row per partition of the sort.
+    indexed = plan_of(index_slots(mixed))
+    window = indexed[indexed.index("Window") :]
+    assert "HashAggregate(keys=[_part" in window

@@ -14,6 +14,7 @@ from quayline import (
     StartRange,
     batch_descriptions,
     batch_report,
+    register_sources,
 )
 from quayline.plans.flaky import FlakyFiles
 from quayline.sources.datasource import CATALOGUE_ARROW, PollReader, _batches
@@ -212,6 +213,23 @@ def test_forgetful_stream(spark, folder):
     assert spark.read.parquet(str(folder.path.parent / "out")).count() == 5
 
 
+def test_format(spark, folder):
+    folder.put("a.txt")
+    register_sources(spark)
+    listings = (
+        spark.readStream.format("slots")
+        .options(connector="files", path=str(folder.path), logDir=f"{folder.path.parent}/polls")
+        .load()
+    )
+    assert listings.isStreaming
+    assert listings.columns == ["name", "date", "length"]
+    query = (
+        listings.writeStream.format("memory").queryName("listed").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert [r.name for r in spark.table("listed").collect()] == ["a.txt"]
+
+
 def test_poll_log(tmp_path):
     log = PollLog(f"file:{tmp_path}/polls")
     assert log.latest() == 0

@@ -113,6 +113,12 @@ def test_gzip_is_found_by_content():
     assert lines_of(b"\x1f\x8bplain text") == ["\x1f�plain text"]
 
 
+def test_padding_is_read_to_the_end():
+    rest = iter([gzip.compress(b"a"), b"paddingpadding", b"more", b"end"])
+    assert list(inflate(rest)) == [b"a"]
+    assert list(rest) == []
+
+
 def test_cut_gzip_is_an_error():
     with pytest.raises(EOFError):
         list(inflate([gzip.compress(b"some longer content" * 50)[:-12]]))
