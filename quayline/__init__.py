@@ -33,7 +33,7 @@ from quayline.operators.payload import (
     write_lines,
 )
 from quayline.operators.polls import batch_descriptions, batch_report, new_slots, replayed_slots
-from quayline.operators.ranges import StartRange, apply_start, range_summary
+from quayline.operators.ranges import StartRange, apply_start, range_summary, resume_range
 from quayline.session import build_session
 from quayline.sources.base import Connector, Slot, SlotSourceError
 from quayline.sources.datasource import register_sources
@@ -78,6 +78,7 @@ __all__ = [
     "read_lines",
     "register_sources",
     "replayed_slots",
+    "resume_range",
     "slot_metrics",
     "split_lines",
     "text_lines",

@@ -35,7 +35,8 @@ def order_slots(slots: DataFrame) -> DataFrame:
 
 
 def matching(slots: DataFrame, condition: Column | str) -> DataFrame:
-    """Slots that satisfy a predicate over their columns."""
+    """Slots that satisfy a predicate over their columns: an expression, or the column a pandas UDF
+    gives where the choice needs Python."""
     return slots.filter(condition)
 
 

@@ -210,9 +210,13 @@ def ordered_lines(
     max_retries: int = MAX_RETRIES,
     slots_per_partition: int | None = None,
     split_bytes: int | None = SPLIT_BYTES,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """The lines of a catalogue in slot order: partition ``i`` holds the lines of slot ``i``.
 
+    Every partition uses one client, so ``max_partitions`` also bounds the connections a server
+    sees; with more slots than that, a partition holds several consecutive ones.
+
     Plain slots longer than ``split_bytes`` are read by several consecutive partitions where the
     connector can seek, with the same lines and line numbers; None never splits a slot.
     """
@@ -224,9 +228,11 @@ def ordered_lines(
                 split_slots(slots.drop("slot_index"), connector, split_bytes, max_retries)
             )
             numbered = number_ranges(ranges, connector, max_retries)
-            placed = one_slot_per_partition(numbered, slots_per_partition, count=ranges.count())
+            placed = one_slot_per_partition(
+                numbered, slots_per_partition, max_partitions, ranges.count()
+            )
             return fetch_ranges(placed, connector, charset, max_retries)
-    placed = one_slot_per_partition(slots, slots_per_partition)
+    placed = one_slot_per_partition(slots, slots_per_partition, max_partitions)
     return fetch_lines(placed, connector, charset, max_retries)
 
 
@@ -239,6 +245,7 @@ def read_lines(
     on_list_error: str = "fail",
     slots_per_partition: int | None = None,
     split_bytes: int | None = SPLIT_BYTES,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """List, choose, order and fetch.
 
@@ -251,7 +258,7 @@ def read_lines(
     if choose is not None:
         slots = choose(slots)
     return ordered_lines(
-        slots, connector, charset, max_retries, slots_per_partition, split_bytes
+        slots, connector, charset, max_retries, slots_per_partition, split_bytes, max_partitions
     )
 
 

@@ -76,3 +76,11 @@ def range_summary(slots: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataF
     kind = dated.schema["date"].dataType
     earliest = F.lit(None if first is None else first[0]).cast(kind)
     return token.select(earliest.alias("range_date"), "piece", "names", "n_names")
+
+
+def resume_range(summary: DataFrame) -> StartRange:
+    """The start that goes on after the read ``summary`` (of ``range_summary``) describes: slots as
+    new as its earliest one, without its own.  Its names stay a table."""
+    date = summary.select(F.col("range_date").cast("string")).first()
+    seen = summary.select(F.explode(F.split("names", "\n")).alias("name"))
+    return StartRange(date[0] if date else None, seen=seen)

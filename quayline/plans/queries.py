@@ -30,7 +30,7 @@ from quayline.operators.payload import (
     write_lines,
 )
 from quayline.operators.polls import batch_descriptions, batch_report, new_slots, replayed_slots
-from quayline.operators.ranges import StartRange, apply_start, range_summary
+from quayline.operators.ranges import StartRange, apply_start, range_summary, resume_range
 from quayline.plans.feeds import (
     dcm_names,
     document_files,
@@ -236,9 +236,7 @@ def start_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Go on from the range of an earlier read, with its names as a table."""
     slots = order_slots_feed(spark, sf_dir)
     token = range_summary(slots.filter("priority = '1-URGENT'").select("name", "date"))
-    date = token.select(F.col("range_date").cast("string")).first()
-    seen = token.select(F.explode(F.split("names", "\n")).alias("name"))
-    return apply_start(slots.select("name", "date"), StartRange(date and date[0], seen=seen))
+    return apply_start(slots.select("name", "date"), resume_range(token))
 
 
 # What a stream selects

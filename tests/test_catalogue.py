@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from quayline import (
     order_slots,
     range_summary,
     replayed_slots,
+    resume_range,
 )
 
 SCHEMA = "name string, date timestamp"
@@ -66,6 +68,12 @@ def test_order(spark, mixed):
 
 def test_filter_and_empty(mixed):
     assert len(names(matching(mixed, F.col("name").contains("2016")))) == 2
+
+    @F.pandas_udf("boolean")
+    def of_odd_length(names: pd.Series) -> pd.Series:
+        return names.str.len() % 2 == 1
+
+    assert {len(n) % 2 for n in names(matching(mixed, of_odd_length("name")))} == {1}
     nothing = empty_like(mixed)
     assert nothing.schema == mixed.schema
     assert one_slot_per_partition(nothing).count() == 0
@@ -174,6 +182,10 @@ def test_range_summary(spark, mixed):
     pieces = range_summary(mixed, names_per_row=2).orderBy("piece").collect()
     assert [(p.piece, p.n_names) for p in pieces] == [(0, 2), (1, 1)]
     assert range_summary(empty_like(mixed)).count() == 0
+    later = mixed.union(catalogue(spark, ("new", "2016-10-12"), ("old", "2016-10-11")))
+    rest = apply_start(later, resume_range(range_summary(mixed, names_per_row=2)))
+    assert names(rest) == ["new"]
+    assert apply_start(mixed, resume_range(range_summary(empty_like(mixed)))).count() == 3
     undated = range_summary(mixed.select("name")).first()
     assert undated.range_date is None
     assert undated.names.split("\n") == sorted(names(mixed))

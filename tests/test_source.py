@@ -67,6 +67,9 @@ def test_each_slot_is_a_partition_in_order(spark, files):
     assert parts == [[f"{line} - {n}" for line in FIVE]
                      for n in ("example_20161201.txt", "example_20161202.txt")]
     assert values(lines.limit(5)) == parts[0]
+    one_client = read_lines(spark, files, max_partitions=1)
+    assert one_client.rdd.getNumPartitions() == 1
+    assert values(one_client) == parts[0] + parts[1]
 
 
 def test_choosing_before_fetching(spark, files):
