@@ -8,7 +8,11 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The file types, hourly ones first named with ten date digits, the rest with eight.
+# How a name is marked, its date patterns (ten digits for hourly types, eight for the
+# others), and the file types in the order in which they are tried.
+MARK = "dcm_account"
+HOURLY_DATE, DAILY_DATE = "yyyyMMddHH", "yyyyMMdd"
+HOURLY_TYPES = ("click", "impression")
 DCM_TYPES = (
     "activity",
     "click",
@@ -35,12 +39,10 @@ DCM_TYPES = (
     "match_table_sites",
     "match_table_states",
 )
-HOURLY_TYPES = ("click", "impression")
 
 _DAILY = "|".join(t for t in DCM_TYPES if t not in HOURLY_TYPES)
 _HOURLY = "|".join(HOURLY_TYPES)
-# One marked part of a name: type and date digits, hourly or daily.
-MARK = "dcm_account"
+# One marked part of a name: type and date digits.
 SEGMENT = rf"{MARK}[0-9]+_(?:(?:{_HOURLY})_[0-9]{{10}}|(?:{_DAILY})_[0-9]{{8}})_"
 # A name is a single line.
 LINE_BREAKS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
@@ -54,8 +56,8 @@ def dcm_type_of(label: Column) -> Column:
 def _date(digits: Column) -> Column:
     # Constant patterns, one per branch, are compiled once and not once per row.
     return F.when(
-        F.length(digits) == 10, F.try_to_timestamp(digits, F.lit("yyyyMMddHH"))
-    ).otherwise(F.try_to_timestamp(digits, F.lit("yyyyMMdd")))
+        F.length(digits) == len(HOURLY_DATE), F.try_to_timestamp(digits, F.lit(HOURLY_DATE))
+    ).otherwise(F.try_to_timestamp(digits, F.lit(DAILY_DATE)))
 
 
 def _rolled_date(digits: Column) -> Column:
@@ -87,10 +89,12 @@ def _chosen(parts: Column) -> Column:
     ranked = F.transform(
         parts,
         lambda p: F.struct(
-            F.array_position(order, p["dcm_type"]).alias("rank"), (-p["at"]).alias("back"), p.alias("p")
+            F.array_position(order, p["dcm_type"]).alias("rank"),
+            (-p["at"]).alias("back"),
+            p.alias("part"),
         ),
     )
-    return F.when(F.size(parts) < 2, parts).otherwise(F.array(F.array_min(ranked)["p"]))
+    return F.when(F.size(parts) < 2, parts).otherwise(F.array(F.array_min(ranked)["part"]))
 
 
 def parsed_names(name: Column, lenient: bool = False) -> Column:
@@ -104,7 +108,8 @@ def parsed_names(name: Column, lenient: bool = False) -> Column:
     # A one-element array binds a value to a name, so that it is evaluated once.
     best = F.flatten(F.transform(F.array(F.transform(parts, _fields)), _chosen))
     dated = F.transform(
-        best, lambda p: F.struct(p["dcm_type"].alias("dcm_type"), to_date(p["digits"]).alias("date"))
+        best,
+        lambda p: F.struct(p["dcm_type"].alias("dcm_type"), to_date(p["digits"]).alias("date")),
     )
     return F.filter(dated, lambda p: p["date"].isNotNull())
 

@@ -37,7 +37,9 @@ def split_lines(text: Column) -> Column:
     # the parts to a name, so that the split is evaluated once.
     return F.transform(
         F.array(parts),
-        lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p),
+        lambda p: F.when(
+            F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)
+        ).otherwise(p),
     )[0]
 
 

@@ -23,9 +23,8 @@ def new_slots(polls: DataFrame, start: StartRange | None = None) -> DataFrame:
         return accepted.groupBy("name").agg(F.min("poll").alias("poll"))
     # A poll that lists one name twice: the earliest date, undated last.
     first = F.min(F.struct("poll", F.col("date").isNull().alias("undated"), "date"))
-    return (
-        accepted.groupBy("name").agg(first.alias("first")).select("name", "first.poll", "first.date")
-    )
+    chosen = accepted.groupBy("name").agg(first.alias("first"))
+    return chosen.select("name", "first.poll", "first.date")
 
 
 def replayed_slots(polls: DataFrame, restart: Column, horizon_start: Column) -> DataFrame:

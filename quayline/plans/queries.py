@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.functions.dcm import dcm_type_of
+from quayline.functions.dcm import dcm_type_of, parse_dcm_name
 from quayline.functions.text import split_lines
 from quayline.functions.urls import url_kind
 from quayline.operators.catalogue import (
@@ -79,22 +79,25 @@ POLLS = """polls AS (
   FROM events)"""
 SELECTED = f"""{POLLS}, selected AS (
   SELECT name, min(poll) AS poll, min_by(date, (poll, date)) AS date FROM polls GROUP BY name)"""
-DCM = """names AS (
-  SELECT 'dcm_account' || user_id || '_' || CASE event_type
-           WHEN 'purchase' THEN 'activity_' || strftime(ts, '%Y%m%d')
-           WHEN 'click' THEN 'click_' || strftime(ts, '%Y%m%d%H')
-           WHEN 'view' THEN 'impression_' || strftime(ts, '%Y%m%d%H')
-           WHEN 'signup' THEN
-             'match_table_' || ['activity_cats', 'activity_types', 'ad_placement_assignments', 'ads', 'advertisers',
-               'browsers', 'campaigns', 'cities', 'creative_ad_assignments', 'creatives',
-               'custom_creative_fields', 'custom_floodlight_variables', 'custom_rich_media',
-               'designated_market_areas', 'keyword_value', 'operating_systems', 'paid_search',
-               'placement_cost', 'placements', 'sites', 'states'][user_id % 21 + 1] || '_' || strftime(ts, '%Y%m%d')
-           ELSE 'FOO_' || strftime(ts, '%Y%m%d%H') END
-         || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '_' || event_id || '.csv.gz' AS name
-  FROM events), cut AS (
-  SELECT name, regexp_extract(name,
-    '^.*dcm_account[0-9]+_(?:(click|impression)_([0-9]{10})|(activity|match_table_[a-z_]+)_([0-9]{8}))_.*$',
+DCM = """labelled AS (
+  SELECT *, CASE event_type
+    WHEN 'purchase' THEN 'activity_' || strftime(ts, '%Y%m%d')
+    WHEN 'click' THEN 'click_' || strftime(ts, '%Y%m%d%H')
+    WHEN 'view' THEN 'impression_' || strftime(ts, '%Y%m%d%H')
+    WHEN 'signup' THEN 'match_table_' ||
+      ['activity_cats', 'activity_types', 'ad_placement_assignments', 'ads', 'advertisers',
+       'browsers', 'campaigns', 'cities', 'creative_ad_assignments', 'creatives',
+       'custom_creative_fields', 'custom_floodlight_variables', 'custom_rich_media',
+       'designated_market_areas', 'keyword_value', 'operating_systems', 'paid_search',
+       'placement_cost', 'placements', 'sites', 'states'][user_id % 21 + 1]
+      || '_' || strftime(ts, '%Y%m%d')
+    ELSE 'FOO_' || strftime(ts, '%Y%m%d%H') END AS label
+  FROM events), names AS (
+  SELECT 'dcm_account' || user_id || '_' || label || '_' || strftime(ts, '%Y%m%d_%H%M%S')
+         || '_' || event_id || '.csv.gz' AS name
+  FROM labelled), cut AS (
+  SELECT name, regexp_extract(name, '^.*dcm_account[0-9]+_(?:(click|impression)_([0-9]{10})|'
+      || '(activity|match_table_[a-z_]+)_([0-9]{8}))_.*$',
     ['hour_type', 'hour', 'day_type', 'day']) AS m
   FROM names), parsed AS (
   SELECT name, coalesce(nullif(m.hour_type, ''), nullif(m.day_type, '')) AS dcm_type,
@@ -396,6 +399,29 @@ def dcm_type_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
+@query(
+    "dcm_dates",
+    """WITH parts AS (
+         SELECT event_id, 2016 + event_id % 9 AS y, event_id % 20 AS m, event_id % 41 AS d
+         FROM events)
+       SELECT event_id, try_strptime(y || lpad(m::VARCHAR, 2, '0') || lpad(d::VARCHAR, 2, '0'),
+                                     '%Y%m%d') AS strict_date,
+         make_timestamp(y, 1, 1, 0, 0, 0) + to_months((m - 1)::INTEGER) + to_days((d - 1)::INTEGER)
+           AS rolled_date
+       FROM parts""",
+)
+def dcm_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates in and outside the calendar, dropped or rolled over."""
+    number = F.col("event_id")
+    digits = F.format_string("%d%02d%02d", 2016 + number % 9, number % 20, number % 41)
+    name = F.concat(F.lit("dcm_account1_activity_"), digits, F.lit("_x"))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        parse_dcm_name(name)["date"].cast("timestamp_ntz").alias("strict_date"),
+        parse_dcm_name(name, lenient=True)["date"].cast("timestamp_ntz").alias("rolled_date"),
+    )
+
+
 @query(
     "dcm_type_lookup",
     """SELECT event_id, CASE WHEN event_type = 'click' THEN 'click' END AS dcm_type FROM events""",

@@ -19,10 +19,10 @@ CHUNK_BYTES = 4 << 20
 class FilesConnector(Connector):
     """Every plain file of a folder is a slot dated by its modification time.
 
-    With ``recursive``, slots are named by their path below ``path`` and each sub-folder is listed by
-    a task of its own; ``rootDepth`` 2, 3, … takes sub-folders of sub-folders, for trees in which one
-    branch holds much of everything.  Names starting with ``_`` or ``.`` are hidden, as for Spark's
-    own readers.
+    With ``recursive``, slots are named by their path below ``path`` and each sub-folder is listed
+    by a task of its own; ``rootDepth`` 2, 3, … takes sub-folders of sub-folders, for trees in which
+    one branch holds much of everything.  Names starting with ``_`` or ``.`` are hidden, as for
+    Spark's own readers.
     """
 
     path: str = ""

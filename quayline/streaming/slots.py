@@ -63,8 +63,8 @@ class SlotStream:
         """The lines of new slots, for any sink.
 
         Lines of one slot are in order; order between slots of one batch is left to ``slot_date``,
-        ``slot`` and ``line_no``.  ``for_each_batch`` keeps slot order by itself, and reads large plain
-        slots by several tasks, which needs a look at the whole batch.
+        ``slot`` and ``line_no``.  ``for_each_batch`` keeps slot order by itself, and reads large
+        plain slots by several tasks, which needs a look at the whole batch.
         """
         lines = fetch_lines(self.slots(), self.connector, self.charset, self.max_retries)
         return lines.observe(OBSERVED, F.count(F.lit(1)).alias("n_lines"))
