@@ -8,10 +8,9 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# How a name is marked, its date patterns (ten digits for hourly types, eight for the
-# others), and the file types in the order in which they are tried.
+# How a name is marked, and the file types in the order in which they are tried.
+# Hourly types have dates of ten digits, yyyyMMddHH, the others of eight, yyyyMMdd.
 MARK = "dcm_account"
-HOURLY_DATE, DAILY_DATE = "yyyyMMddHH", "yyyyMMdd"
 HOURLY_TYPES = ("click", "impression")
 DCM_TYPES = (
     "activity",
@@ -53,21 +52,22 @@ def dcm_type_of(label: Column) -> Column:
     return F.when(label.isin([t.upper() for t in DCM_TYPES]), F.lower(label))
 
 
-def _date(digits: Column) -> Column:
-    # Constant patterns, one per branch, are compiled once and not once per row.
-    return F.when(
-        F.length(digits) == len(HOURLY_DATE), F.try_to_timestamp(digits, F.lit(HOURLY_DATE))
-    ).otherwise(F.try_to_timestamp(digits, F.lit(DAILY_DATE)))
-
-
-def _rolled_date(digits: Column) -> Column:
+def _date(digits: Column, lenient: bool) -> Column:
+    """The time ``yyyyMMdd`` or ``yyyyMMddHH`` names, by calendar arithmetic: a parser would raise,
+    and catch, an exception for every date outside the calendar."""
+    padded = F.rpad(digits, 10, "0")
     year, month, day, hour = (
-        F.substring(digits, start, size).try_cast("int")
+        F.substring(padded, start, size).cast("int")
         for start, size in ((1, 4), (5, 2), (7, 2), (9, 2))
     )
-    first = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
-    hours = F.make_dt_interval(F.lit(0), F.coalesce(hour, F.lit(0)))
-    return (F.date_add(first, day - 1).cast("timestamp_ntz") + hours).cast("timestamp")
+    date = F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
+    hours = F.make_dt_interval(F.lit(0), hour)
+    time = (date.cast("timestamp_ntz") + hours).cast("timestamp")
+    if lenient:
+        return time
+    # A day that is not one of its month has rolled into another month.
+    inside = (year > 0) & month.between(1, 12) & (F.month(date) == month) & (hour < 24)
+    return F.when(inside, time)
 
 
 def _fields(part: Column, at: Column) -> Column:
@@ -104,12 +104,11 @@ def parsed_names(name: Column, lenient: bool = False) -> Column:
     """
     one_line = ~reduce(or_, [F.contains(name, F.lit(c)) for c in LINE_BREAKS])
     parts = F.regexp_extract_all(F.when(one_line, name).otherwise(""), F.lit(SEGMENT), F.lit(0))
-    to_date = _rolled_date if lenient else _date
     # A one-element array binds a value to a name, so that it is evaluated once.
     best = F.flatten(F.transform(F.array(F.transform(parts, _fields)), _chosen))
     dated = F.transform(
         best,
-        lambda p: F.struct(p["dcm_type"].alias("dcm_type"), to_date(p["digits"]).alias("date")),
+        lambda p: F.struct(p["dcm_type"].alias("dcm_type"), _date(p["digits"], lenient).alias("date")),
     )
     return F.filter(dated, lambda p: p["date"].isNotNull())
 
