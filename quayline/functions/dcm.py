@@ -43,6 +43,7 @@ _DAILY = "|".join(t for t in DCM_TYPES if t not in HOURLY_TYPES)
 _HOURLY = "|".join(HOURLY_TYPES)
 # One marked part of a name: type and date digits.
 SEGMENT = rf"{MARK}[0-9]+_(?:(?:{_HOURLY})_[0-9]{{10}}|(?:{_DAILY})_[0-9]{{8}})_"
+SEGMENT_TYPE = rf"^{MARK}[0-9]+_([a-z_]+)_"
 # A name is a single line.
 LINE_BREAKS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
 
@@ -70,47 +71,18 @@ def _date(digits: Column, lenient: bool) -> Column:
     return F.when(inside, time)
 
 
-def _fields(part: Column, at: Column) -> Column:
-    """Type and digits of a marked part ``dcm_account<number>_<type>_<digits>_``."""
-    after_number = F.locate("_", part, len(MARK) + 1)
-    digits = F.substring_index(F.substr(part, F.lit(1), F.length(part) - 1), "_", -1)
-    return F.struct(
-        F.substr(
-            part, after_number + 1, F.length(part) - F.length(digits) - 2 - after_number
-        ).alias("dcm_type"),
-        digits.alias("digits"),
-        at.alias("at"),
-    )
-
-
-def _chosen(parts: Column) -> Column:
-    """The part that decides, as an array: of several, the type listed first, and its last part."""
+def _deciding_part(name: Column) -> Column:
+    """Of several marked parts: of the type listed first, the last one."""
     order = F.array(*[F.lit(t) for t in DCM_TYPES])
     ranked = F.transform(
-        parts,
-        lambda p: F.struct(
-            F.array_position(order, p["dcm_type"]).alias("rank"),
-            (-p["at"]).alias("back"),
-            p.alias("part"),
+        F.regexp_extract_all(name, F.lit(SEGMENT), F.lit(0)),
+        lambda part, at: F.struct(
+            F.array_position(order, F.regexp_extract(part, SEGMENT_TYPE, 1)).alias("rank"),
+            (-at).alias("back"),
+            part.alias("part"),
         ),
     )
-    return F.when(F.size(parts) < 2, parts).otherwise(F.array(F.array_min(ranked)["part"]))
-
-
-def parsed_names(name: Column, lenient: bool = False) -> Column:
-    """``parse_dcm_name`` as an array of one element, or none for other names.
-
-    For ``inline``, which evaluates it once however often the fields are used.
-    """
-    one_line = ~reduce(or_, [F.contains(name, F.lit(c)) for c in LINE_BREAKS])
-    parts = F.regexp_extract_all(F.when(one_line, name).otherwise(""), F.lit(SEGMENT), F.lit(0))
-    # A one-element array binds a value to a name, so that it is evaluated once.
-    best = F.flatten(F.transform(F.array(F.transform(parts, _fields)), _chosen))
-    dated = F.transform(
-        best,
-        lambda p: F.struct(p["dcm_type"].alias("dcm_type"), _date(p["digits"], lenient).alias("date")),
-    )
-    return F.filter(dated, lambda p: p["date"].isNotNull())
+    return F.coalesce(F.array_min(ranked)["part"], F.lit(""))
 
 
 def parse_dcm_name(name: Column, lenient: bool = False) -> Column:
@@ -119,4 +91,18 @@ def parse_dcm_name(name: Column, lenient: bool = False) -> Column:
     A date outside the calendar makes the name unparsable, unless ``lenient``: then months beyond
     December and days beyond the month roll over (20161345 is 2017-02-14).
     """
-    return F.get(parsed_names(name, lenient), F.lit(0))
+    one_line = ~reduce(or_, [F.contains(name, F.lit(c)) for c in LINE_BREAKS])
+    # Names that hold the mark once need no arrays and stay in generated code.
+    twice = F.contains(F.substr(name, F.instr(name, MARK) + 1), F.lit(MARK))
+    part = F.when(twice, _deciding_part(name)).otherwise(F.regexp_extract(name, SEGMENT, 0))
+    # dcm_account<number>_<type>_<digits>_
+    after_number = F.locate("_", part, len(MARK) + 1)
+    digits = F.substring_index(F.substr(part, F.lit(1), F.length(part) - 1), "_", -1)
+    kind = F.substr(
+        part, after_number + 1, F.length(part) - F.length(digits) - 2 - after_number
+    )
+    date = _date(digits, lenient)
+    return F.when(
+        one_line & (part != "") & date.isNotNull(),
+        F.struct(kind.alias("dcm_type"), date.alias("date")),
+    )

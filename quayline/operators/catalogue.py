@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.functions.dcm import parsed_names
+from quayline.functions.dcm import parse_dcm_name
 from quayline.operators.ordering import slot_order
 from quayline.sources.base import Connector
 from quayline.sources.datasource import catalogue_reader
@@ -85,6 +85,9 @@ def dcm_slots(
     Type and date come from the name; ``types`` keeps only those types, none or empty keeps all.
     """
     others = [c for c in listing.columns if c not in ("name", "date", "dcm_type")]
-    parsed = F.inline(parsed_names(F.col("name"), lenient))
-    found = listing.select("name", parsed, *others).select("name", "date", "dcm_type", *others)
+    parsed = listing.select("name", parse_dcm_name(F.col("name"), lenient).alias("_dcm"), *others)
+    # Not a filter, which would be moved below the parsing and parse every name a second time.
+    found = parsed.select(
+        "name", F.inline(F.when(F.col("_dcm").isNotNull(), F.array("_dcm"))), *others
+    ).select("name", "date", "dcm_type", *others)
     return found.filter(F.col("dcm_type").isin(list(types))) if types else found
