@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quayline.llm.common import ORACLES, QUERIES, in_training, query, table
 from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
+from quayline.llm.mixing import mix_sources
 from quayline.llm.pieces import encoding_digests, read_model
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -29,3 +30,37 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return predict_language(docs, train_language(docs, in_training()))
+
+
+@query(
+    "op9_mixing",
+    r"""WITH sized AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint AS size
+      FROM documents), sources AS (
+      SELECT source, sum(size)::bigint AS source_size,
+        [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::double AS weight
+      FROM sized GROUP BY source), ranked AS (
+      SELECT *, 2.0::double * source_size AS bound, row_number() OVER (
+          ORDER BY 2.0::double * source_size / weight, source NULLS LAST) AS k,
+        least(1.5::double * sum(source_size) OVER (), 2.0::double * sum(source_size) OVER ()) AS total,
+        sum(weight) OVER () AS weights
+      FROM sources), levels AS (
+      SELECT *, (total - coalesce(sum(bound) OVER before, 0))
+        / (weights - coalesce(sum(weight) OVER before, 0)) AS level
+      FROM ranked WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+      final AS (SELECT min_by(level, k) FILTER (WHERE bound > level * weight) AS level FROM levels),
+      targets AS (
+      SELECT source, source_size, least(bound, coalesce(f.level, 1e308) * weight) AS target
+      FROM ranked, final f), lines AS (
+      SELECT doc_id, size, source_size, target, floor(target)::bigint AS quota, greatest(source_size, 1) AS words,
+        coalesce(sum(size) OVER (PARTITION BY s.source
+          ORDER BY md5('17:' || coalesce(doc_id::varchar, '') || ':' || size), doc_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS low
+      FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+      (size * (quota // words + (2 * low + size < 2 * (quota % words))::int))::bigint AS taken
+    FROM lines""",
+)
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
