@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quayline.llm.bottomk import edited_fingerprints
 from quayline.llm.common import ORACLES, QUERIES, in_training, query, table
 from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
@@ -64,3 +65,45 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _sketch_sql(text: str) -> str:
+    """The bottom-k sketch of a text in DuckDB."""
+    words = (
+        f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        r"'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+    )
+    return f"""list_sort(list_distinct(list_transform([{words}], lambda w:
+      CASE WHEN len(w) = 0 THEN []::varchar[] ELSE list_transform(range(1, greatest(len(w) - 3, 2)),
+      lambda i: md5(array_to_string(w[i:i + 4], ' '))[1:12]) END)[1]))[1:64]"""
+
+
+def _alike_sql(a: str, b: str) -> str:
+    union = f"list_sort(list_distinct(list_concat({a}, {b})))[1:64]"
+    return f"""CASE WHEN len({union}) = 0 THEN 1.0::double ELSE
+      len(list_intersect(list_intersect({a}, {b}), {union}))::double / len({union}) END"""
+
+
+@query(
+    "op10_bottomk",
+    f"""WITH texts AS (
+      SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::bigint AS n
+      FROM documents), followed AS (
+      SELECT *, lead(text) OVER (ORDER BY doc_id NULLS FIRST) AS coming,
+        first_value(text) OVER (ORDER BY doc_id NULLS FIRST) AS first_text
+      FROM texts), pairs AS (
+      SELECT doc_id, n, text, coalesce(coming, first_text) AS next_text,
+        left(text, n - n // 4) || left(coalesce(coming, first_text), n // 4) AS edited
+      FROM followed), drawn AS (
+      SELECT doc_id, n, edited, {_sketch_sql("text")} AS a, {_sketch_sql("edited")} AS b,
+        {_sketch_sql("next_text")} AS c
+      FROM pairs)
+    SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
+      coalesce(array_to_string(a, ''), '') AS fingerprint,
+      coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
+      {_alike_sql("a", "b")} AS near_edited, {_alike_sql("a", "c")} AS near_next
+    FROM drawn""",
+)
+def op10_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return prints.drop("kept_share", "n_shingles")
