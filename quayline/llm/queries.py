@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayline.llm.bottomk import edited_fingerprints
 from quayline.llm.common import ORACLES, QUERIES, in_training, query, table
@@ -11,6 +12,7 @@ from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
 from quayline.llm.mixing import mix_sources
 from quayline.llm.pieces import encoding_digests, read_model
+from quayline.llm.secretscan import scan_secrets, written_spans
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -107,3 +109,15 @@ def _alike_sql(a: str, b: str) -> str:
 def op10_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = edited_fingerprints(table(spark, sf_dir, "documents"))
     return prints.drop("kept_share", "n_shingles")
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(written_spans(F.col("base")), 256).alias("base_sha256"),
+        written_spans(F.col("spans")).alias("spans"),
+    )
