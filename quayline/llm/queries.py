@@ -10,6 +10,7 @@ from quayline.llm.bottomk import edited_fingerprints
 from quayline.llm.common import ORACLES, QUERIES, in_training, query, table
 from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
+from quayline.llm.minmax import near_duplicates
 from quayline.llm.mixing import mix_sources
 from quayline.llm.pieces import encoding_digests, read_model
 from quayline.llm.secretscan import scan_secrets, written_spans
@@ -121,3 +122,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(written_spans(F.col("base")), 256).alias("base_sha256"),
         written_spans(F.col("spans")).alias("spans"),
     )
+
+
+@query("op5_minmax")
+def op5_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
