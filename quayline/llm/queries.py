@@ -13,6 +13,7 @@ from quayline.llm.language import predict_language, train_language
 from quayline.llm.minmax import near_duplicates
 from quayline.llm.mixing import mix_sources
 from quayline.llm.pieces import encoding_digests, read_model
+from quayline.llm.pivots import top_products
 from quayline.llm.secretscan import scan_secrets, written_spans
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -127,3 +128,23 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minmax")
 def op5_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query(
+    "op3_pivots",
+    """WITH sound AS (
+      SELECT vec_id, list_transform(embedding, lambda v: floor(1024 * v::double)::bigint) AS x
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding,
+        lambda v: v IS NULL OR NOT isfinite(v::double))) = 0), pairs AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+        list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint AS score
+      FROM sound q JOIN sound c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id), ranked AS (
+      SELECT *, row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank
+      FROM pairs)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+)
+def op3_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+    return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
