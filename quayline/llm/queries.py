@@ -15,10 +15,18 @@ from quayline.llm.mixing import mix_sources
 from quayline.llm.pieces import encoding_digests, read_model
 from quayline.llm.pivots import top_products
 from quayline.llm.secretscan import scan_secrets, written_spans
+from quayline.llm.toxicity import score_toxicity, train_toxicity
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    return score_toxicity(docs, train_toxicity(docs, labels, in_training()))
+
+
 @query("op2_id_files")
 def op2_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
