@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.llm.bottomk import edited_fingerprints
 from quayline.llm.common import ORACLES, QUERIES, in_training, query, table
+from quayline.llm.edits import count_edits, read_ranks
 from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
 from quayline.llm.minmax import near_duplicates
@@ -156,3 +157,26 @@ def op5_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
     return best.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op7_edits")
+def op7_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with three edits of its own: seven characters in the first third replaced by
+    its source, a line with its language put in at two thirds, the first three characters cut."""
+    size = F.length(F.coalesce("text", F.lit("")))
+
+    def edit(start: Column, deleted: int, inserted: Column) -> Column:
+        return F.struct(
+            start.cast("long").alias("start"),
+            F.lit(deleted).cast("long").alias("deleted"),
+            inserted.alias("inserted"),
+        )
+
+    edits = F.array(
+        edit(F.floor(size / 3), 7, F.col("source")),
+        edit(F.floor(2 * size / 3), 0, F.concat(F.lit(" "), "lang", F.lit("\n"))),
+        edit(F.lit(0), 3, F.lit("")),
+    )
+    docs = table(spark, sf_dir, "documents").withColumn("edits", edits)
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return count_edits(docs, ranks, public_tokenizers.PATTERN)
