@@ -4,24 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayline.llm.common import in_training, staged, table
-from quayline.llm.language import predict_language, train_language
+from quayline.llm.language import keep_identified, train_language
+from quayline.llm.minmax import near_duplicates
+from quayline.llm.mixing import mix_sources
+from quayline.llm.pieces import encode_rows, read_model
+from quayline.llm.secretscan import redact_secrets
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model rejects go; the others stay as they are."""
-    model = train_language(docs, in_training())
-    rejected = predict_language(docs, model).filter("rejected").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti")
+    """Documents whose language the model rejects go, as do null texts and texts without letters;
+    the others stay as they are."""
+    return keep_identified(docs, train_language(docs, in_training()))
 
 
-STAGES: list[tuple[str, Stage]] = [("language", identify_language)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, four fifths in common) the document
+    with the least id stays.  Documents without an id stay."""
+    found = near_duplicates(docs, words=5, percent=80)
+    dropped = staged(
+        found.filter("not kept and doc_id is not null").select("doc_id").distinct(), "dropped"
+    )
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
-# Trained models, sketches and token tables are beyond SQL; a brute-force version tests the stages.
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced by a mark."""
+    return redact_secrets(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: rows that it leaves out go, others stand
+    once or twice.  Rows that share an id are taken as often as the one taken most."""
+    taken = (
+        mix_sources(docs)
+        .groupBy("doc_id")
+        .agg(F.max("copies").alias("_copies"))
+        .filter("_copies > 0")
+        .withColumnRenamed("doc_id", "_id")
+    )
+    return (
+        docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select(*docs.columns)
+    )
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text in place of the text, and whether decoding them gives it back."""
+    return encode_rows(docs, read_model(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", hide_secrets),
+    ("mixing", mix),
+    ("pieces", encode),
+]
+
+# A trained model and a token table are beyond SQL; a brute-force version tests the stages.
 ORACLE_SQL = None
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayline.llm.common import slices
+from quayline.llm.common import held_out, slices
 
 ORDERS = 3
 WINDOW = 1 << 19  # code points handled at a time
@@ -246,6 +246,19 @@ def _temperature(logits: np.ndarray, target: np.ndarray) -> float:
     return float(grid[int(np.argmin(losses))])
 
 
+def _judged(model: LanguageModel, texts: list[str | None]):
+    """Language, score and rejection of each text, as arrays."""
+    if not model.labels:
+        none = np.zeros(len(texts))
+        return [UNKNOWN] * len(texts), none, none == 0
+    logits, counts = mean_logits(model, texts)
+    shares = _softmax(logits / model.temperature)
+    some = counts > 0
+    pick = [model.labels[p] if s else UNKNOWN for p, s in zip(shares.argmax(1), some, strict=True)]
+    score = np.where(some, shares.max(1), 0.0)
+    return pick, score, score < model.reject_below if model.reject_below else ~some
+
+
 def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` (``doc_id``, ``text``; other columns are ignored) to ``doc_id``, ``held_out``,
     ``lang_pred``, ``score`` and ``rejected``.
@@ -255,28 +268,16 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     their best language and are marked rejected.  Repeated rows give repeated results; an empty
     table gives none.
     """
-    from quayline.llm.common import held_out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            texts = batch.column("text").to_pylist()
-            if model.labels:
-                logits, counts = mean_logits(model, texts)
-                shares = _softmax(logits / model.temperature)
-                pick, score = shares.argmax(1), shares.max(1)
-            else:
-                counts, pick, score = np.zeros(len(texts)), np.zeros(len(texts), int), None
-            some = counts > 0
+            pick, score, rejected = _judged(model, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("held_out"),
-                    pa.array(
-                        [model.labels[p] if s else UNKNOWN for p, s in zip(pick, some, strict=True)],
-                        pa.string(),
-                    ),
-                    pa.array(np.where(some, score, 0.0) if score is not None else counts),
-                    pa.array(~some | (score < model.reject_below) if score is not None else ~some),
+                    pa.array(pick, pa.string()),
+                    pa.array(score),
+                    pa.array(rejected),
                 ],
                 names=["doc_id", "held_out", "lang_pred", "score", "rejected"],
             )
@@ -284,3 +285,14 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         run, "doc_id bigint, held_out boolean, lang_pred string, score double, rejected boolean"
     )
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs`` whose ``text`` the model does not reject, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            _, _, rejected = _judged(model, batch.column("text").to_pylist())
+            yield batch.filter(pa.array(~rejected))
+
+    return docs.mapInArrow(run, docs.schema)

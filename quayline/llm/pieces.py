@@ -16,6 +16,8 @@ from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from sentencepiece import SentencePieceProcessor
 
 from quayline.llm.common import slices
@@ -136,9 +138,31 @@ def encoding_digests(docs: DataFrame, model: bytes, end_id: int | None = 2) -> D
     return _encoded(docs, model, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _encoded(docs: DataFrame, model: bytes, make, schema: str) -> DataFrame:
+def encode_rows(docs: DataFrame, model: bytes, end_id: int | None = 2) -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids`` and ``exact`` (whether decoding the ids gives the text
+    back, a null one as empty) in place of ``text``."""
+
+    def make(table: ChunkTable, batch: pa.RecordBatch, parts: list[list[str]]) -> dict[str, list]:
+        end = [] if end_id is None else [end_id]
+        ids = [table.encode(p) + end for p in parts]
+        texts = batch.column("text").to_pylist()
+        return {
+            "n_tokens": [len(i) for i in ids],
+            "ids": ids,
+            "exact": [table.decode(p) == (t or "") for p, t in zip(parts, texts, strict=True)],
+        }
+
+    others = [c for c in docs.columns if c not in ("text", "n_tokens", "ids", "exact")]
+    return _encoded(
+        docs, model, make, "n_tokens long, ids array<int>, exact boolean", tuple(others)
+    )
+
+
+def _encoded(
+    docs: DataFrame, model: bytes, make, schema: str, others: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
     names = [part.split(" ")[0] for part in schema.split(", ")]
-    kinds = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "string": pa.string()}
+    kinds = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "string": pa.string(), "boolean": pa.bool_()}
     types = [kinds[part.split(" ")[1]] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,13 +173,17 @@ def _encoded(docs: DataFrame, model: bytes, make, schema: str) -> DataFrame:
             made = make(table, batch, parts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *[batch.column(c) for c in others],
                     *[pa.array(made[n], t) for n, t in zip(names, types, strict=True)],
                 ],
-                names=["doc_id", *names],
+                names=[*others, *names],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {schema}")
+    chosen = docs.select(*[F.col(f"`{c}`") for c in others], "text")
+    fields = StructType([f for f in chosen.schema.fields if f.name != "text"])
+    for field in StructType.fromDDL(schema).fields:
+        fields = fields.add(field)
+    return chosen.mapInArrow(run, fields)
 
 
 def decode_ids(encoded: DataFrame, model: bytes) -> DataFrame:

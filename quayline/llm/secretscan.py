@@ -155,10 +155,8 @@ def _class_of(length: Column) -> Column:
     return sum(((length >= c).cast("int") for c in CLASSES[1:]), F.lit(0))
 
 
-def find_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``base`` (spans of the known shapes) and ``tokens`` (long tokens with their class
-    of length and bin of the combined p-value), written to the shared folder without the texts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def base_spans(text: Column) -> Column:
+    """Spans of the known shapes, by start and kind."""
 
     def kept(number: int, spans: Column, least: int = 0) -> Column:
         return F.transform(
@@ -168,12 +166,18 @@ def find_spans(docs: DataFrame) -> DataFrame:
             ),
         )
 
-    base = F.concat(
-        kept(0, located(text, ASSIGN, 2), ASSIGN_LEAST),
-        kept(1, located(text, ACCESS)),
-        kept(2, located(text, HEX)),
+    return F.sort_array(
+        F.concat(
+            kept(0, located(text, ASSIGN, 2), ASSIGN_LEAST),
+            kept(1, located(text, ACCESS)),
+            kept(2, located(text, HEX)),
+        )
     )
-    tokens = F.transform(
+
+
+def tested_tokens(text: Column) -> Column:
+    """Long tokens with their class of length and the bin of their combined p-value."""
+    return F.transform(
         located(text, TOKEN),
         lambda s: F.struct(
             s["start"].alias("start"),
@@ -185,8 +189,29 @@ def find_spans(docs: DataFrame) -> DataFrame:
             F.xxhash64(s["value"]).alias("token"),
         ),
     )
+
+
+def random_spans(tokens: Column, bins: dict[int, int]) -> Column:
+    """Spans of the tokens that count as random under ``discovery_bins``."""
+
+    def beyond(t: Column) -> Column:
+        limit = F.lit(LAST_BIN + 1)
+        for number, least in sorted(bins.items()):
+            limit = F.when(t["class"] == number, F.lit(least)).otherwise(limit)
+        return t["bin"] >= limit
+
+    return F.transform(
+        F.filter(tokens, beyond),
+        lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
+    )
+
+
+def find_spans(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``base`` and ``tokens``, written to the shared folder without the texts."""
+    text = F.coalesce(F.col("text"), F.lit(""))
     return staged(
-        docs.select("doc_id", F.sort_array(base).alias("base"), tokens.alias("tokens")), "spans"
+        docs.select("doc_id", base_spans(text).alias("base"), tested_tokens(text).alias("tokens")),
+        "spans",
     )
 
 
@@ -217,18 +242,7 @@ def scan_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
     repeated results; a token that repeats is tested once for the rate.  An empty table gives none.
     """
     found = find_spans(docs)
-    bins = discovery_bins(found, rate)
-
-    def beyond(t: Column) -> Column:
-        limit = F.lit(LAST_BIN + 1)
-        for number, bin_ in sorted(bins.items()):
-            limit = F.when(t["class"] == number, F.lit(bin_)).otherwise(limit)
-        return t["bin"] >= limit
-
-    random = F.transform(
-        F.filter("tokens", beyond),
-        lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
-    )
+    random = random_spans(F.col("tokens"), discovery_bins(found, rate))
 
     def count(number: int) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long")
@@ -282,3 +296,26 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
     merged = F.aggregate(spans, F.array().cast(kind), join)
     return F.when(F.size(spans) > 0, _let(merged, cut)).otherwise(text)
+
+
+def redact_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by a mark, and ``n_chars``, if it is there, set
+    to the new length; all rows and columns stay.  A null text stays null.
+
+    The texts are read twice, first for what counts as random in the corpus; nothing is moved."""
+    tokens = staged(
+        docs.select(tested_tokens(F.coalesce(F.col("text"), F.lit(""))).alias("tokens")), "tokens"
+    )
+    bins = discovery_bins(tokens, rate)
+
+    def mark(text: Column) -> Column:
+        spans = F.sort_array(F.concat(base_spans(text), random_spans(tested_tokens(text), bins)))
+        return _let(spans, lambda found: redacted(text, found))
+
+    changed = docs.withColumn("text", F.when(F.col("text").isNotNull(), mark(F.col("text"))))
+    if "n_chars" not in docs.columns:
+        return changed
+    kind = docs.schema["n_chars"].dataType
+    return changed.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind)).select(
+        *docs.columns
+    )
