@@ -158,28 +158,36 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE, words: int = WORDS) -
     A single document follows itself.  An empty table gives no rows.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    links = _neighbours(texts).withColumnRenamed("doc_id", "_id")
+    # Plain equality on two columns that are never null, so that joins and sums share a partitioning.
+    links = _neighbours(texts).select(
+        *_never_null("doc_id", "_none", "_id"), *_never_null("previous", "_before_none", "_before"),
+        "wanted",
+    )
     placed = (
-        texts.withColumn("_own", sketch(F.col("text"), size, words))
-        .join(links, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .drop("_id")
+        texts.select(*_never_null("doc_id", "_none", "_id"), "text")
+        .withColumn("_own", _packed(sketch(F.col("text"), size, words)))
+        .join(links, ["_none", "_id"])
     )
     start = F.expr("substring(text, 1, cast(wanted as int))")
     following = (
-        placed.select(F.col("previous").alias("_before"), F.struct(start.alias("start"), "_own").alias("_next"))
-        .groupBy("_before")
+        placed.select(
+            F.col("_before_none").alias("_none"),
+            F.col("_before").alias("_id"),
+            F.struct(start.alias("start"), "_own").alias("_next"),
+        )
+        .groupBy("_none", "_id")
         .agg(F.min("_next").alias("_next"))
     )
     quarter = F.floor(F.length("text") / 4).cast("int")
-    pairs = placed.join(following, F.col("doc_id").eqNullSafe(F.col("_before"))).select(
-        "doc_id",
+    pairs = placed.join(following, ["_none", "_id"]).select(
+        F.when(~F.col("_none"), F.col("_id")).alias("doc_id"),
         F.length("text").cast("long").alias("n_chars"),
-        "_own",
+        _unpacked(F.col("_own")).alias("_own"),
         F.concat(
             F.substring("text", F.lit(1), F.length("text") - quarter),
             F.substring(F.col("_next.start"), F.lit(1), quarter),
         ).alias("_edited"),
-        F.col("_next._own").alias("_next"),
+        _unpacked(F.col("_next._own")).alias("_next"),
     )
     drawn = pairs.select("*", sketch(F.col("_edited"), size, words).alias("_changed"))
     return drawn.select(
@@ -193,3 +201,24 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE, words: int = WORDS) -
         containment(F.col("_own"), F.col("_changed"), size).alias("kept_share"),
         distinct_shingles(F.col("_own"), size).alias("n_shingles"),
     )
+
+
+def _never_null(column: str, none: str, value: str) -> list[Column]:
+    return [
+        F.col(column).isNull().alias(none),
+        F.coalesce(F.col(column), F.lit(0)).cast("long").alias(value),
+    ]
+
+
+def _packed(hashes: Column) -> Column:
+    """A sketch as bytes, half as long as its digits, to be moved."""
+    return F.unhex(F.concat_ws("", hashes))
+
+
+def _unpacked(packed: Column) -> Column:
+    def parts(digits: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.length(digits) / DIGITS).cast("int") - 1)
+        cut = F.transform(numbers, lambda i: F.substring(digits, i * DIGITS + 1, F.lit(DIGITS)))
+        return F.when(F.length(digits) > 0, cut).otherwise(F.array().cast("array<string>"))
+
+    return _let(F.lower(F.hex(packed)), parts)
