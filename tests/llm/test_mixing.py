@@ -1,0 +1,140 @@
+"""Mixing against brute force."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayline.llm.mixing import min_cost_flow, mix_sources, source_targets
+
+
+def resharing(sizes, share=1.5, most=2.0):
+    """Targets by dealing again what is above, until nothing is."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target = dict.fromkeys(order, 0.0)
+    left, open_ = share * sum(sizes.values()), set(order)
+    while left > 1e-9 and open_:
+        total = sum(weight[s] for s in open_)
+        dealt = {s: left * weight[s] / total for s in open_}
+        left = 0.0
+        for s, part in dealt.items():
+            target[s] += part
+            if target[s] >= most * sizes[s]:
+                left += target[s] - most * sizes[s]
+                target[s] = most * sizes[s]
+                open_.discard(s)
+    return target
+
+
+def test_targets():
+    rng = random.Random(1)
+    for n in (1, 2, 3, 7, 20):
+        sizes = {f"s{i}": rng.choice([0, 1, 10, 1000, 10**6]) for i in range(n)} | {None: 50}
+        want = resharing(sizes)
+        assert source_targets(sizes) == pytest.approx(want, rel=1e-6, abs=1e-6)
+    assert source_targets({}) == {}
+
+
+def cheapest(words, members, quotas, repeats):
+    """Least cost at the largest flow, over all whole flows."""
+    arcs = [(p, s) for p, own in enumerate(members) for s in own]
+    best = (0, 0)
+    for flow in itertools.product(*[range(min(repeats * words[p], quotas[s]) + 1) for p, s in arcs]):
+        out, into = [0] * len(words), [0] * len(quotas)
+        for (p, s), f in zip(arcs, flow, strict=True):
+            out[p] += f
+            into[s] += f
+        if any(f > repeats * w for f, w in zip(out, words, strict=True)):
+            continue
+        if any(f > q for f, q in zip(into, quotas, strict=True)):
+            continue
+        cost = sum(
+            (2 * c + 1) * min(max(f - c * w, 0), w)
+            for f, w in zip(out, words, strict=True)
+            for c in range(repeats)
+        )
+        best = min(best, (-sum(flow), cost))
+    return best
+
+
+def test_min_cost_flow():
+    rng = random.Random(2)
+    for _ in range(60):
+        patterns, sources = rng.randrange(1, 4), rng.randrange(1, 3)
+        words = [rng.randrange(0, 4) for _ in range(patterns)]
+        members = [sorted(rng.sample(range(sources), rng.randrange(1, sources + 1))) for _ in words]
+        quotas = [rng.randrange(0, 6) for _ in range(sources)]
+        flows = min_cost_flow(words, members, quotas, 2)
+        total = sum(sum(f.values()) for f in flows)
+        cost = sum(
+            (2 * c + 1) * min(max(sum(f.values()) - c * w, 0), w)
+            for f, w in zip(flows, words, strict=True)
+            for c in range(2)
+        )
+        assert (-total, cost) == cheapest(words, members, quotas, 2)
+        for s, quota in enumerate(quotas):
+            assert sum(f.get(s, 0) for f in flows) <= quota
+
+
+def test_odd_rows(odd, none):
+    rows = mix_sources(odd).collect()
+    assert len(rows) == odd.count()
+    words = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in odd.collect()}
+    for r in rows:
+        if r.doc_id is not None:
+            assert r.size == words[r.doc_id]
+        assert 0 <= r.copies <= 2 and r.taken == r.size * r.copies and len(r.routes) == r.copies
+    assert {tuple(r.members) for r in rows} == {("a",), ("b",), ("c",), (None,), ("",)}
+    assert mix_sources(none).collect() == []
+
+
+@pytest.fixture(scope="module")
+def overlapping(spark):
+    rng = random.Random(3)
+    rows = [
+        (i, "w " * rng.randrange(1, 30), rng.choice([["a"], ["b"], ["a", "b"], ["c"], ["b", "c", "b"], None]))
+        for i in range(4000)
+    ]
+    return spark.createDataFrame(rows, "doc_id long, text string, lists array<string>")
+
+
+def test_overlapping_sources(overlapping):
+    rows = mix_sources(overlapping, F.col("lists")).collect()
+    assert len(rows) == 4000
+    taken = {}
+    for r in rows:
+        for s in r.routes:
+            # A copy counts for a source the document belongs to.
+            assert s in r.members
+            taken[s] = taken.get(s, 0) + r.size
+    sizes = {}
+    for r in rows:
+        for s in r.members:
+            sizes[s] = sizes.get(s, 0) + r.size
+    total = sum(r.size for r in rows)
+    targets = source_targets(sizes, share=1.5 * total / sum(sizes.values()))
+    # Quotas that the flow can fill are met up to a document at each cut.
+    for s in ("a", "b", "c", None):
+        assert taken.get(s, 0) <= targets[s] + 200
+    assert sum(taken.values()) >= 0.97 * sum(targets.values())
+    again = mix_sources(overlapping.repartition(7), F.col("lists")).collect()
+    assert sorted((r.doc_id, r.copies) for r in again) == sorted((r.doc_id, r.copies) for r in rows)
+
+
+def test_one_source_holds_nearly_everything(spark):
+    rows = [(i, "w " * (1 + i % 9), "big" if i % 50 else "small") for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mix_sources(docs).collect()
+    for source in ("big", "small"):
+        own = [r for r in found if r.members == [source]]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 10
+
+
+def test_too_many_patterns(overlapping):
+    with pytest.raises(ValueError, match="sets of sources"):
+        mix_sources(overlapping, F.col("lists"), max_patterns=2)

@@ -1,0 +1,86 @@
+"""Exact top-k against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import quayline.llm.pivots as pivots
+from quayline.llm.pivots import top_products
+
+
+def brute(rows, asks, k):
+    whole = [(i, np.floor(1024 * np.array(x, np.float64)).astype(np.int64)) for i, x in rows]
+    found = set()
+    for q, x in whole:
+        if not asks(q):
+            continue
+        others = sorted((-int(x @ y), i) for i, y in whole if i != q)
+        found |= {(q, n, i, -s) for n, (s, i) in enumerate(others[:k], 1)}
+    return found
+
+
+def search(table, k=10):
+    return {tuple(r) for r in top_products(table, F.col("id") % 100 == 0, k).collect()}
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(1)
+    centres = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(5)]
+    found = []
+    for i in range(900):
+        c = centres[i % 5]
+        found.append((i, [round(v + rng.gauss(0, 0.3), 2) for v in c]))
+    # A third are one vector: ties everywhere.
+    found += [(1000 + i, found[7][1]) for i in range(400)]
+    return found
+
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def floats(rows):
+    return [(i, [float(np.float32(v)) for v in x]) for i, x in rows]
+
+
+def test_clusters_and_ties(spark, rows):
+    table = spark.createDataFrame(rows, SCHEMA)
+    assert search(table) == brute(floats(rows), lambda q: q % 100 == 0, 10)
+
+
+def test_many_shards_and_groups(spark, rows, monkeypatch):
+    for name, value in (("SHARD", 64), ("GROUP", 3), ("SAMPLE", 40), ("VISIT", 5), ("PIVOTS", 7)):
+        monkeypatch.setattr(pivots, name, value)
+    table = spark.createDataFrame(rows, SCHEMA)
+    assert search(table) == brute(floats(rows), lambda q: q % 100 == 0, 10)
+
+
+def test_odd_vectors(spark):
+    good = [(0, [1.0, -1.0]), (100, [0.5, 0.25]), (3, [0.0, 0.0]), (4, [-2.0, 1e-9])]
+    bad = [(5, None), (6, []), (7, [1.0, None]), (200, [float("nan"), 1.0]), (9, [float("inf"), 1.0]),
+           (None, [1.0, 1.0])]
+    table = spark.createDataFrame([*good, *bad], SCHEMA).withColumn("id", F.lit("clash"))
+    # Fewer than k others: all of them.
+    assert search(table) == brute(floats(good), lambda q: q % 100 == 0, 10)
+    assert search(table.limit(0)) == set()
+    assert search(table.filter("vec_id = 3")) == set()
+    assert search(spark.createDataFrame([(0, [1.0, 2.0])], SCHEMA)) == set()
+    with pytest.raises(ValueError, match="length"):
+        search(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], SCHEMA))
+
+
+def test_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.25, 0.0])]
+    found = search(spark.createDataFrame(rows, SCHEMA))
+    assert found == {(0, 1, 1, 512 * 1024), (0, 2, 1, 256 * 1024)}
+
+
+def test_large_integers(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-900, 900) for _ in range(16)]) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert search(table, 3) == brute(rows, lambda q: q % 100 == 0, 3)
