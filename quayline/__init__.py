@@ -37,7 +37,7 @@ from quayline.operators.ranges import StartRange, apply_start, range_summary, re
 from quayline.session import build_session
 from quayline.sources.base import Connector, Slot, SlotSourceError
 from quayline.sources.datasource import register_sources
-from quayline.sources.hadoop import hadoop_slots
+from quayline.sources.hadoop import hadoop_lines, hadoop_slots
 from quayline.streaming.slots import BatchReportListener, SlotStream
 
 # Functions and connectors travel to executors by value, so workers need no installed copy.
@@ -63,6 +63,7 @@ __all__ = [
     "exclude_previous",
     "fetch_lines",
     "fetch_payload",
+    "hadoop_lines",
     "hadoop_slots",
     "index_slots",
     "matching",

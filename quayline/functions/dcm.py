@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from datetime import UTC, datetime
 from functools import reduce
 from operator import or_
 
@@ -106,3 +108,21 @@ def parse_dcm_name(name: Column, lenient: bool = False) -> Column:
         one_line & (part != "") & date.isNotNull(),
         F.struct(kind.alias("dcm_type"), date.alias("date")),
     )
+
+
+def parse_dcm(name: str) -> tuple[str, datetime] | None:
+    """Type and date of one file name, by the rules of ``parse_dcm_name``: for listings, whose rows
+    are made one by one."""
+    if any(c in name for c in LINE_BREAKS):
+        return None
+    # dcm_account<number>_<type>_<digits>_
+    parts = [p[len(MARK) : -1].split("_", 1)[1] for p in re.findall(SEGMENT, name)]
+    ranked = [(DCM_TYPES.index(p.rpartition("_")[0]), -i, p) for i, p in enumerate(parts)]
+    if not ranked:
+        return None
+    kind, _, digits = min(ranked)[2].rpartition("_")
+    try:
+        date = datetime.strptime(digits.ljust(10, "0"), "%Y%m%d%H").replace(tzinfo=UTC)
+    except ValueError:
+        return None
+    return kind, date

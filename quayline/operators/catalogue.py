@@ -3,15 +3,23 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.functions.dcm import parse_dcm_name
 from quayline.operators.ordering import slot_order
+from quayline.operators.ranges import instant
+from quayline.session import stored
 from quayline.sources.base import Connector
-from quayline.sources.datasource import catalogue_reader
+from quayline.sources.listing import catalogue_schema, list_pages, list_roots
+
+log = logging.getLogger(__name__)
 
 
 def read_catalogue(
@@ -20,13 +28,37 @@ def read_catalogue(
     max_retries: int = 3,
     on_list_error: str = "fail",
 ) -> DataFrame:
-    """All slots a connector lists: ``name, date, length``.
+    """All slots a connector lists: ``name, date, length`` and what the connector adds.
 
-    Listing runs in executor tasks, one per listing root of the connector.  ``on_list_error`` set to
-    ``empty`` turns a listing that still fails after ``max_retries`` re-tries into no slots.
+    Listed at once, in executor tasks, one per listing root; the listing is stored in the shared
+    folder, so that whatever is done with the catalogue lists nothing again.  ``on_list_error`` set
+    to ``empty`` turns a listing that still fails after ``max_retries`` re-tries into no slots: all
+    roots or none.
     """
-    listing = catalogue_reader(spark, connector, max_retries, on_list_error).load()
-    return connector.refine(listing)
+    if on_list_error not in ("fail", "empty"):
+        raise ValueError("on_list_error must be fail or empty")
+    schema = catalogue_schema(connector)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_pydict({"root": list_roots(connector, max_retries)})
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from list_pages(connector, batch.column("root").to_pylist(), max_retries)
+
+    try:
+        roots = stored(spark.range(1, numPartitions=1).mapInArrow(find, "root string"), "roots")
+        # A task per root: each is placed by its position, as rows of one sorted file.
+        placed = roots.withColumn("_at", F.monotonically_increasing_id().cast("int"))
+        spread = placed.repartitionById(max(1, roots.count()), "_at")
+        return stored(spread.select("root").mapInArrow(collect, schema), "listing")
+    except PySparkException as error:
+        if on_list_error == "fail":
+            raise
+        log.error("going on without slots: %s", error)
+        return spark.createDataFrame([], schema)
 
 
 def order_slots(slots: DataFrame) -> DataFrame:
@@ -40,12 +72,19 @@ def matching(slots: DataFrame, condition: Column | str) -> DataFrame:
     return slots.filter(condition)
 
 
+# What a slot is known by.
+IDENTITY = ("name", "date", "dcm_type")
+
+
 def exclude_previous(slots: DataFrame, previous: DataFrame) -> DataFrame:
-    """Drop slots equal in every shared column to a previous slot; null equals null.
+    """Drop slots that are among the previous ones: same name and, where both tables have them, same
+    date and type; null equals null.  Other columns, such as the length, do not tell slots apart.
 
     A slot that came back with another date is kept.
     """
-    shared = [c for c in slots.columns if c in previous.columns]
+    if "name" not in slots.columns or "name" not in previous.columns:
+        raise ValueError("slots are told apart by name: both tables need that column")
+    shared = [c for c in IDENTITY if c in slots.columns and c in previous.columns]
     old = previous.select(*[F.col(c).alias(f"_old_{c}") for c in shared])
     same = F.lit(True)
     for c in shared:
@@ -53,12 +92,6 @@ def exclude_previous(slots: DataFrame, previous: DataFrame) -> DataFrame:
     return slots.join(old, same, "left_anti")
 
 
-def instant(value: datetime | str, like: DataFrame, column: str = "date") -> Column:
-    """``value`` as a literal of the catalogue's own date type."""
-    text = value.isoformat(sep=" ") if isinstance(value, datetime) else value
-    return F.lit(text).cast(like.schema[column].dataType)
-
-
 def between_dates(
     slots: DataFrame,
     from_date: datetime | str | None = None,

@@ -18,8 +18,6 @@ from quayline.session import shared_dir
 
 # Offsets are broadcast up to this many rows (about 10 MB) and joined by shuffle beyond it.
 BROADCAST_ROWS = 200_000
-# One slot per task up to here; larger catalogues put several consecutive slots into a task.
-MAX_PARTITIONS = 50_000
 
 
 def slot_order(columns: Sequence[str]) -> list[Column]:
@@ -82,20 +80,25 @@ def index_slots(slots: DataFrame, name: str = "slot_index") -> DataFrame:
 
 def one_slot_per_partition(
     slots: DataFrame,
-    slots_per_partition: int | None = None,
-    max_partitions: int = MAX_PARTITIONS,
+    slots_per_partition: int = 1,
+    max_partitions: int | None = None,
     count: int | None = None,
 ) -> DataFrame:
     """Place slot ``i`` in partition ``i``, so that each task reads one slot, in slot order.
 
-    ``slots_per_partition`` packs runs of consecutive slots instead.  Left unset, it is 1 until the
-    catalogue has more than ``max_partitions`` slots.  ``count`` saves counting them.
+    ``slots_per_partition`` packs runs of that many consecutive slots instead.  ``max_partitions``
+    bounds the partitions, and with them the clients open at a time, by packing as many slots as
+    that takes.  Neither is set unless the caller asks.  ``count`` saves counting them.
     """
+    if slots_per_partition < 1 or (max_partitions is not None and max_partitions < 1):
+        raise ValueError("slots_per_partition and max_partitions must be greater than 0")
     indexed = slots if "slot_index" in slots.columns else index_slots(slots)
     if count is None:
         last = indexed.agg(F.max("slot_index")).first()[0]
         count = 0 if last is None else last + 1
-    pack = slots_per_partition or max(1, math.ceil(count / max_partitions))
+    pack = slots_per_partition
+    if max_partitions is not None:
+        pack = max(pack, math.ceil(count / max_partitions))
     target = F.floor(F.col("slot_index") / pack).cast("int")
     placed = indexed.repartitionById(max(1, math.ceil(count / pack)), target)
     return placed if pack == 1 else placed.sortWithinPartitions("slot_index")

@@ -25,20 +25,14 @@ from quayline.functions.text import (
     next_line_start,
     split_lines,
 )
-from quayline.operators.ordering import (
-    MAX_PARTITIONS,
-    index_slots,
-    one_slot_per_partition,
-    slot_order,
-)
+from quayline.operators.ordering import index_slots, one_slot_per_partition
+from quayline.session import stored
 from quayline.sources.base import MAX_RETRIES, Connector, Fetcher
 
 LINE_KEYS = ("slot", "slot_date", "line_no")
 # A batch leaves the task when it holds this many lines or characters.
 LINES_PER_BATCH = 50_000
 CHARS_PER_BATCH = 4 << 20
-# Plain slots beyond this size are read by several tasks where the connector can seek.
-SPLIT_BYTES = 512 << 20
 
 
 def lines_schema(slots: DataFrame) -> T.StructType:
@@ -131,10 +125,12 @@ def fetch_lines(
     connector: Connector,
     charset: str = "UTF-8",
     max_retries: int = MAX_RETRIES,
+    first_lines: int | None = None,
 ) -> DataFrame:
     """The lines of every slot in the catalogue, fetched where the catalogue row is.
 
-    Partitioning is that of ``slots``; see ``one_slot_per_partition``.
+    Partitioning is that of ``slots``; see ``one_slot_per_partition``.  With ``first_lines``, a slot
+    is read only as far as that many lines take.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,13 +139,27 @@ def fetch_lines(
                 names = batch.column("slot").to_pylist()
 
                 def blocks_of(row: int, names: list = names) -> Iterator[str]:
-                    return iter_blocks(fetcher.chunks(names[row]), charset)
+                    blocks = iter_blocks(fetcher.chunks(names[row]), charset)
+                    if first_lines is None:
+                        return blocks
+                    return _head(blocks, first_lines, fetcher)
 
                 yield from _lines_of_batch(batch, blocks_of)
 
     return slots.select(*_keys(slots)).mapInArrow(read, lines_schema(slots))
 
 
+def _head(blocks: Iterator[str], lines: int, fetcher: Fetcher) -> Iterator[str]:
+    """The first ``lines`` lines of a slot; its transfer is broken off behind them."""
+    for block in blocks:
+        parts = block.split("\n", lines)[:lines]
+        yield "\n".join(parts)
+        lines -= len(parts)
+        if not lines:
+            fetcher.close()
+            return
+
+
 def fetch_payload(
     slots: DataFrame, connector: Connector, max_retries: int = MAX_RETRIES
 ) -> DataFrame:
@@ -208,17 +218,19 @@ def ordered_lines(
     connector: Connector,
     charset: str = "UTF-8",
     max_retries: int = MAX_RETRIES,
-    slots_per_partition: int | None = None,
-    split_bytes: int | None = SPLIT_BYTES,
-    max_partitions: int = MAX_PARTITIONS,
+    slots_per_partition: int = 1,
+    split_bytes: int | None = None,
+    max_partitions: int | None = None,
+    line_numbers: bool = True,
 ) -> DataFrame:
     """The lines of a catalogue in slot order: partition ``i`` holds the lines of slot ``i``.
 
-    Every partition uses one client, so ``max_partitions`` also bounds the connections a server
-    sees; with more slots than that, a partition holds several consecutive ones.
+    Every partition uses one client, so ``max_partitions`` bounds the connections a server sees, by
+    packing consecutive slots; ``slots_per_partition`` packs that many.
 
-    Plain slots longer than ``split_bytes`` are read by several consecutive partitions where the
-    connector can seek, with the same lines and line numbers; None never splits a slot.
+    With ``split_bytes``, plain slots that are longer are read by several consecutive partitions
+    where the connector can seek, with the same lines and line numbers.  The numbers take one more
+    reading of those slots; without ``line_numbers`` their ``line_no`` is null instead.
     """
     if "slot_index" not in slots.columns:
         slots = index_slots(slots)
@@ -227,10 +239,9 @@ def ordered_lines(
             ranges = index_slots(
                 split_slots(slots.drop("slot_index"), connector, split_bytes, max_retries)
             )
-            numbered = number_ranges(ranges, connector, max_retries)
-            placed = one_slot_per_partition(
-                numbered, slots_per_partition, max_partitions, ranges.count()
-            )
+            if line_numbers:
+                ranges = number_ranges(ranges, connector, max_retries)
+            placed = one_slot_per_partition(ranges, slots_per_partition, max_partitions)
             return fetch_ranges(placed, connector, charset, max_retries)
     placed = one_slot_per_partition(slots, slots_per_partition, max_partitions)
     return fetch_lines(placed, connector, charset, max_retries)
@@ -243,9 +254,10 @@ def read_lines(
     charset: str = "UTF-8",
     max_retries: int = MAX_RETRIES,
     on_list_error: str = "fail",
-    slots_per_partition: int | None = None,
-    split_bytes: int | None = SPLIT_BYTES,
-    max_partitions: int = MAX_PARTITIONS,
+    slots_per_partition: int = 1,
+    split_bytes: int | None = None,
+    max_partitions: int | None = None,
+    line_numbers: bool = True,
 ) -> DataFrame:
     """List, choose, order and fetch.
 
@@ -258,7 +270,14 @@ def read_lines(
     if choose is not None:
         slots = choose(slots)
     return ordered_lines(
-        slots, connector, charset, max_retries, slots_per_partition, split_bytes, max_partitions
+        slots,
+        connector,
+        charset,
+        max_retries,
+        slots_per_partition,
+        split_bytes,
+        max_partitions,
+        line_numbers,
     )
 
 
@@ -268,52 +287,71 @@ def read_lines(
 def split_slots(
     slots: DataFrame,
     connector: Connector,
-    split_bytes: int = SPLIT_BYTES,
+    split_bytes: int,
     max_retries: int = MAX_RETRIES,
 ) -> DataFrame:
-    """Cut slots longer than ``split_bytes`` into byte ranges ``start`` to ``stop``.
+    """Cut slots longer than ``split_bytes`` into byte ranges ``start`` to ``stop``, the last of
+    them open.  Adds ``version``, what the slot was when it was cut.
 
-    Slots that turn out to be gzipped, which only their first bytes tell, stay whole: ``stop`` null.
+    Slots are cut by the length they have now, not by the listed one.  Those that turn out to be
+    gzipped, which only their first bytes tell, stay whole: start and stop are null.
     """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with closing(Fetcher(connector, max_retries)) as fetcher:
             for batch in batches:
-                names, lengths = batch.column("name"), batch.column("length").to_pylist()
-                plain = [
-                    length is not None
-                    and length > split_bytes
-                    and not is_gzip(b"".join(fetcher.chunks(names[i].as_py(), 0, GZIP_HEADER)))
-                    for i, length in enumerate(lengths)
-                ]
+                sizes, versions = [], []
+                listed = batch.column("length").to_pylist()
+                for i, name in enumerate(batch.column("name").to_pylist()):
+                    size, version = None, None
+                    if listed[i] is not None and listed[i] > split_bytes:
+                        size, version = fetcher.about(name)
+                        if is_gzip(b"".join(fetcher.chunks(name, 0, GZIP_HEADER))):
+                            size = None
+                    sizes.append(size)
+                    versions.append(version)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(plain, pa.bool_())],
-                    names=[*batch.schema.names, "_plain"],
+                    [*batch.columns, pa.array(sizes, pa.int64()), pa.array(versions, pa.string())],
+                    names=[*batch.schema.names, "_size", "version"],
                 )
 
-    schema = T.StructType([*slots.schema.fields, T.StructField("_plain", T.BooleanType())])
-    starts = F.when(
-        F.col("_plain"), F.sequence(F.lit(0), F.col("length") - 1, F.lit(split_bytes))
-    ).otherwise(F.array(F.lit(0).cast("long")))
-    return (
-        slots.mapInArrow(look, schema)
-        .withColumn("start", F.explode(starts))
-        .withColumn("stop", F.when(F.col("_plain"), F.col("start") + split_bytes))
-        .drop("_plain")
+    schema = T.StructType(
+        [
+            *slots.schema.fields,
+            T.StructField("_size", T.LongType()),
+            T.StructField("version", T.StringType()),
+        ]
     )
+    plain = F.col("_size") > 0
+    starts = F.when(plain, F.sequence(F.lit(0), F.col("_size") - 1, F.lit(split_bytes))).otherwise(
+        F.array(F.lit(None).cast("long"))
+    )
+    cut = slots.mapInArrow(look, schema).withColumn("start", F.explode(starts))
+    stop = F.when(F.col("start") + split_bytes < F.col("_size"), F.col("start") + split_bytes)
+    return stored(cut.withColumn("stop", stop).drop("_size"), "ranges")
 
 
 def _range_blocks(
-    fetcher: Fetcher, name: str, start: int, stop: int | None, charset: str
+    fetcher: Fetcher, name: str, cut: tuple[int | None, int | None, str | None], charset: str
 ) -> Iterator[str]:
-    """The lines that start between ``start`` and ``stop``; the last one may end beyond."""
-    if stop is None:
+    """The lines that start in a range; the last one may end beyond, that of an open range ends with
+    the slot.  A line over many ranges is read once to its end, by the range it starts in, and once
+    by the others, each of which looks only within itself for where a line begins."""
+    start, stop, version = cut
+    if start is None:
         yield from iter_blocks(fetcher.chunks(name), charset)
         return
-    first = next_line_start(fetcher.chunks(name, start - 1), start - 1) if start else 0
-    last = next_line_start(fetcher.chunks(name, stop - 1), stop - 1)
-    if first < last:
-        yield from iter_blocks(fetcher.chunks(name, first, last), charset, packed=False)
+    first = 0
+    if start:
+        first = next_line_start(fetcher.chunks(name, start - 1, stop), start - 1)
+    # A carriage return that ends the range may be half a line end: then no line starts in it.
+    if stop is None or first < stop:
+        last = None
+        if stop is not None:
+            last = next_line_start(fetcher.chunks(name, stop - 1), stop - 1)
+        if last is None or first < last:
+            yield from iter_blocks(fetcher.chunks(name, first, last), charset, packed=False)
+    fetcher.unchanged(name, version)
 
 
 def number_ranges(
@@ -321,32 +359,33 @@ def number_ranges(
 ) -> DataFrame:
     """Add ``first_line``, the number of lines in earlier ranges of the slot.
 
-    Reads the split slots once more, one range per task, to count their lines.
+    Reads the split slots once more, one range per task, to count their lines; the counts are stored.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with closing(Fetcher(connector, max_retries)) as fetcher:
             for batch in batches:
+                names, *cuts = (
+                    batch.column(c).to_pylist() for c in ("name", "start", "stop", "version")
+                )
                 lines = [
                     # Any charset that cuts at bytes counts the same lines; this one is fastest.
-                    sum(
-                        block.count("\n") + 1
-                        for block in _range_blocks(fetcher, name, start, stop, "latin-1")
-                    )
-                    for name, start, stop in zip(
-                        *(batch.column(c).to_pylist() for c in ("name", "start", "stop")),
-                        strict=True,
-                    )
+                    sum(b.count("\n") + 1 for b in _range_blocks(fetcher, name, cut, "latin-1"))
+                    for name, *cut in zip(names, *cuts, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("slot_index"), batch.column("name"), pa.array(lines, pa.int64())],
                     names=["slot_index", "name", "lines"],
                 )
 
-    cut = ranges.filter("stop IS NOT NULL").select("slot_index", "name", "start", "stop")
-    parts = max(1, cut.count())
-    spread = cut.repartition(min(parts, MAX_PARTITIONS), "slot_index")
-    counts = spread.mapInArrow(count, "slot_index long, name string, lines long")
+    cut = ranges.filter("start IS NOT NULL").select("slot_index", "name", "start", "stop", "version")
+    placed = one_slot_per_partition(index_slots(cut.withColumnRenamed("slot_index", "_index")))
+    counts = stored(
+        placed.select(
+            F.col("_index").alias("slot_index"), "name", "start", "stop", "version"
+        ).mapInArrow(count, "slot_index long, name string, lines long"),
+        "counts",
+    )
     # One row per range: a slot of any size is a small group here.
     earlier = Window.partitionBy("name").orderBy("slot_index").rowsBetween(
         Window.unboundedPreceding, -1
@@ -363,21 +402,27 @@ def fetch_ranges(
     charset: str = "UTF-8",
     max_retries: int = MAX_RETRIES,
 ) -> DataFrame:
-    """The lines of numbered ranges."""
+    """The lines of ranges, numbered if the ranges are.  A slot that changed since it was cut fails
+    the task: its ranges would be of two versions."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with closing(Fetcher(connector, max_retries)) as fetcher:
             for batch in batches:
-                rows = batch.select(["slot", "start", "stop"]).to_pylist()
+                rows = batch.select(["slot", "start", "stop", "version"]).to_pylist()
 
                 def blocks_of(row: int, rows: list = rows) -> Iterator[str]:
-                    cut = rows[row]
-                    return _range_blocks(fetcher, cut["slot"], cut["start"], cut["stop"], charset)
+                    name, *cut = rows[row].values()
+                    return _range_blocks(fetcher, name, cut, charset)
 
                 yield from _lines_of_batch(batch, blocks_of)
 
-    keyed = ranges.select(*_keys(ranges), "start", "stop", "first_line")
-    return keyed.mapInArrow(read, lines_schema(ranges))
+    numbered = "first_line" in ranges.columns
+    keyed = ranges.select(
+        *_keys(ranges), "start", "stop", "version", *(["first_line"] if numbered else [])
+    )
+    lines = keyed.mapInArrow(read, lines_schema(ranges))
+    # Whole slots among unnumbered ranges could be numbered, but then only some lines would be.
+    return lines if numbered else lines.withColumn("line_no", F.lit(None).cast("long"))
 
 
 def slot_metrics(lines: DataFrame) -> DataFrame:
@@ -393,18 +438,26 @@ def slot_metrics(lines: DataFrame) -> DataFrame:
 def peek_lines(
     slots: DataFrame, to_lines: Callable[[DataFrame], DataFrame], n: int = 10
 ) -> DataFrame:
-    """The first ``n`` lines in slot order, reading only as many slots as that takes."""
-    total = slots.count()
-    wanted = max(1, n)
-    while True:
-        first = slots.orderBy(*slot_order(slots.columns)).limit(wanted)
-        lines = to_lines(first).orderBy(
-            F.col("slot_date").asc_nulls_last(), "slot", "line_no"
-        ).limit(n)
-        # Empty slots give no lines: look at more slots until there are enough.
-        if wanted >= total or lines.count() >= n:
-            return lines
-        wanted *= 4
+    """The first ``n`` lines in slot order, reading each slot at most once and no more slots than
+    that takes, give or take the growth of the steps.
+
+    ``to_lines`` makes lines of a catalogue; fetching, it should read heads alone:
+    ``lambda s: fetch_lines(s, connector, first_lines=n)``.  Heads are stored, slots in turn one, two,
+    four, … at a time, until there are enough lines; empty slots give none.
+    """
+    placed = index_slots(slots) if "slot_index" not in slots.columns else slots
+    placed = stored(placed, "slots")
+    total = placed.count()
+    found, lines, at, step = None, 0, 0, 1
+    while found is None or (lines < n and at < total):
+        chosen = placed.filter((F.col("slot_index") >= at) & (F.col("slot_index") < at + step))
+        # One slot per task, so that heads are fetched side by side.
+        spread = chosen.repartitionById(step, (F.col("slot_index") - at).cast("int"))
+        heads = stored(to_lines(spread).filter(F.col("line_no") < n), "heads")
+        lines += heads.count()
+        found = heads if found is None else found.unionByName(heads)
+        at, step = at + step, 2 * step
+    return found.orderBy(F.col("slot_date").asc_nulls_last(), "slot", "line_no").limit(n)
 
 
 def write_lines(lines: DataFrame, path: str, **options: str) -> None:

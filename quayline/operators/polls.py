@@ -54,22 +54,22 @@ def batch_report(selected: DataFrame) -> DataFrame:
 
 
 def batch_descriptions(selected: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
-    """Per batch, the slot names in slot order, one per line.
+    """Per batch, the slot names in slot order, one per line, for people to read.
 
     A long description continues over several rows: ``piece`` 0, 1, … of at most ``names_per_row``
     names.  So a first poll over a large backlog does not become one giant cell.
     """
     placed = dense_positions(selected, slot_order(selected.columns), within=["poll"])
-    return joined_names(placed, names_per_row, "poll", name="description")
+    return listed_names(placed, names_per_row, "poll").select(
+        "poll", "piece", F.array_join("names", "\n").alias("description"), "n_names"
+    )
 
 
-def joined_names(
-    placed: DataFrame, names_per_row: int, *keys: str, name: str = "names"
-) -> DataFrame:
-    """Names by ``position``, joined by line breaks in rows of ``names_per_row``."""
+def listed_names(placed: DataFrame, names_per_row: int, *keys: str) -> DataFrame:
+    """Names by ``position``, as arrays of ``names_per_row``."""
     piece = F.floor(F.col("position") / names_per_row).cast("long").alias("piece")
     members = F.sort_array(F.collect_list(F.struct("position", "name")))
     return placed.groupBy(*keys, piece).agg(
-        F.array_join(F.transform(members, lambda m: m["name"]), "\n").alias(name),
+        F.transform(members, lambda m: m["name"]).alias("names"),
         F.count(F.lit(1)).alias("n_names"),
     )

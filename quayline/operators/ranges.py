@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayline.operators.ordering import dense_positions, slot_order
 
 NAMES_PER_ROW = 1000
-# Longer name lists are compared by join instead of inside the filter expression.
-NAMES_IN_FILTER = 1000
+ZONED = re.compile(r"(Z|[+-]\d\d:?\d\d)$")
 
 
 @dataclass(frozen=True)
@@ -45,12 +45,8 @@ def apply_start(slots: DataFrame, start: StartRange | None) -> DataFrame:
     if start is None:
         return slots
     if start.date is not None:
-        text = start.date.isoformat(sep=" ") if isinstance(start.date, datetime) else start.date
-        bound = F.lit(text).cast(slots.schema["date"].dataType)
-        slots = slots.filter(F.col("date") >= bound)
-    if start.names and len(start.names) <= NAMES_IN_FILTER:
-        slots = slots.filter(~F.col("name").isin(list(start.names)))
-    elif start.names:
+        slots = slots.filter(F.col("date") >= instant(start.date, slots))
+    if start.names:
         table = slots.sparkSession.createDataFrame([(n,) for n in start.names], "name string")
         slots = slots.join(table, "name", "left_anti")
     if start.seen is not None:
@@ -58,29 +54,45 @@ def apply_start(slots: DataFrame, start: StartRange | None) -> DataFrame:
     return slots
 
 
+def instant(value: datetime | str, like: DataFrame, column: str = "date") -> Column:
+    """``value`` as a literal of the catalogue's own date type.  A value with a zone names a moment:
+    for dates without a zone it is that moment's UTC reading, which is what they hold."""
+    kind = like.schema[column].dataType
+    if isinstance(value, str) and kind.typeName() == "timestamp_ntz":
+        # The same reading whatever the session's zone: text with a zone is moved to UTC.
+        zoned = ZONED.search(value.strip())
+        value = datetime.fromisoformat(value.strip()) if zoned else value
+    if isinstance(value, datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(UTC)
+            if kind.typeName() == "timestamp_ntz":
+                value = value.replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
 def range_summary(slots: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
     """The resume token of a read: its earliest date and all slot names in slot order.
 
-    ``range_date, piece, names, n_names``; up to ``names_per_row`` names are one row, more continue
-    in further pieces.  No slots, no rows.  An undated catalogue has a null date.
+    ``range_date, piece, names, n_names`` with ``names`` an array, so that a name may hold any
+    character; up to ``names_per_row`` names are one row, more continue in further pieces.  No
+    slots, no rows.  An undated catalogue has a null date.
     """
-    from quayline.operators.polls import joined_names
+    from quayline.operators.polls import listed_names
 
     dated = slots if "date" in slots.columns else slots.withColumn(
         "date", F.lit(None).cast("timestamp")
     )
     placed = dense_positions(dated.select("name", "date"), slot_order(["name", "date"]))
-    # The first slot in slot order carries the earliest date, or none if no slot has one.
-    first = placed.filter("position = 0").select(F.col("date").cast("string")).first()
-    token = joined_names(placed, names_per_row)
-    kind = dated.schema["date"].dataType
-    earliest = F.lit(None if first is None else first[0]).cast(kind)
-    return token.select(earliest.alias("range_date"), "piece", "names", "n_names")
+    earliest = placed.agg(F.min("date").alias("range_date"))
+    token = listed_names(placed, names_per_row)
+    # One row: the earliest date of all.
+    return token.crossJoin(F.broadcast(earliest)).select("range_date", "piece", "names", "n_names")
 
 
 def resume_range(summary: DataFrame) -> StartRange:
     """The start that goes on after the read ``summary`` (of ``range_summary``) describes: slots as
     new as its earliest one, without its own.  Its names stay a table."""
     date = summary.select(F.col("range_date").cast("string")).first()
-    seen = summary.select(F.explode(F.split("names", "\n")).alias("name"))
+    seen = summary.select(F.explode("names").alias("name"))
     return StartRange(date[0] if date else None, seen=seen)

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.functions.dcm import DCM_TYPES
-from quayline.operators.payload import text_lines, write_lines
+from quayline.operators.payload import text_lines
 from quayline.session import scratch_path
 
-LINES_PER_FILE = 5000
 # One table type per user, so that all of them occur.
 TABLE_TYPES = [t for t in DCM_TYPES if t.startswith("match_table_")]
 
@@ -111,13 +110,32 @@ def event_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_files: dict[tuple, str] = {}
+# Parts of the documents that become folders of files, and whether their files are gzipped.
+PARTS_OF_DOCUMENTS = (("english", "lang = 'en'", True), ("other", "lang <> 'en'", False))
+DOCUMENTS_PER_FILE = 100
+
+
+def write_document_files(docs: DataFrame, path: str, packed: bool) -> None:
+    """Lines of documents as text files of ``DOCUMENTS_PER_FILE`` ids, one per folder ``bucket``,
+    plain or gzipped.  A line is the document's id, the line's number in it and the line."""
+    named = docs.withColumn("name", F.col("doc_id").cast("string"))
+    lines = text_lines(named).select(
+        F.col("slot").cast("long").alias("doc_id"),
+        "line_no",
+        F.concat_ws("\t", "slot", "line_no", "value").alias("value"),
+    )
+    placed = lines.withColumn("bucket", F.floor(F.col("doc_id") / DOCUMENTS_PER_FILE))
+    (
+        placed.repartition("bucket")
+        .sortWithinPartitions("bucket", "doc_id", "line_no")
+        .select("bucket", "value")
+        .write.partitionBy("bucket")
+        .option("compression", "gzip" if packed else "none")
+        .text(path)
+    )
 
 
-def write_document_files(spark: SparkSession, docs: DataFrame, path: str, packed: bool) -> None:
-    """Lines of documents as text files, plain or gzipped."""
-    options = {"maxRecordsPerFile": LINES_PER_FILE, "compression": "gzip" if packed else "none"}
-    write_lines(text_lines(docs), path, **options)
+_files: dict[tuple, str] = {}
 
 
 def document_files(spark: SparkSession, sf_dir: str) -> str:
@@ -126,7 +144,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
     if key not in _files:
         base = scratch_path(spark, "documents")
         docs = document_slots(spark, sf_dir)
-        write_document_files(spark, docs.filter("lang = 'en'"), f"{base}/english", True)
-        write_document_files(spark, docs.filter("lang <> 'en'"), f"{base}/other", False)
+        for part, chosen, packed in PARTS_OF_DOCUMENTS:
+            write_document_files(docs.filter(chosen), f"{base}/{part}", packed)
         _files[key] = base
     return _files[key]

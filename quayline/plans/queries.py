@@ -7,20 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.functions.dcm import dcm_type_of, parse_dcm_name
+from quayline.functions.dcm import DCM_TYPES, dcm_type_of, parse_dcm_name
 from quayline.functions.text import split_lines
 from quayline.functions.urls import url_kind
 from quayline.operators.catalogue import (
     between_dates,
     dcm_slots,
-    empty_like,
     exclude_previous,
     matching,
     read_catalogue,
 )
 from quayline.operators.ordering import index_slots, one_slot_per_partition
 from quayline.operators.payload import (
-    fetch_lines,
     fetch_payload,
     payload_lines,
     peek_lines,
@@ -32,6 +30,7 @@ from quayline.operators.payload import (
 from quayline.operators.polls import batch_descriptions, batch_report, new_slots, replayed_slots
 from quayline.operators.ranges import StartRange, apply_start, range_summary, resume_range
 from quayline.plans.feeds import (
+    PARTS_OF_DOCUMENTS,
     dcm_names,
     document_files,
     document_payload,
@@ -43,10 +42,10 @@ from quayline.plans.feeds import (
     table,
     write_document_files,
 )
-from quayline.plans.flaky import FlakyFiles
 from quayline.session import scratch_path
+from quayline.sources.datasource import register_sources
 from quayline.sources.files import FilesConnector
-from quayline.sources.hadoop import hadoop_slots
+from quayline.sources.hadoop import hadoop_lines
 from quayline.streaming.slots import SlotStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,11 +187,6 @@ _dated("slot_date_to", None, TO)
 _dated("slot_date_open", None, None)
 
 
-@query("slot_empty", f"WITH {ORDERS} SELECT name, date FROM orders_feed WHERE false")
-def slot_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return empty_like(order_slots_feed(spark, sf_dir).select("name", "date"))
-
-
 @query(
     "range_summary",
     f"""WITH {ORDERS}, placed AS (
@@ -200,13 +194,51 @@ def slot_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
                  row_number() OVER (ORDER BY date NULLS LAST, name) - 1 AS position
           FROM orders_feed)
         SELECT range_date, position // 1000 AS piece, count(*) AS n_names,
-               string_agg(name, chr(10) ORDER BY position) AS names
+               list(name ORDER BY position) AS names
         FROM placed GROUP BY ALL""",
 )
 def run_range_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_summary(order_slots_feed(spark, sf_dir).select("name", "date"))
 
 
+LINED = f"""{ORDERS}, lined AS (
+  SELECT name || CASE WHEN priority LIKE '1%' THEN chr(10) || 'x' ELSE '' END AS name, date, priority,
+         length(priority) AS length
+  FROM orders_feed)"""
+
+
+def _lined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots some of whose names hold a line break, with a length that tells nothing."""
+    slots = order_slots_feed(spark, sf_dir)
+    broken = F.when(F.col("priority").startswith("1"), "\nx").otherwise("")
+    return slots.withColumn("name", F.concat("name", F.lit(broken))).withColumn(
+        "length", F.length("priority")
+    )
+
+
+@query(
+    "resume_odd_names",
+    f"""WITH {LINED} SELECT name, date FROM lined WHERE date >=
+          (SELECT min(date) FROM lined WHERE priority < '3')
+        AND name NOT IN (SELECT name FROM lined WHERE priority < '3')""",
+)
+def resume_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots = _lined(spark, sf_dir)
+    token = range_summary(slots.filter("priority < '3'").select("name", "date"))
+    return apply_start(slots.select("name", "date"), resume_range(token))
+
+
+@query(
+    "exclude_other_lengths",
+    f"WITH {LINED} SELECT name, date, length FROM lined WHERE priority >= '4'",
+)
+def exclude_other_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous slots of another length are the same slots."""
+    slots = _lined(spark, sf_dir)
+    before = slots.filter("priority < '4'").withColumn("length", F.col("length") + 1)
+    return exclude_previous(slots.select("name", "date", "length"), before)
+
+
 # Where a stream starts
 
 FIRST_NAMES = ("order_1", "order_2", "order_3")
@@ -261,6 +293,24 @@ def new_slots_from_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_slots(event_polls(spark, sf_dir), start)
 
 
+@query(
+    "late_slots_per_poll",
+    f"""WITH {POLLS}, late AS (
+          SELECT poll, name || '_late' AS name, date - interval 400 day AS date
+          FROM polls WHERE name LIKE '%7_%'), everything AS (FROM polls UNION ALL FROM late)
+        SELECT name, min(poll) AS poll, min_by(date, (poll, date)) AS date
+        FROM everything GROUP BY name""",
+)
+def late_slots_per_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots that appear late with a date long before the poll are new all the same."""
+    polls = event_polls(spark, sf_dir)
+    late = polls.filter(F.col("name").like("%7_%")).select(
+        "poll", F.concat("name", F.lit("_late")).alias("name"),
+        F.expr("date - interval 400 days").alias("date"),
+    )
+    return new_slots(polls.unionByName(late))
+
+
 @query(
     "replayed_after_restart",
     f"""WITH {POLLS} SELECT name, min(poll) AS first_poll,
@@ -351,6 +401,22 @@ def slot_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "slot_partitions_packed",
+    f"""WITH {DOCS} SELECT name AS slot,
+          row_number() OVER (ORDER BY date NULLS LAST, name) - 1 AS slot_index,
+          (row_number() OVER (ORDER BY date NULLS LAST, name) - 1) // 7 AS partition_id
+        FROM docs""",
+)
+def slot_partitions_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots = document_slots(spark, sf_dir).select("name", "date")
+    return one_slot_per_partition(slots, slots_per_partition=7).select(
+        F.col("name").alias("slot"),
+        "slot_index",
+        F.spark_partition_id().cast("long").alias("partition_id"),
+    )
+
+
 @query(
     "slot_metrics",
     f"""WITH {LINES} SELECT slot, count(*) AS records, sum(length(value))::BIGINT AS characters,
@@ -424,11 +490,21 @@ def dcm_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dcm_type_lookup",
-    """SELECT event_id, CASE WHEN event_type = 'click' THEN 'click' END AS dcm_type FROM events""",
+    f"""WITH labels AS (
+          SELECT event_id, event_type, {list(DCM_TYPES)}[event_id % 26 + 1] AS label FROM events)
+        SELECT event_id, event_type, label AS dcm_type,
+          CASE WHEN event_type = 'click' THEN 'click' END AS event_dcm_type FROM labels""",
 )
 def dcm_type_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return events.select("event_id", dcm_type_of(F.upper("event_type")).alias("dcm_type"))
+    """All labels of the list, and others, in turn."""
+    known = F.array(*[F.lit(t.upper()) for t in DCM_TYPES])
+    label = F.coalesce(F.get(known, (F.col("event_id") % 26).cast("int")), F.lit("OTHER"))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        "event_type",
+        dcm_type_of(label).alias("dcm_type"),
+        dcm_type_of(F.upper("event_type")).alias("event_dcm_type"),
+    )
 
 
 @query(
@@ -458,39 +534,66 @@ def run_url_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Connectors and streams
 
 
-@query("slots_source_scan", f"WITH {LINES} SELECT value FROM lines")
+# Files hold the documents of a hundred ids each; a line says which line of which document it is.
+FILED = f"""{LINES}, filed AS (
+  SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS part, doc_id // 100 AS bucket,
+         doc_id, line_no AS own_line, doc_id || chr(9) || line_no || chr(9) || value AS value
+  FROM lines JOIN docs ON name = slot), numbered AS (
+  SELECT part, bucket, value, doc_id, row_number() OVER (
+    PARTITION BY part, bucket ORDER BY doc_id, own_line) - 1 AS line_no
+  FROM filed)"""
+SCANNED = f"WITH {FILED} SELECT part, bucket, line_no, value FROM numbered"
+
+
+def _filed(lines: DataFrame) -> DataFrame:
+    """Lines with what their slot's name says: the part and the bucket of documents."""
+    name = F.regexp_extract(F.col("slot"), r"(english|other)/bucket=(\d+)/", 0)
+    return lines.withColumn("part", F.substring_index(name, "/", 1)).withColumn(
+        "bucket", F.regexp_extract(name, r"(\d+)/$", 1).cast("long")
+    )
+
+
+def _scanned(lines: DataFrame) -> DataFrame:
+    return _filed(lines).select("part", "bucket", "line_no", "value")
+
+
+def _files(path: str) -> FilesConnector:
+    return FilesConnector(path, recursive=True, skipHidden=True, rootDepth=2)
+
+
+@query("slots_source_scan", SCANNED)
 def slots_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
-    return read_lines(spark, files).select("value")
+    return _scanned(read_lines(spark, _files(document_files(spark, sf_dir))))
 
 
-@query("slots_split_scan", f"WITH {LINES} SELECT value FROM lines")
+@query("slots_split_scan", SCANNED)
 def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files, every plain one cut into ranges of 256 KiB for separate tasks."""
-    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
-    return read_lines(spark, files, split_bytes=256 << 10).select("value")
+    """The same files, every plain one cut into ranges of 64 KiB for separate tasks."""
+    files = _files(document_files(spark, sf_dir))
+    return _scanned(read_lines(spark, files, split_bytes=64 << 10))
 
 
-@query("slots_hadoop_scan", f"WITH {LINES} SELECT value FROM lines")
+@query("slots_hadoop_scan", f"WITH {FILED} SELECT part, bucket, value FROM numbered")
 def slots_hadoop_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = hadoop_slots(spark, document_files(spark, sf_dir), recursive=True)
-    return payload_lines(files).select("value")
+    lines = hadoop_lines(spark, document_files(spark, sf_dir), recursive=True)
+    return _filed(lines).select("part", "bucket", "value")
+
+
+@query("slots_payload_scan", SCANNED)
+def slots_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _files(document_files(spark, sf_dir))
+    return _scanned(payload_lines(fetch_payload(read_catalogue(spark, files), files)))
 
 
-@query("slots_stream_scan", f"WITH {LINES} SELECT value FROM lines")
+@query("slots_stream_scan", SCANNED)
 def slots_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the files, a run, the other half, a second run from the same checkpoint."""
     base = scratch_path(spark, "stream")
     docs = document_slots(spark, sf_dir)
-    stream = SlotStream(
-        spark, FilesConnector(f"{base}/in", recursive=True), f"{base}/polls", poll_interval_ms=1
-    )
+    stream = SlotStream(spark, _files(f"{base}/in"), f"{base}/polls", poll_interval_ms=1)
     lines = stream.lines()
-    for part, chosen, packed in (
-        ("english", "lang = 'en'", True),
-        ("other", "lang <> 'en'", False),
-    ):
-        write_document_files(spark, docs.filter(chosen), f"{base}/in/{part}", packed)
+    for part, chosen, packed in PARTS_OF_DOCUMENTS:
+        write_document_files(docs.filter(chosen), f"{base}/in/{part}", packed)
         run = (
             lines.writeStream.format("parquet")
             .option("checkpointLocation", f"{base}/checkpoint")
@@ -498,84 +601,83 @@ def slots_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             .start(f"{base}/out")
         )
         run.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("value")
-
+    return _scanned(spark.read.parquet(f"{base}/out"))
 
-PARTS_OF_FILES = f"""{LINES}
-    SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS part, value
-    FROM lines JOIN docs ON name = slot"""
 
-
-@query("slots_payload_scan", f"WITH {PARTS_OF_FILES}")
-def slots_payload_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = FilesConnector(document_files(spark, sf_dir), recursive=True)
-    lines = payload_lines(fetch_payload(read_catalogue(spark, files), files))
-    return lines.select(F.substring_index("slot", "/", 1).alias("part"), "value")
-
-
-@query("slots_batch_scan", f"WITH {PARTS_OF_FILES}")
-def slots_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch by batch with a table of what was read; the second stream goes on from that table."""
+def _batches(spark: SparkSession, sf_dir: str) -> str:
+    """Two streams, batch by batch with tables; the second goes on from the first one's slots."""
     base = scratch_path(spark, "batches")
     docs = document_slots(spark, sf_dir)
-    files = FilesConnector(f"{base}/in", recursive=True)
-
-    def keep(lines: DataFrame, slots: DataFrame, batch_id: int) -> None:
-        lines.write.mode("overwrite").parquet(f"{base}/out/run={runs}/batch={batch_id}")
-
-    for runs, (part, chosen, packed) in enumerate(
-        (("english", "lang = 'en'", True), ("other", "lang <> 'en'", False))
-    ):
-        write_document_files(spark, docs.filter(chosen), f"{base}/in/{part}", packed)
+    for runs, (part, chosen, packed) in enumerate(PARTS_OF_DOCUMENTS):
+        write_document_files(docs.filter(chosen), f"{base}/in/{part}", packed)
         start = StartRange(seen=spark.read.parquet(f"{base}/slots/run=0")) if runs else None
-        stream = SlotStream(spark, files, f"{base}/polls{runs}", start, poll_interval_ms=1)
+        stream = SlotStream(
+            spark, _files(f"{base}/in"), f"{base}/polls{runs}", start, poll_interval_ms=1
+        )
         run = (
-            stream.for_each_batch(keep, slot_table=f"{base}/slots/run={runs}")
+            stream.for_each_batch(
+                lambda lines, slots, batch_id: None,
+                slot_table=f"{base}/slots/run={runs}",
+                line_table=f"{base}/lines/run={runs}",
+                report_table=f"{base}/reports/run={runs}",
+            )
             .option("checkpointLocation", f"{base}/checkpoint{runs}")
             .trigger(availableNow=True)
             .start()
         )
         run.awaitTermination()
-    lines = spark.read.parquet(f"{base}/out")
-    return lines.select(F.substring_index("slot", "/", 1).alias("part"), "value")
+    return base
 
 
-@query("list_retry", f"WITH {LINES} SELECT value FROM lines")
-def list_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = FlakyFiles(
-        document_files(spark, sf_dir),
-        recursive=True,
-        marks=scratch_path(spark, "marks"),
-        listBadTries=2,
-    )
-    # Checkpointed by the ordering, so the failing listing runs once.
-    return fetch_lines(index_slots(read_catalogue(spark, files, max_retries=2)), files).select(
-        "value"
-    )
+@query("slots_batch_scan", SCANNED)
+def slots_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scanned(spark.read.parquet(f"{_batches(spark, sf_dir)}/lines"))
 
 
-@query("fetch_retry", f"WITH {LINES} SELECT value FROM lines")
-def fetch_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = FlakyFiles(
-        document_files(spark, sf_dir),
-        recursive=True,
-        marks=scratch_path(spark, "marks"),
-        fetchBadTries=2,
+@query(
+    "stream_report",
+    f"""WITH {FILED} SELECT part, count(DISTINCT bucket) AS n_slots, count(*) AS n_lines,
+          list(DISTINCT bucket ORDER BY bucket) AS buckets
+        FROM numbered GROUP BY part""",
+)
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the streams reported of their batches, by the part each of them read."""
+    report = spark.read.parquet(f"{_batches(spark, sf_dir)}/reports")
+    names = report.select("run", "batch_id", F.explode("names").alias("slot"))
+    found = _filed(names).groupBy("run", "batch_id").agg(
+        F.max("part").alias("part"), F.sort_array(F.collect_set("bucket")).alias("buckets")
     )
-    return fetch_lines(read_catalogue(spark, files), files, max_retries=2).select("value")
+    counts = report.select("run", "batch_id", "n_slots", "n_lines").distinct()
+    return counts.join(found, ["run", "batch_id"]).select("part", "n_slots", "n_lines", "buckets")
 
 
 @query(
-    "list_error_policy",
-    f"WITH {ORDERS} SELECT name, date, 0::BIGINT AS length FROM orders_feed WHERE false",
+    "dcm_files_scan",
+    f"""WITH {DCM}, files AS (
+          SELECT DISTINCT regexp_extract(name, '^dcm_account[0-9]+_(.*_[0-9]+)_[0-9]{{8}}_', 1) AS label
+          FROM names)
+        SELECT DISTINCT 'dcm_account1_' || label || '_x' AS name, p.date, p.dcm_type
+        FROM files f JOIN parsed p ON contains(p.name, '_' || f.label || '_')
+        WHERE p.dcm_type IN ('click', 'activity') AND p.date IS NOT NULL""",
 )
-def list_error_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A listing that never succeeds, read as no slots."""
-    files = FlakyFiles(
-        document_files(spark, sf_dir),
-        recursive=True,
-        marks=scratch_path(spark, "marks"),
-        listBadTries=1000,
+def dcm_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files named by type and date, listed through the format, which parses and filters them."""
+    base = scratch_path(spark, "dcm")
+    label = F.regexp_extract("name", r"^dcm_account[0-9]+_(.*_[0-9]+)_[0-9]{8}_", 1)
+    files = dcm_names(spark, sf_dir).select(
+        F.concat(F.lit("dcm_account1_"), label, F.lit("_x")).alias("file"),
+        F.col("name").alias("value"),
     )
-    slots = read_catalogue(spark, files, max_retries=1, on_list_error="empty")
-    return slots.withColumn("date", F.col("date").cast("timestamp_ntz"))
+    files.repartition("file").write.partitionBy("file").text(base)
+    register_sources(spark)
+    listed = (
+        spark.read.format("slots")
+        .options(connector="dcm_files", path=base, recursive="true", skipHidden="true")
+        .option("types", '["click", "activity"]')
+        .load()
+    )
+    return listed.select(
+        F.regexp_extract("name", "^file=([^/]*)/", 1).alias("name"),
+        F.col("date").cast("timestamp_ntz").alias("date"),
+        "dcm_type",
+    ).distinct()

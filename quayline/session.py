@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -34,18 +33,12 @@ def build_session(app: str = "quayline", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Where the setting is absent a local session gets a temporary folder; a cluster session is told
-    to name one, because a machine-local folder would not survive the loss of its machine.
-    """
+    """The folder every executor can reach: the one ``spark.checkpoint.dir`` names, else the context's
+    checkpoint folder, else one below the warehouse, where the session's tables are."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if not named and spark.sparkContext.getCheckpointDir():
-        named = spark.sparkContext.getCheckpointDir()
+    named = named or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="quayline-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -54,3 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what made it runs once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

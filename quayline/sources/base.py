@@ -10,10 +10,7 @@ import zlib
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
-from typing import TYPE_CHECKING, Any, ClassVar, NamedTuple, TypeVar
-
-if TYPE_CHECKING:
-    from pyspark.sql import DataFrame
+from typing import Any, ClassVar, NamedTuple, TypeVar
 
 log = logging.getLogger(__name__)
 
@@ -60,8 +57,9 @@ class Connector(ABC):
     def validate(self) -> None:
         """Raise ``ValueError`` for unusable parameters; called at construction."""
 
-    def roots(self) -> list[str]:
-        """Parts of the collection that can be listed side by side, one task each."""
+    def roots(self) -> Iterable[str]:
+        """Parts of the collection that can be listed side by side, one task each.  Called in a
+        task, and again after a failure."""
         return [""]
 
     @abstractmethod
@@ -74,6 +72,28 @@ class Connector(ABC):
 
     # Whether ``fetch_range`` works, so that a large plain-text slot can be read by several tasks.
     seekable: ClassVar[bool] = False
+    # Names and kinds (string, timestamp, long, double, boolean) of the columns that ``refine`` adds
+    # behind name, date and length.
+    extra: ClassVar[tuple[tuple[str, str], ...]] = ()
+
+    def refine(self, slot: Slot) -> tuple | None:
+        """The catalogue's row of a listed slot, or None to leave it out, where names say more than
+        the collection does.  Called for every row, wherever a listing is made."""
+        return slot
+
+    def change_token(self) -> str | None:
+        """A cheap text that changes whenever a slot may have been added; None if only a listing can
+        tell.  A stream asks for it at every poll."""
+        return None
+
+    def version(self, name: str) -> str | None:
+        """What changes whenever a slot's content does, such as its size and time; None if unknown.
+        Ranges of one slot are only put together if they saw the same version."""
+        return None
+
+    def size(self, name: str) -> int | None:
+        """The present length of a slot; needed of connectors that can seek."""
+        return None
 
     def fetch_range(self, name: str, start: int, stop: int | None = None) -> Iterable[bytes]:
         """The bytes of a slot from ``start`` up to ``stop`` or the end, in chunks."""
@@ -82,10 +102,6 @@ class Connector(ABC):
     def close(self) -> None:
         """Release the client of this copy."""
 
-    def refine(self, listing: DataFrame) -> DataFrame:
-        """The catalogue behind a listing, where names say more than the collection does."""
-        return listing
-
     def fresh(self) -> Connector:
         """A copy without a client."""
         return dataclasses.replace(self)
@@ -123,19 +139,6 @@ def retrying(attempt: Callable[[], T], max_retries: int, what: str) -> T:
     raise AssertionError("unreachable")
 
 
-def list_root(template: Connector, root: str, max_retries: int) -> list[Slot]:
-    """One listing, by a new copy of the connector per attempt."""
-
-    def attempt() -> list[Slot]:
-        connector = template.fresh()
-        try:
-            return list(connector.list(root))
-        finally:
-            connector.close()
-
-    return retrying(attempt, max_retries, f"listing {root or 'slots'} of {template!r}")
-
-
 class Fetcher:
     """Fetches slots one after the other over one client, which is replaced after a failure."""
 
@@ -144,12 +147,32 @@ class Fetcher:
         self._max_retries = max_retries
         self._connector: Connector | None = None
 
-    def _open(self, name: str, start: int, stop: int | None) -> Iterable[bytes]:
+    def _client(self) -> Connector:
         if self._connector is None:
             self._connector = self._template.fresh()
+        return self._connector
+
+    def _open(self, name: str, start: int, stop: int | None) -> Iterable[bytes]:
         if start == 0 and stop is None:
-            return self._connector.fetch(name)
-        return self._connector.fetch_range(name, start, stop)
+            return self._client().fetch(name)
+        return self._client().fetch_range(name, start, stop)
+
+    def about(self, name: str) -> tuple[int | None, str | None]:
+        """Present size and version of a slot."""
+
+        def ask() -> tuple[int | None, str | None]:
+            try:
+                return self._client().size(name), self._client().version(name)
+            except Exception:
+                self.close()
+                raise
+
+        return retrying(ask, self._max_retries, f"looking at slot {name}")
+
+    def unchanged(self, name: str, version: str | None) -> None:
+        """Fail unless the slot still has the version its ranges were made for."""
+        if version is not None and self.about(name)[1] != version:
+            raise _ChangedSlot(f"slot {name} changed while it was read in ranges")
 
     def chunks(self, name: str, start: int = 0, stop: int | None = None) -> Iterator[bytes]:
         """Content of a slot.  After a failure the slot is opened again and resumed.

@@ -1,8 +1,9 @@
-"""The ``slots`` data source: catalogues as tables and as streams of listings.
+"""The ``slots`` data source: catalogues as tables and as streams of new slots.
 
-Batch: one task per listing root.  Streaming: every poll lists all roots in tasks and stores the
-listing in a log folder before any row leaves the task, so that a batch that is run again, after a
-failure or a restart, sees the listing it saw the first time.  The driver holds only a clock value.
+Batch: one task per listing root.  Streaming: a poll looks whether the collection has changed; only
+then is there a batch, in which every root is listed by a task, compared with what the root held at
+the poll before, and only names that are new leave the task.  What a poll sends is stored in a log
+folder first, so that a batch that is run again, after a failure or a restart, sees the same rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrameReader, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -26,75 +28,83 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.streaming import DataStreamReader
 
-from quayline.sources.base import (
-    MAX_RETRIES,
-    Connector,
-    Slot,
-    SlotSourceError,
-    list_root,
-    require,
-)
+from quayline.sources.base import MAX_RETRIES, Connector, SlotSourceError, require
+from quayline.sources.listing import arrow_schema, catalogue_schema, list_pages, list_roots
 from quayline.sources.pollog import PollLog
 
 log = logging.getLogger(__name__)
 
 FORMAT = "slots"
-CATALOGUE_SCHEMA = "name string, date timestamp, length long"
-POLL_SCHEMA = f"{CATALOGUE_SCHEMA}, poll timestamp"
-ROWS_PER_BATCH = 50_000
+FRESH = "fresh"
 
-_INSTANT = pa.timestamp("us", tz="UTC")
-CATALOGUE_ARROW = pa.schema(
-    [("name", pa.string()), ("date", _INSTANT), ("length", pa.int64())]
-)
-POLL_ARROW = CATALOGUE_ARROW.append(pa.field("poll", _INSTANT))
-
-
-def _batches(slots: list[Slot]) -> Iterator[pa.RecordBatch]:
-    for start in range(0, len(slots), ROWS_PER_BATCH):
-        columns = zip(*slots[start : start + ROWS_PER_BATCH], strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(values), field.type)
-                for values, field in zip(columns, CATALOGUE_ARROW, strict=True)
-            ],
-            schema=CATALOGUE_ARROW,
-        )
+
+def accepted(batch: pa.RecordBatch, start: dict | None) -> pa.RecordBatch:
+    """Rows that a start range, as JSON fields ``date`` and ``slots``, accepts."""
+    if not start:
+        return batch
+    if start.get("date"):
+        bound = datetime.fromisoformat(start["date"])
+        bound = bound.astimezone(UTC) if bound.tzinfo else bound.replace(tzinfo=UTC)
+        late = pc.greater_equal(batch.column("date"), pa.scalar(bound, pa.timestamp("us", "UTC")))
+        batch = batch.filter(pc.fill_null(late, False))
+    if start.get("slots"):
+        named = pc.is_in(batch.column("name"), value_set=pa.array(start["slots"], pa.string()))
+        batch = batch.filter(pc.invert(named))
+    return batch
 
 
 @dataclass
-class RootPartition(InputPartition):
-    root: str
+class RootsPartition(InputPartition):
+    roots: list[str]
 
 
 @dataclass
 class PollPartition(InputPartition):
     root: str
     poll: int
+    previous: int | None
+    most: int | None
 
 
 class CatalogueReader(DataSourceReader):
-    def __init__(self, connector: Connector, max_retries: int, on_list_error: str) -> None:
+    """One task per root.  Where a failing listing counts as no slots it must fail as a whole, so
+    then one task lists all roots; its pages wait on disk until the last root is listed."""
+
+    def __init__(
+        self, connector: Connector, max_retries: int, on_list_error: str, start: dict | None
+    ) -> None:
         self.connector = connector
         self.max_retries = max_retries
         self.on_list_error = on_list_error
+        self.start = start
 
     def partitions(self) -> list[InputPartition]:
-        return [RootPartition(root) for root in self.connector.roots()]
+        if self.on_list_error == "empty":
+            return [RootsPartition([])]
+        return [RootsPartition([r]) for r in list_roots(self.connector, self.max_retries)]
 
-    def read(self, partition: RootPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: RootsPartition) -> Iterator[pa.RecordBatch]:
         try:
-            slots = list_root(self.connector, partition.root, self.max_retries)
+            roots = partition.roots or list_roots(self.connector, self.max_retries)
+            pages = list_pages(self.connector, roots, self.max_retries)
+            first = next(pages, None)
         except SlotSourceError as error:
             if self.on_list_error == "fail":
                 raise
             log.error("going on without slots: %s", error)
             return
-        yield from _batches(slots)
+        if first is not None:
+            yield accepted(first, self.start)
+            for page in pages:
+                yield accepted(page, self.start)
 
 
 class PollReader(DataSourceStreamReader):
-    """Offsets are poll times in milliseconds; a poll lists everything once."""
+    """Offsets are polls, by time in milliseconds, with a token of what the collection held.
+
+    The first poll of a run sends everything, since the query may have been started with another
+    range than before; after it, a poll whose token is that of the last one is no poll.
+    """
 
     def __init__(
         self,
@@ -103,39 +113,97 @@ class PollReader(DataSourceStreamReader):
         log_dir: str,
         interval_ms: int,
         with_poll: bool = True,
+        start: dict | None = None,
+        most: int | None = None,
     ) -> None:
         self.connector = connector
         self.max_retries = max_retries
         self.log = PollLog(log_dir)
         self.interval_ms = interval_ms
         self.with_poll = with_poll
+        self.start = start
+        self.most = most
+        self.last: dict | None = None
+        self.first_poll: int | None = None
 
     def initialOffset(self) -> dict:
-        return {"poll": 0}
+        return {"poll": 0, "token": ""}
+
+    def _token(self) -> str:
+        """What the collection holds: the connector's own token, or number and sum of the names'
+        hashes, so that nothing has to be held or sorted."""
+        own = self.connector.fresh().change_token()
+        if own is not None:
+            return own
+        count, total = 0, 0
+        roots = list_roots(self.connector, self.max_retries)
+        for page in list_pages(self.connector, roots, self.max_retries):
+            for name in page.column("name").to_pylist():
+                digest = hashlib.blake2b(name.encode(), digest_size=16).digest()
+                total = (total + int.from_bytes(digest, "big")) % (1 << 128)
+            count += page.num_rows
+        return f"{count}-{total:032x}"
 
     def latestOffset(self) -> dict:
         now = time.time_ns() // 1_000_000
+        if self.last and now - now % self.interval_ms <= self.last["poll"]:
+            if not self.log.has_more(self.last["poll"]):
+                return self.last
+        token = self._token()
+        if self.last and token == self.last["token"] and not self.log.has_more(self.last["poll"]):
+            return self.last
         # A clock set back must not move the stream back.
-        return {"poll": max(now - now % self.interval_ms, self.log.latest())}
+        before = max(self.log.latest(), self.last["poll"] if self.last else 0)
+        self.last = {"poll": max(now - now % self.interval_ms, before + 1), "token": token}
+        return self.last
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         if start["poll"] >= end["poll"]:
             return []
-        self.log.open_poll(end["poll"])
-        return [PollPartition(root, end["poll"]) for root in self.connector.roots()]
+        if self.first_poll is None:
+            self.first_poll = end["poll"]
+        previous = None if end["poll"] == self.first_poll else start["poll"]
+        self.log.open_poll(end["poll"], end["token"])
+        roots = list_roots(self.connector, self.max_retries)
+        most = None if self.most is None else -(-self.most // max(1, len(roots)))
+        return [PollPartition(root, end["poll"], previous, most) for root in roots]
+
+    def _new_rows(self, partition: PollPartition, key: str) -> Iterator[pa.RecordBatch]:
+        """The listing of a root with a mark on the rows to send.  With a bound, new rows beyond it
+        are left out, so that the next poll finds them new again."""
+        known = self.log.names(partition.previous, key)
+        left, cut = partition.most, False
+        for page in list_pages(self.connector, [partition.root], self.max_retries):
+            fresh = pc.invert(pc.is_in(page.column("name"), value_set=known))
+            if left is not None:
+                rank = pc.cumulative_sum(fresh.cast(pa.int64()))
+                over = pc.and_(fresh, pc.greater(rank, left))
+                left -= min(left, pc.sum(fresh.cast(pa.int64())).as_py() or 0)
+                cut = cut or pc.any(over).as_py() or False
+                page, fresh = page.filter(pc.invert(over)), fresh.filter(pc.invert(over))
+            yield pa.RecordBatch.from_arrays(
+                [*page.columns, fresh], names=[*page.schema.names, FRESH]
+            )
+        if cut:
+            self.log.mark_more(partition.poll, key)
 
     def read(self, partition: PollPartition) -> Iterator[pa.RecordBatch]:
         key = hashlib.sha256(partition.root.encode()).hexdigest()[:32]
+        listed = arrow_schema(self.connector)
         if not self.log.has(partition.poll, key):
-            slots = list_root(self.connector, partition.root, self.max_retries)
-            self.log.write_once(partition.poll, key, CATALOGUE_ARROW, _batches(slots))
+            schema = listed.append(pa.field(FRESH, pa.bool_()))
+            self.log.write_once(partition.poll, key, schema, self._new_rows(partition, key))
         poll = datetime.fromtimestamp(partition.poll / 1000, UTC)
         for batch in self.log.read(partition.poll, key):
-            if not self.with_poll:
-                yield batch
+            rows = accepted(batch.filter(batch.column(FRESH)), self.start)
+            if not rows.num_rows:
                 continue
-            stamp = pa.array([poll] * batch.num_rows, _INSTANT)
-            yield pa.RecordBatch.from_arrays([*batch.columns, stamp], schema=POLL_ARROW)
+            columns = [*rows.columns[:-1]]
+            names = listed.names
+            if self.with_poll:
+                columns.append(pa.array([poll] * rows.num_rows, pa.timestamp("us", "UTC")))
+                names = [*names, "poll"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def commit(self, end: dict) -> None:
         self.log.forget_before(end["poll"])
@@ -145,10 +213,11 @@ class SlotSource(DataSource):
     """``spark.read.format("slots")`` / ``spark.readStream.format("slots")``.
 
     Options: ``connector`` (its short name) and ``parameters`` (its fields as JSON), or the scalar
-    fields as options of their own; ``maxRetries`` (3).  Batch: ``onListError`` (``fail`` or
-    ``empty``).  Stream: ``logDir`` (shared folder, required), ``pollInterval`` in ms (1000) and
-    ``withPoll`` (``true`` adds the time of the poll as a column).  A stream repeats a slot with
-    every poll; ``SlotStream`` keeps the first.
+    fields as options of their own; ``maxRetries`` (3); ``start``, a ``StartRange`` as JSON.  Batch:
+    ``onListError`` (``fail`` or ``empty``).  Stream: ``logDir`` (shared folder, required),
+    ``pollInterval`` in ms (1000), ``maxSlotsPerTrigger`` and ``withPoll`` (``true`` adds the time of
+    the poll as a column).  A stream sends a name when it appears, and all names again when it is
+    restarted; ``SlotStream`` keeps the first of each.  Rows are as the connector refines them.
     """
 
     connectors: dict[str, type[Connector]] = {}
@@ -161,13 +230,17 @@ class SlotSource(DataSource):
         return self.options.get("withPoll", "false").lower() == "true"
 
     def schema(self) -> str:
-        return POLL_SCHEMA if self._with_poll() else CATALOGUE_SCHEMA
+        listed = catalogue_schema(self._kind())
+        return f"{listed}, poll timestamp" if self._with_poll() else listed
 
-    def _connector(self) -> Connector:
+    def _kind(self) -> type[Connector]:
         kind = self.options.get("connector")
         if kind not in self.connectors:
             raise ValueError(f"connector must be one of {sorted(self.connectors)}, not {kind!r}")
-        cls = self.connectors[kind]
+        return self.connectors[kind]
+
+    def _connector(self) -> Connector:
+        cls = self._kind()
         if "parameters" in self.options:
             return cls.from_json(self.options["parameters"])
         given = {}
@@ -184,25 +257,38 @@ class SlotSource(DataSource):
     def _max_retries(self) -> int:
         return int(self.options.get("maxRetries", MAX_RETRIES))
 
+    def _start(self) -> dict | None:
+        text = self.options.get("start")
+        return json.loads(text) if text else None
+
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
         if self._with_poll():
             raise ValueError("withPoll is for streams")
         on_error = self.options.get("onListError", "fail")
         if on_error not in ("fail", "empty"):
             raise ValueError("onListError must be fail or empty")
-        return CatalogueReader(self._connector(), self._max_retries(), on_error)
+        return CatalogueReader(self._connector(), self._max_retries(), on_error, self._start())
 
     def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001
         log_dir = self.options.get("logDir")
         interval = int(self.options.get("pollInterval", 1000))
+        most = self.options.get("maxSlotsPerTrigger")
         require(logDir=log_dir, pollInterval=interval)
+        if most is not None:
+            require(maxSlotsPerTrigger=int(most))
         return PollReader(
-            self._connector(), self._max_retries(), log_dir, interval, self._with_poll()
+            self._connector(),
+            self._max_retries(),
+            log_dir,
+            interval,
+            self._with_poll(),
+            self._start(),
+            None if most is None else int(most),
         )
 
 
 def built_in() -> dict[str, type[Connector]]:
-    from quayline.sources.dcm import DcmConnector
+    from quayline.sources.dcm import DcmConnector, DcmFilesConnector
     from quayline.sources.files import FilesConnector
     from quayline.sources.ftp import FtpConnector
     from quayline.sources.ftps import FtpsConnector
@@ -216,49 +302,35 @@ def built_in() -> dict[str, type[Connector]]:
         "sftp": SftpConnector,
         "gcs": GcsConnector,
         "dcm": DcmConnector,
+        "dcm_files": DcmFilesConnector,
     }
 
 
 def register_sources(spark: SparkSession, **plugins: type[Connector]) -> None:
-    """Make the format known to the session, with further connectors by short name."""
-    known = {**built_in(), **plugins}
+    """Make the format known to the session, with further connectors by short name.  Connectors
+    that were added to the session before stay."""
+    known = {**built_in(), **getattr(spark, "_slot_connectors", {}), **plugins}
+    spark._slot_connectors = known
     spark.dataSource.register(type("SlotSource", (SlotSource,), {"connectors": known}))
 
 
-def _configured(reader, connector: Connector, kind: str, max_retries: int):  # noqa: ANN001, ANN202
-    return (
-        reader.option("connector", kind)
-        .option("parameters", connector.to_json())
-        .option("maxRetries", max_retries)
-    )
-
-
-def _register_for(spark: SparkSession, connector: Connector) -> str:
-    cls = type(connector)
-    for kind, known in built_in().items():
-        if known is cls:
-            register_sources(spark)
-            return kind
-    register_sources(spark, **{cls.__name__: cls})
-    return cls.__name__
-
-
-def catalogue_reader(
-    spark: SparkSession, connector: Connector, max_retries: int, on_list_error: str
-) -> DataFrameReader:
-    kind = _register_for(spark, connector)
-    reader = spark.read.format(SlotSource.name()).option("onListError", on_list_error)
-    return _configured(reader, connector, kind, max_retries)
-
-
 def poll_reader(
     spark: SparkSession,
     connector: Connector,
     max_retries: int,
     log_dir: str,
     poll_interval_ms: int,
+    max_slots: int | None = None,
 ) -> DataStreamReader:
-    kind = _register_for(spark, connector)
+    cls = type(connector)
+    kind = next((k for k, known in built_in().items() if known is cls), cls.__name__)
+    register_sources(spark, **{kind: cls})
     reader = spark.readStream.format(SlotSource.name()).option("withPoll", True)
     reader = reader.option("logDir", log_dir).option("pollInterval", poll_interval_ms)
-    return _configured(reader, connector, kind, max_retries)
+    if max_slots is not None:
+        reader = reader.option("maxSlotsPerTrigger", max_slots)
+    return (
+        reader.option("connector", kind)
+        .option("parameters", connector.to_json())
+        .option("maxRetries", max_retries)
+    )

@@ -21,13 +21,14 @@ class FilesConnector(Connector):
 
     With ``recursive``, slots are named by their path below ``path`` and each sub-folder is listed
     by a task of its own; ``rootDepth`` 2, 3, … takes sub-folders of sub-folders, for trees in which
-    one branch holds much of everything.  Names starting with ``_`` or ``.`` are hidden, as for
-    Spark's own readers.
+    one branch holds much of everything.  ``skipHidden`` leaves out names that start with ``_`` or
+    ``.`` at any level, as Spark's own readers do; unless asked for, every name is a slot.
     """
 
     path: str = ""
     recursive: bool = False
     rootDepth: int = 1
+    skipHidden: bool = False
 
     seekable: ClassVar[bool] = True
 
@@ -37,9 +38,19 @@ class FilesConnector(Connector):
     def file_system(self) -> tuple[fs.FileSystem, str]:
         return open_location(self.path)
 
-    @staticmethod
-    def _hidden(path: str) -> bool:
-        return any(part.startswith(("_", ".")) for part in path.split("/"))
+    def _hidden(self, path: str) -> bool:
+        return self.skipHidden and any(p.startswith(("_", ".")) for p in path.split("/"))
+
+    def _info(self, name: str) -> fs.FileInfo:
+        files, base = self.file_system()
+        return files.get_file_info(posixpath.join(base, name))
+
+    def size(self, name: str) -> int | None:
+        return self._info(name).size
+
+    def version(self, name: str) -> str | None:
+        info = self._info(name)
+        return f"{info.size}-{info.mtime_ns}"
 
     def roots(self) -> list[str]:
         if not self.recursive:

@@ -17,8 +17,9 @@ from quayline.sources.base import Connector, Slot, require, secret
 
 CHUNK_BYTES = 1 << 20
 
-# Replies that say a file is not there, and that a command is unknown.
-NO_SUCH_FILE = ("450", "550")
+# The reply that a file is not there, or not to be had, and those to unknown commands.
+# 450 (busy) is not among them: it passes, and is tried again.
+NO_SUCH_FILE = "550"
 UNKNOWN_COMMAND = ("500", "501", "502", "504")
 
 
@@ -78,7 +79,8 @@ class ProxiedFtp(ftplib.FTP):
 class FtpConnector(Connector):
     """Every plain file of ``directory`` is a slot dated by its modification time.
 
-    Timeouts are in milliseconds.  A file that is gone when it is fetched has no content.
+    Timeouts are in milliseconds.  A file that is gone when it is fetched has no content; servers
+    give the same reply for a file that may not be read, so ``failOnMissing`` makes it an error.
     """
 
     host: str = ""
@@ -89,6 +91,7 @@ class FtpConnector(Connector):
     defaultTimeout: int = 120_000
     dataTimeout: int = 1_200_000
     activeMode: bool = False
+    failOnMissing: bool = False
     proxyHost: str | None = None
     proxyPort: int = 80
     proxyUser: str | None = None
@@ -174,8 +177,8 @@ class FtpConnector(Connector):
         client.voidcmd("TYPE I")
         try:
             link = client.transfercmd(f"RETR {name}")
-        except (ftplib.error_perm, ftplib.error_temp) as error:
-            if str(error).startswith(NO_SUCH_FILE):
+        except ftplib.error_perm as error:
+            if str(error).startswith(NO_SUCH_FILE) and not self.failOnMissing:
                 return
             raise
         with link:

@@ -8,14 +8,16 @@ from dataclasses import dataclass
 
 from quayline.sources.base import require, secret
 from quayline.sources.ftp import FtpConnector
+from quayline.sources.location import as_file, read_bytes
 
 
 @dataclass(frozen=True, repr=False)
 class FtpsConnector(FtpConnector):
     """As FTP, with both control and data connection encrypted.
 
-    ``certFile`` / ``keyFile`` (PEM, readable on every executor) identify the client; ``caFile``
-    replaces the system's authorities for checking the server.  ``verify`` off accepts any server.
+    ``certFile`` / ``keyFile`` (PEM) identify the client; ``caFile`` replaces the system's
+    authorities for checking the server.  All three are URLs that every executor can read, such as
+    ``hdfs://`` ones, or paths on every executor.  ``verify`` off accepts any server.
     """
 
     port: int = 990
@@ -36,12 +38,14 @@ class FtpsConnector(FtpConnector):
             raise ValueError("keyFile needs certFile")
 
     def context(self) -> ssl.SSLContext:
-        context = ssl.create_default_context(cafile=self.caFile)
+        authorities = None if self.caFile is None else read_bytes(self.caFile).decode("ascii")
+        context = ssl.create_default_context(cadata=authorities)
         if not self.verify:
             context.check_hostname = False
             context.verify_mode = ssl.CERT_NONE
         if self.certFile is not None:
-            context.load_cert_chain(self.certFile, self.keyFile, self.keyPassword)
+            with as_file(self.certFile) as certificate, as_file(self.keyFile) as key:
+                context.load_cert_chain(certificate, key, self.keyPassword)
         return context
 
     def new_client(self) -> ftplib.FTP:

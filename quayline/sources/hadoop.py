@@ -2,7 +2,7 @@
 
 For ``hdfs://``, ``s3a://``, ``gs://``, ``ftp://`` or ``sftp://`` paths whose file system is on the
 cluster's class path; credentials come from the Hadoop configuration.  Files are listed by Spark's
-own (parallel) listing.  A file must be below 2 GiB; connectors have no such limit.
+own (parallel) listing.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ def hadoop_slots(
     """``name, date, length, content`` of the files below ``path``, named by their full path.
 
     It is a catalogue and a payload at once: content is read only where it is selected, after
-    filters on the other columns have dropped files.
+    filters on the other columns have dropped files.  Content is one cell, below 2 GiB: for binary
+    files.  Lines of files of any size come from ``hadoop_lines`` and from connectors.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob is not None:
@@ -25,3 +26,22 @@ def hadoop_slots(
     return reader.load(path).select(
         F.col("path").alias("name"), F.col("modificationTime").alias("date"), "length", "content"
     )
+
+
+def hadoop_lines(
+    spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None
+) -> DataFrame:
+    """``slot, slot_date, value``: the lines of the files below ``path``, which must be UTF-8.
+
+    Plain files are cut into splits that tasks read side by side, so lines have no numbers.  Files
+    are gunzipped by the ending of their name, as Spark does, not by content.  Slots are named by
+    their full path.
+    """
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.text(path).select(
+        F.col("_metadata.file_path").alias("slot"),
+        F.col("_metadata.file_modification_time").alias("slot_date"),
+        "value",
+    )

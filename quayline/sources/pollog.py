@@ -1,11 +1,13 @@
-"""Listings of polls that are not committed yet, in a shared folder.
+"""Listings of polls, in a shared folder.
 
-One Arrow file per poll and listing root.  The first file published under a name stays: where two
-attempts of a task list at the same time, both read back the one that was published.
+One Arrow file per poll and listing root: the rows a batch gets, and the names the poll after it need
+not send again.  The first file published stays: where two attempts of a task list at the same time,
+both read back the same one.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
 import uuid
@@ -17,6 +19,9 @@ from pyarrow import fs
 
 from quayline.sources.location import open_location
 
+TOKEN = "token.json"
+MORE = ".more"
+
 
 class PollLog:
     def __init__(self, location: str) -> None:
@@ -29,9 +34,6 @@ class PollLog:
     def _folder(base: str, poll: int) -> str:
         return posixpath.join(base, f"poll={poll}")
 
-    def _path(self, base: str, poll: int, key: str) -> str:
-        return posixpath.join(self._folder(base, poll), f"{key}.arrow")
-
     def _polls(self, files: fs.FileSystem, base: str) -> list[int]:
         found = files.get_file_info(fs.FileSelector(base, allow_not_found=True))
         return [int(i.base_name[5:]) for i in found if i.base_name.startswith("poll=")]
@@ -40,41 +42,72 @@ class PollLog:
         files, base = self._open()
         return max(self._polls(files, base), default=0)
 
-    def open_poll(self, poll: int) -> None:
+    def open_poll(self, poll: int, token: str) -> None:
         files, base = self._open()
         files.create_dir(self._folder(base, poll), recursive=True)
+        with files.open_output_stream(posixpath.join(self._folder(base, poll), TOKEN)) as out:
+            out.write(json.dumps({"token": token}).encode())
 
-    def has(self, poll: int, key: str) -> bool:
+    def has_more(self, poll: int) -> bool:
+        """Whether a root had more new slots than the poll could send."""
         files, base = self._open()
-        return files.get_file_info(self._path(base, poll, key)).type == fs.FileType.File
+        found = files.get_file_info(fs.FileSelector(self._folder(base, poll), allow_not_found=True))
+        return any(i.base_name.endswith(MORE) for i in found)
+
+    def mark_more(self, poll: int, key: str) -> None:
+        files, base = self._open()
+        with files.open_output_stream(posixpath.join(self._folder(base, poll), key + MORE)):
+            pass
+
+    def _published(self, poll: int, key: str) -> str | None:
+        """The listing of a root that all attempts go by: the earliest that was published."""
+        files, base = self._open()
+        found = files.get_file_info(fs.FileSelector(self._folder(base, poll), allow_not_found=True))
+        mine = [
+            (i.mtime_ns or 0, i.base_name, i.path)
+            for i in found
+            if i.base_name.startswith(f"{key}.") and i.base_name.endswith(".arrow")
+        ]
+        return min(mine)[2] if mine else None
+
+    def has(self, poll: int, key: str) -> bool:
+        return self._published(poll, key) is not None
 
     def write_once(
         self, poll: int, key: str, schema: pa.Schema, batches: Iterable[pa.RecordBatch]
     ) -> None:
+        """Publish a listing.  On local disks a hard link makes the first one the only one.  Object
+        stores replace what is there, so each attempt has a name of its own and the earliest counts.
+        """
         files, base = self._open()
-        final = self._path(base, poll, key)
-        draft = f"{final}.{uuid.uuid4().hex}"
+        folder = self._folder(base, poll)
+        draft = posixpath.join(folder, f"draft-{uuid.uuid4().hex}")
         with files.open_output_stream(draft) as out, pa.ipc.new_file(out, schema) as writer:
             for batch in batches:
                 writer.write_batch(batch)
         if isinstance(files, fs.LocalFileSystem):
             try:
-                os.link(draft, final)  # never replaces an existing file
+                os.link(draft, posixpath.join(folder, f"{key}.arrow"))
             except FileExistsError:
                 pass
             Path(draft).unlink()
-        elif files.get_file_info(final).type == fs.FileType.File:
-            files.delete_file(draft)
         else:
-            files.move(draft, final)
+            files.move(draft, posixpath.join(folder, f"{key}.{uuid.uuid4().hex}.arrow"))
 
     def read(self, poll: int, key: str) -> Iterator[pa.RecordBatch]:
-        files, base = self._open()
-        with files.open_input_file(self._path(base, poll, key)) as source:
+        files, _ = self._open()
+        with files.open_input_file(self._published(poll, key)) as source:
             reader = pa.ipc.open_file(source)
             for i in range(reader.num_record_batches):
                 yield reader.get_batch(i)
 
+    def names(self, poll: int | None, key: str) -> pa.Array:
+        """Names a root is known to hold since ``poll``; none if it was not listed then."""
+        if poll is None or not self.has(poll, key):
+            return pa.array([], pa.string())
+        found = [batch.column("name") for batch in self.read(poll, key)]
+        return pa.concat_arrays(found) if found else pa.array([], pa.string())
+
     def forget_before(self, poll: int) -> None:
         """Drop listings of polls before ``poll``, whose batches are committed."""
         files, base = self._open()

@@ -6,6 +6,7 @@ by tests through an injected stand-in, never against a real server.
 
 from __future__ import annotations
 
+import errno
 import stat
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from datetime import UTC, datetime
 from typing import Any
 
 from quayline.sources.base import Connector, Slot, require, secret
+from quayline.sources.location import as_file
 
 CHUNK_BYTES = 1 << 20
 
@@ -22,8 +24,9 @@ class SftpConnector(Connector):
     """Every plain, readable file of ``directory`` is a slot dated by its modification time.
 
     Folders, links and files that cannot be opened are left out.  Log in by ``password`` or by
-    ``privateKey`` (a file readable on every executor, optionally encrypted).  The server must be
-    in ``knownHosts`` or in the user's own list.  A file that is gone when fetched is an error.
+    ``privateKey`` (optionally encrypted).  The server must be in ``knownHosts`` or in the user's own
+    list.  Key and list are URLs that every executor can read, or paths on every executor.  A file
+    that is gone when fetched is an error.
     """
 
     host: str = ""
@@ -55,20 +58,22 @@ class SftpConnector(Connector):
             raise ImportError("SFTP needs the paramiko package on driver and executors") from error
         link = paramiko.SSHClient()
         link.load_system_host_keys()
-        if self.knownHosts:
-            link.load_host_keys(self.knownHosts)
+        with as_file(self.knownHosts) as known:
+            if known:
+                link.load_host_keys(known)
         link.set_missing_host_key_policy(paramiko.RejectPolicy())
-        link.connect(
-            self.host,
-            self.port,
-            username=self.user,
-            password=self.password,
-            key_filename=self.privateKey,
-            passphrase=self.privatePassword,
-            timeout=self.timeout / 1000,
-            look_for_keys=False,
-            allow_agent=False,
-        )
+        with as_file(self.privateKey) as key:
+            link.connect(
+                self.host,
+                self.port,
+                username=self.user,
+                password=self.password,
+                key_filename=key,
+                passphrase=self.privatePassword,
+                timeout=self.timeout / 1000,
+                look_for_keys=False,
+                allow_agent=False,
+            )
         return link
 
     def client(self) -> Any:
@@ -94,17 +99,29 @@ class SftpConnector(Connector):
     def list(self, root: str) -> Iterable[Slot]:
         channel = self.client()
         for entry in channel.listdir_attr("."):
-            if stat.S_ISREG(entry.st_mode) and self._opens(channel, entry.filename):
-                yield Slot(
-                    entry.filename, datetime.fromtimestamp(entry.st_mtime, UTC), entry.st_size
-                )
+            if entry.st_mode is None:
+                # The server does not say what it is: ask about this one.
+                entry, name = channel.lstat(entry.filename), entry.filename
+            else:
+                name = entry.filename
+            if not stat.S_ISREG(entry.st_mode or 0) or not self._opens(channel, name):
+                continue
+            stamp = entry.st_mtime
+            date = None if stamp is None else datetime.fromtimestamp(stamp, UTC)
+            yield Slot(name, date, entry.st_size)
 
     @staticmethod
     def _opens(channel: Any, name: str) -> bool:
         try:
             channel.open(name, "rb").close()
-        except OSError:
+        except (PermissionError, FileNotFoundError):
             return False
+        except OSError as error:
+            # The client has no class of its own for these two replies of the server.  Anything
+            # else, such as a lost connection, is a failed listing.
+            if error.errno in (errno.EACCES, errno.ENOENT):
+                return False
+            raise
         return True
 
     def fetch(self, name: str) -> Iterator[bytes]:

@@ -1,25 +1,31 @@
 """Every slot once, as it appears.
 
 poll source → start range → first sight of the name → fetch on executors.  Names already read live
-in streaming state, spread over executors and restored from the checkpoint, not in the driver.
+in streaming state, spread over executors and restored from the checkpoint, not in the driver.  The
+source sends names that are new to the last listing, and nothing when nothing is new: then there is
+no batch.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
-from quayline.operators.ordering import index_slots
+from quayline.operators.ordering import dense_positions, index_slots, slot_order
 from quayline.operators.payload import fetch_lines, ordered_lines
-from quayline.operators.ranges import StartRange, apply_start
+from quayline.operators.polls import listed_names
+from quayline.operators.ranges import NAMES_PER_ROW, StartRange, apply_start
 from quayline.sources.base import MAX_RETRIES, Connector
 from quayline.sources.datasource import poll_reader
+from quayline.sources.location import open_location
 
 log = logging.getLogger(__name__)
 
@@ -32,8 +38,13 @@ class SlotStream:
 
     ``log_dir`` keeps listings until their batch is committed.  It belongs to one query and lies on
     storage all executors share, beside the checkpoint; keep or drop the two together.
-    ``remember`` (such as ``"100 minutes"``) forgets a name that long after its slot was selected; a
-    slot still listed then is read again.  Unset, a name is never read twice.
+    ``max_slots`` bounds the slots of a batch (by listing root, so that it may be passed by less than
+    the number of roots); what is left over comes with the next ones.
+
+    Unless ``remember_batches`` is set, a name is never read twice.  With it, the names of that many
+    batches before a restart are remembered, and all since; a slot of an older batch that is still
+    listed is read again after the restart, and only then.  It needs ``for_each_batch`` with a
+    ``slot_table``, which is where the names are.
     """
 
     spark: SparkSession
@@ -43,28 +54,36 @@ class SlotStream:
     charset: str = "UTF-8"
     max_retries: int = MAX_RETRIES
     poll_interval_ms: int = 1000
-    remember: str | None = None
+    remember_batches: int | None = None
+    max_slots: int | None = None
 
     def listings(self) -> DataFrame:
-        """All slots of every poll: ``name, date, length, poll``, as the connector refines them."""
-        polled = poll_reader(
-            self.spark, self.connector, self.max_retries, self.log_dir, self.poll_interval_ms
+        """Slots as polls find them new: ``name, date, length, poll`` and what the connector adds."""
+        return poll_reader(
+            self.spark,
+            self.connector,
+            self.max_retries,
+            self.log_dir,
+            self.poll_interval_ms,
+            self.max_slots,
         ).load()
-        return self.connector.refine(polled)
 
     def slots(self) -> DataFrame:
         """New slots, each name once."""
-        accepted = apply_start(self.listings(), self.start)
-        if self.remember is None:
-            return accepted.dropDuplicates(["name"])
-        return accepted.withWatermark("poll", self.remember).dropDuplicatesWithinWatermark(["name"])
+        if self.remember_batches is not None:
+            raise ValueError("remember_batches needs for_each_batch with a slot_table")
+        start = self.start
+        if start is None or start.seen is None:
+            return apply_start(self.listings(), start).dropDuplicates(["name"])
+        # Names of a table are compared behind the state, with new names only.
+        dated = apply_start(self.listings(), StartRange(start.date, start.names))
+        return apply_start(dated.dropDuplicates(["name"]), StartRange(seen=start.seen))
 
     def lines(self) -> DataFrame:
         """The lines of new slots, for any sink.
 
         Lines of one slot are in order; order between slots of one batch is left to ``slot_date``,
-        ``slot`` and ``line_no``.  ``for_each_batch`` keeps slot order by itself, and reads large
-        plain slots by several tasks, which needs a look at the whole batch.
+        ``slot`` and ``line_no``.  ``for_each_batch`` keeps slot order by itself.
         """
         lines = fetch_lines(self.slots(), self.connector, self.charset, self.max_retries)
         return lines.observe(OBSERVED, F.count(F.lit(1)).alias("n_lines"))
@@ -72,41 +91,110 @@ class SlotStream:
     def for_each_batch(
         self,
         work: Callable[[DataFrame, DataFrame, int], None],
-        slots_per_partition: int | None = None,
+        slots_per_partition: int = 1,
         slot_table: str | None = None,
+        line_table: str | None = None,
+        report_table: str | None = None,
     ) -> DataStreamWriter:
         """Call ``work(lines, slots, batch_id)`` for every batch that selected at least one slot.
 
-        ``slots`` is the batch's indexed catalogue, read from the checkpoint folder, so using it any
-        number of times lists nothing again.  ``lines`` has one partition per slot, in slot order,
-        and fetches each slot once per action on it.
-
-        With ``slot_table``, the batch's slots are added to that Parquet folder after ``work``, as
-        partition ``batch_id``; a repeated batch replaces its own.  The table says what was read
-        when (``batch_report``, ``batch_descriptions``) and is a start for another stream
-        (``StartRange(seen=...)``), whole or only its last batches.
+        ``slots`` is the batch's indexed catalogue, stored once, so using it any number of times
+        lists nothing again.  ``lines`` has one partition per slot, in slot order, and fetches each
+        slot once per action on it.
+
+        All three tables are Parquet folders with a partition ``batch_id``; a repeated batch replaces
+        its own.  ``slot_table`` gets the batch's slots after ``work``: what was read when, and a
+        start for another stream (``StartRange(seen=...)``).  ``line_table`` gets the lines before
+        ``work``, which is then given them from there, so that every slot is fetched once whatever
+        ``work`` does.  ``report_table``, which needs it, gets ``n_slots, n_lines, min_date,
+        max_date, start`` (the range as JSON), and ``piece, names, n_names``: the names in slot
+        order, as many rows as ``range_summary`` would take.
         """
+        if self.remember_batches is not None and slot_table is None:
+            raise ValueError("remember_batches needs a slot_table")
+        if report_table is not None and line_table is None:
+            raise ValueError("report_table needs a line_table")
+        polled = self.listings() if self.remember_batches is not None else self.slots()
+        if self.remember_batches is not None:
+            polled = apply_start(polled, self.start)
+        first_batch: list[int] = []
 
         def run(selected: DataFrame, batch_id: int) -> None:
-            slots = index_slots(selected)
-            if slots.isEmpty():
-                log.info("batch %d selected no slot", batch_id)
-                return
-            lines = ordered_lines(
-                slots, self.connector, self.charset, self.max_retries, slots_per_partition
-            )
-            work(lines, slots, batch_id)
-            if slot_table is not None:
-                slots.write.mode("overwrite").parquet(f"{slot_table}/batch_id={batch_id}")
-
-        return self.slots().writeStream.foreachBatch(run)
+            first_batch.extend([batch_id] if not first_batch else [])
+            if self.remember_batches is not None:
+                horizon = first_batch[0] - self.remember_batches
+                selected = self._not_remembered(selected, slot_table, horizon, batch_id)
+            # What was selected is written once; everything after reads it from there.
+            place = f"{self.log_dir.rstrip('/')}/selected/batch={batch_id}"
+            selected.write.mode("overwrite").parquet(place)
+            try:
+                slots = self.spark.read.schema(selected.schema).parquet(place)
+                if slots.isEmpty():
+                    log.info("batch %d selected no slot", batch_id)
+                    return
+                slots = index_slots(slots)
+                lines = ordered_lines(
+                    slots, self.connector, self.charset, self.max_retries, slots_per_partition
+                )
+                if line_table is not None:
+                    own = f"{line_table}/batch_id={batch_id}"
+                    lines.write.mode("overwrite").parquet(own)
+                    lines = self.spark.read.schema(lines.schema).parquet(own)
+                work(lines, slots, batch_id)
+                if report_table is not None:
+                    self._report(slots, lines).write.mode("overwrite").parquet(
+                        f"{report_table}/batch_id={batch_id}"
+                    )
+                if slot_table is not None:
+                    slots.write.mode("overwrite").parquet(f"{slot_table}/batch_id={batch_id}")
+            finally:
+                files, path = open_location(place)
+                files.delete_dir(path)
+
+        return polled.writeStream.foreachBatch(run)
+
+    def _not_remembered(
+        self, selected: DataFrame, slot_table: str, horizon: int, batch_id: int
+    ) -> DataFrame:
+        """Slots whose names are in no batch from ``horizon`` to before ``batch_id``."""
+        selected = selected.dropDuplicates(["name"])
+        files, path = open_location(slot_table)
+        found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
+        if not any(i.base_name.startswith("batch_id=") for i in found):
+            return selected
+        seen = self.spark.read.parquet(slot_table).filter(
+            (F.col("batch_id") >= horizon) & (F.col("batch_id") < batch_id)
+        )
+        return selected.join(seen.select("name"), "name", "left_anti").select(*selected.columns)
+
+    def _report(self, slots: DataFrame, lines: DataFrame) -> DataFrame:
+        totals = slots.agg(
+            F.count(F.lit(1)).alias("n_slots"),
+            F.min("date").alias("min_date"),
+            F.max("date").alias("max_date"),
+        ).crossJoin(lines.agg(F.count(F.lit(1)).alias("n_lines")))
+        start = self.start
+        text = None
+        if start is not None:
+            text = StartRange(start.date, start.names).to_json()
+        placed = dense_positions(slots.select("name", "date"), slot_order(["name", "date"]))
+        names = listed_names(placed, NAMES_PER_ROW)
+        return names.crossJoin(F.broadcast(totals)).select(
+            "n_slots", "n_lines", "min_date", "max_date", F.lit(text).cast("string").alias("start"),
+            "piece", "names", "n_names",
+        )
 
 
 @dataclass
 class BatchReportListener(StreamingQueryListener):
-    """Collects ``batch_id`` and ``n_lines`` of the batches of ``SlotStream.lines`` queries."""
+    """Collects ``batch_id`` and ``n_lines`` of the last ``keep`` batches of ``SlotStream.lines``
+    queries."""
+
+    keep: int = 1000
+    batches: deque = field(init=False)
 
-    batches: list[dict] = field(default_factory=list)
+    def __post_init__(self) -> None:
+        self.batches = deque(maxlen=self.keep)
 
     def onQueryStarted(self, event) -> None:  # noqa: ANN001
         pass
@@ -123,4 +211,4 @@ class BatchReportListener(StreamingQueryListener):
         pass
 
     def to_json(self) -> str:
-        return json.dumps(self.batches)
+        return json.dumps(list(self.batches))

@@ -1,18 +1,23 @@
-"""A files connector that fails on purpose, to show what re-tries do."""
+"""A files connector that counts its calls and fails on purpose."""
 
 from __future__ import annotations
 
 import hashlib
 import posixpath
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyarrow import fs
+from pyspark import cloudpickle
 
 from quayline.sources.base import Slot
 from quayline.sources.files import FilesConnector
 from quayline.sources.location import open_location
 
+# Workers cannot import this file.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True, repr=False)
 class FlakyFiles(FilesConnector):

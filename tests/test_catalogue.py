@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
@@ -178,7 +179,7 @@ def test_one_partition_per_slot(spark):
 def test_range_summary(spark, mixed):
     row = range_summary(mixed).select(F.col("range_date").cast("string"), "names").first()
     assert row[0] == "2016-10-12 00:00:00"
-    assert row.names.split("\n") == names(order_slots(mixed))
+    assert row.names == names(order_slots(mixed))
     pieces = range_summary(mixed, names_per_row=2).orderBy("piece").collect()
     assert [(p.piece, p.n_names) for p in pieces] == [(0, 2), (1, 1)]
     assert range_summary(empty_like(mixed)).count() == 0
@@ -188,7 +189,7 @@ def test_range_summary(spark, mixed):
     assert apply_start(mixed, resume_range(range_summary(empty_like(mixed)))).count() == 3
     undated = range_summary(mixed.select("name")).first()
     assert undated.range_date is None
-    assert undated.names.split("\n") == sorted(names(mixed))
+    assert undated.names == sorted(names(mixed))
 
 
 def polls(spark, *rows):
@@ -246,3 +247,39 @@ def test_plans_stay_distributed(spark, mixed):
     indexed = plan_of(index_slots(mixed))
     window = indexed[indexed.index("Window") :]
     assert "HashAggregate(keys=[_part" in window
+
+
+def test_identity(spark):
+    """The length does not tell slots apart, and a zoned bound means its moment."""
+    slots = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1), 1), ("b", datetime(2024, 1, 1), 1)],
+        "name string, date timestamp_ntz, length long",
+    )
+    before = spark.createDataFrame(
+        [("a", datetime(2024, 1, 1), 2)], "name string, date timestamp_ntz, length long"
+    )
+    assert names(exclude_previous(slots, before)) == ["b"]
+    with pytest.raises(ValueError, match="name"):
+        exclude_previous(slots, before.select("length"))
+    for bound, found in (("2024-01-01 01:00:00+02:00", 2), ("2024-01-01 03:00:00+02:00", 0),
+                         (datetime(2024, 1, 1, 1, tzinfo=timezone(timedelta(hours=2))), 2),
+                         ("2024-01-01", 2)):
+        assert between_dates(slots, bound).count() == found
+        assert apply_start(slots, StartRange(bound)).count() == found
+
+
+def test_odd_names_resume(spark):
+    mixed = catalogue(spark, ("a\nb", "2016-10-12"), ("c", "2016-10-13"))
+    token = range_summary(mixed)
+    later = mixed.union(catalogue(spark, ("a", "2016-10-12"), ("b", "2016-10-12")))
+    assert names(apply_start(later, resume_range(token))) == ["a", "b"]
+
+
+def test_packing_is_asked_for(spark):
+    slots = spark.range(300).selectExpr("concat('s', id) AS name")
+    assert one_slot_per_partition(slots).rdd.getNumPartitions() == 300
+    assert one_slot_per_partition(slots, slots_per_partition=7).rdd.getNumPartitions() == 43
+    bounded = one_slot_per_partition(slots, max_partitions=4)
+    assert bounded.rdd.glom().map(len).collect() == [75] * 4
+    with pytest.raises(ValueError, match="greater than 0"):
+        one_slot_per_partition(slots, slots_per_partition=0)

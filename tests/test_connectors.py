@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import errno
 import ftplib
 import io
 import pickle
+import os
 import ssl
 import stat
 from datetime import UTC, datetime
@@ -14,11 +16,13 @@ import pytest
 from pyarrow import fs
 
 from quayline.sources.base import Slot
+from quayline.sources.base import Fetcher
 from quayline.sources.dcm import DcmConnector
 from quayline.sources.files import FilesConnector
 from quayline.sources.ftp import FtpConnector, ProxiedFtp
 from quayline.sources.ftps import FtpsConnector
 from quayline.sources.gcs import GcsConnector
+from quayline.sources.location import as_file, open_location, read_bytes
 from quayline.sources.sftp import SftpConnector
 
 SERVER = {"host": "h", "directory": "d", "user": "u"}
@@ -80,7 +84,9 @@ def test_secrets_are_not_shown():
         FtpConnector(**SERVER, password="hidden", proxyHost="p", proxyPassword="hidden"),
         FtpsConnector(**SERVER, password="hidden", keyPassword="hidden"),
         SftpConnector(**SERVER, password="hidden", privatePassword="hidden"),
-        GcsConnector(bucket="b", access_token="hidden"),
+        GcsConnector(
+            bucket="b", access_token="hidden", tokenExpiration="2030-01-01T00:00:00+00:00"
+        ),
     ):
         assert "hidden" not in repr(connector)
         assert "host='h'" in repr(connector) or "bucket='b'" in repr(connector)
@@ -194,8 +200,25 @@ def test_ftp_fetch(monkeypatch, cls):
     assert b"".join(connector.fetch("a.txt")) == FILES["a.txt"][1]
     assert ("TYPE I",) in connector.client().calls
     assert ("pasv", False) in connector.client().calls
-    # A file that is gone is empty.
+    # A file that is gone is empty, unless that is asked to be an error.
     assert list(connector.fetch("gone.txt")) == []
+    strict = ftp_of(monkeypatch, cls, FakeFtp(FILES), failOnMissing=True)
+    with pytest.raises(ftplib.error_perm, match="550"):
+        list(strict.fetch("gone.txt"))
+
+
+def test_a_busy_file_is_tried_again(monkeypatch):
+    fake, replies = FakeFtp(FILES), [ftplib.error_temp("450 File busy")]
+    transfer = fake.transfercmd
+
+    def busy(command):
+        if replies:
+            raise replies.pop()
+        return transfer(command)
+
+    fake.transfercmd = busy
+    fetcher = Fetcher(ftp_of(monkeypatch, FtpConnector, fake), 1)
+    assert b"".join(fetcher.chunks("a.txt")) == FILES["a.txt"][1]
 
 
 def test_ftp_errors(monkeypatch):
@@ -308,6 +331,64 @@ def test_sftp(monkeypatch):
     connector.close()
 
 
+def test_sftp_lost_connection_is_a_failed_listing(monkeypatch):
+    connector = sftp_of(monkeypatch)
+    channel = connector.client()
+
+    def lost(name, mode):
+        raise OSError("Socket is closed")
+
+    monkeypatch.setattr(channel, "open", lost)
+    with pytest.raises(OSError, match="closed"):
+        list(connector.list(""))
+    for number, found in ((errno.EACCES, 0), (errno.ENOENT, 0)):
+
+        def refused(name, mode, number=number):
+            raise OSError(number, "refused")
+
+        monkeypatch.setattr(channel, "open", refused)
+        assert len(list(connector.list(""))) == found
+
+
+def test_sftp_server_that_sends_no_mode(monkeypatch):
+    connector = sftp_of(monkeypatch)
+    channel = connector.client()
+    whole = {e.filename: e for e in channel.listdir_attr(".")}
+    bare = [SimpleNamespace(filename=n, st_mode=None, st_mtime=None, st_size=None) for n in whole]
+    monkeypatch.setattr(channel, "listdir_attr", lambda path: bare)
+    channel.lstat = lambda name: whole[name]
+    assert [s.name for s in connector.list("")] == ["a.txt"]
+
+
+def test_keys_by_url(tmp_path):
+    (tmp_path / "key").write_bytes(b"secret")
+    with as_file(str(tmp_path / "key")) as path:
+        assert path == str(tmp_path / "key")
+    with as_file(f"file://{tmp_path}/key") as path:
+        assert path != str(tmp_path / "key")
+        with open(path, "rb") as file:
+            assert file.read() == b"secret"
+        assert os.stat(path).st_mode & 0o077 == 0
+    assert not os.path.exists(path)
+    with as_file(None) as path:
+        assert path is None
+    assert read_bytes(f"name://{tmp_path}/key") == b"secret"
+    with pytest.raises(ValueError, match="unsupported scheme 'aaa'"):
+        open_location("aaa:///FOO.txt")
+
+
+def test_bucket_token():
+    """The client itself, which wants a token's end with it."""
+    connector = GcsConnector(
+        bucket="b", access_token="t", tokenExpiration="2030-01-01T00:00:00+00:00"
+    )
+    assert isinstance(connector.file_system()[0], fs.GcsFileSystem)
+    for fields in ({"access_token": "t"}, {"tokenExpiration": "2030-01-01T00:00:00+00:00"},
+                   {"access_token": "t", "tokenExpiration": "2030-01-01T00:00:00"}):
+        with pytest.raises(ValueError, match="together|zone"):
+            GcsConnector(bucket="b", **fields)
+
+
 def test_sftp_without_its_library():
     try:
         import paramiko  # noqa: F401

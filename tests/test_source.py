@@ -29,7 +29,7 @@ from quayline import (
     write_lines,
 )
 from quayline.operators.payload import fetch_lines
-from quayline.plans.flaky import FlakyFiles
+from flaky import FlakyFiles
 from quayline.sources.files import FilesConnector
 
 
@@ -42,7 +42,16 @@ def values(df) -> list[str]:
 
 
 def flaky(folder, **fields):
-    return FlakyFiles(str(folder.path), marks=str(folder.path.parent / "marks"), **fields)
+    marks = str(folder.path.parent / "marks")
+    return FlakyFiles(str(folder.path), skipHidden=True, marks=marks, **fields)
+
+
+def calls(folder, what):
+    """How often a listing of a root, or a fetch of a slot, was begun."""
+    import hashlib
+
+    place = folder.path.parent / "marks" / hashlib.sha256(what.encode()).hexdigest()[:24]
+    return len(list(place.iterdir())) if place.exists() else 0
 
 
 @pytest.fixture
@@ -50,7 +59,7 @@ def files(folder):
     folder.put("example_20161202.txt", date="2016-12-02")
     folder.put("example_20161201.txt", date="2016-12-01", packed=True)
     folder.put("_hidden.txt")
-    return FilesConnector(str(folder.path))
+    return FilesConnector(str(folder.path), skipHidden=True)
 
 
 def test_catalogue(spark, files):
@@ -130,14 +139,19 @@ def test_nested_folders(spark, folder):
     for name in ("top.txt", "a/1.txt", "a/x/2.txt", "a/x/deep/3.txt", "b/y/4.txt", "_no/5.txt"):
         folder.put(name)
     for depth, roots in ((1, 3), (2, 5), (3, 6), (9, 6)):
-        connector = FilesConnector(str(folder.path), recursive=True, rootDepth=depth)
+        connector = FilesConnector(
+            str(folder.path), recursive=True, rootDepth=depth, skipHidden=True
+        )
         slots = read_catalogue(spark, connector)
-        assert slots.rdd.getNumPartitions() == len(connector.roots()) == roots
+        assert len(connector.roots()) == roots
         assert sorted(r.name for r in slots.collect()) == [
             "a/1.txt", "a/x/2.txt", "a/x/deep/3.txt", "b/y/4.txt", "top.txt",
         ]
     assert FilesConnector(str(folder.path)).roots() == [""]
     assert read_catalogue(spark, FilesConnector(str(folder.path))).count() == 1
+    # Nothing is hidden unless that is asked for.
+    everything = FilesConnector(str(folder.path), recursive=True)
+    assert read_catalogue(spark, everything).filter("name = '_no/5.txt'").count() == 1
 
 
 def test_hadoop_paths(spark, files, folder):
@@ -156,6 +170,8 @@ def test_retries(spark, files, folder):
         return index_slots(read_catalogue(spark, connector, max_retries=2))
 
     assert listed(listBadTries=2).count() == 2
+    # Two failures and one listing that succeeds, however often the catalogue is used.
+    assert calls(folder, "list ") == 3
     with pytest.raises(PySparkException, match="failed after 2 re-tries"):
         listed(listBadTries=9)
 
@@ -182,8 +198,47 @@ def test_list_errors(spark, tmp_path):
     empty = read_catalogue(spark, missing, max_retries=0, on_list_error="empty")
     assert empty.collect() == []
     assert ordered_lines(empty, missing).collect() == []
+    # Finding the parts of a tree is part of the listing.
+    tree = FilesConnector(str(tmp_path / "none"), recursive=True)
+    with pytest.raises(PySparkException, match="listing"):
+        read_catalogue(spark, tree, max_retries=0)
+    assert read_catalogue(spark, tree, max_retries=0, on_list_error="empty").collect() == []
+    with pytest.raises(ValueError, match="on_list_error"):
+        read_catalogue(spark, missing, on_list_error="ignore")
+    register_sources(spark)
+    reader = spark.read.format("slots").options(connector="files", recursive="true", maxRetries=0)
+    reader = reader.option("path", str(tmp_path / "none"))
+    with pytest.raises(PySparkException, match="listing"):
+        reader.load().collect()
+    assert reader.option("onListError", "empty").load().collect() == []
     with pytest.raises(PySparkException, match="onListError"):
-        read_catalogue(spark, missing, on_list_error="ignore").collect()
+        reader.option("onListError", "ignore").load().collect()
+
+
+@dataclass(frozen=True, repr=False)
+class HalfListed(FilesConnector):
+    """A tree one folder of which cannot be listed."""
+
+    def list(self, root):
+        yield from super().list(root)
+        if root == "b":
+            raise OSError("listing fails on purpose")
+
+
+def test_a_listing_is_whole_or_nothing(spark, folder):
+    folder.put("a/1.txt")
+    folder.put("b/2.txt")
+    connector = HalfListed(str(folder.path), recursive=True)
+    with pytest.raises(PySparkException, match="listing b"):
+        read_catalogue(spark, connector, max_retries=0)
+    assert read_catalogue(spark, connector, 0, "empty").collect() == []
+    register_sources(spark, half=HalfListed)
+    reader = spark.read.format("slots").options(
+        connector="half", path=str(folder.path), recursive="true", maxRetries=0
+    )
+    assert reader.option("onListError", "empty").load().collect() == []
+    with pytest.raises(PySparkException, match="listing b"):
+        reader.option("onListError", "fail").load().collect()
 
 
 def test_missing_slot(spark, files, folder):
@@ -218,7 +273,18 @@ def test_format_options(spark, files, folder):
     by_options = spark.read.format("slots").option("connector", "files").option(
         "path", str(folder.path)
     )
-    assert by_options.load().count() == 2
+    assert by_options.option("skipHidden", "true").load().count() == 2
+    start = '{"date": "2016-12-02", "slots": []}'
+    assert [r.name for r in by_options.option("start", start).load().collect()] == [
+        "example_20161202.txt"
+    ]
+    named = '{"date": null, "slots": ["example_20161202.txt"]}'
+    assert [r.name for r in by_options.option("start", named).load().collect()] == [
+        "example_20161201.txt"
+    ]
+    # A plug-in stays known whatever else is read or registered.
+    read_catalogue(spark, files)
+    register_sources(spark)
     assert spark.read.format("slots").options(connector="numbers", count=4).load().count() == 4
     with pytest.raises(PySparkException, match="connector must be one of"):
         spark.read.format("slots").option("connector", "other").load().collect()
@@ -256,7 +322,7 @@ def test_metrics_peek_and_sink(spark, files, tmp_path):
     length = len("LINE 001 - example_20161201.txt")
     assert set(found.values()) == {(5, 5 * length)}
     slots = index_slots(read_catalogue(spark, files))
-    first = peek_lines(slots, lambda s: fetch_lines(s, files), 7)
+    first = peek_lines(slots, lambda s: fetch_lines(s, files, first_lines=7), 7)
     assert [(r.slot, r.line_no) for r in first.collect()] == [
         *(("example_20161201.txt", i) for i in range(5)), ("example_20161202.txt", 0),
         ("example_20161202.txt", 1),
@@ -271,6 +337,67 @@ def test_peek_reads_few_slots(spark, folder):
         folder.put(f"f{i:02d}.txt", b"" if i < 3 else [f"{i}"], date="2016-12-01")
     connector = flaky(folder)
     slots = index_slots(read_catalogue(spark, connector))
-    assert values(peek_lines(slots, lambda s: fetch_lines(s, connector), 2)) == ["3", "4"]
-    fetched = len(list((folder.path.parent / "marks").iterdir())) - 1
-    assert fetched <= 8
+    heads = peek_lines(slots, lambda s: fetch_lines(s, connector, first_lines=2), 2)
+    assert values(heads) == ["3", "4"]
+    assert values(heads) == ["3", "4"]
+    # One, two and four slots were looked at, each once, and only one listing was made.
+    fetched = [calls(folder, f"fetch f{i:02d}.txt") for i in range(30)]
+    assert fetched == [1] * 7 + [0] * 23
+    assert calls(folder, "list ") == 1
+
+
+def test_heads_are_read_no_further(spark, folder):
+    folder.put("long.txt", b"line\n" * 4_000_000)
+    connector = FilesConnector(str(folder.path))
+    lines = fetch_lines(read_catalogue(spark, connector), connector, first_lines=3)
+    assert [(r.line_no, r.value) for r in lines.collect()] == [(i, "line") for i in range(3)]
+
+
+@dataclass(frozen=True, repr=False)
+class Growing(FilesConnector):
+    """Grows by a hundred lines when it is read, a chosen number of calls after the listing."""
+
+    marks: str = ""
+    after: int = 0
+
+    def _grow(self, name):
+        import os
+
+        os.makedirs(self.marks, exist_ok=True)
+        done = len(os.listdir(self.marks))
+        open(os.path.join(self.marks, str(done)), "w").close()
+        if done == self.after:
+            with open(os.path.join(self.path, name), "a") as out:
+                out.writelines(f"new {i}\n" for i in range(100))
+
+    def size(self, name):
+        self._grow(name)
+        return super().size(name)
+
+
+@pytest.mark.parametrize("after", [0, 1])
+def test_a_split_slot_that_grows_is_read_whole_or_not_at_all(spark, folder, tmp_path, after):
+    folder.put("a.txt", [f"line {i}" for i in range(100)] + [""])
+    connector = Growing(str(folder.path), marks=str(tmp_path / "m"), after=after)
+    if after:
+        # Between counting the lines of a range and reading another.
+        with pytest.raises(PySparkException, match="changed while it was read"):
+            read_lines(spark, connector, split_bytes=200).collect()
+    else:
+        lines = read_lines(spark, connector, split_bytes=200)
+        # Between listing and cutting: all of it.
+        assert lines.count() == 200
+        assert [r.line_no for r in lines.orderBy("line_no").collect()] == list(range(200))
+
+
+def test_lines_longer_than_ranges(spark, folder):
+    content = b"a\n" + b"x" * 5000 + b"\r\n" + b"y" * 3000 + b"\rz\n\n" + b"w" * 1001
+    folder.put("a.txt", content)
+    connector = FilesConnector(str(folder.path))
+    whole = read_lines(spark, connector).collect()
+    for size in (1, 2, 3, 7, 100, 999, 5001, 5002, 5003, 20_000):
+        if size > 3:
+            assert read_lines(spark, connector, split_bytes=size).collect() == whole
+    unnumbered = read_lines(spark, connector, split_bytes=100, line_numbers=False).collect()
+    assert [r.value for r in unnumbered] == [r.value for r in whole]
+    assert {r.line_no for r in unnumbered} == {None}

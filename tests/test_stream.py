@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import time
 
+import pyarrow as pa
 import pytest
+from pyarrow import fs as pafs
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from conftest import FIVE
 from quayline import (
@@ -14,12 +17,16 @@ from quayline import (
     StartRange,
     batch_descriptions,
     batch_report,
+    read_catalogue,
     register_sources,
+    replayed_slots,
 )
-from quayline.plans.flaky import FlakyFiles
-from quayline.sources.datasource import CATALOGUE_ARROW, PollReader, _batches
-from quayline.sources.base import Slot
+from flaky import FlakyFiles
+from quayline.sources import pollog
+from quayline.sources.datasource import PollReader
+from quayline.sources.dcm import DcmFilesConnector
 from quayline.sources.files import FilesConnector
+from quayline.sources.listing import pages
 from quayline.sources.pollog import PollLog
 
 
@@ -171,15 +178,111 @@ def test_failed_batch_sees_its_first_listing(spark, folder):
 
 
 def test_polls_show_more_slots(spark, folder):
-    for name in ("a.txt", "b.txt", "c.txt"):
+    for name in ("a.txt", "b.txt", "c.txt", "d.txt"):
         folder.put(name)
     marks = str(folder.path.parent / "marks")
     run = Run(spark, folder, connector=FlakyFiles(str(folder.path), marks=marks, splitInside=True))
-    assert [[b[1] for b in run.batches()] for _ in range(4)] == [
-        [["a.txt"]], [["b.txt"]], [["c.txt"]], [],
+    # A poll lists twice: once to see that something is new, once to send it.
+    assert [[b[1] for b in run.batches()] for _ in range(3)] == [
+        [["a.txt", "b.txt"]], [["c.txt", "d.txt"]], [],
     ]
 
 
+def contents(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*"))
+
+
+def test_nothing_new_means_nothing_done(spark, folder):
+    """After a batch, polls that find nothing new leave no batch, file or folder."""
+    for name in ("a.txt", "b.txt"):
+        folder.put(name)
+    base = folder.path.parent
+    marks = str(base / "marks")
+    run = Run(spark, folder, connector=FlakyFiles(str(folder.path), marks=marks))
+    query = (
+        run.stream.lines().writeStream.format("parquet")
+        .option("checkpointLocation", str(base / "checkpoint"))
+        .trigger(processingTime="100 milliseconds").start(str(base / "out"))
+    )
+    try:
+        query.processAllAvailable()
+        time.sleep(1)
+        before = contents(base / "out") + contents(base / "checkpoint") + contents(base / "polls")
+        polls = len(contents(base / "marks"))
+        time.sleep(3)
+        after = contents(base / "out") + contents(base / "checkpoint") + contents(base / "polls")
+        assert after == before
+        assert len(contents(base / "marks")) >= polls + 5  # it did look
+        assert sum(p["numInputRows"] for p in query.recentProgress) == 2
+        folder.put("c.txt")
+        query.processAllAvailable()
+        assert spark.read.parquet(str(base / "out")).count() == 15
+        # Only the new slot was sent.
+        assert sum(p["numInputRows"] for p in query.recentProgress) == 3
+    finally:
+        query.stop()
+
+
+def test_bounded_batches(spark, folder):
+    for i in range(7):
+        folder.put(f"f{i}.txt")
+    base = folder.path.parent
+    stream = SlotStream(
+        spark, FilesConnector(str(folder.path)), str(base / "polls"), poll_interval_ms=1, max_slots=3
+    )
+    sizes = []
+    query = (
+        stream.for_each_batch(lambda found, slots, batch: sizes.append(slots.count()))
+        .option("checkpointLocation", str(base / "checkpoint"))
+        .trigger(processingTime="50 milliseconds").start()
+    )
+    try:
+        deadline = time.time() + 60
+        while sum(sizes) < 7 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert sizes == [3, 3, 1]
+
+
+def test_live_report(spark, folder):
+    base = folder.path.parent
+    run = Run(spark, folder, StartRange("2016-01-01", ("x.txt",)))
+    marks = str(base / "marks")
+    stream = SlotStream(
+        spark, FlakyFiles(str(folder.path), marks=marks), str(base / "polls"), run.stream.start,
+        poll_interval_ms=1,
+    )
+
+    def work(found, slots, batch):
+        found.count()
+        found.collect()
+
+    for names in (("b.txt", "a.txt"), ("old.txt",)):
+        for name in names:
+            folder.put(name, date="2016-02-03" if name == "old.txt" else "2016-12-01")
+        query = (
+            stream.for_each_batch(
+                work, line_table=str(base / "lines"), report_table=str(base / "report")
+            )
+            .option("checkpointLocation", str(base / "checkpoint"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    rows = spark.read.parquet(str(base / "report")).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.n_slots, r.n_lines, r.names, r.n_names) for r in rows] == [
+        (0, 2, 10, ["a.txt", "b.txt"], 2), (1, 1, 5, ["old.txt"], 1),
+    ]
+    assert [str(r.min_date)[:10] for r in rows] == ["2016-12-01", "2016-02-03"]
+    assert rows[0].start == '{"date": "2016-01-01", "slots": ["x.txt"]}'
+    # However often the work reads its lines, a slot is fetched once.
+    import hashlib
+
+    for name in ("a.txt", "b.txt", "old.txt"):
+        key = hashlib.sha256(f"fetch {name}".encode()).hexdigest()[:24]
+        assert len(list((base / "marks" / key).iterdir())) == 1
+
+
 def test_report(spark, folder):
     listener = BatchReportListener()
     spark.streams.addListener(listener)
@@ -198,19 +301,50 @@ def test_report(spark, folder):
         spark.streams.removeListener(listener)
 
 
-def test_forgetful_stream(spark, folder):
-    folder.put("a.txt")
-    stream = SlotStream(
-        spark, FilesConnector(str(folder.path)), str(folder.path.parent / "polls"),
-        remember="100 minutes", poll_interval_ms=1,
-    )
-    query = (
-        stream.lines().writeStream.format("parquet")
-        .option("checkpointLocation", str(folder.path.parent / "checkpoint"))
-        .trigger(availableNow=True).start(str(folder.path.parent / "out"))
+def test_remembered_batches(spark, folder):
+    """Names of batches before the last ones come back after a restart, and never before."""
+    base = folder.path.parent
+    read = []
+
+    def run(batches):
+        stream = SlotStream(
+            spark, FilesConnector(str(folder.path)), str(base / "polls"), poll_interval_ms=1,
+            remember_batches=2,
+        )
+        query = (
+            stream.for_each_batch(
+                lambda found, slots, batch: read.append([r.name for r in slots.collect()]),
+                slot_table=str(base / "table"),
+            )
+            .option("checkpointLocation", str(base / "checkpoint"))
+            .trigger(processingTime="50 milliseconds").start()
+        )
+        try:
+            for name in batches or [None]:
+                if name:
+                    folder.put(name)
+                want = len(read) + 1
+                deadline = time.time() + 60
+                while len(read) < want and time.time() < deadline:
+                    time.sleep(0.1)
+            time.sleep(1.5)
+        finally:
+            query.stop()
+
+    run(["a.txt", "b.txt", "c.txt", "d.txt"])
+    assert read == [["a.txt"], ["b.txt"], ["c.txt"], ["d.txt"]]
+    # Within the run nothing came back, though only two batches are remembered.
+    polls = spark.createDataFrame(
+        [(p, n) for p, names in ((0, "a"), (1, "ab"), (2, "abc"), (3, "abcd"), (4, "abcde"))
+         for n in names],
+        "poll int, name string",
     )
-    query.awaitTermination()
-    assert spark.read.parquet(str(folder.path.parent / "out")).count() == 5
+    again = replayed_slots(polls, F.lit(4), F.lit(2))
+    folder.put("e.txt")
+    run([])
+    assert sorted(read[4]) == sorted([f"{r.name}.txt" for r in again.collect()] + ["e.txt"])
+    with pytest.raises(ValueError, match="slot_table"):
+        SlotStream(spark, FilesConnector("/x"), "/y", remember_batches=1).lines()
 
 
 def test_format(spark, folder):
@@ -230,28 +364,64 @@ def test_format(spark, folder):
     assert [r.name for r in spark.table("listed").collect()] == ["a.txt"]
 
 
-def test_poll_log(tmp_path):
+def test_dcm_format(spark, folder):
+    names = ("dcm_account1_click_2016092602_x.csv", "dcm_account1_activity_20160927_x.csv", "other")
+    for name in names:
+        folder.put(name)
+    register_sources(spark)
+    reader = spark.read.format("slots").options(connector="dcm_files", path=str(folder.path))
+    assert {(r.dcm_type, str(r.date)) for r in reader.load().collect()} == {
+        ("click", "2016-09-26 02:00:00"), ("activity", "2016-09-27 00:00:00"),
+    }
+    some = reader.option("types", '["click"]').load()
+    assert [r.name for r in some.collect()] == [names[0]]
+    catalogue = read_catalogue(spark, DcmFilesConnector(str(folder.path)))
+    assert catalogue.columns == ["name", "date", "length", "dcm_type"]
+    assert catalogue.count() == 2
+
+
+LISTED = pa.schema([("name", pa.string()), ("date", pa.timestamp("us", "UTC")), ("length", pa.int64())])
+
+
+@pytest.mark.parametrize("linked", [True, False])
+def test_poll_log(tmp_path, linked, monkeypatch):
+    if not linked:
+        # As on an object store, where a link cannot be made.
+        class Store(pafs.SubTreeFileSystem):
+            pass
+
+        monkeypatch.setattr(
+            pollog, "open_location", lambda where: (Store("/", pafs.LocalFileSystem()), where[5:])
+        )
     log = PollLog(f"file:{tmp_path}/polls")
     assert log.latest() == 0
-    log.open_poll(5)
-    first, second = [Slot("a", None, 1)], [Slot("b", None, 2)]
-    log.write_once(5, "k", CATALOGUE_ARROW, _batches(first))
+    log.open_poll(5, "t")
+    log.write_once(5, "k", LISTED, pages([("a", None, 1)], LISTED))
     # Another attempt of the same task does not replace what the first one published.
-    log.write_once(5, "k", CATALOGUE_ARROW, _batches(second))
+    log.write_once(5, "k", LISTED, pages([("b", None, 2)], LISTED))
     assert [b.to_pylist() for b in log.read(5, "k")] == [[{"name": "a", "date": None, "length": 1}]]
     assert log.has(5, "k")
     assert not log.has(5, "other")
-    log.open_poll(9)
+    assert log.names(5, "k").to_pylist() == ["a"]
+    assert log.names(None, "k").to_pylist() == []
+    assert not log.has_more(5)
+    log.mark_more(5, "k")
+    assert log.has_more(5)
+    log.open_poll(9, "t")
     assert log.latest() == 9
     log.forget_before(9)
     assert not log.has(5, "k")
 
 
 def test_offsets_never_go_back(tmp_path):
-    reader = PollReader(FilesConnector("/x"), 0, str(tmp_path / "polls"), 1000)
-    now = reader.latestOffset()["poll"]
-    assert now % 1000 == 0
-    later = now + 3_600_000
-    reader.log.open_poll(later)
-    assert reader.latestOffset() == {"poll": later}
-    assert reader.partitions({"poll": later}, {"poll": later}) == []
+    (tmp_path / "in").mkdir()
+    reader = PollReader(FilesConnector(str(tmp_path / "in")), 0, str(tmp_path / "polls"), 1000)
+    now = reader.latestOffset()
+    assert now["poll"] % 1000 == 0
+    assert reader.latestOffset() == now
+    later = now["poll"] + 3_600_000
+    reader.log.open_poll(later, "t")
+    (tmp_path / "in" / "a").touch()
+    again = PollReader(FilesConnector(str(tmp_path / "in")), 0, str(tmp_path / "polls"), 1000)
+    assert again.latestOffset()["poll"] == later + 1
+    assert again.partitions({"poll": later}, {"poll": later}) == []

@@ -86,9 +86,15 @@ def test_ranges_cover_each_line_once(text, width, size):
         def chunks(self, name, start=0, stop=None):
             return iter(chunked(data[start:stop], size))
 
+        def unchanged(self, name, version):
+            pass
+
+    starts = range(0, len(data), width)
+    # The last range is open.
+    stops = [a + width if a + width < len(data) else None for a in starts]
     parts = [
-        lines_in(_range_blocks(Source(), "s", a, a + width, "UTF-8"))
-        for a in range(0, len(data), width)
+        lines_in(_range_blocks(Source(), "s", (a, b, None), "UTF-8"))
+        for a, b in zip(starts, stops, strict=True)
     ]
     assert [line for part in parts for line in part] == model(text)
 
