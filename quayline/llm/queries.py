@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,26 @@ from quayline.llm.minmax import near_duplicates
 from quayline.llm.mixing import mix_sources
 from quayline.llm.pieces import encoding_digests, read_model
 from quayline.llm.pivots import top_products
-from quayline.llm.secretscan import scan_secrets, written_spans
+from quayline.llm.secretscan import (
+    ACCESS,
+    ALPHABETS,
+    ASSIGN,
+    ASSIGN_LEAST,
+    BINS_PER_DECADE,
+    CHANGES,
+    CLASSES,
+    COINCIDENCE,
+    CORRELATION,
+    FALSE_DISCOVERIES,
+    HEX,
+    KINDS,
+    LAST_BIN,
+    MARKS,
+    TOKEN,
+    WIDEST,
+    scan_secrets,
+    written_spans,
+)
 from quayline.llm.toxicity import score_toxicity, train_toxicity
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -122,7 +143,85 @@ def op10_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.drop("kept_share", "n_shingles")
 
 
-@query("op8_secrets")
+def _located_sql(pattern: str, kind: int, least: int = 0, group: int = 0) -> str:
+    """Matches as structs of start, kind, end and value, by the lengths of what lies between them."""
+    return f"""list_filter(list_transform([{{
+        'm': regexp_extract_all(text, '{pattern}'), 'g': string_split_regex(text, '{pattern}'),
+        'v': regexp_extract_all(text, '{pattern}', {group})}}], lambda f:
+      list_transform(range(1, len(f.m) + 1), lambda i: {{
+        'start': coalesce(list_sum(list_transform(f.g[1:i], lambda t: length(t))), 0)::int
+          + coalesce(list_sum(list_transform(f.m[1:i - 1], lambda t: length(t))), 0)::int,
+        'kind': {kind}, 'size': length(f.m[i]), 'value': f.v[i]}}))[1],
+      lambda s: length(s.value) >= {least})"""
+
+
+def _written_sql(spans: str) -> str:
+    return f"""coalesce(array_to_string(list_transform({spans}, lambda s:
+      {list(KINDS)}[s.kind + 1] || ':' || s.start || ':' || (s.start + s.size)), ','), '')"""
+
+
+def _secrets_sql() -> str:
+    assign = ASSIGN.replace("'", "''")
+    alphabets = " ".join(
+        f"WHEN regexp_matches(token, '{pattern}') THEN '{symbols}'" for pattern, symbols in ALPHABETS
+    )
+    classes = " + ".join(f"(length(value) >= {c})::int" for c in CLASSES[1:])
+    spans = "list_transform({}, lambda s: {{'start': s.start, 'kind': s.kind, 'size': s.size}})"
+    return rf"""WITH texts AS (
+      SELECT doc_id, coalesce(text, '') AS text FROM documents), found AS (
+      SELECT doc_id, list_sort(list_concat({spans.format(_located_sql(assign, 0, ASSIGN_LEAST, 2))},
+          {spans.format(_located_sql(ACCESS, 1))}, {spans.format(_located_sql(HEX, 2))})) AS base,
+        {_located_sql(TOKEN, 3)} AS tokens
+      FROM texts), tokens AS (
+      SELECT DISTINCT unnest(tokens).value AS token FROM found), bodies AS (
+      SELECT token, translate(rtrim(translate(token, '=', ' ')), '-_ ', '+/') AS body,
+        CASE {alphabets} ELSE '{WIDEST}' END AS symbols
+      FROM tokens), measured AS (
+      SELECT token, body, symbols, length(body)::double AS n, length(symbols)::double AS size,
+        list_sum(list_transform(string_split(symbols, ''), lambda c:
+          pow((length(body) - length(replace(body, c, '')))::double, 2))) AS squares,
+        list_transform(string_split(body, ''), lambda c: instr(symbols, c)::double) AS v,
+        translate(body, '{string.ascii_lowercase + string.ascii_uppercase + string.digits + MARKS}',
+          '{"a" * 26 + "A" * 26 + "0" * 10 + "+" * len(MARKS)}') AS kinds
+      FROM bodies), moments AS (
+      SELECT *, list_sum(v) / n AS mid,
+        list_sum(list_transform(range(1, len(kinds)),
+          lambda i: (kinds[i] <> kinds[i + 1])::int)) AS changes,
+        greatest({COINCIDENCE}, 1.5 / size) AS alike
+      FROM measured), tests AS (
+      SELECT token, n, (size * (1 + (n - 1) * alike) - n - (size / n * squares - n))
+          / sqrt(2 * (size - 1) + 4 * n * (size * alike - 1)) AS z1,
+        (changes - (n - 1) * {CHANGES}) / sqrt((n - 1) * {CHANGES} * (1 - {CHANGES})) AS z2,
+        list_sum(list_transform(v, lambda x: x * x)) - n * mid * mid AS square,
+        list_sum(list_transform(range(1, len(v)), lambda i: (v[i] - mid) * (v[i + 1] - mid))) AS steps
+      FROM moments), combined AS (
+      SELECT token, n, -(ln(CASE WHEN z1 > 0 THEN 0.5 * exp(-z1 * z1 / 2) ELSE 1.0 END)
+        + ln(CASE WHEN z2 > 0 THEN 0.5 * exp(-z2 * z2 / 2) ELSE 1.0 END)
+        + ln(CASE WHEN z3 > 0 THEN 0.5 * exp(-z3 * z3 / 2) ELSE 1.0 END)) AS x
+      FROM (SELECT *, ({CORRELATION} - abs(CASE WHEN square > 0 THEN steps / square ELSE 1.0 END))
+        * sqrt(n) AS z3 FROM tests)), binned AS (
+      SELECT token, token AS value, least(floor(CASE WHEN n < 2 THEN 0.0 ELSE greatest(0.0,
+          (x - ln(1 + x + x * x / 2)) / ln(10.0)) END * {BINS_PER_DECADE}), {LAST_BIN})::int AS bin
+      FROM combined), classed AS (
+      SELECT token, bin, {classes} AS class FROM binned), counted AS (
+      SELECT class, bin, sum(count(*)) OVER (PARTITION BY class ORDER BY bin DESC) AS up_to,
+        sum(count(*)) OVER (PARTITION BY class) AS tested
+      FROM classed GROUP BY class, bin), limits AS (
+      SELECT class, min(bin) AS least FROM counted
+      WHERE pow(10.0, -bin / {float(BINS_PER_DECADE)}) * tested <= {FALSE_DISCOVERIES} * up_to
+      GROUP BY class), random AS (
+      SELECT list(token) AS random FROM classed JOIN limits USING (class) WHERE bin >= least), kept AS (
+      SELECT doc_id, base, list_sort(list_concat(base, {spans.format(
+          "list_filter(tokens, lambda s: list_contains(coalesce(random, []), s.value))")})) AS spans
+      FROM found, random)
+    SELECT doc_id, len(list_filter(base, lambda s: s.kind = 0))::bigint AS n_assign,
+      len(list_filter(base, lambda s: s.kind = 1))::bigint AS n_access,
+      len(list_filter(base, lambda s: s.kind = 2))::bigint AS n_hex,
+      sha256({_written_sql("base")}) AS base_sha256, {_written_sql("spans")} AS spans
+    FROM kept"""
+
+
+@query("op8_secrets", _secrets_sql())
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -134,7 +233,32 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op5_minmax")
+LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+
+@query(
+    "op5_minmax",
+    rf"""WITH RECURSIVE worded AS (
+      SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents), sets AS (
+      SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::varchar[] ELSE list_transform(
+        range(1, greatest(len(w) - 1, 2)), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+      FROM worded), items AS (
+      SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets), pairs AS (
+      SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c, any_value(a.n) + any_value(b.n) AS n
+      FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+        AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+      GROUP BY ALL), links AS (
+      SELECT i, j FROM pairs WHERE 100 * c >= 85 * (n - c)), both_ways AS (
+      SELECT i, j FROM links UNION ALL SELECT j, i FROM links), reached AS (
+      SELECT i, j FROM both_ways UNION
+      SELECT r.i, b.j FROM reached r JOIN both_ways b ON r.j = b.i), least AS (
+      SELECT i, min(j) AS j FROM reached GROUP BY i)
+    SELECT doc_id, len(s)::bigint AS n_shingles, least(doc_id, j) AS component_id,
+      doc_id = least(doc_id, j) AS kept
+    FROM sets LEFT JOIN least ON doc_id = i""",
+)
 def op5_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
