@@ -112,7 +112,7 @@ def event_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Parts of the documents that become folders of files, and whether their files are gzipped.
 PARTS_OF_DOCUMENTS = (("english", "lang = 'en'", True), ("other", "lang <> 'en'", False))
-DOCUMENTS_PER_FILE = 100
+DOCUMENTS_PER_FILE = 1000
 
 
 def write_document_files(docs: DataFrame, path: str, packed: bool) -> None:

@@ -534,9 +534,9 @@ def run_url_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Connectors and streams
 
 
-# Files hold the documents of a hundred ids each; a line says which line of which document it is.
+# Files hold the documents of a thousand ids each; a line says which line of which document it is.
 FILED = f"""{LINES}, filed AS (
-  SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS part, doc_id // 100 AS bucket,
+  SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS part, doc_id // 1000 AS bucket,
          doc_id, line_no AS own_line, doc_id || chr(9) || line_no || chr(9) || value AS value
   FROM lines JOIN docs ON name = slot), numbered AS (
   SELECT part, bucket, value, doc_id, row_number() OVER (
