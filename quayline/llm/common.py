@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+import hashlib
+import sys
+import types
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,13 +15,13 @@ from pyspark.sql import functions as F
 
 from quayline.session import scratch_path
 
+T = TypeVar("T")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 # Words are runs of anything but space and the five control characters of white space.
 WORD = r"[^\x20\x09-\x0D]+"
-WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -51,13 +56,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
-    """Arrow batches in small runs of rows, so that Python strings of few texts exist at a time."""
+    """Arrow batches in small runs of rows, so that Python strings of few texts exist at a time.
+
+    A worker process runs many tasks.  The functions of an earlier task, and the models in them, are
+    reference cycles that Python would keep for long, as few objects are made: they go first, and
+    with them the buffers that Arrow keeps for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
 
 
-def word_count(text: str = "text") -> Column:
-    """Words of a text; 0 for null."""
-    gaps = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WORD, "w")
-    return F.length(F.regexp_replace(gaps, WORD_GAP, "")).cast("long")
+def per_worker(kind: str, content: bytes, make: Callable[[], T]) -> T:
+    """``make()``, kept for all tasks that a worker process runs on the same ``content``.  Functions
+    travel by value, with module variables of their own in each task; a module made in the worker
+    outlives them."""
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    key = f"{kind}-{hashlib.blake2b(content, digest_size=16).hexdigest()}"
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -11,9 +11,11 @@ twice; a table per task moves nothing, and a lost task only has to be run again.
 from __future__ import annotations
 
 import hashlib
+from array import array as pack
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from quayline.llm.common import slices
 
 MARK = "▁"
 # Distinct chunks held by a task at a time.  A full table is emptied, which costs only time.
-TABLE_ENTRIES = 250_000
+TABLE_ENTRIES = 200_000
 
 
 def read_model(path: str) -> bytes:
@@ -69,35 +71,60 @@ class ChunkTable:
     def __init__(self, model: bytes, entries: int = TABLE_ENTRIES) -> None:
         self.processor = SentencePieceProcessor(model_proto=model)
         self.entries = entries
-        self.ids: dict[str, list[int]] = {}
+        self.ids: dict[str, bytes] = {}
         self.written: dict[str, str] = {}
+        # Only chunks that decoding does not give back as they are.
         self.texts: dict[str, str] = {}
 
     def add(self, texts: list[list[str]]) -> None:
         """Segment the chunks of ``texts`` that are not in the table."""
         if len(self.ids) > self.entries:
             self.ids, self.written, self.texts = {}, {}, {}
-        new = list(dict.fromkeys(c for c in chain.from_iterable(texts) if c not in self.ids))
+        new = list(set(chain.from_iterable(texts)).difference(self.ids))
         if not new:
             return
         encoded = self.processor.encode(new, num_threads=1)
         # A marker alone cannot be asked for: an empty text has no marker.
-        encoded = [e if c else [self.processor.piece_to_id(MARK)] for c, e in zip(new, encoded, strict=True)]
+        marker = [self.processor.piece_to_id(MARK)]
+        encoded = [e if c else marker for c, e in zip(new, encoded, strict=True)]
         decoded = self.processor.decode(encoded, num_threads=1)
         for chunk, ids, text in zip(new, encoded, decoded, strict=True):
-            self.ids[chunk] = ids
-            self.written[chunk] = " ".join(map(str, ids))
-            self.texts[chunk] = " " + text
+            self.ids[chunk] = pack("i", ids).tobytes()
+            if text != chunk:
+                self.texts[chunk] = text
 
-    def encode(self, chunks: list[str]) -> list[int]:
-        return list(chain.from_iterable(map(self.ids.__getitem__, chunks)))
+    def encode(self, chunks: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.ids.__getitem__, chunks)), np.int32)
+
+    def _write(self, chunk: str) -> str:
+        own = self.written.get(chunk)
+        if own is None:
+            ids = np.frombuffer(self.ids[chunk], np.int32).tolist()
+            own = self.written[chunk] = " ".join(map(str, ids))
+        return own
 
     def written_ids(self, chunks: list[str]) -> str:
-        return " ".join(map(self.written.__getitem__, chunks))
+        return " ".join(map(self._write, chunks))
 
     def decode(self, chunks: list[str]) -> str:
-        """The text of the chunks' ids: the texts of the chunks without the first marker."""
-        return "".join(map(self.texts.__getitem__, chunks))[1:]
+        """The text of the chunks' ids: each chunk's text behind its marker, but for the first
+        marker."""
+        odd = self.texts
+        if not odd:
+            return " ".join(chunks)
+        return " ".join([odd.get(c, c) for c in chunks])
+
+
+def _id_lists(
+    table: ChunkTable, parts: list[list[str]], end_id: int | None
+) -> tuple[np.ndarray, pa.ListArray]:
+    """Number of ids, and the ids, of each text, as one array with offsets."""
+    end = np.array([] if end_id is None else [end_id], np.int32)
+    own = [np.concatenate([table.encode(p), end]) for p in parts]
+    counts = np.array([len(o) for o in own], np.int64)
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    values = np.concatenate(own) if own else end[:0]
+    return counts, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
 def encode_documents(docs: DataFrame, model: bytes, end_id: int | None = 2) -> DataFrame:
@@ -109,10 +136,9 @@ def encode_documents(docs: DataFrame, model: bytes, end_id: int | None = 2) -> D
     """
 
     def make(table: ChunkTable, batch: pa.RecordBatch, parts: list[list[str]]) -> dict[str, list]:
-        end = [] if end_id is None else [end_id]
-        ids = [table.encode(p) + end for p in parts]
+        counts, ids = _id_lists(table, parts, end_id)
         return {
-            "n_tokens": [len(i) for i in ids],
+            "n_tokens": counts,
             "ids": ids,
             "decoded": [table.decode(p) for p in parts],
         }
@@ -143,11 +169,10 @@ def encode_rows(docs: DataFrame, model: bytes, end_id: int | None = 2) -> DataFr
     back, a null one as empty) in place of ``text``."""
 
     def make(table: ChunkTable, batch: pa.RecordBatch, parts: list[list[str]]) -> dict[str, list]:
-        end = [] if end_id is None else [end_id]
-        ids = [table.encode(p) + end for p in parts]
+        counts, ids = _id_lists(table, parts, end_id)
         texts = batch.column("text").to_pylist()
         return {
-            "n_tokens": [len(i) for i in ids],
+            "n_tokens": counts,
             "ids": ids,
             "exact": [table.decode(p) == (t or "") for p, t in zip(parts, texts, strict=True)],
         }
@@ -174,7 +199,10 @@ def _encoded(
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in others],
-                    *[pa.array(made[n], t) for n, t in zip(names, types, strict=True)],
+                    *[
+                        made[n] if isinstance(made[n], pa.Array) else pa.array(made[n], t)
+                        for n, t in zip(names, types, strict=True)
+                    ],
                 ],
                 names=[*others, *names],
             )
