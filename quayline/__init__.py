@@ -28,6 +28,7 @@ from quayline.operators.payload import (
     payload_lines,
     peek_lines,
     read_lines,
+    read_metrics,
     slot_metrics,
     text_lines,
     write_lines,
@@ -77,6 +78,7 @@ __all__ = [
     "range_summary",
     "read_catalogue",
     "read_lines",
+    "read_metrics",
     "register_sources",
     "replayed_slots",
     "resume_range",

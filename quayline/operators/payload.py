@@ -435,6 +435,47 @@ def slot_metrics(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_metrics(
+    slots: DataFrame,
+    connector: Connector,
+    charset: str = "UTF-8",
+    max_retries: int = MAX_RETRIES,
+) -> DataFrame:
+    """``slot, slot_date, content_bytes, records, characters`` of every slot, read once and counted as
+    it passes: the bytes that were transferred, and lines and characters of the decoded text."""
+    schema = T.StructType(
+        [
+            *lines_schema(slots).fields[:2],
+            *[T.StructField(n, T.LongType()) for n in ("content_bytes", "records", "characters")],
+        ]
+    )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with closing(Fetcher(connector, max_retries)) as fetcher:
+            for batch in batches:
+                counts = []
+                for name in batch.column("slot").to_pylist():
+                    passed = [0]
+
+                    def counted(name: str = name, passed: list[int] = passed) -> Iterator[bytes]:
+                        for chunk in fetcher.chunks(name):
+                            passed[0] += len(chunk)
+                            yield chunk
+
+                    records = characters = 0
+                    for block in iter_blocks(counted(), charset):
+                        ends = block.count("\n")
+                        records += ends + 1
+                        characters += len(block) - ends
+                    counts.append((passed[0], records, characters))
+                columns = list(zip(*counts, strict=True)) or [(), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, *[pa.array(c, pa.int64()) for c in columns]], names=schema.names
+                )
+
+    return slots.select(*_keys(slots)).mapInArrow(read, schema)
+
+
 def peek_lines(
     slots: DataFrame, to_lines: Callable[[DataFrame], DataFrame], n: int = 10
 ) -> DataFrame:

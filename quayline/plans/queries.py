@@ -23,6 +23,7 @@ from quayline.operators.payload import (
     payload_lines,
     peek_lines,
     read_lines,
+    read_metrics,
     slot_metrics,
     text_lines,
     write_lines,
@@ -573,6 +574,20 @@ def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(read_lines(spark, files, split_bytes=64 << 10))
 
 
+@query(
+    "slots_read_metrics",
+    f"""WITH {FILED} SELECT part, bucket, count(*) AS records, sum(length(value))::bigint AS characters,
+          CASE WHEN part = 'other' THEN sum(strlen(value) + 1)::bigint END AS plain_bytes
+        FROM numbered GROUP BY part, bucket""",
+)
+def slots_read_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What passed when each file was read; the bytes of gzipped ones are the compressor's affair."""
+    files = _files(document_files(spark, sf_dir))
+    found = _filed(read_metrics(read_catalogue(spark, files), files))
+    plain = F.when(F.col("part") == "other", F.col("content_bytes"))
+    return found.select("part", "bucket", "records", "characters", plain.alias("plain_bytes"))
+
+
 @query("slots_hadoop_scan", f"WITH {FILED} SELECT part, bucket, value FROM numbered")
 def slots_hadoop_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = hadoop_lines(spark, document_files(spark, sf_dir), recursive=True)

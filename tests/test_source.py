@@ -24,6 +24,7 @@ from quayline import (
     peek_lines,
     read_catalogue,
     read_lines,
+    read_metrics,
     register_sources,
     slot_metrics,
     write_lines,
@@ -346,6 +347,21 @@ def test_peek_reads_few_slots(spark, folder):
     assert calls(folder, "list ") == 1
 
 
+def test_read_metrics(spark, folder):
+    import gzip
+
+    folder.put("plain.txt", "é\nb\r\n".encode())
+    folder.put("zipped.txt", ["abc"], packed=True)
+    folder.put("empty.txt", b"")
+    connector = FilesConnector(str(folder.path))
+    found = read_metrics(read_catalogue(spark, connector), connector)
+    assert {r.slot: tuple(r)[2:] for r in found.collect()} == {
+        "plain.txt": (6, 2, 2),
+        "zipped.txt": (len(gzip.compress(b"abc")), 1, 3),
+        "empty.txt": (0, 0, 0),
+    }
+
+
 def test_heads_are_read_no_further(spark, folder):
     folder.put("long.txt", b"line\n" * 4_000_000)
     connector = FilesConnector(str(folder.path))
