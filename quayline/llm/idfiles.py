@@ -19,6 +19,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array as pack
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,18 +29,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quayline.llm.common import slices, staged
+from quayline.llm.common import per_worker, slices, staged
 from quayline.session import scratch_path
 from quayline.sources.location import open_location
 
 MAGIC = b"QLIDS001"
 # Magic; documents, ids, documents without id, bytes an id; smallest id; bytes of both sequences.
-HEADER = struct.Struct("<8sQQQQqQQ")
-SEQUENCE = struct.Struct("<QQQQ")  # values, low bits, bytes of low bits, bytes of high bits
+HEADER = "<8sQQQQqQQ"
+SEQUENCE = "<QQQQ"  # values, low bits, bytes of low bits, bytes of high bits
 SAMPLE = 256
 # Ids in a file, unless one document has more, and distinct words held by a task at a time.
 FILE_IDS = 4_000_000
-TABLE_ENTRIES = 250_000
+TABLE_ENTRIES = 400_000
+# Letters whose lower case is not in dispute, then marks but for the apostrophe.
+PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-įı-ſ]+)([!-&(-/:-@\[-`{-~]*)")
 GAP_FREE = re.compile(r"[^ \t-\r]+")
 
 
@@ -47,8 +50,8 @@ class EliasFano:
     """A non-decreasing sequence of non-negative integers, read from ``to_bytes()`` of another."""
 
     def __init__(self, data: bytes) -> None:
-        self.count, self.low_bits, low, high = SEQUENCE.unpack_from(data)
-        at = SEQUENCE.size
+        self.count, self.low_bits, low, high = struct.unpack_from(SEQUENCE, data)
+        at = struct.calcsize(SEQUENCE)
         self.low = np.frombuffer(data, np.uint8, low, at)
         self.high = np.frombuffer(data, np.uint8, high, at + low)
         samples = (self.count + SAMPLE - 1) // SAMPLE
@@ -66,7 +69,7 @@ class EliasFano:
         bits = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         bits[ones] = 1
         high = np.packbits(bits, bitorder="little")
-        head = SEQUENCE.pack(n, low_bits, len(low), len(high))
+        head = struct.pack(SEQUENCE, n, low_bits, len(low), len(high))
         return head + low.tobytes() + high.tobytes() + ones[::SAMPLE].astype("<u8").tobytes()
 
     def _lows(self, first: int, count: int) -> np.ndarray:
@@ -109,8 +112,8 @@ def pack_file(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
     bounds = EliasFano.to_bytes(ends)
     names = EliasFano.to_bytes(known.astype(np.uint64) - np.uint64(least % (1 << 64)))
     total = int(ends[-1]) if len(ends) else 0
-    head = HEADER.pack(
-        MAGIC, len(ids), total, len(ids) - len(known), width, least, len(bounds), len(names)
+    head = struct.pack(
+        HEADER, MAGIC, len(ids), total, len(ids) - len(known), width, least, len(bounds), len(names)
     )
     return b"".join([head, *ids, bounds, names])
 
@@ -120,11 +123,11 @@ class IdFile:
 
     def __init__(self, data: bytes) -> None:
         (magic, self.count, self.total, self.nulls, width, self.least, bounds, names) = (
-            HEADER.unpack_from(data)
+            struct.unpack_from(HEADER, data)
         )
         if magic != MAGIC:
             raise ValueError("not a file of ids")
-        at = HEADER.size
+        at = struct.calcsize(HEADER)
         self.ids = np.frombuffer(data, f"<u{width}", self.total, at)
         at += self.total * width
         self.ends = EliasFano(data[at : at + bounds])
@@ -141,29 +144,62 @@ class IdFile:
         return [None] * self.nulls + [self.least + int(v) for v in self.names.values()]
 
 
-class WordTable:
-    """Ids, as bytes, of each distinct word met so far.
+def _byte_letters() -> dict[int, str]:
+    """The letters byte-level tokenizers write bytes as: printable Latin-1 stands for itself, the
+    other bytes in turn for the characters from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+class WordTable(dict):
+    """Ids, as bytes, of each distinct word met so far, filled as words are asked for.
 
     The tokenizer drops white space and none of its tokens crosses it, so a text's ids are those of
-    its words in turn; each distinct word is encoded once by the library.
+    its words in turn; each distinct word is encoded once by the library.  Of a word of letters with
+    marks after it, both are looked up apart, the letters in lower case, and letters go straight to
+    the library's model: the tokenizer would lower and part them so too, which a few probes confirm
+    first.  Every other word takes the whole way through the library.
     """
 
-    def __init__(self, tokenizer: str, width: int, entries: int = TABLE_ENTRIES) -> None:
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.kind = np.dtype(f"<u{width}")
+    def __init__(self, tokenizer: Tokenizer, width: int, entries: int = TABLE_ENTRIES) -> None:
+        super().__init__()
+        self.tokenizer = tokenizer
+        self.model = self.tokenizer.model
+        self.code = "H" if width == 2 else "I"
         self.entries = entries
-        self.known: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.parted = all(
+            self._of_letters(core.lower()) + self._whole(marks) == self._whole(core + marks)
+            for core, marks in (("Probing", "&&."), ("Àéſß", "..."), ("THE", "%"), ("iı", ""))
+        )
+
+    def _whole(self, word: str) -> bytes:
+        return pack(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _of_letters(self, core: str) -> bytes:
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(self.letters)
+        return pack(self.code, [t.id for t in self.model.tokenize(core)]).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        found = PLAIN.fullmatch(word) if self.parted else None
+        if not found:
+            ids = self._whole(word)
+        else:
+            core = found[1].lower()
+            if core == word:
+                ids = self._of_letters(core)
+            else:
+                ids = self[core] + self[found[2]] if found[2] else self[core]
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [GAP_FREE.findall(t) if t else [] for t in texts]
-        if len(self.known) > self.entries:
-            self.known = {}
-        new = list(dict.fromkeys(w for ws in words for w in ws if w not in self.known))
-        for word, found in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            self.known[word] = np.array(found.ids, self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+        if len(self) > self.entries:
+            self.clear()
+        get = self.__getitem__
+        return [b"".join(map(get, GAP_FREE.findall(t))) if t else b"" for t in texts]
 
 
 def read_tokenizer(path: str) -> str:
@@ -183,7 +219,7 @@ def write_id_files(
     document and write files below ``path``.  Returns the manifest: ``part``, ``seq``, ``file``,
     ``n_docs``, ``n_ids``, ``start`` (ids in all files before).
 
-    Documents are ordered by id, null ids first, equal ids by a hash of the text and then the text.
+    Documents are ordered by id, null ids first, equal ids by a hash of the text.
     A null text is an empty one.  An empty table gives an empty manifest.
     """
     width = 2 if Tokenizer.from_str(tokenizer).get_vocab_size(True) <= 1 << 16 else 4
@@ -193,7 +229,9 @@ def write_id_files(
         store, folder = open_location(path)
         store.create_dir(folder, recursive=True)
         part, seq = TaskContext.get().partitionId(), 0
-        words = WordTable(tokenizer, width)
+        # The library does not give back all that a tokenizer takes: one for all tasks of a worker.
+        shared = per_worker("words", tokenizer.encode(), lambda: Tokenizer.from_str(tokenizer))
+        words = WordTable(shared, width)
         names, ids, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -223,13 +261,14 @@ def write_id_files(
         if ids:
             yield flush()
 
-    # Rows that share an id, even whole copies, still spread over ranges by the last two keys.
+    # Rows that share an id, even whole copies, still spread over ranges by the last two keys.  The
+    # text itself is no key: keys are sampled and sent to the driver.
     ordered = (
         docs.select("doc_id", "text")
         .withColumn("_hash", F.xxhash64("text"))
         .withColumn("_copy", F.monotonically_increasing_id())
-        .repartitionByRange("doc_id", "_hash", "text", "_copy")
-        .sortWithinPartitions("doc_id", "_hash", "text", "_copy")
+        .repartitionByRange("doc_id", "_hash", "_copy")
+        .sortWithinPartitions("doc_id", "_hash", "_copy")
     )
     files = staged(
         ordered.select("doc_id", "text").mapInArrow(
