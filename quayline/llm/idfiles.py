@@ -40,7 +40,7 @@ SEQUENCE = "<QQQQ"  # values, low bits, bytes of low bits, bytes of high bits
 SAMPLE = 256
 # Ids in a file, unless one document has more, and distinct words held by a task at a time.
 FILE_IDS = 4_000_000
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 600_000
 # Letters whose lower case is not in dispute, then marks but for the apostrophe.
 PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-įı-ſ]+)([!-&(-/:-@\[-`{-~]*)")
 GAP_FREE = re.compile(r"[^ \t-\r]+")
