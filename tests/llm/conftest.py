@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
-from llm_support import DATA  # noqa: E402
+from llm.llm_support import DATA
 
 LONG = "lorem ipsum dolor " * 12_000 + "x" * 40_000
 

@@ -23,7 +23,7 @@ from quayline.llm.components import connected_components
 from quayline.llm.minmax import bands_for, band_keys, min_max, multipliers, near_duplicates
 from quayline.llm.queries import QUERIES
 
-from llm_support import DATA
+from llm.llm_support import DATA
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 

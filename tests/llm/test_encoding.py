@@ -31,7 +31,7 @@ from quayline.llm.pieces import (
 )
 from quayline.llm.queries import QUERIES
 
-from llm_support import DATA
+from llm.llm_support import DATA
 
 SCRAPS = [
     " ", "  ", "\n", "\t", "a", "b", "the", "The", "'s", "'re", "'", "r", "1", "23", "½", "!", "&&.",

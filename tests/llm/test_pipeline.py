@@ -14,8 +14,8 @@ from quayline.llm.language import predict_language, train_language
 from quayline.llm.common import in_training, staged
 from quayline.llm.mixing import source_targets
 
-from test_duplicates import expected
-from llm_support import DATA
+from llm.test_duplicates import expected
+from llm.llm_support import DATA
 
 
 @pytest.fixture(scope="module")

@@ -22,7 +22,7 @@ from quayline.llm.secretscan import (
     written_spans,
 )
 
-from llm_support import DATA
+from llm.llm_support import DATA
 
 ASSIGN = re.compile(
     r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
