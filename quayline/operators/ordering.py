@@ -18,6 +18,8 @@ from quayline.session import shared_dir
 
 # Offsets are broadcast up to this many rows (about 10 MB) and joined by shuffle beyond it.
 BROADCAST_ROWS = 200_000
+# Slots of a run, the unit in which bytes before a slot are summed.
+RUN_SLOTS = 4096
 
 
 def slot_order(columns: Sequence[str]) -> list[Column]:
@@ -83,16 +85,21 @@ def one_slot_per_partition(
     slots_per_partition: int = 1,
     max_partitions: int | None = None,
     count: int | None = None,
+    partition_bytes: int | None = None,
 ) -> DataFrame:
     """Place slot ``i`` in partition ``i``, so that each task reads one slot, in slot order.
 
     ``slots_per_partition`` packs runs of that many consecutive slots instead.  ``max_partitions``
     bounds the partitions, and with them the clients open at a time, by packing as many slots as
-    that takes.  Neither is set unless the caller asks.  ``count`` saves counting them.
+    that takes.  ``partition_bytes`` packs by length instead: a partition takes the slots that begin
+    within its share of all bytes, so that small slots go together and a large one goes alone.
+    None of them is set unless the caller asks.  ``count`` saves counting the slots.
     """
     if slots_per_partition < 1 or (max_partitions is not None and max_partitions < 1):
         raise ValueError("slots_per_partition and max_partitions must be greater than 0")
     indexed = slots if "slot_index" in slots.columns else index_slots(slots)
+    if partition_bytes is not None:
+        return _packed_by_bytes(indexed, partition_bytes)
     if count is None:
         last = indexed.agg(F.max("slot_index")).first()[0]
         count = 0 if last is None else last + 1
@@ -102,3 +109,29 @@ def one_slot_per_partition(
     target = F.floor(F.col("slot_index") / pack).cast("int")
     placed = indexed.repartitionById(max(1, math.ceil(count / pack)), target)
     return placed if pack == 1 else placed.sortWithinPartitions("slot_index")
+
+
+def _packed_by_bytes(indexed: DataFrame, partition_bytes: int) -> DataFrame:
+    """Bytes before a slot are those of the runs of slots before its run, one row per run, and of the
+    slots before it in its run: no task sees more than a run or the table of runs."""
+    if partition_bytes < 1:
+        raise ValueError("partition_bytes must be greater than 0")
+    run = F.floor(F.col("slot_index") / RUN_SLOTS)
+    sized = indexed.withColumn("_run", run).withColumn(
+        "_bytes", F.coalesce(F.col("length"), F.lit(0)).cast("long")
+    )
+    earlier = (Window.unboundedPreceding, -1)
+    runs = sized.groupBy("_run").agg(F.sum("_bytes").alias("_all"))
+    offsets = runs.select(
+        F.col("_run").alias("_of"),
+        F.coalesce(F.sum("_all").over(Window.orderBy("_run").rowsBetween(*earlier)), F.lit(0))
+        .alias("_offset"),
+    )
+    within = Window.partitionBy("_run").orderBy("slot_index").rowsBetween(*earlier)
+    placed = sized.withColumn("_before", F.coalesce(F.sum("_bytes").over(within), F.lit(0)))
+    placed = placed.join(offsets, F.col("_run") == F.col("_of")).withColumn(
+        "_target", F.floor((F.col("_offset") + F.col("_before")) / partition_bytes).cast("int")
+    )
+    last = placed.agg(F.max("_target")).first()[0]
+    spread = placed.repartitionById(1 if last is None else last + 1, "_target")
+    return spread.select(*indexed.columns).sortWithinPartitions("slot_index")

@@ -222,11 +222,13 @@ def ordered_lines(
     split_bytes: int | None = None,
     max_partitions: int | None = None,
     line_numbers: bool = True,
+    partition_bytes: int | None = None,
 ) -> DataFrame:
     """The lines of a catalogue in slot order: partition ``i`` holds the lines of slot ``i``.
 
     Every partition uses one client, so ``max_partitions`` bounds the connections a server sees, by
-    packing consecutive slots; ``slots_per_partition`` packs that many.
+    packing consecutive slots; ``slots_per_partition`` packs that many, ``partition_bytes`` as many
+    as begin within so many bytes.
 
     With ``split_bytes``, plain slots that are longer are read by several consecutive partitions
     where the connector can seek, with the same lines and line numbers.  The numbers take one more
@@ -243,7 +245,9 @@ def ordered_lines(
                 ranges = number_ranges(ranges, connector, max_retries)
             placed = one_slot_per_partition(ranges, slots_per_partition, max_partitions)
             return fetch_ranges(placed, connector, charset, max_retries)
-    placed = one_slot_per_partition(slots, slots_per_partition, max_partitions)
+    placed = one_slot_per_partition(
+        slots, slots_per_partition, max_partitions, partition_bytes=partition_bytes
+    )
     return fetch_lines(placed, connector, charset, max_retries)
 
 
@@ -258,6 +262,7 @@ def read_lines(
     split_bytes: int | None = None,
     max_partitions: int | None = None,
     line_numbers: bool = True,
+    partition_bytes: int | None = None,
 ) -> DataFrame:
     """List, choose, order and fetch.
 
@@ -278,6 +283,7 @@ def read_lines(
         split_bytes,
         max_partitions,
         line_numbers,
+        partition_bytes,
     )
 
 

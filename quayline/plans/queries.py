@@ -195,11 +195,12 @@ _dated("slot_date_open", None, None)
                  row_number() OVER (ORDER BY date NULLS LAST, name) - 1 AS position
           FROM orders_feed)
         SELECT range_date, position // 1000 AS piece, count(*) AS n_names,
-               list(name ORDER BY position) AS names
+               string_agg(name, chr(10) ORDER BY position) AS names
         FROM placed GROUP BY ALL""",
 )
 def run_range_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return range_summary(order_slots_feed(spark, sf_dir).select("name", "date"))
+    token = range_summary(order_slots_feed(spark, sf_dir).select("name", "date"))
+    return token.withColumn("names", F.array_join("names", "\n"))
 
 
 LINED = f"""{ORDERS}, lined AS (
@@ -418,6 +419,22 @@ def slot_partitions_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "slot_partitions_bytes",
+    f"""WITH {DOCS} SELECT name AS slot,
+          coalesce(sum(strlen(text)) OVER (ORDER BY date NULLS LAST, name
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // 100000 AS partition_id
+        FROM docs""",
+)
+def slot_partitions_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots = document_slots(spark, sf_dir).select(
+        "name", "date", F.octet_length("text").alias("length")
+    )
+    return one_slot_per_partition(slots, partition_bytes=100_000).select(
+        F.col("name").alias("slot"), F.spark_partition_id().cast("long").alias("partition_id")
+    )
+
+
 @query(
     "slot_metrics",
     f"""WITH {LINES} SELECT slot, count(*) AS records, sum(length(value))::BIGINT AS characters,
@@ -652,7 +669,7 @@ def slots_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "stream_report",
     f"""WITH {FILED} SELECT part, count(DISTINCT bucket) AS n_slots, count(*) AS n_lines,
-          list(DISTINCT bucket ORDER BY bucket) AS buckets
+          array_to_string(list(DISTINCT bucket ORDER BY bucket), ',') AS buckets
         FROM numbered GROUP BY part""",
 )
 def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -660,7 +677,8 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = spark.read.parquet(f"{_batches(spark, sf_dir)}/reports")
     names = report.select("run", "batch_id", F.explode("names").alias("slot"))
     found = _filed(names).groupBy("run", "batch_id").agg(
-        F.max("part").alias("part"), F.sort_array(F.collect_set("bucket")).alias("buckets")
+        F.max("part").alias("part"),
+        F.array_join(F.sort_array(F.collect_set("bucket")), ",").alias("buckets"),
     )
     counts = report.select("run", "batch_id", "n_slots", "n_lines").distinct()
     return counts.join(found, ["run", "batch_id"]).select("part", "n_slots", "n_lines", "buckets")

@@ -281,5 +281,9 @@ def test_packing_is_asked_for(spark):
     assert one_slot_per_partition(slots, slots_per_partition=7).rdd.getNumPartitions() == 43
     bounded = one_slot_per_partition(slots, max_partitions=4)
     assert bounded.rdd.glom().map(len).collect() == [75] * 4
+    sized = slots.selectExpr("name", "IF(name = 's5', 1000L, 10L) AS length")
+    packed = one_slot_per_partition(sized, partition_bytes=100)
+    lengths = [len(p) for p in packed.rdd.glom().collect()]
+    assert sum(lengths) == 300 and max(lengths) <= 11
     with pytest.raises(ValueError, match="greater than 0"):
         one_slot_per_partition(slots, slots_per_partition=0)
