@@ -25,7 +25,7 @@ from quayline.functions.text import (
     next_line_start,
     split_lines,
 )
-from quayline.operators.ordering import index_slots, one_slot_per_partition
+from quayline.operators.ordering import index_slots, one_slot_per_partition, slot_order
 from quayline.session import stored
 from quayline.sources.base import MAX_RETRIES, Connector, Fetcher
 
@@ -234,16 +234,15 @@ def ordered_lines(
     where the connector can seek, with the same lines and line numbers.  The numbers take one more
     reading of those slots; without ``line_numbers`` their ``line_no`` is null instead.
     """
-    if "slot_index" not in slots.columns:
-        slots = index_slots(slots)
     if split_bytes and connector.seekable and cuts_at_bytes(charset) and "length" in slots.columns:
         if not slots.filter(F.col("length") > split_bytes).isEmpty():
             ranges = index_slots(
                 split_slots(slots.drop("slot_index"), connector, split_bytes, max_retries)
             )
+            count = ranges.count()
             if line_numbers:
-                ranges = number_ranges(ranges, connector, max_retries)
-            placed = one_slot_per_partition(ranges, slots_per_partition, max_partitions)
+                ranges = number_ranges(ranges, connector, max_retries, count)
+            placed = one_slot_per_partition(ranges, slots_per_partition, max_partitions, count)
             return fetch_ranges(placed, connector, charset, max_retries)
     placed = one_slot_per_partition(
         slots, slots_per_partition, max_partitions, partition_bytes=partition_bytes
@@ -361,14 +360,15 @@ def _range_blocks(
 
 
 def number_ranges(
-    ranges: DataFrame, connector: Connector, max_retries: int = MAX_RETRIES
+    ranges: DataFrame, connector: Connector, max_retries: int = MAX_RETRIES, count: int | None = None
 ) -> DataFrame:
     """Add ``first_line``, the number of lines in earlier ranges of the slot.
 
     Reads the split slots once more, one range per task, to count their lines; the counts are stored.
+    ``ranges`` are indexed; ``count`` saves counting them.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with closing(Fetcher(connector, max_retries)) as fetcher:
             for batch in batches:
                 names, *cuts = (
@@ -385,11 +385,10 @@ def number_ranges(
                 )
 
     cut = ranges.filter("start IS NOT NULL").select("slot_index", "name", "start", "stop", "version")
-    placed = one_slot_per_partition(index_slots(cut.withColumnRenamed("slot_index", "_index")))
     counts = stored(
-        placed.select(
-            F.col("_index").alias("slot_index"), "name", "start", "stop", "version"
-        ).mapInArrow(count, "slot_index long, name string, lines long"),
+        one_slot_per_partition(cut, count=count).mapInArrow(
+            count_lines, "slot_index long, name string, lines long"
+        ),
         "counts",
     )
     # One row per range: a slot of any size is a small group here.
@@ -492,12 +491,14 @@ def peek_lines(
     ``lambda s: fetch_lines(s, connector, first_lines=n)``.  Heads are stored, slots in turn one, two,
     four, … at a time, until there are enough lines; empty slots give none.
     """
-    placed = index_slots(slots) if "slot_index" not in slots.columns else slots
-    placed = stored(placed, "slots")
-    total = placed.count()
+    order = slot_order(slots.columns)
+    total = slots.count()
     found, lines, at, step = None, 0, 0, 1
     while found is None or (lines < n and at < total):
-        chosen = placed.filter((F.col("slot_index") >= at) & (F.col("slot_index") < at + step))
+        # Each task gives its first few slots, and the first of them all are numbered.
+        first = slots.orderBy(*order).limit(at + step)
+        number = F.row_number().over(Window.orderBy(*order)) - 1
+        chosen = first.withColumn("slot_index", number).filter(F.col("slot_index") >= at)
         # One slot per task, so that heads are fetched side by side.
         spread = chosen.repartitionById(step, (F.col("slot_index") - at).cast("int"))
         heads = stored(to_lines(spread).filter(F.col("line_no") < n), "heads")

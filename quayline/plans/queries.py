@@ -586,9 +586,9 @@ def slots_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("slots_split_scan", SCANNED)
 def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files, every plain one cut into ranges of 64 KiB for separate tasks."""
+    """The same files, every plain one cut into ranges of 256 KiB for separate tasks."""
     files = _files(document_files(spark, sf_dir))
-    return _scanned(read_lines(spark, files, split_bytes=64 << 10))
+    return _scanned(read_lines(spark, files, split_bytes=256 << 10))
 
 
 @query(
