@@ -275,13 +275,15 @@ def train_toxicity(
     per_class: int = 2500,
     max_features: int = 20_000,
     least: int = 4,
+    rare: float = 0.01,
     seed: int = 13,
 ) -> ToxicityModel:
     """Learn from ``labels`` (``doc_id``, ``toxic``) where ``trainable`` holds, and the texts of
     ``docs``.
 
     The language model counts all documents.  The classifier sees a sample bounded by ``per_class``
-    documents of either label, drawn by a hash of the id, repeated texts once.  Null labels are left
+    documents of either label, drawn by a hash of the id, repeated texts once; a feature counts if at
+    least ``least``, and a share ``rare``, of the toxic ones have it.  Null labels are left
     out; an id with several labels counts as toxic if any says so.  Without labels of both kinds
     every score is 0.
     """
@@ -333,7 +335,7 @@ def train_toxicity(
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .withColumn("odds", odds)
-        .filter((F.col("toxic") >= least) & (F.col("odds") > 2))
+        .filter((F.col("toxic") >= max(least, rare * bad)) & (F.col("odds") > 2))
         .orderBy(F.desc("odds"), F.desc("toxic"), "feature")
         .limit(max_features)
         .collect()
@@ -359,8 +361,14 @@ def train_toxicity(
     return ToxicityModel(costs, weights, float(bias))
 
 
-def _regress(rows, features: list[int], seed: int, epochs: int = 30, decay: float = 1e-4):
-    """Logistic regression by stochastic gradient descent over sparse rows."""
+def _regress(
+    rows, features: list[int], seed: int, epochs: int = 30, decay: float = 1e-4, shown: float = 0.75
+):
+    """Logistic regression by stochastic gradient descent over sparse rows.
+
+    Each step shows a random part of a document's features, at least one: long documents hold many
+    that say the same, and a short one with a single of them must be told by that one.
+    """
     place = {f: i for i, f in enumerate(features)}
     examples = [
         (np.array([place[f] for f in r["features"]], np.int64), float(r["toxic"] > 0)) for r in rows
@@ -370,6 +378,9 @@ def _regress(rows, features: list[int], seed: int, epochs: int = 30, decay: floa
         rate = 0.5 / (1 + 0.2 * epoch)
         for i in rng.permutation(len(examples)):
             own, label = examples[i]
+            if len(own) > 1:
+                seen = own[rng.random(len(own)) < shown]
+                own = seen if len(seen) else own[rng.integers(len(own), size=1)]
             guess = 1 / (1 + np.exp(-np.clip(weights[own].sum() + bias, -50, 50)))
             step = rate * (label - guess) / np.sqrt(max(1, len(own)))
             weights[own] += step - rate * decay * weights[own]
