@@ -150,13 +150,10 @@ def top_products(
         _numbered(whole.mapInPandas(keyed(False), schema), schema, SHARD, rows, "shard"), "index"
     )
     asking = whole.filter(is_query).groupBy("id").agg(F.min("x").alias("x"))
-    asked = asking.count()
-    if not asked:
+    asked = staged(asking.mapInPandas(keyed(True), f"{schema}, bound long"), "asked")
+    if asked.isEmpty():
         return empty
-    schema += ", bound long"
-    queries = staged(
-        _numbered(asking.mapInPandas(keyed(True), schema), schema, GROUP, asked, "part"), "queries"
-    )
+    queries = _grouped(asked)
 
     # What each group of queries may need of each pivot: distances from the least to the greatest.
     def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -233,6 +230,18 @@ def _radius(square: int, bound: int | None, top: int) -> float:
     return math.sqrt(max(0, square + top - 2 * bound)) * (1 + SLACK) + SLACK
 
 
+def _grouped(asked: DataFrame) -> DataFrame:
+    """Queries with a number ``part`` that about ``GROUP`` of them share: those of one pivot lie
+    together, dealt by a hash where there are more.  Only counts by pivot reach the driver."""
+    sizes = {r["pivot"]: r["count"] for r in asked.groupBy("pivot").count().collect()}
+    part, before = F.lit(0).cast("long"), 0
+    for pivot, size in sorted(sizes.items()):
+        place = F.lit(before) + F.pmod(F.xxhash64("id"), F.lit(size))
+        part = F.when(F.col("pivot") == pivot, F.floor(place / GROUP)).otherwise(part)
+        before += size
+    return asked.withColumn("part", part.cast("long"))
+
+
 def _numbered(rows: DataFrame, schema: str, size: int, total: int, name: str) -> DataFrame:
     """Rows sorted by pivot and distance, with the number of the run of ``size`` rows they are in."""
 
