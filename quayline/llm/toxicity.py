@@ -1,11 +1,11 @@
 """Toxicity of texts, scored after undoing obfuscation by noisy-channel decoding.
 
-Letters are written as digits and signs, spaced out or drawn out.  What may be such a stretch of a
-text becomes a lattice: each character can stand for itself, for the letters it imitates, for a gap
+Letters are written as digits and signs, spaced out or drawn out, words are cut in pieces.  What may
+be such a stretch of a text becomes a lattice: each character can stand for itself, for the letters it imitates, for a gap
 between words, or for nothing where it separates or repeats.  A character language model (trigrams
 of all documents, smoothed) weighs the readings, the channel charges for each change, and Viterbi's
-algorithm picks the cheapest path.  The restored text is scored by logistic regression over its
-words and their beginnings, with weights learned from a bounded sample of labelled documents.
+algorithm picks the cheapest path.  Logistic regression over the words, as written and as restored, and their
+beginnings gives the score, with weights learned from a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -29,21 +29,30 @@ IMITATED = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b",
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
-SEPARATORS = " .-_*~"
+# Characters without width, which part nothing that is seen.
+HIDDEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
 SYMBOLS = len(LETTERS) + 1  # 0 is the gap around words
 # Costs, in natural logarithms: a sign for a letter, a sign as a gap, dropping a separator, dropping
 # a repetition, ending a word at a separator.
 IMITATION, SIGN, JOINED, REPEATED, PARTED = 1.0, 6.0, 0.5, 0.5, 4.5
+# What is common in clean texts is kept unless the language model says much else: a sign after the
+# last letter as a gap, dropping one letter of two, joining two pieces of a word.
+TRAILING, DOUBLED, PIECED = 1.0, 6.0, 4.0
+PIECE = 5  # letters of a piece at most
 WINDOW = 256  # characters decoded before the best reading so far is fixed
 
 _L, _S = f"[{LETTERS}]", "[0-9@$!|+€£]"
 _LS = f"[{LETTERS}0-9@$!|+€£]"
-_GAP = r"[ .\-_*~]"
-SPACED = rf"(?<!{_LS}){_LS}(?:{_GAP}{{1,3}}{_LS}(?!{_LS})){{2,}}"
-MIXED = rf"{_LS}*{_S}{_L}{_LS}*"
-DRAWN = rf"{_L}*({_L})\1\1{_L}*"
-NOISY = re.compile(rf"{SPACED}|{MIXED}|{DRAWN}")
+_GAP = r"(?:[^\w@$!|+€£]|_)"
+SPACED = re.compile(rf"(?<!{_LS}){_LS}(?:{_GAP}+{_LS}(?!{_LS})){{2,}}")
+GAPS = re.compile(rf"{_GAP}+")
+TOKENS = re.compile(rf"{_LS}{{2,}}")
+# A sign next to a letter, or a letter three times.
+NOISY = re.compile(rf"{_S}{_L}|{_L}{_S}|({_L})\1\1")
+WIDTHLESS = re.compile(rf"[\w@$!|+€£]+(?:[{HIDDEN}]+[\w@$!|+€£]+)+")
+DELETED = dict.fromkeys(map(ord, HIDDEN))
+TRAILED = re.compile(rf"{_LS}*{_L}{_S}+(?!{_LS})")
 WORDS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
 CACHED = 200_000
@@ -112,33 +121,68 @@ class Decoder:
         self.costs = costs.tolist()
         self.symbol = {c: i for i, c in enumerate(LETTERS, 1)}
         self.known: dict[str, str] = {}
+        self.ended: dict[str, str] = {}
         self.symbols, self.signs = _classes()
-
-    def _readings(self, char: str, last: str) -> list[tuple[int | None, float]]:
+        # What dropping one letter of two gains, by the letters before, twice and after.
+        twice = np.diagonal(costs, axis1=1, axis2=2)
+        self.gains = twice[:, :, None] + np.diagonal(costs).T[None] - costs
+        self.table = costs
+
+    def _readings(
+        self, char: str, last: str, sign: float = SIGN, repeated: float = REPEATED
+    ) -> list[tuple[int | None, float]]:
         """Symbols a character may stand for (None: nothing) and what the channel charges."""
         if char in self.symbol:
             found = [(self.symbol[char], 0.0)]
         elif char in IMITATED:
-            found = [(self.symbol[c], IMITATION) for c in IMITATED[char]] + [(0, SIGN)]
+            found = [(self.symbol[c], IMITATION) for c in IMITATED[char]] + [(0, sign)]
         else:
             return [(None, JOINED), (0, PARTED)]
-        return [*found, (None, REPEATED)] if char == last else found
+        return [*found, (None, repeated)] if char == last else found
 
     def stretch(self, text: str) -> str:
         """The cheapest reading of a lower-case stretch, in letters and single spaces."""
         if text not in self.known:
             if len(self.known) > CACHED:
                 self.known = {}
-            self.known[text] = self._decode(text)
+            found = self._decode(text)
+            # Signs after a word that are no letters of it stay what they are.
+            self.known[text] = text if found == text.rstrip("".join(IMITATED)) else found
         return self.known[text]
 
-    def _decode(self, text: str) -> str:
+    def token(self, text: str) -> str:
+        """The reading of a lower-case run of letters and signs; most runs are read as they stand."""
+        found = self.known.get(text)
+        if found is None:
+            if NOISY.search(text):
+                return self.stretch(text)
+            if len(self.known) > CACHED:
+                self.known = {}
+            found = self.known[text] = text
+        return found
+
+    def ending(self, text: str) -> str:
+        """The readings of a token whose last signs are letters, whatever the language model says:
+        with a repeated one as one letter, and as two."""
+        if text not in self.ended:
+            if len(self.ended) > CACHED:
+                self.ended = {}
+            self.ended[text] = " ".join(self._decode(text, np.inf, r) for r in (REPEATED, np.inf))
+        return self.ended[text]
+
+    def _decode(self, text: str, trailing: float = TRAILING, again: float = REPEATED) -> str:
         costs, said, last = self.costs, [], ""
         best = {(0, 0): (0.0, ())}  # by the last two symbols: cost, and symbols as nested pairs
+        end = len(text.rstrip("".join(IMITATED)))
         for start in range(0, len(text), WINDOW):
-            for char in text[start : start + WINDOW]:
+            for at, char in enumerate(text[start : start + WINDOW], start):
                 after: dict = {}
-                readings = self._readings(char, last)
+                thrice = char * 3 in text[max(at - 2, 0) : at + 2]
+                if at >= end:
+                    readings = self._readings(char, last, trailing, again)
+                else:
+                    drawn = thrice or char not in self.symbol
+                    readings = self._readings(char, last, SIGN, REPEATED if drawn else DOUBLED)
                 for (a, b), (cost, path) in best.items():
                     for symbol, charge in readings:
                         if symbol is None or (symbol == 0 and b == 0):
@@ -169,34 +213,111 @@ class Decoder:
             found.append(symbol)
         return found[::-1]
 
-    def _suspect(self, text: str) -> bool:
-        """Whether a stretch may be in the text: a sign before a letter, three equal letters, or two
-        lone characters near each other."""
+    @staticmethod
+    def _tokens(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs of letters and signs start and end."""
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        return edges[::2], edges[1::2]
+
+    def _suspect(self, text: str) -> tuple[bool, bool]:
+        """Whether three lone characters may follow each other, and whether a sign is next to a
+        letter or a letter stands three times."""
         points = _points(text)
         symbols, signs = self.symbols[points], self.signs[points]
         letters = symbols > 0
-        if (signs[:-1] & letters[1:]).any():
-            return True
-        if ((symbols[2:] == symbols[1:-1]) & (symbols[1:-1] == symbols[:-2]) & letters[2:]).any():
-            return True
-        inside = np.concatenate([[False], letters | signs, [False]])
-        lone = np.flatnonzero(inside[1:-1] & ~inside[:-2] & ~inside[2:])
-        return bool(len(lone) > 2 and (lone[2:] - lone[:-2] <= 8).any())
+        starts, ends = self._tokens(letters | signs)
+        lone = ends - starts == 1
+        mixed = (signs[:-1] & letters[1:]) | (letters[:-1] & signs[1:])
+        same = (symbols[1:] == symbols[:-1]) & letters[1:]
+        return (
+            bool((lone[2:] & lone[1:-1] & lone[:-2]).any()),
+            bool(mixed.any() or (same[1:] & same[:-1]).any()),
+        )
+
+    def _tightened(self, text: str) -> tuple[str, int]:
+        """The text without one of two letters and without gaps between pieces of a word, where the
+        language model gains more than either is charged.  Each such choice leaves the letters that
+        the others depend on as they are, so that they need no lattice."""
+        points = _points(text)
+        symbols = self.symbols[points].astype(np.intp)
+        letters = symbols > 0
+        starts, ends = self._tokens(letters | self.signs[points])
+        if not len(starts):
+            return text, 0
+        padded = np.concatenate([[0, 0], symbols, [0, 0]])
+        place = np.flatnonzero((symbols[1:] == symbols[:-1]) & letters[1:])
+        gone = np.zeros(len(points), bool)
+        if len(place):
+            # Words whose letters all stand twice are written so on purpose.
+            covered = np.zeros(len(points), bool)
+            covered[place] = covered[place + 1] = True
+            token = np.searchsorted(starts, place, "right") - 1
+            lengths = ends - starts
+            all_twice = (np.add.reduceat(covered, starts, dtype=np.int64) == lengths) & (lengths > 5)
+            gain = self.gains[padded[place + 1], symbols[place], padded[place + 4]]
+            drop = gain > np.where(all_twice[token], REPEATED, DOUBLED)
+            gone[place[drop]] = True
+            changed = len(set(token[drop].tolist()))
+        else:
+            changed = 0
+        short = ends - starts <= PIECE
+        near = np.flatnonzero(short[:-1] & short[1:])
+        first, second = ends[near] - 1, starts[near + 1]
+        # The symbol before a lone letter is a gap, as the one after it.
+        a, b = padded[first + 1], symbols[first]
+        c, d = symbols[second], padded[second + 3]
+        two = self.table[a, b, 0] + self.table[0, 0, c] + self.table[0, c, d]
+        one = self.table[a, b, c] + self.table[b, c, d]
+        for i in np.flatnonzero((b > 0) & (c > 0) & (two - one > PIECED)):
+            low, high = int(first[i]) + 1, int(second[i])
+            if GAPS.fullmatch(text, low, high):
+                gone[low:high] = True
+                changed += 1
+        if not changed:
+            return text, 0
+        return points[~gone].tobytes().decode("utf-32-le", "surrogatepass"), changed
 
     def restore(self, text: str) -> tuple[str, int]:
         """The text in lower case with its stretches restored, and how many have changed."""
         text = text.lower()
-        if not self._suspect(text):
-            return text, 0
         changed = 0
 
-        def read(found: re.Match) -> str:
-            nonlocal changed
-            restored = self.stretch(found[0])
-            changed += restored != found[0]
-            return restored
+        def reader(read):
+            def run(found: re.Match) -> str:
+                nonlocal changed
+                restored = read(found[0])
+                changed += restored != found[0]
+                return restored
+
+            return run
+
+        if any(c in text for c in HIDDEN):
+            text = WIDTHLESS.sub(reader(lambda t: t.translate(DELETED)), text)
+        spaced, mixed = self._suspect(text)
+        if spaced:
+            # Any gap is as good as a space.
+            text = SPACED.sub(reader(lambda t: self.stretch(GAPS.sub(" ", t))), text)
+        if mixed:
+            text = TOKENS.sub(reader(self.token), text)
+        text, more = self._tightened(text)
+        return text, changed + more
+
+    def words(self, text: str) -> tuple[set[str], int]:
+        """Words of the text as written, as restored and with the signs after a word for letters,
+        and the number of stretches changed."""
+        restored, changed = self.restore(text)
+        text = text.lower()
+        found = set(WORDS.findall(text))
+        if changed:
+            found.update(WORDS.findall(restored))
+        if not self.sign_free(text):
+            found.update(w for t in set(TRAILED.findall(text)) for w in self.ending(t).split())
+        return found, changed
 
-        return NOISY.sub(read, text), changed
+    def sign_free(self, text: str) -> bool:
+        """Whether no letter is followed by a sign."""
+        points = _points(text)
+        return not ((self.symbols[points[:-1]] > 0) & self.signs[points[1:]]).any()
 
 
 def restore_texts(docs: DataFrame, costs: np.ndarray) -> DataFrame:
@@ -250,12 +371,12 @@ class Scorer:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def features(self, text: str | None) -> tuple[set[int], int]:
-        """Features of the restored text that have a weight, and the number of stretches changed."""
-        restored, changed = self.decoder.restore(text or "")
+        """Features of the text, as written and as restored, that have a weight, and the number of stretches changed."""
+        words, changed = self.decoder.words(text or "")
         if len(self.known) > CACHED:
             self.known = {}
         known, weights, found = self.known, self.model.weights, set()
-        for word in set(WORDS.findall(restored)):
+        for word in words:
             own = known.get(word)
             if own is None:
                 own = known[word] = tuple(f for f in word_features(word) if f in weights)
@@ -313,7 +434,7 @@ def train_toxicity(
             for text, toxic in zip(
                 batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True
             ):
-                words = set(WORDS.findall(decoder.restore(text)[0]))
+                words = decoder.words(text)[0]
                 tallies[toxic > 0].update({f for w in words for f in word_features(w)})
         features = sorted(tallies[0].keys() | tallies[1].keys())
         for start in range(0, len(features), 100_000):

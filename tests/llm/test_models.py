@@ -108,6 +108,58 @@ def test_restored(decoder, noisy, restored):
     assert decoder.restore(noisy)[0] == restored
 
 
+@pytest.fixture(scope="module")
+def blunt(spark, bigger):
+    """A decoder that has met some more words, among clean ones with doubled letters."""
+    words = "kill hell ass all too see off good class till well tell pass is as his in to"
+    more = spark.createDataFrame([(-i, words) for i in range(1, 400)], "doc_id long, text string")
+    return Decoder(trigram_costs(trigram_counts(bigger.select("doc_id", "text").unionByName(more))))
+
+
+@pytest.mark.parametrize(
+    ("noisy", "restored"),
+    [
+        ("ki11", "kill"),
+        ("idio7", "idiot"),
+        ("ttrraasshh", "trash"),
+        ("iidiot", "idiot"),
+        ("sscumm", "scum"),
+        ("lo ser", "loser"),
+        ("mo ron", "moron"),
+        ("id iot", "idiot"),
+        ("i,d,i,o,t", "idiot"),
+        ("i/d/i/o/t", "idiot"),
+        ("s\nc\nu\nm", "scum"),
+        ("i    d     i    o    t", "idiot"),
+        ("i\u200bd\u200bi\u200bo\u200bt", "idiot"),
+        ("sc\u200bum", "scum"),
+        # What only looks like noise.
+        ("an idiot!", "an idiot!"),
+        ("take 2 a day", "take 2 a day"),
+        ("all is too good, see his class", "all is too good, see his class"),
+        ("漢字 to 漢字 be, in the end", "漢字 to 漢字 be, in the end"),
+    ],
+)
+def test_restored_wherever_the_noise_is(blunt, noisy, restored):
+    found, changed = blunt.restore(noisy)
+    assert found == restored
+    assert (changed > 0) == (noisy != restored)
+
+
+def test_letters_dropped_and_pieces_joined_as_in_the_lattice(blunt):
+    """Doubled letters are told without Viterbi, with its result."""
+    for word in ("iidiot", "sscumm", "worthless", "class", "goodd", "ttoo", "passes", "mmoronn"):
+        assert blunt._tightened(word)[0] == blunt._decode(word), word
+
+
+def test_words_as_written_and_restored(blunt):
+    found, changed = blunt.words("lo ser and more")
+    assert {"lo", "ser", "loser", "and", "more"} <= found and changed == 1
+    # A clean word before signs hides what they may stand for.
+    for noisy, word in (("he11", "hell"), ("a55", "ass"), ("a$$", "ass"), ("ki11", "kill")):
+        assert word in blunt.words(noisy)[0], noisy
+
+
 def test_viterbi_finds_the_cheapest_reading(decoder):
     """Against every reading of short stretches."""
     import itertools
