@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayline.llm.common import in_training, staged, table
+from quayline.llm.common import in_training, staged, table, with_row_keys
 from quayline.llm.language import keep_identified, train_language
 from quayline.llm.minmax import near_duplicates
 from quayline.llm.mixing import mix_sources
@@ -25,13 +25,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, four fifths in common) the document
-    with the least id stays.  Documents without an id stay."""
-    found = near_duplicates(docs, words=5, percent=80)
-    dropped = staged(
-        found.filter("not kept and doc_id is not null").select("doc_id").distinct(), "dropped"
+    """Of each group of near-duplicates (five-word shingles, four fifths in common) one row stays, the
+    one with the least id; null ids come last.  Rows are told apart by keys of their own, so that
+    repeated and null ids are rows like others."""
+    rows = with_row_keys(docs)
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80)
+    copies = staged(found.filter("not kept").select("component_id", "doc_id"), "copies")
+    # The least key of a group is a row of it, too.
+    least = copies.select("component_id", F.col("component_id").alias("doc_id")).distinct()
+    grouped = copies.unionByName(least).select("component_id", F.col("doc_id").alias("_own"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    stays = (
+        grouped.join(rows.select("_row", "doc_id"), F.col("_own") == F.col("_row"))
+        .groupBy("component_id")
+        .agg(first.alias("first"))
+        .select(F.col("first._row").alias("_own"))
     )
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = grouped.join(stays, "_own", "left_anti").select(F.col("_own").alias("_row"))
+    dropped = staged(dropped, "dropped")
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,17 +53,13 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them: rows that it leaves out go, others stand
-    once or twice.  Rows that share an id are taken as often as the one taken most."""
-    taken = (
-        mix_sources(docs)
-        .groupBy("doc_id")
-        .agg(F.max("copies").alias("_copies"))
-        .filter("_copies > 0")
-        .withColumnRenamed("doc_id", "_id")
-    )
+    once or twice.  Rows are taken each by itself, whatever ids they share."""
+    rows = with_row_keys(docs)
+    taken = mix_sources(rows, key="_row").filter("copies > 0")
+    taken = taken.select("_row", F.col("copies").alias("_copies"))
     return (
-        docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        rows.join(taken, "_row")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
         .select(*docs.columns)
     )
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_keys(docs: DataFrame, key: str = "_row") -> DataFrame:
+    """``docs`` and a number of its own for each row, the same whenever it is read: the place of the
+    row in its Parquet file.  What is not read from files is written once."""
+    spark = docs.sparkSession
+    try:
+        placed = docs.select(
+            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias(key)
+        )
+    except AnalysisException:
+        return staged(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    # As many names as files, which the driver holds to plan the scan anyway.
+    files = sorted(r[0] for r in placed.select("_file").distinct().collect())
+    names = spark.createDataFrame(list(enumerate(files)), "_place long, _name string")
+    return (
+        placed.join(F.broadcast(names), F.col("_file") == F.col("_name"))
+        .withColumn(key, F.shiftleft("_place", 40) + F.col(key))
+        .select(*docs.columns, key)
+    )
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
     """Arrow batches in small runs of rows, so that Python strings of few texts exist at a time.
 

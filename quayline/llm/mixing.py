@@ -144,6 +144,7 @@ def mix_sources(
     repeats: int = 2,
     seed: int = SEED,
     max_patterns: int = 100_000,
+    key: str | None = None,
 ) -> DataFrame:
     """``docs`` (``doc_id``, ``text``; other columns are ignored) to ``doc_id``, ``members``,
     ``size``, ``copies`` and ``taken`` (words of all copies), and ``routes``: copies by source.
@@ -151,10 +152,12 @@ def mix_sources(
     ``sources`` is a name or an array of names per document; a null name is a source, a null array
     belongs to the null source, repeated names count once.  A null text has no words; documents
     without words take none and are copied as the line falls.  Repeated rows are documents each.
+    ``key`` names a column that tells rows apart; it is returned too, and orders rows without an id.
     The driver holds the patterns, at most ``max_patterns``; more raise ``ValueError``.
     """
     column = F.col(sources) if isinstance(sources, str) else sources
-    sized = docs.select("doc_id", "text", column.alias("members"))
+    own = [key] if key else []
+    sized = docs.select("doc_id", "text", column.alias("members"), *own)
     if sized.schema["members"].dataType.typeName() != "array":
         sized = sized.withColumn("members", F.array("members"))
     # The name of a source as text, null told from any name by an empty list.
@@ -172,10 +175,9 @@ def mix_sources(
         lambda s: s,
     )
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = sized.select("doc_id", members.alias("members"), size.alias("size"))
-    order = F.md5(
-        F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size")
-    )
+    sized = sized.select("doc_id", members.alias("members"), size.alias("size"), *own)
+    named = [F.col("doc_id").cast("string"), *(F.concat(F.lit("row"), c) for c in own), F.lit("")]
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(*named), "size"))
     sized = staged(
         sized.withColumn("_order", order).withColumn(
             "_bucket", F.substring("_order", 1, BUCKET_DIGITS)
@@ -218,7 +220,7 @@ def mix_sources(
     placed = sized.join(spans.withColumn("_exact", cut_here), ["members", "_bucket"])
     within = (
         Window.partitionBy("members", "_bucket")
-        .orderBy("_order", "doc_id")
+        .orderBy("_order", "doc_id", *own)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     exact = placed.filter("_exact").withColumn(
@@ -249,6 +251,7 @@ def mix_sources(
         "copies",
         (F.col("size") * F.col("copies")).cast("long").alias("taken"),
         F.coalesce(routes, F.array().cast("array<string>")).alias("routes"),
+        *own,
     )
 
 

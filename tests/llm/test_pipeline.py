@@ -103,6 +103,34 @@ def test_pieces(stages):
     assert after.filter("not exact").count() == 0
 
 
+@pytest.fixture(params=["in files", "in memory"])
+def shared(request, spark, docs):
+    """Rows that share an id, or have none: copies and texts of their own."""
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in ("one", "two", "three"))
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, three), *[(None, one)] * 3]
+    rows += [(None, "alone " * 9 + "without copies"), *[(None, "no id " * 9 + "but copies")] * 40]
+    rows = [(i, t, "en", "src0", len(t)) for i, t in rows]
+    found = spark.createDataFrame(rows, docs.schema)
+    return staged(found.repartition(3), "shared") if request.param == "in files" else found
+
+
+def test_near_duplicates_that_share_ids(spark, shared):
+    after = corpus_pipeline.drop_near_duplicates(spark, shared, DATA).collect()
+    found = Counter((r.doc_id, r.text.split()[0]) for r in after)
+    assert found == Counter([(1, "one0"), (2, "two0"), (3, "three0"), (None, "alone"), (None, "no")])
+
+
+def test_mixing_of_rows_that_share_ids(spark, docs):
+    text = "ten words " * 5
+    for i in (None, 7):
+        rows = [(i, text, "en", f"src{k % 3}", len(text)) for k in range(300)]
+        before = staged(spark.createDataFrame(rows, docs.schema), "mixed")
+        after = corpus_pipeline.mix(spark, before, DATA)
+        taken = Counter(r.source for r in after.collect())
+        for s, target in source_targets({f"src{k}": 1000 for k in range(3)}).items():
+            assert abs(10 * taken[s] - target) <= 10, (i, s)
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
