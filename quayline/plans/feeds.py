@@ -111,7 +111,7 @@ def event_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Parts of the documents that become folders of files, and whether their files are gzipped.
-PARTS_OF_DOCUMENTS = (("english", "lang = 'en'", True), ("other", "lang <> 'en'", False))
+PARTS_OF_DOCUMENTS = (("english", "lang = 'en'", True), ("other", "not (lang <=> 'en')", False))
 DOCUMENTS_PER_FILE = 1000
 
 
