@@ -66,11 +66,14 @@ def with_row_keys(docs: DataFrame, key: str = "_row") -> DataFrame:
         )
     except AnalysisException:
         return staged(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
-    # As many names as files, which the driver holds to plan the scan anyway.
-    files = sorted(r[0] for r in placed.select("_file").distinct().collect())
-    names = spark.createDataFrame(list(enumerate(files)), "_place long, _name string")
+    # One row per file, numbered in one task; Spark broadcasts the table where it is small.
+    files = placed.select("_file").distinct().repartition(1).sortWithinPartitions("_file")
+    names = files.select(
+        F.monotonically_increasing_id().alias("_place"), F.col("_file").alias("_name")
+    )
+    names = staged(names, "files")
     return (
-        placed.join(F.broadcast(names), F.col("_file") == F.col("_name"))
+        placed.join(names, F.col("_file") == F.col("_name"))
         .withColumn(key, F.shiftleft("_place", 40) + F.col(key))
         .select(*docs.columns, key)
     )

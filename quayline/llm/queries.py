@@ -15,6 +15,7 @@ from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
 from quayline.llm.minmax import near_duplicates
 from quayline.llm.mixing import mix_sources
+from quayline.llm.naming import exact_duplicates
 from quayline.llm.pieces import encoding_digests, read_model
 from quayline.llm.pivots import top_products
 from quayline.llm.secretscan import (
@@ -304,3 +305,14 @@ def op7_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("edits", edits)
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return count_edits(docs, ranks, public_tokenizers.PATTERN)
+
+
+@query(
+    "op11_naming",
+    """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+      doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+)
+def op11_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
