@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.llm.bottomk import edited_fingerprints
-from quayline.llm.common import ORACLES, QUERIES, in_training, query, table
+from quayline.llm.common import ORACLES, QUERIES, WORD, in_training, query, table
 from quayline.llm.edits import count_edits, read_ranks
 from quayline.llm.idfiles import id_file_documents, read_tokenizer
 from quayline.llm.language import predict_language, train_language
@@ -18,6 +18,7 @@ from quayline.llm.mixing import mix_sources
 from quayline.llm.naming import exact_duplicates
 from quayline.llm.pieces import encoding_digests, read_model
 from quayline.llm.pivots import top_products
+from quayline.llm.runs import greatest_run, periodic_runs
 from quayline.llm.secretscan import (
     ACCESS,
     ALPHABETS,
@@ -316,3 +317,43 @@ def op7_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def repeating(doc_id: Column, text: Column) -> Column:
+    """The text, or for one id in ten its words, with those from a place of its own on repeating."""
+    crc = F.crc32(doc_id.cast("string"))
+    seed = F.floor(crc / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = seed % n
+        p = 1 + F.floor((n - a) / (3 + seed % 8))
+        place = F.sequence(F.lit(0).cast("long"), n - 1)
+        moved = F.transform(
+            place,
+            lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+        )
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise("")
+
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.when(crc % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+
+
+@query("op12_runs")
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", repeating(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs(docs).withColumn("best", greatest_run(F.col("runs")))
+    written = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
