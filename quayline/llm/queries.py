@@ -40,6 +40,7 @@ from quayline.llm.secretscan import (
     written_spans,
 )
 from quayline.llm.toxicity import score_toxicity, train_toxicity
+from quayline.llm.tries import continued, conversations, prefix_trie
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -357,3 +358,50 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# The polynomial of the checksum, with its bits reversed.
+CRC = 0xEDB88320
+# A table of 256 remainders, and the checksum of the digits of a number.
+CRC_TABLE = f"""SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+  lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {CRC}) ELSE c >> 1 END)) AS t"""
+ONES = 0xFFFFFFFF
+
+
+def _crc_sql(number: str, table: str) -> str:
+    return f"""xor(list_reduce(list_concat([{ONES}], list_transform(
+      string_split({number}::varchar, ''), lambda c: ascii(c)::bigint)),
+      lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), {ONES})"""
+
+
+@query(
+    "op13_trie",
+    f"""WITH crc AS ({CRC_TABLE}), own AS (
+      SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST) AS own
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id), taken AS (
+      SELECT c, own, {_crc_sql("c", "crc.t")} % 9 AS h FROM own, crc), rebuilt AS (
+      SELECT a.c, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) AS r
+      FROM taken a LEFT JOIN own b ON b.c = a.c - a.c % 5), prefixes AS (
+      SELECT c, d, r[1:d] AS p, len(r) = d AS ends,
+        CASE WHEN d > 0 THEN strlen(r[d].t) ELSE 0 END AS bytes
+      FROM (SELECT c, r, unnest(range(0, len(r) + 1)) AS d FROM rebuilt)), nodes AS (
+      SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+        coalesce(string_agg(c::varchar, ',' ORDER BY c) FILTER (ends), '') AS ended
+      FROM prefixes GROUP BY d, p), children AS (
+      SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL), counted AS (
+      SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN children k USING (d, p)), sums AS (
+      SELECT a AS d, p[1:a] AS p, sum((n_children = 0)::int)::bigint AS n_leaves,
+        sum((n_convs - 1) * bytes)::bigint AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM counted) GROUP BY ALL)
+    SELECT c.conv_id, c.d AS depth, u.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves,
+      s.saved_tokens, sha256(c.ended) AS ends_sha256
+    FROM counted c JOIN sums s ON s.d = c.d AND s.p = c.p
+      LEFT JOIN nodes u ON u.d = c.d - 1 AND u.p = c.p[1:c.d - 1]""",
+)
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose first turns, up to eight, are those of the first of five ids in a row."""
+    convs = conversations(table(spark, sf_dir, "conversations"))
+    c = F.col("conv_id")
+    taken = (F.crc32(c.cast("string")) % 9).cast("int")
+    return prefix_trie(continued(convs, c - c % 5, taken, most=8)).drop("n_ends")

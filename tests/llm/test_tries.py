@@ -1,0 +1,126 @@
+"""The trie of conversations against one made of all their prefixes."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from quayline.llm import tries
+from quayline.llm.queries import QUERIES
+from quayline.llm.tries import conversations, prefix_trie
+
+ROWS = "conv_id long, turn long, role string, text string"
+
+
+def brute(convs: dict[int, list[tuple[str, str]]]) -> set[tuple]:
+    members = defaultdict(list)
+    for c, turns in sorted(convs.items()):
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in children[p]) or 1
+        own = (len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0
+        saved[p] = own + sum(saved[k] for k in children[p])
+    out = set()
+    for p, ids in members.items():
+        ends = ",".join(str(c) for c in ids if len(convs[c]) == len(p))
+        parent = members[p[:-1]][0] if p else None
+        out.add((ids[0], len(p), parent, len(ids), len(children[p]), leaves[p], saved[p],
+                 hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def table(spark, convs: dict[int, list[tuple[str, str]]]):
+    rows = [(c, i, *t) for c, turns in convs.items() for i, t in enumerate(turns)]
+    random.Random(0).shuffle(rows)
+    return spark.createDataFrame(rows, ROWS)
+
+
+def nodes(df) -> list[tuple]:
+    names = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+             "saved_tokens", "ends_sha256")
+    return [tuple(r) for r in df.select(*names).collect()]
+
+
+def check(spark, convs: dict, rows=None) -> None:
+    found = nodes(prefix_trie(conversations(table(spark, convs) if rows is None else rows)))
+    assert len(found) == len(set(found))
+    assert set(found) == brute(convs)
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 64])
+def test_random_conversations(spark, monkeypatch, block):
+    """Blocks of any size, so that nodes lie within one, over two and over many."""
+    monkeypatch.setattr(tries, "BLOCK", block)
+    rng = random.Random(block)
+    says = [("user", "hi"), ("bot", "hi"), ("user", "é" * 5), ("user", "")]
+    convs = {}
+    for c in rng.sample(range(-50, 400), 60):
+        if convs and rng.random() < 0.4:
+            turns = list(convs[rng.choice(list(convs))])[: rng.randint(1, 9)]
+        else:
+            turns = []
+        convs[c] = turns + rng.choices(says, k=rng.randint(0 if turns else 1, 4))
+    check(spark, convs)
+
+
+def test_one_conversation_many_times(spark, monkeypatch):
+    monkeypatch.setattr(tries, "BLOCK", 8)
+    turns = [("user", f"turn {i}") for i in range(12)]
+    convs = {c: turns for c in range(70)} | {100 + c: turns[:5] for c in range(20)}
+    check(spark, convs | {200: turns[:5] + [("bot", "else")], 201: [("bot", "alone")]})
+
+
+def test_turnless_conversations(spark, monkeypatch):
+    """Conversations may have no turns: they are members of the root."""
+    monkeypatch.setattr(tries, "BLOCK", 2)
+    for convs in ({1: [], 2: [], 3: []}, {5: []}, {4: [], 2: [("a", "b")], 3: [("a", "b")], 9: []}):
+        data = [(c, [(hashlib.sha256(repr(t).encode()).digest()[:16], len(t[1])) for t in turns])
+                for c, turns in convs.items()]
+        df = spark.createDataFrame(data, f"conv_id long, turns {tries.TURNS}")
+        assert set(nodes(prefix_trie(df))) == brute(convs)
+
+
+def test_nulls_ties_and_clashing_columns(spark):
+    rows = [
+        (1, 2, "user", "c"), (1, None, None, "a"), (1, 1, "user", None),
+        (2, 1, "", "a"), (2, 2, "user", ""), (2, 2, "user", ""), (None, 1, "user", "x"),
+    ]
+    df = spark.createDataFrame(rows, ROWS)
+    for name in ("turns", "block", "position", "key", "depth", "_source", "t"):
+        df = df.selectExpr("*", f"'clash' AS `{name}`")
+    convs = {1: [("", "a"), ("user", ""), ("user", "c")], 2: [("", "a"), ("user", ""), ("user", "")]}
+    check(spark, convs, df)
+    # Turns of one number have an order of their own, whatever order the rows come in.
+    tied = [(1, 1, "a", "x"), (1, 1, "b", "y"), (2, 1, "b", "y"), (2, 1, "a", "x")]
+    found = nodes(prefix_trie(conversations(spark.createDataFrame(tied, ROWS))))
+    assert sorted(n[1] for n in found) == [0, 1, 2] and {n[3] for n in found} == {2}
+
+
+def test_no_conversations(spark):
+    assert nodes(prefix_trie(conversations(spark.createDataFrame([], ROWS)))) == []
+
+
+def test_query(spark, tmp_path):
+    """Rebuilt conversations: sources that are absent, short, empty behind the cut, negative ids."""
+    rng = random.Random(9)
+    own = {c: [(rng.choice("ab"), rng.choice("xyz")) for _ in range(rng.randint(1, 10))]
+           for c in rng.sample(range(-20, 120), 90)}
+    table(spark, own).write.parquet(f"{tmp_path}/conversations.parquet")
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        # The remainder has the sign of the id.
+        source = c - (abs(c) % 5) * (1 if c >= 0 else -1)
+        rebuilt[c] = own.get(source, [])[:h] + turns[h:]
+    found = nodes(QUERIES["op13_trie"](spark, str(tmp_path)))
+    assert len(found) == len(set(found))
+    assert set(found) == brute(rebuilt)
