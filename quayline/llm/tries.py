@@ -29,7 +29,7 @@ from quayline.llm.common import staged
 from quayline.operators.ordering import dense_positions
 
 # Conversations that are made into a forest at a time.
-BLOCK = 4096
+BLOCK = 512
 DIGEST_BYTES = 16
 NOTHING = hashlib.sha256().hexdigest()
 
