@@ -10,6 +10,7 @@ beginnings gives the score, with weights learned from a bounded sample of labell
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -394,19 +395,19 @@ def train_toxicity(
     labels: DataFrame,
     trainable: Column,
     per_class: int = 2500,
-    max_features: int = 20_000,
     least: int = 4,
-    rare: float = 0.01,
+    by_chance: float = 0.01,
     seed: int = 13,
 ) -> ToxicityModel:
     """Learn from ``labels`` (``doc_id``, ``toxic``) where ``trainable`` holds, and the texts of
     ``docs``.
 
     The language model counts all documents.  The classifier sees a sample bounded by ``per_class``
-    documents of either label, drawn by a hash of the id, repeated texts once; a feature counts if at
-    least ``least``, and a share ``rare``, of the toxic ones have it.  Null labels are left
-    out; an id with several labels counts as toxic if any says so.  Without labels of both kinds
-    every score is 0.
+    documents of either label, drawn by a hash of the id, repeated texts once.  A feature counts if more
+    of the toxic ones have it than chance explains (``significant``): of all that count, a share of
+    about ``by_chance`` may do so without reason.  Features that fewer than ``least`` documents of the
+    sample have are not looked at.  Null labels are left out; an id with several labels counts as
+    toxic if any says so.  Without labels of both kinds every score is 0.
     """
     costs = trigram_costs(trigram_counts(docs))
     known = labels.filter(trainable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -451,16 +452,18 @@ def train_toxicity(
     total = sample.agg(F.sum((F.col("toxic") > 0).cast("int")), F.count("*")).first()
     bad, good = total[0], total[1] - total[0]
     odds = F.log((F.col("toxic") + 0.1) / bad) - F.log((F.col("clean") + 0.5) / good)
-    chosen = (
+    tested = staged(
         sample.select("text", "toxic").mapInArrow(count, "feature long, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .withColumn("odds", odds)
-        .filter((F.col("toxic") >= max(least, rare * bad)) & (F.col("odds") > 2))
-        .orderBy(F.desc("odds"), F.desc("toxic"), "feature")
-        .limit(max_features)
-        .collect()
+        .filter(F.col("toxic") + F.col("clean") >= least),
+        "tested",
     )
+    # As many as the sample has words at most, however large the corpus is.
+    likely = tested.filter(odds > 2).orderBy("feature").collect()
+    tails = np.array([chance(r["toxic"], r["clean"], bad, good) for r in likely])
+    limit = significant(tails, tested.count(), by_chance)
+    chosen = [r for r, tail in zip(likely, tails, strict=True) if tail <= limit]
     start = ToxicityModel(costs, {r["feature"]: 0.0 for r in chosen}, 0.0)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -482,6 +485,27 @@ def train_toxicity(
     return ToxicityModel(costs, weights, float(bias))
 
 
+def chance(toxic: int, clean: int, bad: int, good: int) -> float:
+    """The chance that of ``toxic + clean`` documents, drawn from ``bad`` toxic and ``good`` clean ones,
+    ``toxic`` or more are toxic."""
+
+    def ways(n: int, k: int) -> float:
+        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+    drawn, total = toxic + clean, 0.0
+    for k in range(max(toxic, drawn - good), min(drawn, bad) + 1):
+        total += math.exp(ways(bad, k) + ways(good, drawn - k) - ways(bad + good, drawn))
+    return min(total, 1.0)
+
+
+def significant(tails: np.ndarray, tested: int, by_chance: float) -> float:
+    """The greatest of ``tails`` up to which, of ``tested`` in all, an expected share of ``by_chance`` is
+    there by chance (Benjamini and Hochberg); below 0 if there is none."""
+    ranked = np.sort(tails)
+    passed = ranked <= by_chance * np.arange(1, len(ranked) + 1) / max(tested, 1)
+    return float(ranked[np.flatnonzero(passed)[-1]]) if passed.any() else -1.0
+
+
 def _regress(
     rows, features: list[int], seed: int, epochs: int = 30, decay: float = 1e-4, shown: float = 0.75
 ):
