@@ -16,6 +16,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ IMITATION, SIGN, JOINED, REPEATED, PARTED = 1.0, 6.0, 0.5, 0.5, 4.5
 # last letter as a gap, dropping one letter of two, joining two pieces of a word.
 TRAILING, DOUBLED, PIECED = 1.0, 6.0, 4.0
 PIECE = 5  # letters of a piece at most
-WINDOW = 256  # characters decoded before the best reading so far is fixed
+WINDOW = 256  # characters decoded before what all readings so far share is put away
 
 _L, _S = f"[{LETTERS}]", "[0-9@$!|+€£]"
 _LS = f"[{LETTERS}0-9@$!|+€£]"
@@ -196,9 +197,15 @@ class Decoder:
                             after[state] = (total, way)
                 best, last = after, char
             if start + WINDOW < len(text):
-                state = min(best, key=lambda s: (best[s][0], s))
-                said += self._symbols(best[state][1])
-                best = {state: (0.0, ())}
+                # What the cheapest readings of all states have in common is settled.
+                ways = {state: self._symbols(path) for state, (_, path) in best.items()}
+                shared = commonprefix(list(ways.values()))
+                said += shared
+                for state, (cost, _) in best.items():
+                    open_path: tuple = ()
+                    for symbol in ways[state][len(shared) :]:
+                        open_path = (open_path, symbol)
+                    best[state] = (cost, open_path)
         # A reading ends with a gap.
         state = min(
             best, key=lambda s: (best[s][0] + (costs[s[0]][s[1]][0] if s[1] else 0.0), s)

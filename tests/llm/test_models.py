@@ -12,8 +12,10 @@ from quayline.llm.queries import QUERIES
 from quayline.llm.toxicity import (
     LETTERS,
     Decoder,
+    chance,
     restore_texts,
     score_toxicity,
+    significant,
     train_toxicity,
     trigram_costs,
     trigram_counts,
@@ -188,6 +190,32 @@ def test_viterbi_finds_the_cheapest_reading(decoder):
     assert symbol["a"] == 1
 
 
+def test_windows_change_no_reading(decoder, monkeypatch):
+    """However often settled letters are put away, the reading is that of the whole lattice."""
+    import random
+
+    from quayline.llm import toxicity
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aeio1035$!stlrn .-", k=rng.randint(20, 120))) for _ in range(60)]
+    texts += [" ".join(rng.choices("abe1o$", k=60)) for _ in range(20)]
+    whole = [decoder._decode(t) for t in texts]
+    for window in (1, 7, 16):
+        monkeypatch.setattr(toxicity, "WINDOW", window)
+        assert [decoder._decode(t) for t in texts] == whole
+
+
+def test_features_by_chance():
+    # Of 10 toxic and 30 clean documents four are drawn; all of them, or three, are toxic.
+    assert np.isclose(chance(4, 0, 10, 30), 210 / 91390)
+    assert np.isclose(chance(3, 1, 10, 30), (210 + 120 * 30) / 91390)
+    assert chance(0, 4, 10, 30) == pytest.approx(1.0)
+    tails = np.array([0.2, 0.0001, 0.004, 0.03])
+    assert significant(tails, 10, 0.05) == 0.004
+    assert significant(tails, 10_000, 0.05) == -1.0
+    assert significant(np.array([]), 0, 0.05) == -1.0
+
+
 def test_long_stretches(decoder):
     assert decoder.restore("a" * 100_000)[0].strip("a") == ""
     assert len(decoder.restore("1a" * 5_000)[0]) > 0
