@@ -37,11 +37,14 @@ def _apart(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
 
 
 def _with_groups(frequent: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Frequent rows with what ``groups`` has for their keys.  The table has a row per frequent key, of
-    at most a block: Spark broadcasts it, as its size shows, and joins by shuffle were it larger."""
+    """Frequent rows with what ``groups``, a stored table, has for their keys.  That is a row per
+    frequent key, of at most a block, which is broadcast; were there more, because many keys share a
+    hash, the tables would be joined by shuffle."""
     table = groups.select(
         *[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in groups.columns if c not in keys]
     )
+    if table.count() <= 2 * FREQUENT:
+        table = F.broadcast(table)
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
