@@ -1,18 +1,18 @@
 """The ``slots`` data source: catalogues as tables and as streams of new slots.
 
-Batch: one task per listing root.  Streaming: a poll looks whether the collection has changed; only
-then is there a batch, in which every root is listed by a task, compared with what the root held at
-the poll before, and only names that are new leave the task.  What a poll sends is stored in a log
-folder first, so that a batch that is run again, after a failure or a restart, sees the same rows.
+Batch: one task per listing root.  Streaming: a poll is a Spark job of the session, in which every root
+is listed by a task and compared with what it held at the poll before; only if some root has new names
+is there a batch.  What a poll sends is stored in a log folder by those tasks, so that a batch lists
+nothing, and one that is run again, after a failure or a restart, sees the same rows.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import hashlib
 import json
 import logging
 import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -30,12 +30,12 @@ from pyspark.sql.streaming import DataStreamReader
 
 from quayline.sources.base import MAX_RETRIES, Connector, SlotSourceError, require
 from quayline.sources.listing import arrow_schema, catalogue_schema, list_pages, list_roots
-from quayline.sources.pollog import PollLog
+from quayline.sources.pollog import FRESH, PollLog
+from quayline.streaming.watch import Mailbox, watch
 
 log = logging.getLogger(__name__)
 
 FORMAT = "slots"
-FRESH = "fresh"
 
 
 def accepted(batch: pa.RecordBatch, start: dict | None) -> pa.RecordBatch:
@@ -62,8 +62,6 @@ class RootsPartition(InputPartition):
 class PollPartition(InputPartition):
     root: str
     poll: int
-    previous: int | None
-    most: int | None
 
 
 class CatalogueReader(DataSourceReader):
@@ -100,10 +98,12 @@ class CatalogueReader(DataSourceReader):
 
 
 class PollReader(DataSourceStreamReader):
-    """Offsets are polls, by time in milliseconds, with a token of what the collection held.
+    """Offsets are polls, by time in milliseconds.
 
     The first poll of a run sends everything, since the query may have been started with another
-    range than before; after it, a poll whose token is that of the last one is no poll.
+    range than before; after it, a poll that finds nothing new is none.  Polls are made by the session
+    whose ``mailbox`` is given (see ``quayline.streaming.watch``); without one, as where the reader is
+    used by itself, in this process.
     """
 
     def __init__(
@@ -115,6 +115,8 @@ class PollReader(DataSourceStreamReader):
         with_poll: bool = True,
         start: dict | None = None,
         most: int | None = None,
+        kind: str = "",
+        mailbox: str | None = None,
     ) -> None:
         self.connector = connector
         self.max_retries = max_retries
@@ -123,87 +125,73 @@ class PollReader(DataSourceStreamReader):
         self.with_poll = with_poll
         self.start = start
         self.most = most
+        self.kind = kind
+        self.mailbox = mailbox
+        self.sender = uuid.uuid4().hex
         self.last: dict | None = None
-        self.first_poll: int | None = None
+        self.token: str | None = None
+        self.more = False
 
     def initialOffset(self) -> dict:
-        return {"poll": 0, "token": ""}
-
-    def _token(self) -> str:
-        """What the collection holds: the connector's own token, or number and sum of the names'
-        hashes, so that nothing has to be held or sorted."""
-        own = self.connector.fresh().change_token()
-        if own is not None:
-            return own
-        count, total = 0, 0
+        return {"poll": 0}
+
+    def _look(self, poll: int, previous: int | None) -> tuple[int, bool]:
+        """Number of new slots of a poll, and whether there are more."""
+        if self.mailbox is not None:
+            request = {
+                "connector": self.kind, "parameters": self.connector.to_json(),
+                "max_retries": self.max_retries, "log_dir": self.log.location,
+                "poll": poll, "previous": previous, "most": self.most,
+            }
+            answer = Mailbox(self.mailbox).ask(self.sender, request)
+            return answer["new"], answer["cut"]
         roots = list_roots(self.connector, self.max_retries)
-        for page in list_pages(self.connector, roots, self.max_retries):
-            for name in page.column("name").to_pylist():
-                digest = hashlib.blake2b(name.encode(), digest_size=16).digest()
-                total = (total + int.from_bytes(digest, "big")) % (1 << 128)
-            count += page.num_rows
-        return f"{count}-{total:032x}"
+        found = {
+            root: self.log.poll_root(self.connector, self.max_retries, root, poll, previous, self.most)
+            for root in roots
+        }
+        if previous is None or any(new for new, _ in found.values()):
+            self.log.write_poll(poll, [root for root, (new, _) in found.items() if new])
+        return sum(n for n, _ in found.values()), any(cut for _, cut in found.values())
 
     def latestOffset(self) -> dict:
         now = time.time_ns() // 1_000_000
-        if self.last and now - now % self.interval_ms <= self.last["poll"]:
-            if not self.log.has_more(self.last["poll"]):
-                return self.last
-        token = self._token()
-        if self.last and token == self.last["token"] and not self.log.has_more(self.last["poll"]):
+        now -= now % self.interval_ms
+        if self.last and now <= self.last["poll"] and not self.more:
+            return self.last
+        token = self.connector.fresh().change_token()
+        if self.last and token is not None and token == self.token and not self.more:
             return self.last
         # A clock set back must not move the stream back.
-        before = max(self.log.latest(), self.last["poll"] if self.last else 0)
-        self.last = {"poll": max(now - now % self.interval_ms, before + 1), "token": token}
+        previous = self.last["poll"] if self.last else None
+        poll = max(now, max(self.log.latest(), previous or 0) + 1)
+        new, self.more = self._look(poll, previous)
+        self.token = token
+        if self.last is None or new:
+            self.last = {"poll": poll}
         return self.last
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        """The roots with new slots, which the poll has entered in the log."""
         if start["poll"] >= end["poll"]:
             return []
-        if self.first_poll is None:
-            self.first_poll = end["poll"]
-        previous = None if end["poll"] == self.first_poll else start["poll"]
-        self.log.open_poll(end["poll"], end["token"])
-        roots = list_roots(self.connector, self.max_retries)
-        most = None if self.most is None else -(-self.most // max(1, len(roots)))
-        return [PollPartition(root, end["poll"], previous, most) for root in roots]
-
-    def _new_rows(self, partition: PollPartition, key: str) -> Iterator[pa.RecordBatch]:
-        """The listing of a root with a mark on the rows to send.  With a bound, new rows beyond it
-        are left out, so that the next poll finds them new again."""
-        known = self.log.names(partition.previous, key)
-        left, cut = partition.most, False
-        for page in list_pages(self.connector, [partition.root], self.max_retries):
-            fresh = pc.invert(pc.is_in(page.column("name"), value_set=known))
-            if left is not None:
-                rank = pc.cumulative_sum(fresh.cast(pa.int64()))
-                over = pc.and_(fresh, pc.greater(rank, left))
-                left -= min(left, pc.sum(fresh.cast(pa.int64())).as_py() or 0)
-                cut = cut or pc.any(over).as_py() or False
-                page, fresh = page.filter(pc.invert(over)), fresh.filter(pc.invert(over))
-            yield pa.RecordBatch.from_arrays(
-                [*page.columns, fresh], names=[*page.schema.names, FRESH]
-            )
-        if cut:
-            self.log.mark_more(partition.poll, key)
+        roots = self.log.roots(end["poll"])
+        if roots is None:
+            raise SlotSourceError(f"the log at {self.log.location} does not hold poll {end['poll']}")
+        return [PollPartition(root, end["poll"]) for root in roots]
 
     def read(self, partition: PollPartition) -> Iterator[pa.RecordBatch]:
-        key = hashlib.sha256(partition.root.encode()).hexdigest()[:32]
-        listed = arrow_schema(self.connector)
-        if not self.log.has(partition.poll, key):
-            schema = listed.append(pa.field(FRESH, pa.bool_()))
-            self.log.write_once(partition.poll, key, schema, self._new_rows(partition, key))
         poll = datetime.fromtimestamp(partition.poll / 1000, UTC)
-        for batch in self.log.read(partition.poll, key):
+        names = arrow_schema(self.connector).names
+        for batch in self.log.read(partition.poll, partition.root):
             rows = accepted(batch.filter(batch.column(FRESH)), self.start)
             if not rows.num_rows:
                 continue
-            columns = [*rows.columns[:-1]]
-            names = listed.names
+            columns, named = [*rows.columns[:-1]], names
             if self.with_poll:
                 columns.append(pa.array([poll] * rows.num_rows, pa.timestamp("us", "UTC")))
-                names = [*names, "poll"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                named = [*names, "poll"]
+            yield pa.RecordBatch.from_arrays(columns, names=named)
 
     def commit(self, end: dict) -> None:
         self.log.forget_before(end["poll"])
@@ -221,6 +209,7 @@ class SlotSource(DataSource):
     """
 
     connectors: dict[str, type[Connector]] = {}
+    mailbox: str | None = None
 
     @classmethod
     def name(cls) -> str:
@@ -284,6 +273,8 @@ class SlotSource(DataSource):
             self._with_poll(),
             self._start(),
             None if most is None else int(most),
+            self.options["connector"],
+            self.mailbox,
         )
 
 
@@ -311,7 +302,8 @@ def register_sources(spark: SparkSession, **plugins: type[Connector]) -> None:
     that were added to the session before stay."""
     known = {**built_in(), **getattr(spark, "_slot_connectors", {}), **plugins}
     spark._slot_connectors = known
-    spark.dataSource.register(type("SlotSource", (SlotSource,), {"connectors": known}))
+    own = {"connectors": known, "mailbox": watch(spark, known)}
+    spark.dataSource.register(type("SlotSource", (SlotSource,), own))
 
 
 def poll_reader(

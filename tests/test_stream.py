@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import time
+from dataclasses import dataclass
 
-import pyarrow as pa
 import pytest
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -22,12 +24,16 @@ from quayline import (
     replayed_slots,
 )
 from flaky import FlakyFiles
-from quayline.sources import pollog
+from quayline.sources import buckets, listing, pollog
+from quayline.sources.base import Connector, Slot, SlotSourceError
 from quayline.sources.datasource import PollReader
 from quayline.sources.dcm import DcmFilesConnector
 from quayline.sources.files import FilesConnector
-from quayline.sources.listing import pages
 from quayline.sources.pollog import PollLog
+from quayline.streaming import watch
+
+# Workers cannot import this file.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def lines(*names):
@@ -182,12 +188,70 @@ def test_polls_show_more_slots(spark, folder):
         folder.put(name)
     marks = str(folder.path.parent / "marks")
     run = Run(spark, folder, connector=FlakyFiles(str(folder.path), marks=marks, splitInside=True))
-    # A poll lists twice: once to see that something is new, once to send it.
-    assert [[b[1] for b in run.batches()] for _ in range(3)] == [
-        [["a.txt", "b.txt"]], [["c.txt", "d.txt"]], [],
+    # A poll lists once: what it sees is what its batch gets.
+    assert [[b[1] for b in run.batches()] for _ in range(5)] == [
+        [["a.txt"]], [["b.txt"]], [["c.txt"]], [["d.txt"]], [],
     ]
 
 
+@dataclass(frozen=True, repr=False)
+class InTasksOnly(FilesConnector):
+    """Neither lists nor looks for parts outside of tasks."""
+
+    def _in_task(self) -> None:
+        from pyspark import TaskContext
+
+        if TaskContext.get() is None:
+            raise RuntimeError("listed on the driver")
+
+    def roots(self):
+        self._in_task()
+        return super().roots()
+
+    def list(self, root):
+        self._in_task()
+        return super().list(root)
+
+
+@pytest.mark.parametrize("through_format", [False, True])
+def test_polls_list_in_tasks(spark, folder, through_format):
+    """Nothing is listed on the driver, and idle polls make no batch."""
+    folder.put("a/one.txt")
+    folder.put("b/two.txt")
+    base = folder.path.parent
+    connector = InTasksOnly(str(folder.path), recursive=True)
+    with pytest.raises(RuntimeError):
+        connector.list("")
+    if through_format:
+        register_sources(spark, in_tasks=InTasksOnly)
+        listed = (
+            spark.readStream.format("slots")
+            .options(connector="in_tasks", path=str(folder.path), recursive="true", pollInterval=1)
+            .option("logDir", str(base / "polls")).load()
+        )
+    else:
+        listed = SlotStream(spark, connector, str(base / "polls"), poll_interval_ms=1).listings()
+    query = (
+        listed.select("name").writeStream.format("parquet")
+        .option("checkpointLocation", str(base / "checkpoint"))
+        .trigger(processingTime="50 milliseconds").start(str(base / "out"))
+    )
+    try:
+        query.processAllAvailable()
+        time.sleep(1)
+        done = len(list((base / "checkpoint" / "commits").glob("[0-9]*")))
+        time.sleep(2)
+        assert len(list((base / "checkpoint" / "commits").glob("[0-9]*"))) == done == 1
+        folder.put("b/three.txt")
+        query.processAllAvailable()
+        names = [r.name for r in spark.read.parquet(str(base / "out")).collect()]
+        assert sorted(names) == ["a/one.txt", "b/three.txt", "b/two.txt"]
+        # Only the root that changed has a further listing.
+        assert sorted(len(list(p.iterdir())) for p in (base / "polls").glob("root=*")) == [1, 1, 2]
+    finally:
+        query.stop()
+
+
 def contents(path):
     return sorted(str(p.relative_to(path)) for p in path.rglob("*"))
 
@@ -380,7 +444,22 @@ def test_dcm_format(spark, folder):
     assert catalogue.count() == 2
 
 
-LISTED = pa.schema([("name", pa.string()), ("date", pa.timestamp("us", "UTC")), ("length", pa.int64())])
+@dataclass(frozen=True, repr=False)
+class Named(Connector):
+    """Slots with the given names."""
+
+    names: tuple[str, ...] = ()
+
+    def list(self, root):
+        return [Slot(n) for n in self.names]
+
+    def fetch(self, name):
+        return [b""]
+
+
+def fresh(log, poll):
+    rows = [r for b in log.read(poll, "") for r in b.to_pylist()]
+    return sorted(r["name"] for r in rows if r["fresh"])
 
 
 @pytest.mark.parametrize("linked", [True, False])
@@ -394,23 +473,50 @@ def test_poll_log(tmp_path, linked, monkeypatch):
             pollog, "open_location", lambda where: (Store("/", pafs.LocalFileSystem()), where[5:])
         )
     log = PollLog(f"file:{tmp_path}/polls")
-    assert log.latest() == 0
-    log.open_poll(5, "t")
-    log.write_once(5, "k", LISTED, pages([("a", None, 1)], LISTED))
+    assert log.latest() == 0 and log.roots(5) is None
+    assert log.poll_root(Named(("a",)), 0, "", 5, None) == (1, False)
+    log.write_poll(5, [""])
+    assert log.latest() == 5 and log.roots(5) == [""]
     # Another attempt of the same task does not replace what the first one published.
-    log.write_once(5, "k", LISTED, pages([("b", None, 2)], LISTED))
-    assert [b.to_pylist() for b in log.read(5, "k")] == [[{"name": "a", "date": None, "length": 1}]]
-    assert log.has(5, "k")
-    assert not log.has(5, "other")
-    assert log.names(5, "k").to_pylist() == ["a"]
-    assert log.names(None, "k").to_pylist() == []
-    assert not log.has_more(5)
-    log.mark_more(5, "k")
-    assert log.has_more(5)
-    log.open_poll(9, "t")
-    assert log.latest() == 9
-    log.forget_before(9)
-    assert not log.has(5, "k")
+    assert log.poll_root(Named(("b", "c")), 0, "", 5, None) == (1, False)
+    assert fresh(log, 5) == ["a"]
+    assert log.has(5, "") and not log.has(5, "other")
+    # The same names again leave nothing behind; names that are gone are new when they come back.
+    assert log.poll_root(Named(("a",)), 0, "", 6, 5) == (0, False)
+    assert not log.has(6, "")
+    assert log.poll_root(Named(("b", "c")), 0, "", 7, 6) == (2, False)
+    assert fresh(log, 7) == ["b", "c"]
+    assert log.poll_root(Named(("c", "a", "b")), 0, "", 8, 7) == (1, False)
+    assert fresh(log, 8) == ["a"] and not log.has(5, "")
+    # A bound leaves slots out, and the next poll finds them new.
+    names = tuple("abcdefgh")
+    assert log.poll_root(Named(names), 0, "", 9, 8, 2) == (2, True)
+    assert log.poll_root(Named(names), 0, "", 10, 9, 2) == (2, True)
+    assert log.poll_root(Named(names), 0, "", 11, 10, 2) == (1, False)
+    assert log.poll_root(Named(names), 0, "", 12, 11, 2) == (0, False)
+    log.write_poll(12, [])
+    log.forget_before(12)
+    assert log.latest() == 12 and log.roots(5) is None
+
+
+def test_listings_by_bucket(tmp_path, monkeypatch):
+    """Listings of many runs and buckets, of growing and shrinking numbers of buckets."""
+    monkeypatch.setattr(buckets, "RUN_ROWS", 700)
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(listing, "PAGE_ROWS", 90)
+    log = PollLog(f"{tmp_path}/polls")
+    before: set = set()
+    for poll, wanted in enumerate(
+        (range(0), range(30), range(20, 5000), range(4000, 4100), range(3000), range(3000)), 1
+    ):
+        names = {f"é{i}\n/{i * i}" for i in wanted}
+        new, cut = log.poll_root(Named(tuple(names)), 0, "", poll, poll - 1 if poll > 1 else None)
+        assert (new, cut) == (len(names - before), False)
+        if log.has(poll, ""):
+            assert fresh(log, poll) == sorted(names - before)
+            assert sorted(r["name"] for b in log.read(poll, "") for r in b.to_pylist()) == sorted(names)
+        before = names
+    assert not log.has(6, "")
 
 
 def test_offsets_never_go_back(tmp_path):
@@ -420,8 +526,20 @@ def test_offsets_never_go_back(tmp_path):
     assert now["poll"] % 1000 == 0
     assert reader.latestOffset() == now
     later = now["poll"] + 3_600_000
-    reader.log.open_poll(later, "t")
+    reader.log.write_poll(later, [])
     (tmp_path / "in" / "a").touch()
     again = PollReader(FilesConnector(str(tmp_path / "in")), 0, str(tmp_path / "polls"), 1000)
     assert again.latestOffset()["poll"] == later + 1
     assert again.partitions({"poll": later}, {"poll": later}) == []
+    assert [p.root for p in again.partitions({"poll": later}, {"poll": later + 1})] == [""]
+    with pytest.raises(SlotSourceError, match="does not hold"):
+        again.partitions({"poll": 0}, {"poll": later + 7})
+
+
+def test_unheard_polls(tmp_path, monkeypatch):
+    monkeypatch.setattr(watch, "UNHEARD_SECONDS", 0.1)
+    reader = PollReader(
+        FilesConnector(str(tmp_path)), 0, str(tmp_path / "polls"), 1, mailbox=f"{tmp_path}/box"
+    )
+    with pytest.raises(SlotSourceError, match="no session"):
+        reader.latestOffset()
