@@ -39,6 +39,7 @@ from quayline.session import build_session
 from quayline.sources.base import Connector, Slot, SlotSourceError
 from quayline.sources.datasource import register_sources
 from quayline.sources.hadoop import hadoop_lines, hadoop_slots
+from quayline.sources.wanted import Wanted
 from quayline.streaming.slots import BatchReportListener, SlotStream
 
 # Functions and connectors travel to executors by value, so workers need no installed copy.
@@ -52,6 +53,7 @@ __all__ = [
     "SlotSourceError",
     "SlotStream",
     "StartRange",
+    "Wanted",
     "apply_start",
     "batch_descriptions",
     "batch_report",

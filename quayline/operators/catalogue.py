@@ -17,7 +17,9 @@ from quayline.operators.ordering import slot_order
 from quayline.operators.ranges import instant
 from quayline.session import stored
 from quayline.sources.base import Connector
+from quayline.sources.datasource import listing_reader
 from quayline.sources.listing import catalogue_schema, list_pages, list_roots
+from quayline.sources.wanted import Wanted
 
 log = logging.getLogger(__name__)
 
@@ -27,26 +29,38 @@ def read_catalogue(
     connector: Connector,
     max_retries: int = 3,
     on_list_error: str = "fail",
+    wanted: Wanted | None = None,
+    where: Column | str | None = None,
 ) -> DataFrame:
     """All slots a connector lists: ``name, date, length`` and what the connector adds.
 
     Listed at once, in executor tasks, one per listing root; the listing is stored in the shared
     folder, so that whatever is done with the catalogue lists nothing again.  ``on_list_error`` set
     to ``empty`` turns a listing that still fails after ``max_retries`` re-tries into no slots: all
-    roots or none.
+    roots or none.  ``wanted`` bounds what is listed: parts that cannot hold such slots are not listed
+    at all, and of the others only rows of such slots leave the tasks.
+
+    ``where`` keeps the slots that satisfy a condition and lets Spark find the bounds in it: comparisons
+    of names, beginnings of names, lists of names, dates and data-transfer types, joined by AND.
     """
     if on_list_error not in ("fail", "empty"):
         raise ValueError("on_list_error must be fail or empty")
+    if where is not None:
+        if wanted is not None:
+            raise ValueError("give bounds or a condition")
+        loaded = listing_reader(spark, connector, max_retries, on_list_error).load()
+        return stored(loaded.filter(where), "listing")
     schema = catalogue_schema(connector)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_pydict({"root": list_roots(connector, max_retries)})
+                found = list_roots(connector, max_retries, wanted, split=True)
+                yield pa.RecordBatch.from_pydict({"root": found})
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from list_pages(connector, batch.column("root").to_pylist(), max_retries)
+            yield from list_pages(connector, batch.column("root").to_pylist(), max_retries, wanted)
 
     try:
         roots = stored(spark.range(1, numPartitions=1).mapInArrow(find, "root string"), "roots")

@@ -12,7 +12,7 @@ from contextlib import closing
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,7 @@ from quayline.functions.text import (
 from quayline.operators.ordering import index_slots, one_slot_per_partition, slot_order
 from quayline.session import stored
 from quayline.sources.base import MAX_RETRIES, Connector, Fetcher
+from quayline.sources.wanted import Wanted
 
 LINE_KEYS = ("slot", "slot_date", "line_no")
 # A batch leaves the task when it holds this many lines or characters.
@@ -262,15 +263,18 @@ def read_lines(
     max_partitions: int | None = None,
     line_numbers: bool = True,
     partition_bytes: int | None = None,
+    wanted: Wanted | None = None,
+    where: Column | str | None = None,
 ) -> DataFrame:
     """List, choose, order and fetch.
 
     ``choose`` maps the catalogue to the slots to read, with any DataFrame operation, for example
-    ``lambda c: between_dates(c, "2024-01-01")``.
+    ``lambda c: between_dates(c, "2024-01-01")``.  ``wanted`` and ``where`` bound
+    the listing itself (see ``read_catalogue``).
     """
     from quayline.operators.catalogue import read_catalogue
 
-    slots = read_catalogue(spark, connector, max_retries, on_list_error)
+    slots = read_catalogue(spark, connector, max_retries, on_list_error, wanted, where)
     if choose is not None:
         slots = choose(slots)
     return ordered_lines(

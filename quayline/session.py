@@ -19,6 +19,8 @@ def build_session(app: str = "quayline", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Filters on a catalogue bound what is listed.
+        "spark.sql.python.filterPushdown.enabled": "true",
         # Names of every slot ever read live in streaming state: keep it off the heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
 from typing import Any, ClassVar, NamedTuple, TypeVar
 
+from quayline.sources.wanted import Wanted
+
 log = logging.getLogger(__name__)
 
 # Re-tries of a failing listing or fetch, and the pause between two attempts.
@@ -62,6 +64,18 @@ class Connector(ABC):
         task, and again after a failure."""
         return [""]
 
+    def may_hold(self, root: str, wanted: Wanted) -> bool:
+        """Whether a wanted slot may lie below ``root``; a root of which this is sure not is not listed."""
+        return True
+
+    def wanted_roots(self, wanted: Wanted) -> Iterable[str]:
+        """The roots that may hold wanted slots."""
+        return [root for root in self.roots() if self.may_hold(root, wanted)]
+
+    def split(self, root: str) -> Iterable[str]:
+        """Roots that together hold what ``root`` does, where it holds too much for one task."""
+        return [root]
+
     @abstractmethod
     def list(self, root: str) -> Iterable[Slot]:
         """All slots below ``root``."""

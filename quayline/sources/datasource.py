@@ -19,11 +19,12 @@ from datetime import UTC, datetime
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrameReader, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
     DataSourceStreamReader,
+    Filter,
     InputPartition,
 )
 from pyspark.sql.streaming import DataStreamReader
@@ -31,6 +32,7 @@ from pyspark.sql.streaming import DataStreamReader
 from quayline.sources.base import MAX_RETRIES, Connector, SlotSourceError, require
 from quayline.sources.listing import arrow_schema, catalogue_schema, list_pages, list_roots
 from quayline.sources.pollog import FRESH, PollLog
+from quayline.sources.wanted import Wanted, wanted_by
 from quayline.streaming.watch import Mailbox, watch
 
 log = logging.getLogger(__name__)
@@ -58,33 +60,94 @@ class RootsPartition(InputPartition):
     roots: list[str]
 
 
+@dataclass
+class ListedPartition(InputPartition):
+    log_dir: str
+    root: str
+
+
 @dataclass
 class PollPartition(InputPartition):
     root: str
     poll: int
 
 
+# The one poll of a listing that is made before it is read.
+LISTED = 1
+
+
 class CatalogueReader(DataSourceReader):
-    """One task per root.  Where a failing listing counts as no slots it must fail as a whole, so
-    then one task lists all roots; its pages wait on disk until the last root is listed."""
+    """One task per root, or per part of a root.
+
+    Roots are found by a job of the session whose ``mailbox`` is given; without one, in this process.
+    Where a failing listing counts as no slots it must fail as a whole: then that job makes the whole
+    listing, a task per root, and it is read if all of them succeed.
+    """
 
     def __init__(
-        self, connector: Connector, max_retries: int, on_list_error: str, start: dict | None
+        self,
+        connector: Connector,
+        max_retries: int,
+        on_list_error: str,
+        start: dict | None,
+        kind: str = "",
+        mailbox: str | None = None,
+        push: bool = True,
     ) -> None:
         self.connector = connector
         self.max_retries = max_retries
         self.on_list_error = on_list_error
         self.start = start
+        self.kind = kind
+        self.mailbox = mailbox
+        self.push = push
+        self.wanted = Wanted()
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Filters bound what is listed, if that was asked for.  Spark applies them all the same: bounds
+        may be wider."""
+        if self.push:
+            self.wanted = wanted_by(filters)
+        yield from filters
+
+    def _ask(self, log_dir: str | None) -> dict:
+        request = {
+            "connector": self.kind, "parameters": self.connector.to_json(),
+            "max_retries": self.max_retries, "wanted": self.wanted.to_dict(),
+        }
+        if log_dir is not None:
+            request |= {"log_dir": log_dir, "poll": LISTED, "previous": None, "most": None}
+        return Mailbox(self.mailbox).ask(uuid.uuid4().hex, request)
 
     def partitions(self) -> list[InputPartition]:
-        if self.on_list_error == "empty":
-            return [RootsPartition([])]
-        return [RootsPartition([r]) for r in list_roots(self.connector, self.max_retries)]
-
-    def read(self, partition: RootsPartition) -> Iterator[pa.RecordBatch]:
+        empty = self.on_list_error == "empty"
+        if self.mailbox is None:
+            if empty:
+                return [RootsPartition([])]
+            found = list_roots(self.connector, self.max_retries, self.wanted, split=True)
+        elif empty:
+            place = f"{self.mailbox}/listing-{uuid.uuid4().hex}"
+            try:
+                self._ask(place)
+            except SlotSourceError as error:
+                log.error("going on without slots: %s", error)
+                return []
+            return [ListedPartition(place, r) for r in PollLog(place).roots(LISTED) or []]
+        else:
+            found = self._ask(None)["roots"]
+        return [RootsPartition([root]) for root in found]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        if isinstance(partition, ListedPartition):
+            for page in PollLog(partition.log_dir).read(LISTED, partition.root):
+                yield accepted(page.drop_columns([FRESH]), self.start)
+            return
+        if not isinstance(partition, RootsPartition):
+            # Of no partitions Spark makes one that says nothing.
+            return
         try:
-            roots = partition.roots or list_roots(self.connector, self.max_retries)
-            pages = list_pages(self.connector, roots, self.max_retries)
+            roots = partition.roots or list_roots(self.connector, self.max_retries, self.wanted)
+            pages = list_pages(self.connector, roots, self.max_retries, self.wanted)
             first = next(pages, None)
         except SlotSourceError as error:
             if self.on_list_error == "fail":
@@ -202,10 +265,14 @@ class SlotSource(DataSource):
 
     Options: ``connector`` (its short name) and ``parameters`` (its fields as JSON), or the scalar
     fields as options of their own; ``maxRetries`` (3); ``start``, a ``StartRange`` as JSON.  Batch:
-    ``onListError`` (``fail`` or ``empty``).  Stream: ``logDir`` (shared folder, required),
+    ``onListError`` (``fail`` or ``empty``) and ``pushFilters`` (``false``).  Stream: ``logDir`` (shared folder, required),
     ``pollInterval`` in ms (1000), ``maxSlotsPerTrigger`` and ``withPoll`` (``true`` adds the time of
     the poll as a column).  A stream sends a name when it appears, and all names again when it is
     restarted; ``SlotStream`` keeps the first of each.  Rows are as the connector refines them.
+
+    With ``pushFilters`` and the session's ``spark.sql.python.filterPushdown.enabled``, filters bound the
+    listing.  Spark then keeps what it listed for the first filter with the loaded DataFrame, also for
+    other filters: load anew for every query, or use ``read_catalogue(..., where=...)``, which does.
     """
 
     connectors: dict[str, type[Connector]] = {}
@@ -256,7 +323,15 @@ class SlotSource(DataSource):
         on_error = self.options.get("onListError", "fail")
         if on_error not in ("fail", "empty"):
             raise ValueError("onListError must be fail or empty")
-        return CatalogueReader(self._connector(), self._max_retries(), on_error, self._start())
+        return CatalogueReader(
+            self._connector(),
+            self._max_retries(),
+            on_error,
+            self._start(),
+            self.options["connector"],
+            self.mailbox,
+            self.options.get("pushFilters", "false").lower() == "true",
+        )
 
     def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001
         log_dir = self.options.get("logDir")
@@ -306,6 +381,23 @@ def register_sources(spark: SparkSession, **plugins: type[Connector]) -> None:
     spark.dataSource.register(type("SlotSource", (SlotSource,), own))
 
 
+def _registered(spark: SparkSession, connector: Connector) -> str:
+    """The short name of a connector's class, made known to the session."""
+    cls = type(connector)
+    kind = next((k for k, known in built_in().items() if known is cls), cls.__name__)
+    register_sources(spark, **{kind: cls})
+    return kind
+
+
+def listing_reader(
+    spark: SparkSession, connector: Connector, max_retries: int, on_list_error: str
+) -> DataFrameReader:
+    """A reader of the catalogue whose filters bound the listing; each load is for one query."""
+    reader = spark.read.format(SlotSource.name()).option("connector", _registered(spark, connector))
+    reader = reader.option("parameters", connector.to_json()).option("maxRetries", max_retries)
+    return reader.option("onListError", on_list_error).option("pushFilters", True)
+
+
 def poll_reader(
     spark: SparkSession,
     connector: Connector,
@@ -314,15 +406,12 @@ def poll_reader(
     poll_interval_ms: int,
     max_slots: int | None = None,
 ) -> DataStreamReader:
-    cls = type(connector)
-    kind = next((k for k, known in built_in().items() if known is cls), cls.__name__)
-    register_sources(spark, **{kind: cls})
     reader = spark.readStream.format(SlotSource.name()).option("withPoll", True)
     reader = reader.option("logDir", log_dir).option("pollInterval", poll_interval_ms)
     if max_slots is not None:
         reader = reader.option("maxSlotsPerTrigger", max_slots)
     return (
-        reader.option("connector", kind)
+        reader.option("connector", _registered(spark, connector))
         .option("parameters", connector.to_json())
         .option("maxRetries", max_retries)
     )

@@ -31,7 +31,7 @@ class GcsConnector(FilesConnector):
     recursive: bool = True
 
     def validate(self) -> None:
-        require(bucket=self.bucket, rootDepth=self.rootDepth)
+        require(bucket=self.bucket, rootDepth=self.rootDepth, splitRows=self.splitRows)
         if (self.access_token is None) != (self.tokenExpiration is None):
             raise ValueError("access_token and tokenExpiration go together")
         if self.tokenExpiration is not None:

@@ -9,6 +9,7 @@ from itertools import islice
 import pyarrow as pa
 
 from quayline.sources.base import Connector, retrying
+from quayline.sources.wanted import Wanted
 
 PAGE_ROWS = 20_000
 LISTED = (("name", "string"), ("date", "timestamp"), ("length", "long"))
@@ -40,21 +41,27 @@ def pages(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         )
 
 
-def list_roots(template: Connector, max_retries: int) -> list[str]:
-    """The parts of the collection, by a new copy of the connector per attempt."""
+def list_roots(
+    template: Connector, max_retries: int, wanted: Wanted | None = None, split: bool = False
+) -> list[str]:
+    """The parts of the collection that may hold wanted slots, by a new copy of the connector per
+    attempt.  ``split`` cuts those that hold too much for one task."""
 
     def attempt() -> list[str]:
         connector = template.fresh()
         try:
-            return list(connector.roots())
+            roots = connector.roots() if wanted is None else connector.wanted_roots(wanted)
+            return [part for root in roots for part in (connector.split(root) if split else [root])]
         finally:
             connector.close()
 
     return retrying(attempt, max_retries, f"listing parts of {template!r}")
 
 
-def list_pages(template: Connector, roots: list[str], max_retries: int) -> Iterator[pa.RecordBatch]:
-    """The refined listing of ``roots``, in pages.
+def list_pages(
+    template: Connector, roots: list[str], max_retries: int, wanted: Wanted | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The refined listing of ``roots``, in pages, without what is not wanted.
 
     Pages leave only when the whole listing is there: until then they wait in a file of the task, not
     in memory, so that an attempt that fails half-way leaves nothing behind.
@@ -67,7 +74,10 @@ def list_pages(template: Connector, roots: list[str], max_retries: int) -> Itera
         try:
             with pa.ipc.new_stream(spool, schema) as out:
                 refined = (connector.refine(slot) for slot in connector.list(root))
-                for page in pages((row for row in refined if row is not None), schema):
+                rows = (row for row in refined if row is not None)
+                if wanted is not None:
+                    rows = (row for row in rows if wanted.row(row, schema.names))
+                for page in pages(rows, schema):
                     out.write_batch(page)
         except BaseException:
             spool.close()

@@ -25,6 +25,7 @@ from quayline.sources.base import Connector
 from quayline.sources.buckets import HashedListing, StoredBuckets
 from quayline.sources.listing import arrow_schema, list_pages
 from quayline.sources.location import open_location
+from quayline.sources.wanted import Wanted
 
 FRESH = "fresh"
 DIGEST = b"digest"
@@ -158,6 +159,7 @@ class PollLog:
         poll: int,
         previous: int | None,
         most: int | None = None,
+        wanted: Wanted | None = None,
     ) -> tuple[int, bool]:
         """List a root and store what is new since the poll ``previous``; all of it if that is None.
 
@@ -166,7 +168,8 @@ class PollLog:
         stored listing, nothing is compared or written.
         """
         schema = arrow_schema(connector)
-        with HashedListing(list_pages(connector, [root], max_retries), schema) as listing:
+        listed = list_pages(connector, [root], max_retries, wanted)
+        with HashedListing(listed, schema) as listing:
             versions = {} if previous is None else self._versions(root)
             before = [p for p in versions if p <= previous] if versions else []
             if not before:

@@ -25,6 +25,7 @@ from quayline.sources.base import Connector, SlotSourceError
 from quayline.sources.listing import list_roots
 from quayline.sources.location import open_location
 from quayline.sources.pollog import PollLog
+from quayline.sources.wanted import Wanted
 
 log = logging.getLogger(__name__)
 
@@ -86,6 +87,26 @@ class Mailbox:
                 raise SlotSourceError("no session takes up the polls of this stream")
 
 
+def roots_in_tasks(
+    spark: SparkSession,
+    connector: Connector,
+    max_retries: int,
+    wanted: Wanted | None = None,
+    split: bool = False,
+) -> list[str]:
+    """The roots of a collection, found in a task.  They become partitions, of which the driver holds a
+    list in any case."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = list_roots(connector, max_retries, wanted, split)
+                yield pa.RecordBatch.from_pydict({"root": pa.array(found, pa.string())})
+
+    one = spark.range(1, numPartitions=1)
+    return [r[0] for r in one.mapInArrow(find, "root string").collect()]
+
+
 def poll_in_tasks(
     spark: SparkSession,
     connector: Connector,
@@ -94,24 +115,21 @@ def poll_in_tasks(
     poll: int,
     previous: int | None,
     most: int | None,
+    wanted: Wanted | None = None,
 ) -> tuple[int, bool]:
     """Poll a collection, one task per root, and enter the poll in the log if it found new slots or is
     the first one.  Gives the number of new slots, and whether some were left out."""
     polls = PollLog(log_dir)
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict({"root": list_roots(connector, max_retries)})
-
-    roots = [r[0] for r in spark.range(1, numPartitions=1).mapInArrow(find, "root string").collect()]
+    roots = roots_in_tasks(spark, connector, max_retries, wanted)
     # The bound of a batch is dealt out to the roots.
     share = None if most is None else -(-most // max(1, len(roots)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for root in batch.column("root").to_pylist():
-                new, cut = polls.poll_root(connector, max_retries, root, poll, previous, share)
+                new, cut = polls.poll_root(
+                    connector, max_retries, root, poll, previous, share, wanted
+                )
                 yield pa.RecordBatch.from_pydict({"root": [root], "new": [new], "cut": [cut]})
 
     table = spark.createDataFrame(list(enumerate(roots)), "place int, root string")
@@ -158,13 +176,19 @@ class Watch(threading.Thread):
         self.mailbox.put(sender, "heard", {"id": request["id"]})
         try:
             connector = self.connectors[request["connector"]].from_json(request["parameters"])
-            new, cut = poll_in_tasks(
-                self.spark, connector, request["max_retries"], request["log_dir"],
-                request["poll"], request["previous"], request["most"],
-            )
-            answer = {"new": new, "cut": cut}
+            retries, wanted = request["max_retries"], Wanted.from_dict(request.get("wanted"))
+            if "log_dir" in request:
+                new, cut = poll_in_tasks(
+                    self.spark, connector, retries, request["log_dir"], request["poll"],
+                    request["previous"], request["most"], wanted,
+                )
+                answer = {"new": new, "cut": cut}
+            else:
+                # What a batch read has to list.
+                found = roots_in_tasks(self.spark, connector, retries, wanted, split=True)
+                answer = {"roots": found}
         except Exception as error:
-            answer = {"error": f"polling failed: {error}"}
+            answer = {"error": f"listing failed: {error}"}
         self._answered[sender] = request["id"]
         self.mailbox.put(sender, "answer", {"id": request["id"], **answer})
 
