@@ -34,7 +34,14 @@ from quayline.operators.payload import (
     write_lines,
 )
 from quayline.operators.polls import batch_descriptions, batch_report, new_slots, replayed_slots
-from quayline.operators.ranges import StartRange, apply_start, range_summary, resume_range
+from quayline.operators.ranges import (
+    StartRange,
+    apply_start,
+    packed_range,
+    range_summary,
+    resume_packed,
+    resume_range,
+)
 from quayline.session import build_session
 from quayline.sources.base import Connector, Slot, SlotSourceError
 from quayline.sources.datasource import register_sources
@@ -74,6 +81,7 @@ __all__ = [
     "one_slot_per_partition",
     "order_slots",
     "ordered_lines",
+    "packed_range",
     "parse_dcm_name",
     "payload_lines",
     "peek_lines",
@@ -83,6 +91,7 @@ __all__ = [
     "read_metrics",
     "register_sources",
     "replayed_slots",
+    "resume_packed",
     "resume_range",
     "slot_metrics",
     "split_lines",

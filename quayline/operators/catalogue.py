@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.functions.dcm import parse_dcm_name
+from quayline.operators.names import likely_among
 from quayline.operators.ordering import slot_order
 from quayline.operators.ranges import instant
 from quayline.session import stored
@@ -90,15 +91,21 @@ def matching(slots: DataFrame, condition: Column | str) -> DataFrame:
 IDENTITY = ("name", "date", "dcm_type")
 
 
-def exclude_previous(slots: DataFrame, previous: DataFrame) -> DataFrame:
+def exclude_previous(
+    slots: DataFrame, previous: DataFrame, prefilter: bool = False
+) -> DataFrame:
     """Drop slots that are among the previous ones: same name and, where both tables have them, same
     date and type; null equals null.  Other columns, such as the length, do not tell slots apart.
 
-    A slot that came back with another date is kept.
+    A slot that came back with another date is kept.  ``prefilter`` is for far more previous slots than
+    slots: the slots are counted, and previous ones whose name is surely none of theirs are cut by a
+    broadcast filter before the join moves them.
     """
     if "name" not in slots.columns or "name" not in previous.columns:
         raise ValueError("slots are told apart by name: both tables need that column")
     shared = [c for c in IDENTITY if c in slots.columns and c in previous.columns]
+    if prefilter:
+        previous = likely_among(previous, slots, slots.count())
     old = previous.select(*[F.col(c).alias(f"_old_{c}") for c in shared])
     same = F.lit(True)
     for c in shared:

@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayline.operators.names import NAMES_PER_BLOCK, likely_among, pack_names, unpack_names
 from quayline.operators.ordering import dense_positions, slot_order
 
 NAMES_PER_ROW = 1000
@@ -40,8 +41,11 @@ class StartRange:
         return cls(fields.get("date"), tuple(fields.get("slots") or ()))
 
 
-def apply_start(slots: DataFrame, start: StartRange | None) -> DataFrame:
-    """Keep the slots, batch or stream, that ``start`` accepts."""
+def apply_start(
+    slots: DataFrame, start: StartRange | None, prefilter: bool = False
+) -> DataFrame:
+    """Keep the slots, batch or stream, that ``start`` accepts.  ``prefilter``, for a batch and a far
+    larger table ``seen``, cuts that one by a filter of the slots' names before it is moved."""
     if start is None:
         return slots
     if start.date is not None:
@@ -50,7 +54,10 @@ def apply_start(slots: DataFrame, start: StartRange | None) -> DataFrame:
         table = slots.sparkSession.createDataFrame([(n,) for n in start.names], "name string")
         slots = slots.join(table, "name", "left_anti")
     if start.seen is not None:
-        slots = slots.join(start.seen.select("name"), "name", "left_anti")
+        seen = start.seen.select("name")
+        if prefilter:
+            seen = likely_among(seen, slots, slots.count())
+        slots = slots.join(seen, "name", "left_anti")
     return slots
 
 
@@ -96,3 +103,23 @@ def resume_range(summary: DataFrame) -> StartRange:
     date = summary.select(F.col("range_date").cast("string")).first()
     seen = summary.select(F.explode("names").alias("name"))
     return StartRange(date[0] if date else None, seen=seen)
+
+
+def packed_range(slots: DataFrame, names_per_block: int = NAMES_PER_BLOCK) -> DataFrame:
+    """The resume token of a read as ``range_date, first, last, n_names, packed``: the same date and
+    names as ``range_summary``, with the names sorted by themselves and packed, a few bytes each.
+
+    No slots, no rows.
+    """
+    date = F.min("date") if "date" in slots.columns else F.lit(None).cast("timestamp")
+    earliest = slots.agg(date.alias("range_date"))
+    # One row: the earliest date of all.
+    return pack_names(slots, names_per_block).crossJoin(F.broadcast(earliest)).select(
+        "range_date", "first", "last", "n_names", "packed"
+    )
+
+
+def resume_packed(token: DataFrame) -> StartRange:
+    """The start that goes on after the read of a ``packed_range``."""
+    date = token.select(F.col("range_date").cast("string")).first()
+    return StartRange(date[0] if date else None, seen=unpack_names(token))

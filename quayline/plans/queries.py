@@ -13,11 +13,12 @@ from quayline.functions.urls import url_kind
 from quayline.operators.catalogue import (
     between_dates,
     dcm_slots,
+    empty_like,
     exclude_previous,
     matching,
     read_catalogue,
 )
-from quayline.operators.ordering import index_slots, one_slot_per_partition
+from quayline.operators.ordering import dense_positions, index_slots, one_slot_per_partition
 from quayline.operators.payload import (
     fetch_payload,
     payload_lines,
@@ -29,7 +30,14 @@ from quayline.operators.payload import (
     write_lines,
 )
 from quayline.operators.polls import batch_descriptions, batch_report, new_slots, replayed_slots
-from quayline.operators.ranges import StartRange, apply_start, range_summary, resume_range
+from quayline.operators.ranges import (
+    StartRange,
+    apply_start,
+    packed_range,
+    range_summary,
+    resume_packed,
+    resume_range,
+)
 from quayline.plans.feeds import (
     PARTS_OF_DOCUMENTS,
     dcm_names,
@@ -43,7 +51,7 @@ from quayline.plans.feeds import (
     table,
     write_document_files,
 )
-from quayline.session import scratch_path
+from quayline.session import scratch_path, stored
 from quayline.sources.datasource import register_sources
 from quayline.sources.files import FilesConnector
 from quayline.sources.hadoop import hadoop_lines
@@ -230,6 +238,30 @@ def resume_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_start(slots.select("name", "date"), resume_range(token))
 
 
+@query(
+    "resume_packed_names",
+    f"""WITH {LINED} SELECT name, date FROM lined WHERE date >=
+          (SELECT min(date) FROM lined WHERE priority < '3')
+        AND name NOT IN (SELECT name FROM lined WHERE priority < '3')""",
+)
+def resume_packed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a packed token, whose names are cut by a filter before they are compared."""
+    slots = _lined(spark, sf_dir)
+    token = stored(packed_range(slots.filter("priority < '3'").select("name", "date")), "token")
+    return apply_start(slots.select("name", "date"), resume_packed(token), prefilter=True)
+
+
+@query(
+    "exclude_prefiltered",
+    f"WITH {LINED} SELECT name, date FROM lined WHERE priority >= '4' AND name LIKE 'order_1%'",
+)
+def exclude_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some slots against far more previous ones."""
+    slots = _lined(spark, sf_dir)
+    some = slots.filter(F.col("name").startswith("order_1")).select("name", "date")
+    return exclude_previous(some, slots.filter("priority < '4'"), prefilter=True)
+
+
 @query(
     "exclude_other_lengths",
     f"WITH {LINED} SELECT name, date, length FROM lined WHERE priority >= '4'",
@@ -374,6 +406,37 @@ def slot_lines_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_lines(document_payload(spark, sf_dir, "UTF-16"), "UTF-16")
 
 
+ENDED = """ended AS (
+  SELECT name, date, doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text || chr(10) END AS text FROM docs)"""
+
+
+@query(
+    "slot_lines_ended",
+    f"""WITH {DOCS}, {ENDED}, {PARTS.replace("FROM docs", "FROM ended")}
+        SELECT name AS slot, date AS slot_date, unnest(range(len(p))) AS line_no, unnest(p) AS value
+        FROM parts""",
+)
+def slot_lines_ended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty contents have no line, and a line end behind the last line adds none, packed or not."""
+    docs = spread(document_slots(spark, sf_dir), "name")
+    text = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat("text", F.lit("\n")))
+    payload = docs.withColumn("content", F.encode(text, "UTF-8"))
+    return payload_lines(gzipped(payload, F.col("doc_id") % 2 == 0))
+
+
+@query(
+    "slot_lines_empty_scan",
+    f"WITH {LINES} SELECT slot, slot_date, line_no, value FROM lines JOIN docs ON name = slot "
+    "WHERE lang = 'en'",
+)
+def slot_lines_empty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of some slots, and of a catalogue without slots, which has the same shape and no lines."""
+    payload = document_payload(spark, sf_dir)
+    english = document_slots(spark, sf_dir).filter("lang = 'en'").select("name")
+    some = payload_lines(payload.join(english, "name", "left_semi"))
+    return some.unionByName(payload_lines(empty_like(payload)))
+
+
 @query("slot_lines_mixed_ends", f"WITH {LINES} SELECT slot, slot_date, line_no, value FROM lines")
 def slot_lines_mixed_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three line ends give the same lines."""
@@ -591,6 +654,21 @@ def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(read_lines(spark, files, split_bytes=256 << 10))
 
 
+@query("slots_where_scan", f"{SCANNED} WHERE part = 'english' AND bucket % 2 = 0")
+def slots_where_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A condition on names that reaches the listing: folders that it rules out are not listed."""
+    files = _files(document_files(spark, sf_dir))
+    even = F.col("name").startswith("english/") & F.col("name").rlike(r"/bucket=\d*[02468]/")
+    return _scanned(read_lines(spark, files, where=even))
+
+
+@query("slots_ranges_scan", SCANNED)
+def slots_ranges_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as two large folders, each listed by tasks for ranges of names."""
+    files = FilesConnector(document_files(spark, sf_dir), recursive=True, skipHidden=True, splitRows=2)
+    return _scanned(read_lines(spark, files))
+
+
 @query(
     "slots_read_metrics",
     f"""WITH {FILED} SELECT part, bucket, count(*) AS records, sum(length(value))::bigint AS characters,
@@ -666,6 +744,38 @@ def slots_batch_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(spark.read.parquet(f"{_batches(spark, sf_dir)}/lines"))
 
 
+@query(
+    "stream_order",
+    f"WITH {FILED} SELECT part, bucket, line_no, true AS in_order FROM numbered",
+)
+def stream_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each line comes at its place in slot order, as a batch hands its lines on."""
+    stream = SlotStream(
+        spark, _files(document_files(spark, sf_dir)), scratch_path(spark, "polls"), poll_interval_ms=1
+    )
+    base = scratch_path(spark, "order")
+
+    def keep(lines: DataFrame, slots: DataFrame, batch_id: int) -> None:
+        # The partition of a row, and its place there.
+        placed = lines.drop("value").withColumn("at", F.monotonically_increasing_id())
+        placed.write.parquet(f"{base}/lines/batch={batch_id}")
+
+    run = (
+        stream.for_each_batch(keep)
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    lines = spark.read.parquet(f"{base}/lines")
+    order = [F.col("slot_date"), F.col("slot"), F.col("line_no")]
+    placed = dense_positions(lines, order, within=["batch"], name="wanted")
+    placed = dense_positions(placed, [F.col("at")], within=["batch"], name="found")
+    return _filed(placed).select(
+        "part", "bucket", "line_no", (F.col("wanted") == F.col("found")).alias("in_order")
+    )
+
+
 @query(
     "stream_report",
     f"""WITH {FILED} SELECT part, count(DISTINCT bucket) AS n_slots, count(*) AS n_lines,
