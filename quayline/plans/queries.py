@@ -683,10 +683,10 @@ def slots_read_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("part", "bucket", "records", "characters", plain.alias("plain_bytes"))
 
 
-@query("slots_hadoop_scan", f"WITH {FILED} SELECT part, bucket, value FROM numbered")
+@query("slots_hadoop_scan", SCANNED)
 def slots_hadoop_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = hadoop_lines(spark, document_files(spark, sf_dir), recursive=True)
-    return _filed(lines).select("part", "bucket", "value")
+    """Spark's own reading of the files, in splits, with the numbers of the lines."""
+    return _scanned(hadoop_lines(spark, document_files(spark, sf_dir), recursive=True))
 
 
 @query("slots_payload_scan", SCANNED)

@@ -17,6 +17,7 @@ from quayline import (
     between_dates,
     exclude_previous,
     fetch_payload,
+    hadoop_lines,
     hadoop_slots,
     index_slots,
     ordered_lines,
@@ -165,6 +166,66 @@ def test_hadoop_paths(spark, files, folder):
     assert values(found) == values(read_lines(spark, files))
 
 
+@pytest.fixture
+def small_splits(spark):
+    kept = {}
+    for key, value in (("maxPartitionBytes", "200"), ("openCostInBytes", "1"), ("minPartitionNum", "1")):
+        key = f"spark.sql.files.{key}"
+        kept[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    yield
+    for key, value in kept.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hadoop_lines(spark, folder, small_splits):
+    """Numbers over many splits; content, not the name, says what is packed."""
+    import random
+
+    rng = random.Random(8)
+    for i in range(4):
+        body = "".join(f"line {j} {'x' * rng.randint(0, 30)}{rng.choice(['', ''])}" + rng.choice(
+            ["\n", "\r\n", "\r", "\n\n"]) for j in range(rng.randint(1, 200)))
+        folder.put(f"plain {i}%20.txt", body.encode())
+        folder.put(f"packed_{i}.txt.gz", body.encode(), packed=True)
+        folder.put(f"in disguise [{i}]", body.encode(), packed=True)
+        folder.put(f"said_{i}.gz", body.encode())
+    folder.put("empty", b"")
+    folder.put("empty.gz", b"")
+    folder.put("short", b"\x1f\x8b\x08")
+    folder.put("bad", b"caf\xe9\nok")
+    found = hadoop_lines(spark, str(folder.path))
+    assert found.columns == ["slot", "slot_date", "line_no", "value"]
+    rows = [(r.slot.rsplit("/", 1)[1], r.line_no, r.value) for r in found.collect()]
+    connector = FilesConnector(str(folder.path))
+    expected = read_lines(spark, connector).collect()
+
+    assert sorted(rows) == sorted((r.slot, r.line_no, r.value) for r in expected)
+    # Slots are called alike however they are read.
+    listed = {r.name for r in hadoop_slots(spark, str(folder.path)).select("name").collect()}
+    assert {r.slot for r in found.collect()} <= listed
+    unnumbered = hadoop_lines(spark, str(folder.path), line_numbers=False)
+    assert {r.line_no for r in unnumbered.collect()} == {None}
+    assert sorted(r.value for r in unnumbered.collect()) == sorted(r[2] for r in rows)
+    # Too large to be read whole without a name that says what it is.
+    with pytest.raises(ValueError, match="name that says so"):
+        hadoop_lines(spark, str(folder.path), glob="in*", whole_bytes=20)
+    large = hadoop_lines(spark, str(folder.path), glob="packed_*", whole_bytes=20)
+    packed = [r for r in rows if r[0].startswith("packed_")]
+    assert sorted((r.slot.rsplit("/", 1)[1], r.line_no, r.value) for r in large.collect()) == sorted(packed)
+
+
+@pytest.mark.parametrize("charset", ["ISO-8859-1", "ascii", "UTF-16", "cp1252"])
+def test_hadoop_charsets(spark, folder, small_splits, charset):
+    text = "".join(f"z\u00e9ro {i}\r\n" for i in range(80))
+    folder.put("a", text.encode("ascii" if charset == "ascii" else charset, "replace"))
+    folder.put("b", text.encode("latin-1" if charset == "ascii" else charset), packed=True)
+    found = {(r.slot.rsplit("/", 1)[1], r.line_no, r.value)
+             for r in hadoop_lines(spark, str(folder.path), charset=charset).collect()}
+    expected = read_lines(spark, FilesConnector(str(folder.path)), charset=charset).collect()
+    assert found == {(r.slot, r.line_no, r.value) for r in expected} and len(found) == 160
+
+
 def test_retries(spark, files, folder):
     def listed(**fields):
         connector = flaky(folder, **fields)
