@@ -17,15 +17,15 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayline.llm.common import slices, staged
+from quayline.llm.common import slices, staged, with_row_keys
 from quayline.llm.components import connected_components
 
 ROWS = 8
@@ -119,8 +119,9 @@ def set_key(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``node`` (key of the set; null without shingles), ``bands``."""
+def sketches(docs: DataFrame, words: int, percent: int, key: str) -> DataFrame:
+    """``doc_id``, ``row`` (the column ``key``), ``n_shingles``, ``node`` (key of the set; null without
+    shingles), ``bands``."""
     bands = bands_for(percent / 100)
     count = math.ceil(bands * ROWS / 2)
 
@@ -136,15 +137,16 @@ def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("row"),
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "node", "bands"],
+                names=["doc_id", "row", "n_shingles", "node", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node binary, bands array<long>"
+    return docs.select("doc_id", F.col(key).cast("long").alias("row"), "text").mapInArrow(
+        run, "doc_id long, row long, n_shingles long, node binary, bands array<long>"
     )
 
 
@@ -183,10 +185,11 @@ def _walk(sets: list[np.ndarray], percent: int) -> list[int]:
     return root
 
 
-def _links(members: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` between keys of sets that share a chunk; a star for each component."""
-    texts = docs.select(F.col("doc_id").alias("_doc"), "text")
-    placed = members.join(texts, F.col("id").eqNullSafe(F.col("_doc"))).select(
+def _links(members: DataFrame, docs: DataFrame, words: int, percent: int, key: str) -> DataFrame:
+    """Links ``a``, ``b`` between keys of sets that share a chunk; a star for each component.  The text
+    of a set is that of its ``row``, one text for each member."""
+    texts = docs.select(F.col(key).cast("long").alias("_row_of_text"), "text")
+    placed = members.join(texts, F.col("row") == F.col("_row_of_text")).select(
         "chunk", "node", "text"
     )
 
@@ -202,10 +205,7 @@ def _links(members: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             found = {}
             for _, node, text in group:
                 if node not in found:
-                    hashes = shingler.hashes(text)
-                    # A repeated id may bring another text, which is not the one that is meant.
-                    if set_key(hashes) == node:
-                        found[node] = hashes
+                    found[node] = shingler.hashes(text)
             nodes = sorted(found)
             root = _walk([found[n] for n in nodes], percent)
             pairs = [(nodes[i], nodes[r]) for i, r in enumerate(root) if i != r]
@@ -221,29 +221,87 @@ def _links(members: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     )
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def _crossing(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets of several chunks, in cells in which sets of different components meet.
+
+    ``placed`` has ``key``, ``node``, ``row``, ``n``, ``chunks``, ``own`` (the chunk of a set), ``roots`` the
+    components found within chunks.  What is not in a bucket's largest component is cut into chunks
+    anew; each of those meets each chunk of the largest one, and each other.  A bucket of one component
+    needs none of this, one of a large component and a few others little more than its members.
+    """
+    named = placed.join(roots, F.col("node") == F.col("vertex"), "left").withColumn(
+        "component", F.coalesce("root", "node")
+    )
+    parts = named.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")
+    )
+    mixed = (
+        parts.groupBy(F.col("key").alias("_key"))
+        .agg(
+            F.count(F.lit(1)).alias("components"),
+            F.max(F.struct("sets", "component", "shingles")).alias("largest"),
+            F.sum("sets").alias("sets"),
+            F.sum("shingles").alias("shingles"),
+        )
+        .filter("components > 1")
+        .select(
+            "_key",
+            F.col("largest.component").alias("_largest"),
+            F.greatest(
+                F.ceil((F.col("sets") - F.col("largest.sets")) / CHUNK_SETS),
+                F.ceil((F.col("shingles") - F.col("largest.shingles")) / CHUNK_SHINGLES),
+            ).cast("int").alias("others"),
+        )
+    )
+    named = named.join(mixed, F.col("key") == F.col("_key"))
+    other = F.pmod(F.xxhash64("node", F.lit(1)), F.col("others")).cast("int")
+
+    def cells(most: str, cell: Callable[[Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(most) - 1), cell)
+
+    in_largest = cells("others", lambda r: F.xxhash64("key", F.col("own"), r))
+    with_largest = cells("chunks", lambda g: F.xxhash64("key", g, other))
+    among = cells(
+        "others", lambda r: F.xxhash64("key", F.least(other, r), F.greatest(other, r), F.lit("among"))
+    )
+    meets = F.when(F.col("component") == F.col("_largest"), in_largest)
+    return named.select(
+        "node", "row", F.explode(meets.otherwise(F.concat(with_largest, among))).alias("chunk")
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 5, percent: int = 80, key: str | None = None
+) -> DataFrame:
     """``docs`` (``doc_id``, ``text``; other columns are ignored) to ``doc_id``, ``n_shingles``,
     ``component_id`` and ``kept``.
 
     Documents are linked when 100 times the shared shingles are at least ``percent`` times all
     shingles of both.  ``component_id`` is the least id reachable by links, ``kept`` whether it is
     the document's own.  A null text, or one without words, has no shingles and is linked to
-    nothing.  Null ids take part but are never the least unless all are null.  Rows that repeat are
-    all kept or all not.  An empty table gives none.  A pair exactly at the limit escapes all bands
-    with a chance of ``MISSED``.
+    nothing.  Null ids take part but are never the least unless all of a component are null: then its
+    ``component_id`` is null and all its rows are kept, copies as well, as no id tells them apart.
+    Rows that repeat an id are all kept or all not.  An empty table gives none.  A pair exactly at the
+    limit escapes all bands with a chance of ``MISSED``.
+
+    ``key`` is a column of numbers, no two alike, that tells rows apart; without one rows are numbered.
     """
-    found = staged(sketches(docs, words, percent), "sketches")
+    if key is None:
+        key = "_minmax_row"
+        docs = with_row_keys(docs, key)
+    found = staged(sketches(docs, words, percent, key), "sketches")
     classes = (
         found.filter("node is not null")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("id"),
+            F.min("row").alias("row"),
             F.count(F.lit(1)).alias("copies"),
             F.max("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
         )
     )
-    banded = classes.select("node", "id", "n", F.explode("bands").alias("key"))
+    banded = classes.select("node", "row", "n", F.explode("bands").alias("key"))
     buckets = (
         banded.groupBy("key")
         .agg(
@@ -260,17 +318,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.ceil(F.col("members") / CHUNK_SETS), F.ceil(F.col("shingles") / CHUNK_SHINGLES)
     ).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    two = F.transform(
-        F.sequence(F.lit(0), F.col("chunks") - 1),
-        lambda j: F.xxhash64("key", F.least(own, j), F.greatest(own, j)),
-    )
-    members = staged(
+    placed = staged(
         banded.join(buckets.select("_key", chunks.alias("chunks")), F.col("key") == F.col("_key"))
-        .select("node", "id", F.explode(two).alias("chunk")),
-        "members",
+        .select("key", "node", "row", "n", "chunks", own.alias("own")),
+        "placed",
     )
+    # Sets of a bucket first meet within their chunks, each in one; then those that are not connected.
+    once = placed.select("node", "row", F.xxhash64("key", "own").alias("chunk"))
+    links = staged(_links(once, docs, words, percent, key), "links")
+    wide = placed.filter("chunks > 1")
+    if not wide.isEmpty():
+        crossing = _crossing(wide, connected_components(links))
+        links = links.unionByName(_links(crossing, docs, words, percent, key))
     # Links also tie classes whose texts are equal sets: those need none, they are one node.
-    roots = connected_components(_links(members, docs, words, percent))
+    roots = connected_components(links)
     named = classes.select("node", "id", "copies").join(
         roots, F.col("node") == F.col("vertex"), "left"
     )

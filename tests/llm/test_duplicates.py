@@ -117,6 +117,43 @@ def test_chunks_lose_no_link(family, monkeypatch):
     check(family, 5, 80)
 
 
+@pytest.fixture
+def texts_moved(monkeypatch):
+    """How many rows carry a text to a comparison."""
+    moved, links = [], minmax._links
+
+    def counted(members, *others):
+        moved.append(members.count())
+        return links(members, *others)
+
+    monkeypatch.setattr(minmax, "_links", counted)
+    return moved
+
+
+def test_rows_without_ids_are_told_apart(spark, texts_moved):
+    """Null and repeated ids: a text is moved once for each of its buckets, not once for every row."""
+    words = [f"w{i}" for i in range(40)]
+    rows = [(None if i % 2 else 7, " ".join([*words[: i % 3], f"x{i % 50}", *words])) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(df, 3, 85)
+    check(df.withColumn("doc_id", F.lit(None).cast("long")), 3, 85)
+    # 150 different texts in at most as many buckets as there are bands.
+    assert max(texts_moved) <= 150 * bands_for(0.85)
+
+
+def test_families_grow_in_proportion(spark, texts_moved, monkeypatch):
+    """Twice the near copies, in buckets of many chunks, move about twice the texts."""
+    monkeypatch.setattr(minmax, "CHUNK_SETS", 16)
+    words = [f"w{i}" for i in range(200)]
+    sizes = []
+    for n in (200, 400):
+        rows = [(i, " ".join([*words, f"x{i}"])) for i in range(n)]
+        texts_moved.clear()
+        check(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+        sizes.append(sum(texts_moved))
+    assert sizes[1] <= 2.6 * sizes[0]
+
+
 def test_signature_agrees_as_often_as_sets_resemble():
     import numpy as np
 
