@@ -29,7 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     one with the least id; null ids come last.  Rows are told apart by keys of their own, so that
     repeated and null ids are rows like others."""
     rows = with_row_keys(docs)
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80)
+    keyed = rows.select(F.col("_row").alias("doc_id"), "text")
+    found = near_duplicates(keyed, words=5, percent=80, key="doc_id")
     copies = staged(found.filter("not kept").select("component_id", "doc_id"), "copies")
     # The least key of a group is a row of it, too.
     least = copies.select("component_id", F.col("component_id").alias("doc_id")).distinct()
