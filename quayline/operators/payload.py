@@ -34,6 +34,8 @@ LINE_KEYS = ("slot", "slot_date", "line_no")
 # A batch leaves the task when it holds this many lines or characters.
 LINES_PER_BATCH = 50_000
 CHARS_PER_BATCH = 4 << 20
+# Slots that are looked at before all of a catalogue are numbered, and tasks that look side by side.
+PEEK_SLOTS, PEEK_TASKS = 256, 256
 
 
 def lines_schema(slots: DataFrame) -> T.StructType:
@@ -493,22 +495,36 @@ def peek_lines(
 
     ``to_lines`` makes lines of a catalogue; fetching, it should read heads alone:
     ``lambda s: fetch_lines(s, connector, first_lines=n)``.  Heads are stored, slots in turn one, two,
-    four, … at a time, until there are enough lines; empty slots give none.
+    four, … at a time, until there are enough lines; empty slots give none.  The first slots are what
+    remains of the first ones of every task.  Only if those do not suffice are all slots numbered, once,
+    and a step's slots are shared out to at most ``PEEK_TASKS`` tasks.
     """
-    order = slot_order(slots.columns)
-    total = slots.count()
+    first = stored(slots.orderBy(*slot_order(slots.columns)).limit(PEEK_SLOTS), "first")
+    # One sorted file.
+    indexed = first.coalesce(1).withColumn("slot_index", F.monotonically_increasing_id())
+    total = indexed.count()
+    all_indexed = total < PEEK_SLOTS
     found, lines, at, step = None, 0, 0, 1
-    while found is None or (lines < n and at < total):
-        # Each task gives its first few slots, and the first of them all are numbered.
-        first = slots.orderBy(*order).limit(at + step)
-        number = F.row_number().over(Window.orderBy(*order)) - 1
-        chosen = first.withColumn("slot_index", number).filter(F.col("slot_index") >= at)
-        # One slot per task, so that heads are fetched side by side.
-        spread = chosen.repartitionById(step, (F.col("slot_index") - at).cast("int"))
+    while found is None or lines < n:
+        if at and at == total:
+            if all_indexed:
+                break
+            indexed, all_indexed = stored(index_slots(slots), "indexed"), True
+            total = indexed.count()
+            continue
+        step = max(1, min(step, total - at))
+        tasks = min(step, PEEK_TASKS)
+        place = F.col("slot_index")
+        chosen = indexed.filter((place >= at) & (place < at + step))
+        # Slots side by side, those of a task in order.
+        task = F.floor((place - at) * tasks / step).cast("int")
+        spread = chosen.repartitionById(tasks, task).sortWithinPartitions("slot_index")
         heads = stored(to_lines(spread).filter(F.col("line_no") < n), "heads")
         lines += heads.count()
         found = heads if found is None else found.unionByName(heads)
-        at, step = at + step, 2 * step
+        at, step = min(at + step, total) if total else 0, 2 * step
+        if not total:
+            break
     return found.orderBy(F.col("slot_date").asc_nulls_last(), "slot", "line_no").limit(n)
 
 

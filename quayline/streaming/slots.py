@@ -29,7 +29,7 @@ from quayline.sources.location import open_location
 
 log = logging.getLogger(__name__)
 
-OBSERVED = "slot_batch"
+OBSERVED, OBSERVED_SLOTS = "slot_batch", "slot_batch_slots"
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,15 @@ class SlotStream:
         Lines of one slot are in order; order between slots of one batch is left to ``slot_date``,
         ``slot`` and ``line_no``.  ``for_each_batch`` keeps slot order by itself.
         """
-        lines = fetch_lines(self.slots(), self.connector, self.charset, self.max_retries)
+        slots = self.slots().observe(
+            OBSERVED_SLOTS,
+            F.count(F.lit(1)).alias("n_slots"),
+            F.min("date").alias("min_date"),
+            F.max("date").alias("max_date"),
+            F.min("name").alias("first_name"),
+            F.max("name").alias("last_name"),
+        )
+        lines = fetch_lines(slots, self.connector, self.charset, self.max_retries)
         return lines.observe(OBSERVED, F.count(F.lit(1)).alias("n_lines"))
 
     def for_each_batch(
@@ -187,8 +195,10 @@ class SlotStream:
 
 @dataclass
 class BatchReportListener(StreamingQueryListener):
-    """Collects ``batch_id`` and ``n_lines`` of the last ``keep`` batches of ``SlotStream.lines``
-    queries."""
+    """Collects what the last ``keep`` batches of ``SlotStream.lines`` queries read, as they end:
+    ``batch_id, n_slots, n_lines``, the range of their dates ``min_date, max_date`` and of their names
+    ``first_name, last_name``.  Batches without a slot are left out.  All names are in the
+    ``report_table`` of ``for_each_batch``."""
 
     keep: int = 1000
     batches: deque = field(init=False)
@@ -200,9 +210,12 @@ class BatchReportListener(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: ANN001
-        seen = event.progress.observedMetrics.get(OBSERVED)
-        if seen is not None and seen["n_lines"]:
-            self.batches.append({"batch_id": event.progress.batchId, "n_lines": seen["n_lines"]})
+        lines = event.progress.observedMetrics.get(OBSERVED)
+        slots = event.progress.observedMetrics.get(OBSERVED_SLOTS)
+        if lines is None or slots is None or not slots["n_slots"]:
+            return
+        report = {"batch_id": event.progress.batchId, "n_lines": lines["n_lines"], **slots.asDict()}
+        self.batches.append(report)
 
     def onQueryIdle(self, event) -> None:  # noqa: ANN001
         pass
@@ -211,4 +224,4 @@ class BatchReportListener(StreamingQueryListener):
         pass
 
     def to_json(self) -> str:
-        return json.dumps(list(self.batches))
+        return json.dumps(list(self.batches), default=str)

@@ -28,6 +28,7 @@ from quayline import (
     read_metrics,
     register_sources,
     slot_metrics,
+    text_lines,
     write_lines,
 )
 from quayline.operators.payload import fetch_lines
@@ -408,6 +409,31 @@ def test_peek_reads_few_slots(spark, folder):
     assert calls(folder, "list ") == 1
 
 
+def test_peek_past_many_empty_slots(spark, monkeypatch):
+    """More empty slots before the first line than are looked at first; no task gets them all."""
+    from quayline.operators import payload
+
+    monkeypatch.setattr(payload, "PEEK_SLOTS", 8)
+    monkeypatch.setattr(payload, "PEEK_TASKS", 16)
+    slots = spark.range(3000).select(
+        F.format_string("s%05d", "id").alias("name"),
+        F.when(F.col("id") >= 2500, F.concat(F.lit("a\nb"), "id")).otherwise("").alias("text"),
+    ).repartition(7)
+    most = []
+
+    def to_lines(chosen):
+        sizes = chosen.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        most.append(sizes)
+        return text_lines(chosen)
+
+    found = [(r.slot, r.value) for r in peek_lines(slots, to_lines, 3).collect()]
+    assert found == [("s02500", "a"), ("s02500", "b2500"), ("s02501", "a")]
+    assert max(most) <= 3000 // 16 + 1
+    assert peek_lines(slots.limit(0), to_lines, 3).collect() == []
+    assert peek_lines(slots.filter("text = ''"), text_lines, 3).collect() == []
+    assert peek_lines(slots, text_lines, 0).collect() == []
+
+
 def test_read_metrics(spark, folder):
     import gzip
 

@@ -361,6 +361,12 @@ def test_report(spark, folder):
         while len(listener.batches) < 2 and time.time() < deadline:
             time.sleep(0.2)
         assert [b["n_lines"] for b in listener.batches] == [10, 5]
+        assert [b["n_slots"] for b in listener.batches] == [2, 1]
+        assert [(b["first_name"], b["last_name"]) for b in listener.batches] == [
+            ("a.txt", "b.txt"), ("c.txt", "c.txt"),
+        ]
+        assert {str(b["min_date"])[:10] for b in listener.batches} == {"2016-12-01"}
+        assert '"batch_id": 0' in listener.to_json()
     finally:
         spark.streams.removeListener(listener)
 
