@@ -87,20 +87,23 @@ def merge_sketches(
 ) -> DataFrame:
     """One sketch per ``key`` from the sketches of its parts (arrays; null counts as empty).
 
-    A group of any size is merged ``FAN_IN`` sketches at a time, over as many rounds as it takes.
-    Other columns are ignored; a null key is a key; an empty table gives none.
+    A group of any size is merged ``FAN_IN`` sketches at a time, over as many rounds as it takes;
+    equal sketches of a key count once from the start.  Sketches are dealt by their hash, so that a
+    task that is run again deals them as before.  Other columns are ignored; a null key is a key; an
+    empty table gives none.
     """
     rows = staged(
         parts.select(
             F.col(key).alias("_key"),
             F.coalesce(column, F.array().cast("array<string>")).alias("_sketch"),
-        ),
+        ).distinct(),
         "sketches",
     )
     largest = rows.groupBy("_key").count().agg(F.max("count")).first()[0] or 1
     rounds = max(1, math.ceil(math.log(largest, FAN_IN)))
     for step in reversed(range(rounds)):
-        salt = F.floor(F.rand(step) * max(1, math.ceil(2 * largest ** (step / rounds) - 1)))
+        salts = max(1, math.ceil(2 * largest ** (step / rounds) - 1))
+        salt = F.pmod(F.xxhash64(F.lit(step), "_sketch"), F.lit(salts))
         rows = rows.groupBy("_key", (salt if step else F.lit(0)).alias("_salt")).agg(
             F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_sketch")))), 1, size)
             .alias("_sketch")

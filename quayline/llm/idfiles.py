@@ -38,6 +38,7 @@ MAGIC = b"QLIDS001"
 HEADER = "<8sQQQQqQQ"
 SEQUENCE = "<QQQQ"  # values, low bits, bytes of low bits, bytes of high bits
 SAMPLE = 256
+RUN = 1024  # documents read at a time
 # Ids in a file, unless one document has more, and distinct words held by a task at a time.
 FILE_IDS = 4_000_000
 TABLE_ENTRIES = 600_000
@@ -81,8 +82,8 @@ class EliasFano:
         bits = bits[start % 8 : start % 8 + count * self.low_bits].reshape(count, self.low_bits)
         return bits.astype(np.uint64) @ (np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64))
 
-    def select(self, i: int) -> int:
-        """Value ``i``: from the sampled one before it, count ones byte by byte, then bit by bit."""
+    def _one(self, i: int) -> int:
+        """Where one ``i`` is: from the sampled one before it, byte by byte, then bit by bit."""
         if not 0 <= i < self.count:
             raise IndexError(i)
         at = int(self.samples[i // SAMPLE])
@@ -95,13 +96,23 @@ class EliasFano:
             bits = int(self.high[byte])
         for _ in range(left):
             bits &= bits - 1
-        one = byte * 8 + (bits & -bits).bit_length() - 1
-        return (one - i) << self.low_bits | int(self._lows(i, 1)[0])
+        return byte * 8 + (bits & -bits).bit_length() - 1
 
-    def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.count]
-        highs = (ones - np.arange(self.count)).astype(np.uint64)
-        return highs << np.uint64(self.low_bits) | self._lows(0, self.count)
+    def select(self, i: int) -> int:
+        """Value ``i``."""
+        return (self._one(i) - i) << self.low_bits | int(self._lows(i, 1)[0])
+
+    def run(self, first: int, count: int) -> np.ndarray:
+        """Up to ``count`` values from ``first`` on: only the bits between the first one and the last,
+        which select finds, are unpacked."""
+        count = min(count, self.count - first)
+        if count <= 0:
+            return np.zeros(0, np.uint64)
+        start, stop = self._one(first), self._one(first + count - 1)
+        bits = np.unpackbits(self.high[start // 8 : stop // 8 + 1], bitorder="little")
+        ones = np.flatnonzero(bits[start % 8 :])[:count] + start
+        highs = (ones - np.arange(first, first + count)).astype(np.uint64)
+        return highs << np.uint64(self.low_bits) | self._lows(first, count)
 
 
 def pack_file(doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
@@ -140,8 +151,10 @@ class IdFile:
         start = self.ends.select(i - 1) if i else 0
         return self.ids[start : self.ends.select(i)]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [self.least + int(v) for v in self.names.values()]
+    def doc_ids(self, first: int, count: int) -> list[int | None]:
+        none = min(max(self.nulls - first, 0), count)
+        known = self.names.run(max(first - self.nulls, 0), count - none)
+        return [None] * none + [self.least + int(v) for v in known]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -296,16 +309,17 @@ def read_id_files(manifest: DataFrame, path: str, with_ids: bool = False) -> Dat
         for row in (r for batch in batches for r in batch.to_pylist()):
             with store.open_input_stream(f"{folder}/{row['file']}") as file:
                 content = IdFile(file.read())
-            ends = content.ends.values().astype(np.int64)
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            names = content.doc_ids()
-            for at in range(0, content.count, 1024):
-                span = range(at, min(at + 1024, content.count))
-                own = [content.ids[starts[i] : ends[i]].astype("<u4") for i in span]
+            for at in range(0, content.count, RUN):
+                ends = content.ends.run(at, RUN).astype(np.int64)
+                before = content.ends.select(at - 1) if at else 0
+                starts = np.concatenate([[before], ends[:-1]]).astype(np.int64)
+                own = [
+                    content.ids[a:b].astype("<u4") for a, b in zip(starts, ends, strict=True)
+                ]
                 columns = {
-                    "doc_id": pa.array(names[at : at + 1024], pa.int64()),
-                    "start": pa.array(starts[at : at + 1024] + row["start"]),
-                    "n_tokens": pa.array((ends - starts)[at : at + 1024]),
+                    "doc_id": pa.array(content.doc_ids(at, len(ends)), pa.int64()),
+                    "start": pa.array(starts + row["start"]),
+                    "n_tokens": pa.array(ends - starts),
                     "ids_crc32": pa.array([zlib.crc32(o.tobytes()) for o in own], pa.int64()),
                 }
                 if with_ids:

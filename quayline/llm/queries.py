@@ -121,6 +121,11 @@ def _alike_sql(a: str, b: str) -> str:
       len(list_intersect(list_intersect({a}, {b}), {union}))::double / len({union}) END"""
 
 
+def _distinct_sql(a: str) -> str:
+    return f"""CASE WHEN len({a}) < 64 THEN len({a})::double ELSE 63::double * {16**12}::double
+      / greatest(('0x' || {a}[-1])::bigint::double, 1::double) END"""
+
+
 @query(
     "op10_bottomk",
     f"""WITH texts AS (
@@ -134,16 +139,20 @@ def _alike_sql(a: str, b: str) -> str:
       FROM followed), drawn AS (
       SELECT doc_id, n, edited, {_sketch_sql("text")} AS a, {_sketch_sql("edited")} AS b,
         {_sketch_sql("next_text")} AS c
-      FROM pairs)
+      FROM pairs), measured AS (
+      SELECT *, {_alike_sql("a", "b")} AS near_edited, {_alike_sql("a", "c")} AS near_next,
+        {_distinct_sql("a")} AS n_shingles, {_distinct_sql("b")} AS n_edited
+      FROM drawn)
     SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256,
       coalesce(array_to_string(a, ''), '') AS fingerprint,
       coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
-      {_alike_sql("a", "b")} AS near_edited, {_alike_sql("a", "c")} AS near_next
-    FROM drawn""",
+      near_edited, near_next, CASE WHEN len(a) = 0 THEN 1::double ELSE least(1::double,
+        near_edited / (1 + near_edited) * (n_shingles + n_edited) / n_shingles) END AS kept_share,
+      n_shingles
+    FROM measured""",
 )
 def op10_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = edited_fingerprints(table(spark, sf_dir, "documents"))
-    return prints.drop("kept_share", "n_shingles")
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def _located_sql(pattern: str, kind: int, least: int = 0, group: int = 0) -> str:

@@ -256,6 +256,9 @@ def test_sketches_merge(spark):
         whole[r.k].update(r.fingerprint)
     assert found == {k: sorted(v)[:64] for k, v in whole.items()}
     assert merge_sketches(table.limit(0), "k").collect() == []
+    # Copies of one part, more than a task merges at a time, are one part.
+    copies = table.filter("k = 1").limit(1).crossJoin(spark.range(700)).select("k", "fingerprint")
+    assert merge_sketches(copies, "k").collect() == copies.distinct().collect()
     two = table.limit(2).collect()
     pair = spark.createDataFrame([(two[0][1], two[1][1])], "a array<string>, b array<string>")
     assert pair.select(merged(F.col("a"), F.col("b"))).first()[0] == sorted(

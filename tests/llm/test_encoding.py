@@ -112,8 +112,10 @@ def test_elias_fano(count, top):
     values = np.sort(np.random.default_rng(1).integers(0, top + 1, count))
     data = EliasFano.to_bytes(values)
     read = EliasFano(data)
-    assert read.values().tolist() == values.tolist()
     assert [read.select(i) for i in range(count)] == values.tolist()
+    for first, some in ((0, count), (0, 7), (3, 300), (255, 2), (count - 1, 5), (count, 4)):
+        first = max(first, 0)
+        assert read.run(first, some).tolist() == values[first : first + some].tolist()
     # About 2 + log2(top / count) bits a value, and the samples.
     if count:
         bits = 3 + max(0, np.log2(max(top, 1) / count))
@@ -126,7 +128,10 @@ def test_file_of_ids():
     names = [None, None, -5, 0, 3, 3]
     ids = [bytes(range(0, 2 * n)) for n in (0, 3, 1, 0, 40, 2)]
     file = IdFile(pack_file(names, ids, 2))
-    assert file.doc_ids() == names == [file.doc_id(i) for i in range(6)]
+    assert file.doc_ids(0, 6) == names == [file.doc_id(i) for i in range(6)]
+    for first in range(6):
+        for count in range(7 - first):
+            assert file.doc_ids(first, count) == names[first : first + count]
     assert [file.document(i).tobytes() for i in range(6)] == ids
     with pytest.raises(ValueError, match="not a file"):
         IdFile(b"x" * 200)
