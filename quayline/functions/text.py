@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 # A line ends at any of these three.
 LINE_END = r"\r\n|\n|\r"
 
+# Marks that tell the byte order of a charset, and what its units are called then.
+MARKS = {
+    "utf-16": [(codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be")],
+    "utf-32": [(codecs.BOM_UTF32_LE, "utf-32-le"), (codecs.BOM_UTF32_BE, "utf-32-be")],
+}
+
 GZIP_MAGIC = b"\x1f\x8b"
 GZIP_DEFLATE = 8
 GZIP_HEADER = 10
@@ -87,23 +93,14 @@ def _gunzip(source: Iterator[bytes]) -> Iterator[bytes]:
 def _decoder(charset: str, chunks: Iterator[bytes]) -> tuple[codecs.IncrementalDecoder, Iterator]:
     """A replacing decoder; UTF-16 and UTF-32 without a mark are big-endian, as on the JVM."""
     name = codecs.lookup(charset).name
-    marks = {
-        "utf-16": [(codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be")],
-        "utf-32": [(codecs.BOM_UTF32_LE, "utf-32-le"), (codecs.BOM_UTF32_BE, "utf-32-be")],
-    }.get(name)
-    if marks:
-        width = len(marks[0][0])
+    if name in MARKS:
         head = b""
         for chunk in chunks:
             head += bytes(chunk)
-            if len(head) >= width:
-                break
-        name = marks[1][1]
-        for mark, found in marks:
-            if head.startswith(mark):
-                name, head = found, head[width:]
+            if len(head) >= unit_width(charset):
                 break
-        chunks = itertools.chain([head], chunks)
+        name, marked = ordered_charset(charset, head)
+        chunks = itertools.chain([head[marked:]], chunks)
     return codecs.getincrementaldecoder(name)(errors="replace"), chunks
 
 
@@ -111,26 +108,64 @@ def is_gzip(head: bytes) -> bool:
     return len(head) >= GZIP_HEADER and head[:2] == GZIP_MAGIC and head[2] == GZIP_DEFLATE
 
 
-def cuts_at_bytes(charset: str) -> bool:
-    """Whether a line-end byte of a text in ``charset`` is always a line end."""
+def ordered_charset(charset: str, head: bytes) -> tuple[str, int]:
+    """``charset`` with the byte order that a text beginning with ``head`` has, and the length of the
+    mark that tells it.  Charsets without marks stay as they are."""
+    marks = MARKS.get(codecs.lookup(charset).name)
+    if not marks:
+        return charset, 0
+    for mark, name in marks:
+        if head.startswith(mark):
+            return name, len(mark)
+    return marks[1][1], 0
+
+
+def unit_width(charset: str) -> int:
+    """The bytes of a unit of ``charset``, if a unit that is a line end always ends a line, wherever in
+    the text it is; 0 for all other charsets, whose texts cannot be cut."""
     name = codecs.lookup(charset).name
-    return name in ("utf-8", "ascii") or name.startswith(("iso8859-", "cp125"))
+    if name.startswith(("utf-16", "utf-32")):
+        return 2 if name.startswith("utf-16") else 4
+    return int(name in ("utf-8", "ascii") or name.startswith(("iso8859-", "cp125")))
 
 
-def next_line_start(chunks: Iterable[bytes], offset: int) -> int:
-    """The offset of the first line that starts after the byte at ``offset``, where ``chunks``
-    begin; the end of the text if no line does."""
-    ends_in_return = False
+def _whole_units(chunks: Iterable[bytes], width: int) -> Iterator[bytes]:
+    """The same bytes in chunks that end with a unit, but for what the last one lacks."""
+    rest = b""
     for chunk in chunks:
+        held = rest + bytes(chunk) if rest else chunk
+        cut = len(held) - len(held) % width
+        if cut:
+            yield held[:cut]
+        rest = bytes(held[cut:])
+    if rest:
+        yield rest
+
+
+def _find_unit(chunk: bytes, unit: bytes) -> int:
+    at = chunk.find(unit)
+    while at % len(unit) and at >= 0:
+        at = chunk.find(unit, at + 1)
+    return at
+
+
+def next_line_start(chunks: Iterable[bytes], offset: int, charset: str = "UTF-8") -> int:
+    """The offset of the first line that starts after the unit at ``offset``, where ``chunks``
+    begin; the end of the text if no line does.  ``charset`` is one with a known byte order."""
+    feed, back = "\n".encode(charset), "\r".encode(charset)
+    width = len(feed)
+    ends_in_return = False
+    for chunk in _whole_units(chunks, width):
         if ends_in_return:
-            return offset + (chunk[:1] == b"\n")
-        found = [i for i in (chunk.find(b"\n"), chunk.find(b"\r")) if i >= 0]
+            return offset + width * (chunk[:width] == feed)
+        found = [i for i in (_find_unit(chunk, feed), _find_unit(chunk, back)) if i >= 0]
         if found:
             at = min(found)
-            if chunk[at : at + 1] == b"\n":
-                return offset + at + 1
-            if at + 1 < len(chunk):
-                return offset + at + 1 + (chunk[at + 1 : at + 2] == b"\n")
+            after = at + width
+            if chunk[at:after] == feed:
+                return offset + after
+            if after < len(chunk):
+                return offset + after + width * (chunk[after : after + width] == feed)
             ends_in_return = True
         offset += len(chunk)
     return offset

@@ -18,12 +18,13 @@ from pyspark.sql import types as T
 
 from quayline.functions.text import (
     GZIP_HEADER,
-    cuts_at_bytes,
     is_gzip,
     iter_blocks,
     lines_array,
     next_line_start,
+    ordered_charset,
     split_lines,
+    unit_width,
 )
 from quayline.operators.ordering import index_slots, one_slot_per_partition, slot_order
 from quayline.session import stored
@@ -235,16 +236,19 @@ def ordered_lines(
 
     With ``split_bytes``, plain slots that are longer are read by several consecutive partitions
     where the connector can seek, with the same lines and line numbers.  The numbers take one more
-    reading of those slots; without ``line_numbers`` their ``line_no`` is null instead.
+    reading of those slots; without ``line_numbers`` their ``line_no`` is null instead.  Ranges hold
+    whole units of the charset; multi-byte charsets other than UTF-8, UTF-16 and UTF-32 are not cut.
     """
-    if split_bytes and connector.seekable and cuts_at_bytes(charset) and "length" in slots.columns:
+    width = unit_width(charset)
+    if split_bytes and connector.seekable and width and "length" in slots.columns:
+        split_bytes += -split_bytes % width
         if not slots.filter(F.col("length") > split_bytes).isEmpty():
             ranges = index_slots(
                 split_slots(slots.drop("slot_index"), connector, split_bytes, max_retries)
             )
             count = ranges.count()
             if line_numbers:
-                ranges = number_ranges(ranges, connector, max_retries, count)
+                ranges = number_ranges(ranges, connector, max_retries, count, charset)
             placed = one_slot_per_partition(ranges, slots_per_partition, max_partitions, count)
             return fetch_ranges(placed, connector, charset, max_retries)
     placed = one_slot_per_partition(
@@ -352,27 +356,37 @@ def _range_blocks(
     if start is None:
         yield from iter_blocks(fetcher.chunks(name), charset)
         return
-    first = 0
+    first, width, ordered = 0, unit_width(charset), charset
+    if width > 1:
+        # The byte order of all ranges is what the slot begins with.
+        ordered, _ = ordered_charset(charset, b"".join(fetcher.chunks(name, 0, width)))
     if start:
-        first = next_line_start(fetcher.chunks(name, start - 1, stop), start - 1)
+        charset = ordered
+        first = next_line_start(fetcher.chunks(name, start - width, stop), start - width, ordered)
     # A carriage return that ends the range may be half a line end: then no line starts in it.
     if stop is None or first < stop:
         last = None
         if stop is not None:
-            last = next_line_start(fetcher.chunks(name, stop - 1), stop - 1)
+            last = next_line_start(fetcher.chunks(name, stop - width), stop - width, ordered)
         if last is None or first < last:
             yield from iter_blocks(fetcher.chunks(name, first, last), charset, packed=False)
     fetcher.unchanged(name, version)
 
 
 def number_ranges(
-    ranges: DataFrame, connector: Connector, max_retries: int = MAX_RETRIES, count: int | None = None
+    ranges: DataFrame,
+    connector: Connector,
+    max_retries: int = MAX_RETRIES,
+    count: int | None = None,
+    charset: str = "UTF-8",
 ) -> DataFrame:
     """Add ``first_line``, the number of lines in earlier ranges of the slot.
 
     Reads the split slots once more, one range per task, to count their lines; the counts are stored.
     ``ranges`` are indexed; ``count`` saves counting them.
     """
+    # Any charset of single bytes counts the same lines; this one is fastest.
+    counted = charset if unit_width(charset) > 1 else "latin-1"
 
     def count_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with closing(Fetcher(connector, max_retries)) as fetcher:
@@ -381,8 +395,7 @@ def number_ranges(
                     batch.column(c).to_pylist() for c in ("name", "start", "stop", "version")
                 )
                 lines = [
-                    # Any charset that cuts at bytes counts the same lines; this one is fastest.
-                    sum(b.count("\n") + 1 for b in _range_blocks(fetcher, name, cut, "latin-1"))
+                    sum(b.count("\n") + 1 for b in _range_blocks(fetcher, name, cut, counted))
                     for name, *cut in zip(names, *cuts, strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gzip
+import itertools
+import uuid
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 from quayline.functions.dcm import DCM_TYPES
 from quayline.operators.payload import text_lines
 from quayline.session import scratch_path
+from quayline.sources.location import open_location
 
 # One table type per user, so that all of them occur.
 TABLE_TYPES = [t for t in DCM_TYPES if t.startswith("match_table_")]
@@ -113,6 +117,7 @@ def event_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Parts of the documents that become folders of files, and whether their files are gzipped.
 PARTS_OF_DOCUMENTS = (("english", "lang = 'en'", True), ("other", "not (lang <=> 'en')", False))
 DOCUMENTS_PER_FILE = 1000
+MARK = "\ufeff"  # a text's first character, which tells the byte order
 
 
 def write_document_files(docs: DataFrame, path: str, packed: bool) -> None:
@@ -135,9 +140,63 @@ def write_document_files(docs: DataFrame, path: str, packed: bool) -> None:
     )
 
 
+def write_wide_files(docs: DataFrame, path: str, charset: str) -> None:
+    """The lines of ``write_document_files`` in files ``bucket=N/lines.txt`` in ``charset``, which
+    Spark's text writer does not offer.  A file gets its name when it is whole, so that a task that
+    is run again replaces what an earlier attempt wrote."""
+    bucket = F.floor(F.col("doc_id") / DOCUMENTS_PER_FILE)
+    named = docs.withColumn("name", F.col("doc_id").cast("string"))
+    lines = text_lines(named).select(
+        F.col("slot").cast("long").alias("doc_id"),
+        "line_no",
+        F.concat_ws("\t", "slot", "line_no", "value").alias("value"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = open_location(path)
+        rows = (
+            row
+            for batch in batches
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        )
+        for number, own in itertools.groupby(rows, key=itemgetter(0)):
+            place = f"{folder}/bucket={number}"
+            store.create_dir(place, recursive=True)
+            attempt = f"{place}/_{uuid.uuid4().hex}"
+            with store.open_output_stream(attempt) as out:
+                out.write(MARK.encode(charset))
+                for _, value in own:
+                    out.write(f"{value}\n".encode(charset))
+            store.move(attempt, f"{place}/lines.txt")
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array([number], pa.int64())})
+
+    placed = lines.withColumn("bucket", bucket)
+    written = (
+        placed.repartition("bucket")
+        .sortWithinPartitions("bucket", "doc_id", "line_no")
+        .select("bucket", "value")
+        .mapInArrow(run, "bucket long")
+    )
+    written.count()
+
+
 _files: dict[tuple, str] = {}
 
 
+def wide_document_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder below the shared one: documents by part as plain UTF-16, English ones with the low
+    byte first, the others with the high byte first; written once."""
+    key = (spark.sparkContext.applicationId, sf_dir, "wide")
+    if key not in _files:
+        base = scratch_path(spark, "documents")
+        docs = document_slots(spark, sf_dir)
+        for part, chosen, english in PARTS_OF_DOCUMENTS:
+            order = "utf-16-le" if english else "utf-16-be"
+            write_wide_files(docs.filter(chosen), f"{base}/{part}", order)
+        _files[key] = base
+    return _files[key]
+
+
 def document_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder below the shared one: English documents gzipped, the others plain; written once."""
     key = (spark.sparkContext.applicationId, sf_dir)

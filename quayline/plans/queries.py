@@ -49,6 +49,7 @@ from quayline.plans.feeds import (
     order_slots_feed,
     spread,
     table,
+    wide_document_files,
     write_document_files,
 )
 from quayline.session import scratch_path, stored
@@ -654,6 +655,13 @@ def slots_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(read_lines(spark, files, split_bytes=256 << 10))
 
 
+@query("slots_split_wide_scan", SCANNED)
+def slots_split_wide_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines in UTF-16 of either byte order, in ranges of 256 KiB for separate tasks."""
+    files = _files(wide_document_files(spark, sf_dir))
+    return _scanned(read_lines(spark, files, charset="UTF-16", split_bytes=256 << 10))
+
+
 @query("slots_where_scan", f"{SCANNED} WHERE part = 'english' AND bucket % 2 = 0")
 def slots_where_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A condition on names that reaches the listing: folders that it rules out are not listed."""

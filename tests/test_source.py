@@ -132,12 +132,30 @@ def test_large_slots_are_read_in_ranges(spark, folder):
     assert whole.rdd.getNumPartitions() == 4
     assert split.rdd.getNumPartitions() > 50
     assert split.collect() == whole.collect()
-    # Cutting at bytes is only right where line ends are single bytes.
+    # What has no units that always end a line is not cut.
     assert read_lines(
-        spark, connector, charset="UTF-16", split_bytes=2000
+        spark, connector, charset="Shift_JIS", split_bytes=2000
     ).rdd.getNumPartitions() == 4
 
 
+@pytest.mark.parametrize("charset", ["UTF-16", "UTF-32", "UTF-16LE"])
+def test_ranges_of_wide_units(spark, folder, charset):
+    # U+0A0D and U+0D0A hold the bytes of line ends; a range may end between two halves of a pair.
+    long = [f"{i} \u0a0d\u0d0a\u0a00 \U0001f600" + "é" * (i % 50) for i in range(1500)]
+    for order in ("LE", "BE") if len(charset) == 6 else ("",):
+        text = "\r\n".join(long)
+        mark = "\ufeff" if order else ""
+        folder.put(f"a{order}.txt", (mark + text).encode(charset + order), date="2016-12-03")
+    folder.put("b.txt", "\n".join(long[:9]).encode(f"{charset[:6]}{charset[6:] or 'BE'}"))
+    connector = FilesConnector(str(folder.path))
+    whole = read_lines(spark, connector, charset=charset)
+    split = read_lines(spark, connector, charset=charset, split_bytes=2001)
+    assert split.rdd.getNumPartitions() > 40
+    rows = split.collect()
+    assert rows == whole.collect()
+    assert {r.value for r in rows} == set(long)
+
+
 def test_nested_folders(spark, folder):
     for name in ("top.txt", "a/1.txt", "a/x/2.txt", "a/x/deep/3.txt", "b/y/4.txt", "_no/5.txt"):
         folder.put(name)

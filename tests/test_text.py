@@ -15,6 +15,7 @@ from quayline.functions.text import (
     lines_array,
     next_line_start,
     split_lines,
+    unit_width,
 )
 from quayline.operators.payload import _range_blocks
 
@@ -99,6 +100,35 @@ def test_ranges_cover_each_line_once(text, width, size):
     assert [line for part in parts for line in part] == model(text)
 
 
+@given(
+    TEXTS,
+    st.integers(1, 7),
+    st.integers(1, 5),
+    st.sampled_from(["utf-16", "utf-32"]),
+    st.booleans(),
+    st.booleans(),
+)
+def test_ranges_of_wide_units(text, size, units, charset, low_first, marked):
+    marked = marked or low_first or text.startswith("\ufeff")
+    data = ("\ufeff" * marked + text).encode(charset + ("-le" if low_first else "-be"))
+
+    class Source:
+        def chunks(self, name, start=0, stop=None):
+            return iter(chunked(data[start:stop], size))
+
+        def unchanged(self, name, version):
+            pass
+
+    width = units * unit_width(charset)
+    starts = range(0, len(data), width)
+    stops = [a + width if a + width < len(data) else None for a in starts]
+    parts = [
+        lines_in(_range_blocks(Source(), "s", (a, b, None), charset))
+        for a, b in zip(starts, stops, strict=True)
+    ]
+    assert [line for part in parts for line in part] == model(text)
+
+
 @given(TEXTS, st.integers(1, 5))
 def test_next_line_start(text, size):
     data = text.encode()
