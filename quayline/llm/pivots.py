@@ -9,14 +9,16 @@ shard form annuli.  By the triangle inequality a vector at distance d from a piv
 where that bound passes its k-th best so far.
 
 Pivots come from a bounded sample.  The sample also gives each query a first k-th best, which says
-what shards a group of queries has to visit at all.  Components are whole numbers and products exact;
-bounds are floating point, loosened by far more than their error.
+what shards a group of queries has to visit at all.  Components are whole numbers and products exact:
+64-bit integers where no product can exceed them, Python's own integers else.  Bounds are floating
+point, loosened by more than their error at the size that the vectors have.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -33,23 +35,38 @@ GROUP = 1024
 PIVOTS = 48
 SLACK = 1e-6
 VISIT = 512  # vectors of an annulus compared at a time
+# Products below this are 64-bit integers; beyond the second, more than a decimal's 38 digits.
+NARROW = 2.0**61
+WIDEST = 1e37
 
 
 def whole_vectors(vectors: DataFrame, id_column: str, column: str, scale: int) -> DataFrame:
-    """``id`` and ``x``: floor(scale * component) as long integers.  Null vectors, empty ones and
-    those with a null, infinite or not-a-number component are left out."""
+    """``id`` and ``x``: floor(scale * component), whole numbers as doubles, which hold them exactly
+    at any size.  Null vectors, empty ones and those with a null, infinite or not-a-number component
+    are left out."""
+
+    def whole(v: Column) -> Column:
+        # From 2^53 on a double has no fraction, and a long integer may be too short for it.
+        scaled = v * F.lit(float(scale))
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
     parts = F.transform(F.col(column), lambda v: v.cast("double"))
     sound = F.forall(
         parts, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     )
     return vectors.filter(F.col(column).isNotNull() & (F.size(column) > 0) & sound).select(
         F.col(id_column).cast("long").alias("id"),
-        F.transform(parts, lambda v: F.floor(v * scale).cast("long")).alias("x"),
+        F.transform(parts, whole).alias("x"),
     )
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_list()).astype(np.int64) if len(column) else np.zeros((0, 0), np.int64)
+def _matrix(column: pd.Series, wide: bool = False) -> np.ndarray:
+    """Vectors as rows of integers: 64-bit ones or, if ``wide``, Python's."""
+    if not len(column):
+        return np.zeros((0, 0), object if wide else np.int64)
+    if wide:
+        return np.array([[int(v) for v in x] for x in column], object)
+    return np.stack(column.to_list()).astype(np.int64)
 
 
 def _lifted(x: np.ndarray, top: int | None) -> np.ndarray:
@@ -77,7 +94,7 @@ def _choose_pivots(points: np.ndarray, count: int) -> np.ndarray:
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best by score, ties to the smaller id."""
-    if len(scores) > 4 * k:
+    if len(scores) > 4 * k and scores.dtype != object:
         # Everything that ties with the k-th stays until ids decide.
         bound = np.partition(scores, len(scores) - k)[len(scores) - k]
         kept = np.flatnonzero(scores >= bound)
@@ -102,27 +119,70 @@ def top_products(
     Components are turned into floor(``scale`` * x).  Rows that ``whole_vectors`` leaves out take no
     part, nor do rows with a null id; other columns are ignored.  Rows that share an id are
     candidates each, except for queries of that id, and ask once, as the row with the least vector.
-    Vectors of another length than the first sampled one raise ``ValueError``.  An empty table, or
-    one without queries, gives no rows.
+    ``score`` is a long integer, or decimal(38,0) where some vector of the table is so long that a
+    product might exceed 64 bits.  Vectors of several lengths raise ``ValueError``, as do components
+    so large that a product might exceed 37 digits.  An empty table, or one without queries, gives no
+    rows.
     """
+    found = _compared(vectors, is_query, k, scale, id_column, column, seed)
+    # Spark keeps k rows of a query per task before it moves them to be ranked.
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return (
+        found.filter("id is not null")
+        .withColumn("rank", rank)
+        .filter(F.col("rank") <= k)
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+    )
+
+
+def compared_share(
+    vectors: DataFrame,
+    is_query: Column,
+    k: int = 10,
+    scale: int = 1024,
+    id_column: str = "vec_id",
+    column: str = "embedding",
+    seed: int = 3,
+) -> float:
+    """What share of all pairs of a query and a vector the search multiplies; 0 without pairs.  The
+    bounds of ``top_products`` exclude the rest."""
+    sound = whole_vectors(vectors, id_column, column, scale).filter("id is not null")
+    queries = sound.filter(is_query).agg(F.count_distinct("id")).first()[0]
+    found = _compared(vectors, is_query, k, scale, id_column, column, seed)
+    done = found.filter("id is null").agg(F.sum("compared")).first()[0] or 0
+    return done / max(1, queries * sound.count())
+
+
+def _compared(
+    vectors: DataFrame, is_query: Column, k: int, scale: int, id_column: str, column: str, seed: int
+) -> DataFrame:
+    """``query_id``, ``id``, ``score``: the best of each shard for every query that visits it, and a
+    row with a null id that tells how many vectors were ``compared``."""
     spark = vectors.sparkSession
     whole = whole_vectors(vectors, id_column, column, scale).filter("id is not null")
-    square = F.aggregate(F.transform("x", lambda v: v * v), F.lit(0).cast("long"), lambda s, v: s + v)
+    square = F.aggregate(F.transform("x", lambda v: v * v), F.lit(0.0), lambda s, v: s + v)
     stats = whole.agg(
         F.max(square), F.count(F.lit(1)), F.min(F.size("x")), F.max(F.size("x"))
     ).first()
-    top, rows, least, most = stats
-    empty = spark.createDataFrame([], "query_id long, rank int, id long, score long")
+    longest, rows, least, most = stats
+    wide = bool(rows) and longest >= NARROW
+    schema = f"query_id long, id long, score {'decimal(38,0)' if wide else 'long'}, compared long"
+    empty = spark.createDataFrame([], schema)
     if not rows:
         return empty
     if least != most:
         raise ValueError("vectors differ in length")
+    if not longest < WIDEST:
+        raise ValueError("components are too large for products of 37 digits")
+    # No less than the greatest squared length, which was summed in floating point.
+    top = int(longest * (1 + 1e-9)) + 1
+    slack = 4 * math.sqrt((most + 8) * 2.0**-51 * top)
     # Twice the wanted share by a hash of the row, cut on the driver: bounded at any size.
     share = min(1.0, 2 * SAMPLE / rows)
     draw = F.xxhash64(F.lit(seed), "id", "x").bitwiseAND(0x7FFFFFFF)
     drawn = whole.filter(draw <= int(share * 0x7FFFFFFF)).withColumn("draw", draw)
     sample = drawn.orderBy("draw", "id", "x").limit(SAMPLE).toPandas()
-    sample_ids, sample_x = sample["id"].to_numpy(), _matrix(sample["x"])
+    sample_ids, sample_x = sample["id"].to_numpy(), _matrix(sample["x"], wide)
     pivots = _choose_pivots(_lifted(sample_x, top), PIVOTS)
 
     def keyed(as_query: bool):
@@ -130,7 +190,7 @@ def top_products(
             for frame in frames:
                 if not len(frame):
                     continue
-                x = _matrix(frame["x"])
+                x = _matrix(frame["x"], wide)
                 away = _distances(_lifted(x, None if as_query else top), pivots)
                 frame["pivot"] = away.argmin(axis=1).astype(np.int32)
                 frame["distance"] = away.min(axis=1)
@@ -139,18 +199,18 @@ def top_products(
                     bounds = []
                     for i, own in enumerate(frame["id"]):
                         others = np.sort(first[i][sample_ids != own])
-                        bounds.append(int(others[-k]) if len(others) >= k else None)
-                    frame["bound"] = pd.array(bounds, dtype="Int64")
+                        bounds.append(str(others[-k]) if len(others) >= k else None)
+                    frame["bound"] = bounds
                 yield frame
 
         return run
 
-    schema = "id long, x array<long>, pivot int, distance double"
+    keys = "id long, x array<double>, pivot int, distance double"
     index = staged(
-        _numbered(whole.mapInPandas(keyed(False), schema), schema, SHARD, rows, "shard"), "index"
+        _numbered(whole.mapInPandas(keyed(False), keys), keys, SHARD, rows, "shard"), "index"
     )
     asking = whole.filter(is_query).groupBy("id").agg(F.min("x").alias("x"))
-    asked = staged(asking.mapInPandas(keyed(True), f"{schema}, bound long"), "asked")
+    asked = staged(asking.mapInPandas(keyed(True), f"{keys}, bound string"), "asked")
     if asked.isEmpty():
         return empty
     queries = _grouped(asked)
@@ -160,11 +220,11 @@ def top_products(
         for frame in frames:
             if not len(frame):
                 continue
-            x = _matrix(frame["x"])
+            x = _matrix(frame["x"], wide)
             away = _distances(_lifted(x, None), pivots)
             radius = np.array(
                 [
-                    _radius(int(v @ v), None if pd.isna(b) else int(b), top)
+                    _radius(int(v @ v), None if pd.isna(b) else int(b), top, slack)
                     for v, b in zip(x, frame["bound"], strict=True)
                 ]
             )
@@ -206,28 +266,21 @@ def top_products(
     )
 
     def search(asked_: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
-        return _search(asked_, kept, pivots, top, k)
+        return _search(asked_, kept, pivots, top, k, slack, wide)
 
-    found = (
+    return (
         left.groupBy("shard", "part")
         .cogroup(right.groupBy("_shard", "_part"))
-        .applyInPandas(search, "query_id long, id long, score long")
-    )
-    # Spark keeps k rows of a query per task before it moves them to be ranked.
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return (
-        found.withColumn("rank", rank)
-        .filter(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+        .applyInPandas(search, schema)
     )
 
 
-def _radius(square: int, bound: int | None, top: int) -> float:
-    """Distance beyond which a vector scores less than ``bound``; no limit without one.  Loosened,
-    as every bound, by far more than double precision loses."""
+def _radius(square: int, bound: int | None, top: int, slack: float) -> float:
+    """Distance beyond which a vector scores less than ``bound``; no limit without one.  Loosened by
+    more than double precision loses: a squared distance is a difference of numbers up to ``top``."""
     if bound is None:
         return math.inf
-    return math.sqrt(max(0, square + top - 2 * bound)) * (1 + SLACK) + SLACK
+    return math.sqrt(max(0, square + top - 2 * bound)) * (1 + SLACK) + SLACK + slack
 
 
 def _grouped(asked: DataFrame) -> DataFrame:
@@ -262,21 +315,22 @@ def _numbered(rows: DataFrame, schema: str, size: int, total: int, name: str) ->
     )
 
 
-def _search(asked, kept, pivots, top, k) -> pd.DataFrame:
-    """The k best of a shard for each query of a group, but for those a query's bound excludes."""
+def _search(asked, kept, pivots, top, k, slack, wide) -> pd.DataFrame:
+    """The k best of a shard for each query of a group, but for those a query's bound excludes, and
+    how many vectors each query was compared with."""
     kept = kept.sort_values(["pivot", "distance"], kind="stable")
-    ids, x = kept["id"].to_numpy(), _matrix(kept["x"])
+    ids, x = kept["id"].to_numpy(), _matrix(kept["x"], wide)
     pivot, distance = kept["pivot"].to_numpy(), kept["distance"].to_numpy()
     starts = np.flatnonzero(np.diff(pivot, prepend=-1))
     ends = np.append(starts[1:], len(pivot))
-    queries = _matrix(asked["x"])
+    queries = _matrix(asked["x"], wide)
     away = _distances(_lifted(queries, None), pivots)
     squares = (queries * queries).sum(1)
     out = []
     for i, own in enumerate(asked["id"]):
         bound = asked["bound"].iloc[i]
         bound = None if pd.isna(bound) else int(bound)
-        best = np.zeros((0, 2), np.int64)
+        best, compared = np.zeros((0, 2), x.dtype), 0
         # Annuli not visited yet, one inwards and one outwards of each pivot, by their lower bound.
         fronts = []
         for start, end in zip(starts, ends, strict=True):
@@ -289,7 +343,7 @@ def _search(asked, kept, pivots, top, k) -> pd.DataFrame:
         while fronts:
             nearest = min(range(len(fronts)), key=lambda f: fronts[f][0])
             gap, start, end, way, at = fronts[nearest]
-            if gap > _radius(int(squares[i]), bound, top):
+            if gap > _radius(int(squares[i]), bound, top, slack):
                 break
             if way > 0:
                 stop = min(end, start + VISIT)
@@ -304,13 +358,19 @@ def _search(asked, kept, pivots, top, k) -> pd.DataFrame:
             else:
                 fronts.pop(nearest)
             scores = x[span] @ queries[i]
+            compared += len(scores)
             usable = ids[span] != own
             if bound is not None:
-                usable &= scores >= bound
+                usable &= (scores >= bound).astype(bool)
             rows = np.stack([scores[usable], ids[span][usable]], 1)
             best = np.concatenate([best, rows])
             best = best[_best(best[:, 0], best[:, 1], k)]
             if len(best) == k:
                 bound = int(best[-1, 0]) if bound is None else max(bound, int(best[-1, 0]))
-        out.append(pd.DataFrame({"query_id": own, "id": best[:, 1], "score": best[:, 0]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []})
+        scores = [Decimal(s) if wide else int(s) for s in best[:, 0]]
+        out += [(own, int(id_), s, None) for id_, s in zip(best[:, 1], scores, strict=True)]
+        out.append((own, None, None, compared))
+    names = ["query_id", "id", "score", "compared"]
+    table = pd.DataFrame(out, columns=names, dtype=object)
+    whole = ["query_id", "id", "compared"] if wide else names
+    return table.astype(dict.fromkeys(whole, "Int64"))

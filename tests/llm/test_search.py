@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import quayline.llm.pivots as pivots
-from quayline.llm.pivots import top_products
+from quayline.llm.pivots import compared_share, top_products
 
 
 def brute(rows, asks, k):
@@ -84,3 +85,37 @@ def test_large_integers(spark):
     rows = [(i, [rng.uniform(-900, 900) for _ in range(16)]) for i in range(300)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert search(table, 3) == brute(rows, lambda q: q % 100 == 0, 3)
+
+
+@pytest.mark.parametrize("size", [5e6, 1e9, 3e13])
+def test_huge_components(spark, size):
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-size, size) for _ in range(5)]) for i in range(250)]
+    rows += [(1000 + i, [rng.uniform(-3, 3) for _ in range(5)]) for i in range(50)]
+    rows += [(2000 + i, rows[100][1]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(1024 * v) for v in x] for i, x in rows}
+    for r in top_products(table, F.col("id") % 100 == 0, 4).collect():
+        scores = sorted(
+            (-sum(a * b for a, b in zip(whole[r.query_id], x, strict=True)), i)
+            for i, x in whole.items() if i != r.query_id
+        )
+        assert (-int(r.score), r.id) == scores[r["rank"] - 1]
+
+
+def test_components_beyond_decimals(spark):
+    table = spark.createDataFrame([(0, [1e17]), (1, [2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="digits"):
+        search(table)
+
+
+def test_share_compared(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1, (40, 16))
+    near = centres[np.arange(8000) % 40] + rng.normal(0, 0.05, (8000, 16))
+    near /= np.linalg.norm(near, axis=1)[:, None]
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(near)], SCHEMA)
+    share = compared_share(table, F.col("id") % 100 == 0)
+    print("share of pairs compared:", share)
+    assert share < 0.5
+    assert compared_share(table.limit(0), F.col("id") % 100 == 0) == 0
