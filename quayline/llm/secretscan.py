@@ -18,6 +18,7 @@ of their bin, stands for the sorted list, so that only a few hundred counts are
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,40 @@ ALPHABETS = (
 WIDEST = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"
 
 
+# Values folded at a time: an array that grows by one is copied each time.
+FOLD = 256
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Each of the integers joined with all before it, as sums or maxima: block by block, then what the
+    blocks before add.  The work grows with the number of values, but for a small square."""
+    empty = F.array().cast("array<int>")
+
+    def fold(block: Column) -> Column:
+        def step(done: Column, value: Column) -> Column:
+            last = F.get(done, F.size(done) - 1)
+            one = F.when(last.isNull(), value).otherwise(join(last, value))
+            return F.concat(done, F.array(one))
+
+        return F.aggregate(block, empty, step)
+
+    def joined(blocks: Column) -> Column:
+        def carry(before: Column) -> Column:
+            def whole(block: Column, number: Column) -> Column:
+                last = F.get(before, number - 1)
+                return F.when(number == 0, block).otherwise(
+                    F.transform(block, lambda value: join(last, value))
+                )
+
+            return F.flatten(F.transform(blocks, whole))
+
+        return _let(fold(F.transform(blocks, lambda b: F.element_at(b, -1))), carry)
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / FOLD).cast("int"))
+    blocks = F.transform(numbers, lambda i: fold(F.slice(values, i * FOLD + 1, F.lit(FOLD))))
+    return F.when(F.size(values) > 0, _let(blocks, joined)).otherwise(empty)
+
+
 def located(text: Column, pattern: str, last: int | None = None) -> Column:
     """Matches of ``pattern``, which must not match nothing, as structs ``start``, ``end`` (code
     points, end exclusive) and ``value`` (of group ``last``, or the whole match)."""
@@ -68,21 +103,20 @@ def located(text: Column, pattern: str, last: int | None = None) -> Column:
         gaps = F.split(text, pattern, -1)
         values = found if last is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(last))
         empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-        steps = F.arrays_zip(gaps.alias("gap"), found.alias("hit"), values.alias("value"))
-        steps = F.slice(steps, F.lit(1), F.size(found))
-
-        def step(state: Column, item: Column) -> Column:
-            start = state["at"] + F.length(item["gap"])
-            end = start + F.length(item["hit"])
-            one = F.struct(start.alias("start"), end.alias("end"), item["value"].alias("value"))
-            return F.struct(
-                end.alias("at"), F.concat(state["all"], F.array(one)).alias("all")
-            )
-
-        zero = F.struct(F.lit(0).alias("at"), empty.alias("all"))
-        return F.when(
-            F.size(found) > 0, F.aggregate(steps, zero, step, lambda state: state["all"])
-        ).otherwise(empty)
+        sizes = F.zip_with(
+            F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, h: F.length(g) + F.length(h)
+        )
+        ends = _let(sizes, lambda s: _running(s, lambda a, b: a + b))
+        steps = F.arrays_zip(ends.alias("end"), found.alias("hit"), values.alias("value"))
+        places = F.transform(
+            steps,
+            lambda s: F.struct(
+                (s["end"] - F.length(s["hit"])).alias("start"),
+                s["end"].alias("end"),
+                s["value"].alias("value"),
+            ),
+        )
+        return F.when(F.size(found) > 0, places).otherwise(empty)
 
     return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)
 
@@ -270,32 +304,36 @@ def written_spans(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with each span, or run of overlapping ones, replaced by ``mark``."""
-    kind = "array<struct<start:int,end:int>>"
-
-    def join(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        one = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        apart = (F.size(done) == 0) | (s["start"] >= last["end"])
-        return F.when(apart, F.concat(done, F.array(one))).otherwise(
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown))
-        )
+    """``text`` with each span, or run of overlapping ones, replaced by ``mark``; ``spans`` are
+    ordered by start.
 
-    def cut(runs: Column) -> Column:
-        pieces = F.transform(
-            F.sequence(F.lit(0), F.size(runs)),
-            lambda i: F.substring(
-                text,
-                F.when(i == 0, 1).otherwise(F.get(runs, i - 1)["end"] + 1),
-                F.coalesce(F.get(runs, i)["start"], F.length(text))
-                - F.when(i == 0, 0).otherwise(F.get(runs, i - 1)["end"]),
-            ),
-        )
-        return F.array_join(pieces, mark)
+    Pieces are cut from the text in units of four bytes, where a position needs no walk through the
+    text: the work grows with the text and the spans, not with their product, and a text with spans
+    takes four bytes a code point for the while.
+    """
 
-    merged = F.aggregate(spans, F.array().cast(kind), join)
-    return F.when(F.size(spans) > 0, _let(merged, cut)).otherwise(text)
+    def cut(starts: Column, tops: Column, units: Column) -> Column:
+        def piece(start: Column, stop: Column) -> Column:
+            # The mark in front keeps a piece's own first character from being taken for one.
+            part = F.substring(units, 4 * start + 1, 4 * (stop - start))
+            return F.decode(F.concat(F.unhex(F.lit("0000FEFF")), part), "UTF-32")
+
+        def top(i: Column) -> Column:
+            return F.coalesce(F.get(tops, i - 1), F.lit(0))
+
+        # A run begins where a span starts beyond the greatest end so far.
+        numbers = F.sequence(F.lit(0), F.size(starts) - 1)
+        heads = F.filter(numbers, lambda i: (i == 0) | (F.get(starts, i) >= top(i)))
+        pieces = F.transform(heads, lambda i: piece(top(i), F.get(starts, i)))
+        rest = piece(F.element_at(tops, -1), F.floor(F.length(units) / 4).cast("int"))
+        return F.array_join(F.concat(pieces, F.array(rest)), mark)
+
+    starts = F.transform(spans, lambda s: s["start"])
+    tops = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    changed = _let(
+        starts, lambda a: _let(tops, lambda b: _let(F.encode(text, "UTF-32"), lambda u: cut(a, b, u)))
+    )
+    return F.when(F.size(spans) > 0, changed).otherwise(text)
 
 
 def redact_secrets(docs: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:

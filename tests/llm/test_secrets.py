@@ -18,6 +18,7 @@ from quayline.llm.secretscan import (
     find_spans,
     randomness,
     redact_secrets,
+    redacted,
     scan_secrets,
     written_spans,
 )
@@ -157,3 +158,49 @@ def test_p_values_of_lengths(spark):
         found = [r[0] for r in table.select(randomness(F.col("t"))).collect()]
         for level in (1.0, 2.0):
             assert sum(p >= level for p in found) <= 300 * 10**-level * 1.5 + 2
+
+
+def test_many_keys_in_one_text(spark):
+    rng = random.Random(8)
+    letters = "0123456789abcdef"
+    keys = ["".join(rng.choices(letters, k=32)) for _ in range(20_000)]
+    words = [rng.choice(["word", "\ufeff", "漢字", "😀"]) for _ in keys]
+    text = "\ufeff" + "".join(f"{w} {k} " for w, k in zip(words, keys, strict=True)) + "\ufeffend"
+    docs = spark.createDataFrame([(1, text), (2, "\ufeffplain"), (3, keys[0])], "doc_id long, text string")
+    rows = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    wanted = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert [(s.start, s.end) for s in rows[1].base] == wanted and len(wanted) == 20_000
+    changed = {r.doc_id: r.text for r in redact_secrets(docs).collect()}
+    assert changed == {
+        1: "\ufeff" + "".join(f"{w} [SECRET] " for w in words) + "\ufeffend",
+        2: "\ufeffplain",
+        3: "[SECRET]",
+    }
+
+
+def test_redacted_runs(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(300):
+        text = "".join(rng.choices("ab漢😀\ufeff", k=rng.randint(1, 30)))
+        spans = []
+        for _ in range(rng.randint(0, 6)):
+            start = rng.randrange(len(text))
+            spans.append((start, 0, rng.randint(start + 1, len(text))))
+        rows.append((text, sorted(spans)))
+    table = spark.createDataFrame(
+        rows, "text string, spans array<struct<start:int,kind:int,end:int>>"
+    )
+    for text, spans, found in table.select(
+        "text", "spans", redacted(F.col("text"), F.col("spans"))
+    ).collect():
+        runs = []
+        for start, _, end in spans:
+            if runs and start < runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], end)
+            else:
+                runs.append([start, end])
+        want, at = "", 0
+        for start, end in runs:
+            want, at = want + text[at:start] + "[SECRET]", end
+        assert found == want + text[at:]
