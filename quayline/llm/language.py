@@ -7,12 +7,17 @@ stochastic gradient descent in numpy on the driver, from a sample of at most ``p
 of each language (their bucket counts, made in tasks from the whole texts).  One in five of them is
 kept back to set the temperature of the softmax and the score below which a text is rejected.
 
+The softmax has one class more, for what is no language: of each sampled text the model also learns
+a made one: its letters drawn anew without order, or characters of base64 or hex.  That class takes the mass
+of such texts, so that no language scores high; it is never a prediction.
+
 Once trained, embedding and softmax fold into one table of ``buckets`` rows with a column for each
 language, so that a text's score is a mean of table rows: no work per dimension at prediction.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +33,15 @@ WINDOW = 1 << 19  # code points handled at a time
 # Added to the number of subwords of a text, so that a few of them are never taken for certainty.
 PRIOR = 24
 UNKNOWN = "und"
+# Code points of a made text: fewer than the least are too few to tell from a short clean text.
+MADE_LEAST, MADE_MOST = 80, 2000
+ENCODINGS = (string.ascii_letters + string.digits + "+/", string.hexdigits[:16])
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table``: one row per bucket, bucket 0 is empty; a column of logits per language."""
+    """``table``: one row per bucket, bucket 0 is empty; a column of logits per language,
+    and a last one for what is no language."""
 
     labels: tuple[str, ...]
     table: np.ndarray
@@ -98,7 +107,7 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarra
 
 def mean_logits(model: LanguageModel, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Logits before the temperature, and the number of subwords, of each text."""
-    classes = len(model.labels)
+    classes = model.table.shape[1]
     rows = np.hstack([model.table, np.ones((model.buckets, 1), np.float32)]).astype(np.float32)
     rows[0] = 0
     sums = np.zeros((len(texts), classes + 1))
@@ -120,25 +129,41 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return powers / powers.sum(axis=-1, keepdims=True)
 
 
+def no_language(text: str, draw: float) -> str:
+    """A text of no language, the same for the same ``text`` and ``draw``: code points drawn from all
+    of ``text``, so that only their order is lost, or characters of an encoding."""
+    rng = np.random.default_rng(int(draw * (1 << 53)))
+    size = int(rng.integers(MADE_LEAST, MADE_MOST))
+    kind = int(rng.integers(0, 2 * len(ENCODINGS)))
+    drawn_from = text if text and kind >= len(ENCODINGS) else ENCODINGS[kind % len(ENCODINGS)]
+    own = np.frombuffer(drawn_from.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return own[rng.integers(0, len(own), size)].tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def _bucket_counts(buckets: int):
-    """Sparse bucket counts of whole texts: at most ``buckets`` entries for a text of any length."""
+    """Sparse bucket counts of whole texts, at most ``buckets`` entries for a text of any length, and
+    of a made text for each, whose language is null."""
+
+    def counted(text: str) -> tuple[bytes, bytes]:
+        counts = np.zeros(buckets, np.float32)
+        for _, parts in _pieces([text]):
+            for part in parts:
+                for hashed in _hashes(part, buckets):
+                    counts += np.bincount(hashed, minlength=buckets)
+        counts[0] = 0
+        kept = np.flatnonzero(counts).astype(np.uint32)
+        return kept.tobytes(), counts[kept].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 32):
-            found = []
-            for text in batch.column("text").to_pylist():
-                counts = np.zeros(buckets, np.float32)
-                for _, parts in _pieces([text]):
-                    for part in parts:
-                        for hashed in _hashes(part, buckets):
-                            counts += np.bincount(hashed, minlength=buckets)
-                counts[0] = 0
-                kept = np.flatnonzero(counts).astype(np.uint32)
-                found.append((kept.tobytes(), counts[kept].tobytes()))
+            texts = batch.column("text").to_pylist()
+            draws = batch.column("draw").to_pylist()
+            made = [no_language(text, draw) for text, draw in zip(texts, draws, strict=True)]
+            found = [counted(text) for text in (*texts, *made)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("lang"),
-                    batch.column("draw"),
+                    pa.array(batch.column("lang").to_pylist() + [None] * len(made), pa.string()),
+                    pa.array(draws + draws, pa.float64()),
                     pa.array([f[0] for f in found], pa.binary()),
                     pa.array([f[1] for f in found], pa.binary()),
                 ],
@@ -167,25 +192,28 @@ def train_language(
     dimensions: int = 12,
     epochs: int = 12,
     rejected: float = 0.002,
+    expected: float = 0.01,
     seed: int = 7,
 ) -> LanguageModel:
     """Train on rows of ``docs`` (``doc_id``, ``text``, ``lang``) where ``trainable`` holds.
 
     Rows with a null language, a null text or a text without letters teach nothing.  The sample is
-    bounded by ``per_language`` rows of each language, drawn by hash; ``rejected`` is the share of
-    rightly labelled calibration texts that the rejection score may give up.
+    bounded by ``per_language`` rows of each language, drawn by hash, and as many made texts of no
+    language; ``rejected`` is the share of rightly labelled calibration texts that the rejection
+    score may give up.  ``expected`` is the share of texts of no language that prediction reckons
+    with, in place of their share in training, so that a short clean text is not taken for one.
     """
     labelled = docs.filter(trainable).select("doc_id", "lang", "text").dropna(subset=["lang", "text"])
     drawn = _sample(labelled, per_language, seed).mapInArrow(
         _bucket_counts(buckets), "lang string, draw double, buckets binary, counts binary"
     )
-    found = sorted(drawn.collect(), key=lambda r: (r["lang"], r["draw"], bytes(r["buckets"])))
+    found = sorted(drawn.collect(), key=_place)
     kept, taken = [], {}
     for row in found:
         if row["buckets"] and taken.get(row["lang"], 0) < per_language:
             taken[row["lang"]] = taken.get(row["lang"], 0) + 1
             kept.append(row)
-    labels = tuple(sorted(taken))
+    labels = tuple(sorted(lang for lang in taken if lang is not None))
     if not labels:
         empty = np.zeros((2, 0), np.float32)
         return LanguageModel((), empty, np.zeros(0), 1.0, 0.0)
@@ -194,26 +222,36 @@ def train_language(
         for r in kept
     ]
     rows = [(b, c / (c.sum() + PRIOR)) for b, c in rows]
-    target = np.array([labels.index(r["lang"]) for r in kept])
+    target = np.array(
+        [len(labels) if r["lang"] is None else labels.index(r["lang"]) for r in kept]
+    )
     rng = np.random.default_rng(seed)
     shuffled = rng.permutation(len(rows))
     checking = shuffled[: len(rows) // 5] if len(rows) >= 10 * len(labels) else shuffled
     learning = shuffled[len(rows) // 5 :] if len(rows) >= 10 * len(labels) else shuffled
     embedding, output, bias = _descend(
-        rows, target, learning, len(labels), buckets, dimensions, epochs, rng
+        rows, target, learning, len(labels) + 1, buckets, dimensions, epochs, rng
     )
     folded = (embedding @ output).astype(np.float32)
     folded[0] = 0
     logits = np.stack([w @ folded[b] for b, w in (rows[i] for i in checking)]) + bias
     temperature = _temperature(logits, target[checking])
+    share = (target == len(labels)).mean()
+    shift = temperature * np.log(expected * (1 - share) / (share * (1 - expected)))
+    bias[-1] += shift
+    logits[:, -1] += shift
     scores = _softmax(logits / temperature)
-    right = scores.argmax(1) == target[checking]
+    right = (scores.argmax(1) == target[checking]) & (target[checking] < len(labels))
     best = scores.max(1)[right]
     # Never above an even chance between two languages: short clean texts must pass.
     floor = min(float(np.quantile(best, rejected)), 0.5) if len(best) else 0.0
     return LanguageModel(labels, folded, bias.astype(np.float64), temperature, floor)
 
 
+def _place(row) -> tuple:
+    return row["lang"] is None, row["lang"] or "", row["draw"], bytes(row["buckets"])
+
+
 def _descend(rows, target, learning, classes, buckets, dimensions, epochs, rng):
     """Stochastic gradient descent, one text at a time, with a falling step."""
     embedding = rng.normal(0, 0.1, (buckets, dimensions))
@@ -252,7 +290,7 @@ def _judged(model: LanguageModel, texts: list[str | None]):
         none = np.zeros(len(texts))
         return [UNKNOWN] * len(texts), none, none == 0
     logits, counts = mean_logits(model, texts)
-    shares = _softmax(logits / model.temperature)
+    shares = _softmax(logits / model.temperature)[:, : len(model.labels)]
     some = counts > 0
     pick = [model.labels[p] if s else UNKNOWN for p, s in zip(shares.argmax(1), some, strict=True)]
     score = np.where(some, shares.max(1), 0.0)

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quayline.llm.common import in_training
-from quayline.llm.language import keep_identified, predict_language, train_language
+from quayline.llm.language import (
+    MADE_LEAST,
+    MADE_MOST,
+    keep_identified,
+    no_language,
+    predict_language,
+    train_language,
+)
 from quayline.llm.queries import QUERIES
 from quayline.llm.toxicity import (
     LETTERS,
@@ -42,7 +51,7 @@ def test_language_query(spark, bigger):
     assert right > 0.97
     assert found.filter("score < 0 or score > 1 or score is null").count() == 0
     # Clean texts are not rejected.
-    assert found.filter("rejected").count() <= 0.02 * found.count()
+    assert found.filter("rejected").count() <= 0.005 * found.count()
 
 
 def test_fold(spark, bigger):
@@ -67,6 +76,46 @@ def test_language_of_odd_rows(odd, none, languages):
     assert {r.doc_id for r in kept.collect()}.isdisjoint({3, 4, 5, 9})
 
 
+def _drawn(letters, size, seed, texts=100):
+    rng = np.random.default_rng(seed)
+    return ["".join(rng.choice(list(letters), size)) for _ in range(texts)]
+
+
+@pytest.mark.parametrize(
+    "letters",
+    [
+        string.ascii_letters + string.digits + "+/",
+        string.hexdigits[:16],
+        string.ascii_lowercase,
+        string.ascii_uppercase + "   ",
+        "αβγδεζηθικλμνξοπρστυ  ",
+    ],
+)
+def test_rejects_what_is_no_language(spark, languages, letters):
+    rows = [(i, t) for i, t in enumerate(_drawn(letters, 300, seed=5))]
+    found = predict_language(spark.createDataFrame(rows, "doc_id long, text string"), languages)
+    assert found.filter("rejected").count() >= 95
+    assert {r.lang_pred for r in found.collect()} <= set(languages.labels)
+
+
+def test_one_language_rejects_too(spark, bigger):
+    model = train_language(bigger.filter("lang = 'en'"), in_training(), per_language=100, epochs=6)
+    assert model.labels == ("en",)
+    rows = [(i, t) for i, t in enumerate(_drawn(string.ascii_letters + string.digits, 300, seed=6))]
+    made = predict_language(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    assert made.filter("rejected").count() >= 95
+    own = bigger.filter("lang = 'en'")
+    assert predict_language(own, model).filter("rejected").count() <= 0.02 * own.count()
+
+
+def test_made_texts():
+    made = {no_language("some text of words", draw / 50) for draw in range(50)}
+    assert len(made) == 50 and all(MADE_LEAST <= len(t) < MADE_MOST for t in made)
+    assert any(set(t) <= set("some text of words") for t in made)
+    assert no_language("a", 0.25) == no_language("a", 0.25)
+    assert no_language("", 0.9)
+
+
 def test_nothing_to_learn(odd, none):
     for docs in (none, odd):
         model = train_language(docs, F.lit(False))
