@@ -722,6 +722,33 @@ def slots_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(spark.read.parquet(f"{base}/out"))
 
 
+@query(
+    "stream_horizon",
+    f"{SCANNED} UNION ALL SELECT part, bucket, line_no, value FROM numbered WHERE part = 'english'",
+)
+def stream_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of a stream that remembers one batch before a restart: the files of the first batch
+    are read again by the third run, those of the second are not."""
+    base = scratch_path(spark, "horizon")
+    docs = document_slots(spark, sf_dir)
+    stream = SlotStream(
+        spark, _files(f"{base}/in"), f"{base}/polls", poll_interval_ms=1, remember_batches=1
+    )
+    lines = stream.lines()
+    for files in (*PARTS_OF_DOCUMENTS, None):
+        if files is not None:
+            part, chosen, packed = files
+            write_document_files(docs.filter(chosen), f"{base}/in/{part}", packed)
+        run = (
+            lines.writeStream.format("parquet")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{base}/out")
+        )
+        run.awaitTermination()
+    return _scanned(spark.read.parquet(f"{base}/out"))
+
+
 def _batches(spark: SparkSession, sf_dir: str) -> str:
     """Two streams, batch by batch with tables; the second goes on from the first one's slots."""
     base = scratch_path(spark, "batches")

@@ -70,8 +70,11 @@ class ListedPartition(InputPartition):
 class PollPartition(InputPartition):
     root: str
     poll: int
+    number: int = 0
+    run: int = 0
 
 
+NUMBERS = ("poll_number", "run_number")
 # The one poll of a listing that is made before it is read.
 LISTED = 1
 
@@ -180,9 +183,11 @@ class PollReader(DataSourceStreamReader):
         most: int | None = None,
         kind: str = "",
         mailbox: str | None = None,
+        with_numbers: bool = False,
     ) -> None:
         self.connector = connector
         self.max_retries = max_retries
+        self.with_numbers = with_numbers
         self.log = PollLog(log_dir)
         self.interval_ms = interval_ms
         self.with_poll = with_poll
@@ -214,7 +219,8 @@ class PollReader(DataSourceStreamReader):
             for root in roots
         }
         if previous is None or any(new for new, _ in found.values()):
-            self.log.write_poll(poll, [root for root, (new, _) in found.items() if new])
+            own = [root for root, (new, _) in found.items() if new]
+            self.log.write_poll(poll, own, first=previous is None)
         return sum(n for n, _ in found.values()), any(cut for _, cut in found.values())
 
     def latestOffset(self) -> dict:
@@ -241,7 +247,8 @@ class PollReader(DataSourceStreamReader):
         roots = self.log.roots(end["poll"])
         if roots is None:
             raise SlotSourceError(f"the log at {self.log.location} does not hold poll {end['poll']}")
-        return [PollPartition(root, end["poll"]) for root in roots]
+        numbers = self.log.numbers(end["poll"])
+        return [PollPartition(root, end["poll"], *numbers) for root in roots]
 
     def read(self, partition: PollPartition) -> Iterator[pa.RecordBatch]:
         poll = datetime.fromtimestamp(partition.poll / 1000, UTC)
@@ -254,6 +261,10 @@ class PollReader(DataSourceStreamReader):
             if self.with_poll:
                 columns.append(pa.array([poll] * rows.num_rows, pa.timestamp("us", "UTC")))
                 named = [*names, "poll"]
+            if self.with_numbers:
+                for number, label in zip((partition.number, partition.run), NUMBERS, strict=True):
+                    columns.append(pa.array([number] * rows.num_rows, pa.int64()))
+                    named = [*named, label]
             yield pa.RecordBatch.from_arrays(columns, names=named)
 
     def commit(self, end: dict) -> None:
@@ -267,7 +278,8 @@ class SlotSource(DataSource):
     fields as options of their own; ``maxRetries`` (3); ``start``, a ``StartRange`` as JSON.  Batch:
     ``onListError`` (``fail`` or ``empty``) and ``pushFilters`` (``false``).  Stream: ``logDir`` (shared folder, required),
     ``pollInterval`` in ms (1000), ``maxSlotsPerTrigger`` and ``withPoll`` (``true`` adds the time of
-    the poll as a column).  A stream sends a name when it appears, and all names again when it is
+    the poll as a column), ``withNumbers`` (``true`` adds ``poll_number`` and ``run_number``, the number
+    of the poll and of the first one of its run, among those that found something or began a run).  A stream sends a name when it appears, and all names again when it is
     restarted; ``SlotStream`` keeps the first of each.  Rows are as the connector refines them.
 
     With ``pushFilters`` and the session's ``spark.sql.python.filterPushdown.enabled``, filters bound the
@@ -282,12 +294,13 @@ class SlotSource(DataSource):
     def name(cls) -> str:
         return FORMAT
 
-    def _with_poll(self) -> bool:
-        return self.options.get("withPoll", "false").lower() == "true"
+    def _with(self, column: str) -> bool:
+        return self.options.get(f"with{column}", "false").lower() == "true"
 
     def schema(self) -> str:
         listed = catalogue_schema(self._kind())
-        return f"{listed}, poll timestamp" if self._with_poll() else listed
+        listed = f"{listed}, poll timestamp" if self._with("Poll") else listed
+        return ", ".join([listed, *(f"{n} long" for n in NUMBERS if self._with("Numbers"))])
 
     def _kind(self) -> type[Connector]:
         kind = self.options.get("connector")
@@ -318,8 +331,8 @@ class SlotSource(DataSource):
         return json.loads(text) if text else None
 
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-        if self._with_poll():
-            raise ValueError("withPoll is for streams")
+        if self._with("Poll") or self._with("Numbers"):
+            raise ValueError("withPoll and withNumbers are for streams")
         on_error = self.options.get("onListError", "fail")
         if on_error not in ("fail", "empty"):
             raise ValueError("onListError must be fail or empty")
@@ -345,11 +358,12 @@ class SlotSource(DataSource):
             self._max_retries(),
             log_dir,
             interval,
-            self._with_poll(),
+            self._with("Poll"),
             self._start(),
             None if most is None else int(most),
             self.options["connector"],
             self.mailbox,
+            self._with("Numbers"),
         )
 
 
@@ -405,8 +419,10 @@ def poll_reader(
     log_dir: str,
     poll_interval_ms: int,
     max_slots: int | None = None,
+    with_numbers: bool = False,
 ) -> DataStreamReader:
     reader = spark.readStream.format(SlotSource.name()).option("withPoll", True)
+    reader = reader.option("withNumbers", with_numbers)
     reader = reader.option("logDir", log_dir).option("pollInterval", poll_interval_ms)
     if max_slots is not None:
         reader = reader.option("maxSlotsPerTrigger", max_slots)

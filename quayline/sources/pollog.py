@@ -52,21 +52,34 @@ class PollLog:
         files, base = self._open()
         return max(self._polls(files, base), default=0)
 
-    def write_poll(self, poll: int, roots: list[str]) -> None:
-        """Enter a poll and the roots below which it found new slots."""
+    def write_poll(self, poll: int, roots: list[str], first: bool = False) -> None:
+        """Enter a poll, the roots below which it found new slots, its number among the polls entered and
+        that of the first poll of its run, which it is itself if ``first``."""
         files, base = self._open()
+        before, run = self.numbers(self.latest())
+        number = before + 1
+        entry = {"roots": roots, "number": number, "run": number if first else run}
         files.create_dir(f"{base}/polls", recursive=True)
         with files.open_output_stream(f"{base}/polls/{poll}.json") as out:
-            out.write(json.dumps({"roots": roots}).encode())
+            out.write(json.dumps(entry).encode())
 
     def roots(self, poll: int) -> list[str] | None:
         """The roots with new slots of a poll; None if the poll is not entered."""
+        entry = self._entry(poll)
+        return None if entry is None else entry["roots"]
+
+    def numbers(self, poll: int) -> tuple[int, int]:
+        """Number of a poll and of the first poll of its run; zeros if it is not entered or has none."""
+        entry = self._entry(poll) or {}
+        return entry.get("number", 0), entry.get("run", 0)
+
+    def _entry(self, poll: int) -> dict | None:
         files, base = self._open()
         path = f"{base}/polls/{poll}.json"
         if files.get_file_info(path).type != fs.FileType.File:
             return None
         with files.open_input_stream(path) as source:
-            return json.loads(source.read())["roots"]
+            return json.loads(source.read())
 
     # Listings
 

@@ -14,7 +14,6 @@ from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
@@ -26,6 +25,7 @@ from quayline.operators.ranges import NAMES_PER_ROW, StartRange, apply_start
 from quayline.sources.base import MAX_RETRIES, Connector
 from quayline.sources.datasource import poll_reader
 from quayline.sources.location import open_location
+from quayline.streaming.horizon import recent_names
 
 log = logging.getLogger(__name__)
 
@@ -42,9 +42,8 @@ class SlotStream:
     the number of roots); what is left over comes with the next ones.
 
     Unless ``remember_batches`` is set, a name is never read twice.  With it, the names of that many
-    batches before a restart are remembered, and all since; a slot of an older batch that is still
-    listed is read again after the restart, and only then.  It needs ``for_each_batch`` with a
-    ``slot_table``, which is where the names are.
+    polls with new slots before a restart are remembered, and all since; a slot of an older batch that
+    is still listed is read again after the restart, and only then (see ``quayline.streaming.horizon``).
     """
 
     spark: SparkSession
@@ -58,7 +57,8 @@ class SlotStream:
     max_slots: int | None = None
 
     def listings(self) -> DataFrame:
-        """Slots as polls find them new: ``name, date, length, poll`` and what the connector adds."""
+        """Slots as polls find them new: ``name, date, length, poll`` and what the connector adds, with
+        ``remember_batches`` also ``poll_number`` and ``run_number``."""
         return poll_reader(
             self.spark,
             self.connector,
@@ -66,18 +66,22 @@ class SlotStream:
             self.log_dir,
             self.poll_interval_ms,
             self.max_slots,
+            self.remember_batches is not None,
         ).load()
 
     def slots(self) -> DataFrame:
-        """New slots, each name once."""
-        if self.remember_batches is not None:
-            raise ValueError("remember_batches needs for_each_batch with a slot_table")
+        """New slots, each name once, or again after a restart if it is no longer remembered."""
         start = self.start
         if start is None or start.seen is None:
-            return apply_start(self.listings(), start).dropDuplicates(["name"])
+            return self._not_read(apply_start(self.listings(), start))
         # Names of a table are compared behind the state, with new names only.
         dated = apply_start(self.listings(), StartRange(start.date, start.names))
-        return apply_start(dated.dropDuplicates(["name"]), StartRange(seen=start.seen))
+        return apply_start(self._not_read(dated), StartRange(seen=start.seen))
+
+    def _not_read(self, listed: DataFrame) -> DataFrame:
+        if self.remember_batches is None:
+            return listed.dropDuplicates(["name"])
+        return recent_names(listed, self.remember_batches)
 
     def lines(self) -> DataFrame:
         """The lines of new slots, for any sink.
@@ -118,20 +122,10 @@ class SlotStream:
         max_date, start`` (the range as JSON), and ``piece, names, n_names``: the names in slot
         order, as many rows as ``range_summary`` would take.
         """
-        if self.remember_batches is not None and slot_table is None:
-            raise ValueError("remember_batches needs a slot_table")
         if report_table is not None and line_table is None:
             raise ValueError("report_table needs a line_table")
-        polled = self.listings() if self.remember_batches is not None else self.slots()
-        if self.remember_batches is not None:
-            polled = apply_start(polled, self.start)
-        first_batch: list[int] = []
 
         def run(selected: DataFrame, batch_id: int) -> None:
-            first_batch.extend([batch_id] if not first_batch else [])
-            if self.remember_batches is not None:
-                horizon = first_batch[0] - self.remember_batches
-                selected = self._not_remembered(selected, slot_table, horizon, batch_id)
             # What was selected is written once; everything after reads it from there.
             place = f"{self.log_dir.rstrip('/')}/selected/batch={batch_id}"
             selected.write.mode("overwrite").parquet(place)
@@ -159,21 +153,7 @@ class SlotStream:
                 files, path = open_location(place)
                 files.delete_dir(path)
 
-        return polled.writeStream.foreachBatch(run)
-
-    def _not_remembered(
-        self, selected: DataFrame, slot_table: str, horizon: int, batch_id: int
-    ) -> DataFrame:
-        """Slots whose names are in no batch from ``horizon`` to before ``batch_id``."""
-        selected = selected.dropDuplicates(["name"])
-        files, path = open_location(slot_table)
-        found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
-        if not any(i.base_name.startswith("batch_id=") for i in found):
-            return selected
-        seen = self.spark.read.parquet(slot_table).filter(
-            (F.col("batch_id") >= horizon) & (F.col("batch_id") < batch_id)
-        )
-        return selected.join(seen.select("name"), "name", "left_anti").select(*selected.columns)
+        return self.slots().writeStream.foreachBatch(run)
 
     def _report(self, slots: DataFrame, lines: DataFrame) -> DataFrame:
         totals = slots.agg(

@@ -137,7 +137,7 @@ def poll_in_tasks(
     found = placed.mapInArrow(look, "root string, new long, cut boolean").filter("new > 0").collect()
     new = sum(r["new"] for r in found)
     if new or previous is None:
-        polls.write_poll(poll, sorted(r["root"] for r in found))
+        polls.write_poll(poll, sorted(r["root"] for r in found), first=previous is None)
     return new, any(r["cut"] for r in found)
 
 

@@ -413,8 +413,65 @@ def test_remembered_batches(spark, folder):
     folder.put("e.txt")
     run([])
     assert sorted(read[4]) == sorted([f"{r.name}.txt" for r in again.collect()] + ["e.txt"])
-    with pytest.raises(ValueError, match="slot_table"):
-        SlotStream(spark, FilesConnector("/x"), "/y", remember_batches=1).lines()
+
+
+def test_remembered_in_state(spark, folder):
+    """No table is needed: ``lines()`` remembers too, restarts after restart."""
+    base = folder.path.parent
+    stream = SlotStream(
+        spark, FilesConnector(str(folder.path)), str(base / "polls"), poll_interval_ms=1,
+        remember_batches=1,
+    )
+    seen = []
+    for step in ("a.txt", "b.txt", None, "c.txt", None):
+        if step:
+            folder.put(step)
+        query = (
+            stream.lines().writeStream.format("parquet")
+            .option("checkpointLocation", str(base / "checkpoint"))
+            .trigger(availableNow=True).start(str(base / "out"))
+        )
+        query.awaitTermination()
+        lines = spark.read.parquet(str(base / "out"))
+        seen.append({r["slot"]: r["count"] // 5 for r in lines.groupBy("slot").count().collect()})
+    # Read at polls 1 and 2; a again at 3, b at 4 (with c), a at 5: the last run's names are known.
+    assert seen == [
+        {"a.txt": 1},
+        {"a.txt": 1, "b.txt": 1},
+        {"a.txt": 2, "b.txt": 1},
+        {"a.txt": 2, "b.txt": 2, "c.txt": 1},
+        {"a.txt": 3, "b.txt": 2, "c.txt": 1},
+    ]
+
+
+def test_rows_pass_the_state_whole(spark, tmp_path):
+    """Dates to the microsecond and beyond nanosecond years, long numbers, nulls and odd names."""
+    from datetime import datetime
+
+    from quayline.streaming.horizon import recent_names
+
+    schema = (
+        "name string, date timestamp_ntz, length long, poll timestamp, `own.tags` array<string>, "
+        "poll_number long, run_number long"
+    )
+    poll = datetime(2024, 1, 2, 3, 4, 5, 678901)
+    rows = [
+        ('q"uo\\te\n.txt', datetime(2016, 12, 1, 1, 2, 3, 456789), 2**62 + 1, poll, ["x", None], 1, 1),
+        ("far", datetime(9999, 12, 31, 23, 59, 59, 999999), None, poll, None, 1, 1),
+        ("early", datetime(1, 1, 1), 0, None, [], 1, 1),
+        ("none", None, None, None, None, 1, 1),
+        ("none", None, None, None, None, 1, 1),
+    ]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    listed = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    query = (
+        recent_names(listed, 2).writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True).start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    found = spark.read.schema(recent_names(listed, 2).schema).parquet(str(tmp_path / "out")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted({str(r[:5]): r[:5] for r in rows}.values(), key=str)
 
 
 def test_format(spark, folder):
