@@ -247,7 +247,7 @@ class PollReader(DataSourceStreamReader):
         roots = self.log.roots(end["poll"])
         if roots is None:
             raise SlotSourceError(f"the log at {self.log.location} does not hold poll {end['poll']}")
-        numbers = self.log.numbers(end["poll"])
+        numbers = self.log.number(start["poll"], end["poll"]) if self.with_numbers else (0, 0)
         return [PollPartition(root, end["poll"], *numbers) for root in roots]
 
     def read(self, partition: PollPartition) -> Iterator[pa.RecordBatch]:
@@ -279,7 +279,7 @@ class SlotSource(DataSource):
     ``onListError`` (``fail`` or ``empty``) and ``pushFilters`` (``false``).  Stream: ``logDir`` (shared folder, required),
     ``pollInterval`` in ms (1000), ``maxSlotsPerTrigger`` and ``withPoll`` (``true`` adds the time of
     the poll as a column), ``withNumbers`` (``true`` adds ``poll_number`` and ``run_number``, the number
-    of the poll and of the first one of its run, among those that found something or began a run).  A stream sends a name when it appears, and all names again when it is
+    of the poll's batch and of the first batch of its run).  A stream sends a name when it appears, and all names again when it is
     restarted; ``SlotStream`` keeps the first of each.  Rows are as the connector refines them.
 
     With ``pushFilters`` and the session's ``spark.sql.python.filterPushdown.enabled``, filters bound the

@@ -44,8 +44,8 @@ class PollLog:
 
     # Polls and the roots they found new slots below
 
-    def _polls(self, files: fs.FileSystem, base: str) -> list[int]:
-        found = files.get_file_info(fs.FileSelector(f"{base}/polls", allow_not_found=True))
+    def _polls(self, files: fs.FileSystem, base: str, kind: str = "polls") -> list[int]:
+        found = files.get_file_info(fs.FileSelector(f"{base}/{kind}", allow_not_found=True))
         return [int(i.base_name[:-5]) for i in found if i.base_name.endswith(".json")]
 
     def latest(self) -> int:
@@ -53,29 +53,38 @@ class PollLog:
         return max(self._polls(files, base), default=0)
 
     def write_poll(self, poll: int, roots: list[str], first: bool = False) -> None:
-        """Enter a poll, the roots below which it found new slots, its number among the polls entered and
-        that of the first poll of its run, which it is itself if ``first``."""
+        """Enter a poll, the roots below which it found new slots, and whether it is the ``first`` one of a
+        run."""
         files, base = self._open()
-        before, run = self.numbers(self.latest())
-        number = before + 1
-        entry = {"roots": roots, "number": number, "run": number if first else run}
         files.create_dir(f"{base}/polls", recursive=True)
         with files.open_output_stream(f"{base}/polls/{poll}.json") as out:
-            out.write(json.dumps(entry).encode())
+            out.write(json.dumps({"roots": roots, "first": first}).encode())
 
     def roots(self, poll: int) -> list[str] | None:
         """The roots with new slots of a poll; None if the poll is not entered."""
-        entry = self._entry(poll)
+        entry = self._entry("polls", poll)
         return None if entry is None else entry["roots"]
 
-    def numbers(self, poll: int) -> tuple[int, int]:
-        """Number of a poll and of the first poll of its run; zeros if it is not entered or has none."""
-        entry = self._entry(poll) or {}
+    def number(self, previous: int, poll: int) -> tuple[int, int]:
+        """Number of the batch of a poll, which follows that of the poll ``previous``, and of the first
+        batch of its run.  Only batches count: a poll for a query that was stopped meanwhile has none.
+        A batch that is repeated has the number it had."""
+        before, run = self._numbers(previous)
+        own = before + 1
+        run = own if (self._entry("polls", poll) or {}).get("first") else run
+        files, base = self._open()
+        files.create_dir(f"{base}/numbers", recursive=True)
+        with files.open_output_stream(f"{base}/numbers/{poll}.json") as out:
+            out.write(json.dumps({"number": own, "run": run}).encode())
+        return own, run
+
+    def _numbers(self, poll: int) -> tuple[int, int]:
+        entry = self._entry("numbers", poll) or {}
         return entry.get("number", 0), entry.get("run", 0)
 
-    def _entry(self, poll: int) -> dict | None:
+    def _entry(self, kind: str, poll: int) -> dict | None:
         files, base = self._open()
-        path = f"{base}/polls/{poll}.json"
+        path = f"{base}/{kind}/{poll}.json"
         if files.get_file_info(path).type != fs.FileType.File:
             return None
         with files.open_input_stream(path) as source:
@@ -146,9 +155,10 @@ class PollLog:
         """Drop polls before ``poll``, whose batches are committed.  Their listings go when the next one
         of their root is written."""
         files, base = self._open()
-        for old in self._polls(files, base):
-            if old < poll:
-                files.delete_file(f"{base}/polls/{old}.json")
+        for kind in ("polls", "numbers"):
+            for old in self._polls(files, base, kind):
+                if old < poll:
+                    files.delete_file(f"{base}/{kind}/{old}.json")
 
     def _forget_versions(self, root: str, previous: int) -> None:
         """Drop listings older than the one that was valid at ``previous``."""

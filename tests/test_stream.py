@@ -444,6 +444,21 @@ def test_remembered_in_state(spark, folder):
     ]
 
 
+def test_only_batches_have_numbers(tmp_path):
+    """A poll that never became a batch moves no number; a repeated batch keeps its own."""
+    log = PollLog(str(tmp_path))
+    log.write_poll(10, [""], first=True)
+    assert log.number(0, 10) == (1, 1)
+    log.write_poll(20, [""])
+    assert log.number(10, 20) == (2, 1)
+    log.write_poll(30, [""])  # asked for by a query that was then stopped
+    log.write_poll(40, [""], first=True)
+    assert log.number(20, 40) == (3, 3) == log.number(20, 40)
+    log.forget_before(40)
+    log.write_poll(50, [""])
+    assert log.number(40, 50) == (4, 3)
+
+
 def test_rows_pass_the_state_whole(spark, tmp_path):
     """Dates to the microsecond and beyond nanosecond years, long numbers, nulls and odd names."""
     from datetime import datetime
