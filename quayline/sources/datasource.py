@@ -38,6 +38,8 @@ from quayline.streaming.watch import Mailbox, watch
 log = logging.getLogger(__name__)
 
 FORMAT = "slots"
+# What a session must set for Spark to hand filters to a reader.
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
 def accepted(batch: pa.RecordBatch, start: dict | None) -> pa.RecordBatch:
@@ -95,7 +97,6 @@ class CatalogueReader(DataSourceReader):
         start: dict | None,
         kind: str = "",
         mailbox: str | None = None,
-        push: bool = True,
     ) -> None:
         self.connector = connector
         self.max_retries = max_retries
@@ -103,14 +104,11 @@ class CatalogueReader(DataSourceReader):
         self.start = start
         self.kind = kind
         self.mailbox = mailbox
-        self.push = push
         self.wanted = Wanted()
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Filters bound what is listed, if that was asked for.  Spark applies them all the same: bounds
-        may be wider."""
-        if self.push:
-            self.wanted = wanted_by(filters)
+        """Filters bound what is listed.  Spark applies them all the same: bounds may be wider."""
+        self.wanted = wanted_by(filters)
         yield from filters
 
     def _ask(self, log_dir: str | None) -> dict:
@@ -163,6 +161,12 @@ class CatalogueReader(DataSourceReader):
                 yield accepted(page, self.start)
 
 
+class UnboundedReader(CatalogueReader):
+    """Takes no filters.  Spark refuses a reader that does unless ``PUSHDOWN`` is set."""
+
+    pushFilters = DataSourceReader.pushFilters
+
+
 class PollReader(DataSourceStreamReader):
     """Offsets are polls, by time in milliseconds.
 
@@ -336,14 +340,14 @@ class SlotSource(DataSource):
         on_error = self.options.get("onListError", "fail")
         if on_error not in ("fail", "empty"):
             raise ValueError("onListError must be fail or empty")
-        return CatalogueReader(
+        push = self.options.get("pushFilters", "false").lower() == "true"
+        return (CatalogueReader if push else UnboundedReader)(
             self._connector(),
             self._max_retries(),
             on_error,
             self._start(),
             self.options["connector"],
             self.mailbox,
-            self.options.get("pushFilters", "false").lower() == "true",
         )
 
     def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: ANN001

@@ -137,6 +137,26 @@ def test_a_loaded_catalogue_may_be_used_again(spark, folder):
     assert once.filter("name like 'd3%'").count() == 1
 
 
+@pytest.fixture
+def no_pushdown(spark):
+    """The session as Spark makes it: a reader that takes filters is refused."""
+    key = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_format_in_a_plain_session(spark, folder, no_pushdown):
+    for name in ("a/1", "b/2"):
+        folder.put(name)
+    register_sources(spark)
+    reader = spark.read.format("slots").option("connector", "files").option("path", str(folder.path))
+    once = reader.options(recursive="true").load()
+    assert [r.name for r in once.filter("name < 'b'").collect()] == ["a/1"]
+    assert once.count() == 2
+
+
 def test_types_and_dates_of_names(spark, folder):
     for name in ("dcm_account1_click_2016092602_x", "dcm_account1_activity_20160927_x", "other",
                  "dcm_account2_click_2016102602_x"):
