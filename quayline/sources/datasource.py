@@ -410,7 +410,12 @@ def _registered(spark: SparkSession, connector: Connector) -> str:
 def listing_reader(
     spark: SparkSession, connector: Connector, max_retries: int, on_list_error: str
 ) -> DataFrameReader:
-    """A reader of the catalogue whose filters bound the listing; each load is for one query."""
+    """A reader of the catalogue whose filters bound the listing; each load is for one query.
+
+    The session gets the setting without which Spark refuses such readers, whichever source they are
+    of, so that no query that worked before changes.
+    """
+    spark.conf.set(PUSHDOWN, "true")
     reader = spark.read.format(SlotSource.name()).option("connector", _registered(spark, connector))
     reader = reader.option("parameters", connector.to_json()).option("maxRetries", max_retries)
     return reader.option("onListError", on_list_error).option("pushFilters", True)
