@@ -35,6 +35,10 @@ LINE_KEYS = ("slot", "slot_date", "line_no")
 # A batch leaves the task when it holds this many lines or characters.
 LINES_PER_BATCH = 50_000
 CHARS_PER_BATCH = 4 << 20
+# Bytes in which the end of a line is looked for first; each further look takes so many times more.
+LOOK_BYTES, LOOK_GROWTH = 16 << 10, 8
+# Tasks per core that count the lines of ranges.
+COUNT_TASKS = 32
 # Slots that are looked at before all of a catalogue are numbered, and tasks that look side by side.
 PEEK_SLOTS, PEEK_TASKS = 256, 256
 
@@ -346,6 +350,19 @@ def split_slots(
     return stored(cut.withColumn("stop", stop).drop("_size"), "ranges")
 
 
+def _looking(fetcher: Fetcher, name: str, start: int, stop: int | None) -> Iterator[bytes]:
+    """Content from ``start`` for one who will soon stop reading: in fetches that grow."""
+    step = LOOK_BYTES
+    while stop is None or start < stop:
+        end = start + step if stop is None else min(start + step, stop)
+        for chunk in fetcher.chunks(name, start, end):
+            start += len(chunk)
+            yield chunk
+        if start < end:
+            return
+        step *= LOOK_GROWTH
+
+
 def _range_blocks(
     fetcher: Fetcher, name: str, cut: tuple[int | None, int | None, str | None], charset: str
 ) -> Iterator[str]:
@@ -362,12 +379,13 @@ def _range_blocks(
         ordered, _ = ordered_charset(charset, b"".join(fetcher.chunks(name, 0, width)))
     if start:
         charset = ordered
-        first = next_line_start(fetcher.chunks(name, start - width, stop), start - width, ordered)
+        before = start - width
+        first = next_line_start(_looking(fetcher, name, before, stop), before, ordered)
     # A carriage return that ends the range may be half a line end: then no line starts in it.
     if stop is None or first < stop:
         last = None
         if stop is not None:
-            last = next_line_start(fetcher.chunks(name, stop - width), stop - width, ordered)
+            last = next_line_start(_looking(fetcher, name, stop - width, None), stop - width, ordered)
         if last is None or first < last:
             yield from iter_blocks(fetcher.chunks(name, first, last), charset, packed=False)
     fetcher.unchanged(name, version)
@@ -382,8 +400,8 @@ def number_ranges(
 ) -> DataFrame:
     """Add ``first_line``, the number of lines in earlier ranges of the slot.
 
-    Reads the split slots once more, one range per task, to count their lines; the counts are stored.
-    ``ranges`` are indexed; ``count`` saves counting them.
+    Reads the split slots once more to count their lines, in at most ``COUNT_TASKS`` tasks per core, each
+    for consecutive ranges; the counts are stored.  ``ranges`` are indexed; ``count`` saves counting them.
     """
     # Any charset of single bytes counts the same lines; this one is fastest.
     counted = charset if unit_width(charset) > 1 else "latin-1"
@@ -404,8 +422,9 @@ def number_ranges(
                 )
 
     cut = ranges.filter("start IS NOT NULL").select("slot_index", "name", "start", "stop", "version")
+    most = COUNT_TASKS * cut.sparkSession.sparkContext.defaultParallelism
     counts = stored(
-        one_slot_per_partition(cut, count=count).mapInArrow(
+        one_slot_per_partition(cut, max_partitions=most, count=count).mapInArrow(
             count_lines, "slot_index long, name string, lines long"
         ),
         "counts",

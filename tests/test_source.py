@@ -31,6 +31,7 @@ from quayline import (
     text_lines,
     write_lines,
 )
+from quayline.operators import payload
 from quayline.operators.payload import fetch_lines
 from flaky import FlakyFiles
 from quayline.sources.files import FilesConnector
@@ -156,6 +157,26 @@ def test_ranges_of_wide_units(spark, folder, charset):
     assert {r.value for r in rows} == set(long)
 
 
+def test_lines_of_ranges_are_counted_by_few_tasks(spark, folder, monkeypatch):
+    long = [f"line {i}" for i in range(2000)]
+    folder.put("a.txt", long)
+    folder.put("b.txt", long[:700])
+    connector = FilesConnector(str(folder.path))
+    placed, place = [], payload.one_slot_per_partition
+
+    def spy(*args, **kwargs):
+        placed.append(place(*args, **kwargs))
+        return placed[-1]
+
+    monkeypatch.setattr(payload, "one_slot_per_partition", spy)
+    monkeypatch.setattr(payload, "COUNT_TASKS", 2)
+    split = read_lines(spark, connector, split_bytes=300)
+    counted, fetched = (p.rdd.getNumPartitions() for p in placed)
+    assert counted <= 2 * spark.sparkContext.defaultParallelism < fetched
+    rows = [(r.slot, r.line_no, r.value) for r in split.collect()]
+    assert rows == [(s, i, v) for s, n in (("a.txt", 2000), ("b.txt", 700)) for i, v in enumerate(long[:n])]
+
+
 def test_nested_folders(spark, folder):
     for name in ("top.txt", "a/1.txt", "a/x/2.txt", "a/x/deep/3.txt", "b/y/4.txt", "_no/5.txt"):
         folder.put(name)

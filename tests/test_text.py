@@ -17,6 +17,7 @@ from quayline.functions.text import (
     split_lines,
     unit_width,
 )
+from quayline.operators import payload
 from quayline.operators.payload import _range_blocks
 
 EDGES = {
@@ -129,6 +130,32 @@ def test_ranges_of_wide_units(text, size, units, charset, low_first, marked):
     assert [line for part in parts for line in part] == model(text)
 
 
+@given(TEXTS, st.integers(1, 20), st.integers(1, 9))
+def test_line_ends_are_looked_for_in_small_steps(text, width, size):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(payload, "LOOK_BYTES", 2)
+        patch.setattr(payload, "LOOK_GROWTH", 2)
+        test_ranges_cover_each_line_once.hypothesis.inner_test(text, width, size)
+
+
+def test_a_range_reads_little_beyond_itself():
+    data = b"some line\n" * 1_000_000
+    asked = []
+
+    class Source:
+        def chunks(self, name, start=0, stop=None):
+            part = data[start:stop]
+            asked.append(len(part))
+            return iter([part] if part else [])
+
+        def unchanged(self, name, version):
+            pass
+
+    lines = lines_in(_range_blocks(Source(), "s", (300_000, 600_000, None), "UTF-8"))
+    assert lines == ["some line"] * 30_000
+    assert sum(asked) < 300_000 + 3 * payload.LOOK_BYTES
+
+
 @given(TEXTS, st.integers(1, 5))
 def test_next_line_start(text, size):
     data = text.encode()
