@@ -20,6 +20,8 @@ from quayline.session import shared_dir
 BROADCAST_ROWS = 200_000
 # Slots of a run, the unit in which bytes before a slot are summed.
 RUN_SLOTS = 4096
+# Partitions that one shuffle deals out, and shuffled stretches of more partitions than that.
+LISTED_PARTITIONS, STRETCHES = 2000, 2000
 
 
 def slot_order(columns: Sequence[str]) -> list[Column]:
@@ -106,9 +108,43 @@ def one_slot_per_partition(
     pack = slots_per_partition
     if max_partitions is not None:
         pack = max(pack, math.ceil(count / max_partitions))
-    target = F.floor(F.col("slot_index") / pack).cast("int")
-    placed = indexed.repartitionById(max(1, math.ceil(count / pack)), target)
-    return placed if pack == 1 else placed.sortWithinPartitions("slot_index")
+    # A checkpoint, because a task with a sort returns the counters of all steps before it.
+    shared_dir(slots.sparkSession)
+    placed = indexed.withColumn("_target", F.expr(f"slot_index div {pack}")).checkpoint()
+    spread = _placed(placed, max(1, math.ceil(count / pack)))
+    return spread if pack == 1 else spread.sortWithinPartitions("slot_index")
+
+
+def _placed(slots: DataFrame, count: int) -> DataFrame:
+    """Checkpointed slots in ``count`` partitions by ``_target``, which is dropped.
+
+    Spark sends every task of a shuffle the list of its partitions, so that many partitions cost time
+    that grows with the square of their number.  Beyond ``LISTED_PARTITIONS`` slots are dealt out to
+    stretches of so many consecutive partitions, and the product of the stretches with the places of a
+    stretch has one partition for every place: a task reads its stretch and keeps what is its own.
+    """
+    target = F.col("_target")
+    if count <= LISTED_PARTITIONS:
+        return slots.repartitionById(count, target.cast("int")).drop("_target")
+    # A width that divides the number saves a second shuffle, whose counters every task would return.
+    least = math.ceil(count / max(STRETCHES, math.isqrt(count)))
+    width = next((w for w in range(least, 4 * least) if count % w == 0), least)
+    stretches = count // width
+    whole = stretches * width
+    # No slot is left out, should there be more than were counted.
+    slots = slots.withColumn("_target", F.least(target, F.lit(count - 1)))
+    dealt = slots.filter(target < whole).repartitionById(
+        stretches, F.expr(f"cast(_target div {width} as int)")
+    )
+    places = slots.sparkSession.range(0, width, 1, width).select()
+    # Partition i of the product is place i % width of stretch i div width.  Its number is a column first:
+    # in a filter it holds only where Spark makes code of whole stages.
+    product = dealt.hint("shuffle_replicate_nl").crossJoin(places)
+    own = product.withColumn("_here", F.spark_partition_id()).filter("_target = _here").drop("_here")
+    if whole < count:
+        rest = slots.filter(target >= whole)
+        own = own.union(rest.repartitionById(count - whole, (target - whole).cast("int")))
+    return own.drop("_target")
 
 
 def _packed_by_bytes(indexed: DataFrame, partition_bytes: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pandas as pd
@@ -26,6 +27,7 @@ from quayline import (
     replayed_slots,
     resume_range,
 )
+from quayline.operators import ordering
 
 SCHEMA = "name string, date timestamp"
 
@@ -287,3 +289,37 @@ def test_packing_is_asked_for(spark):
     assert sum(lengths) == 300 and max(lengths) <= 11
     with pytest.raises(ValueError, match="greater than 0"):
         one_slot_per_partition(slots, slots_per_partition=0)
+
+
+def lists(placed) -> list[int]:
+    """Partitions of the shuffles that deal slots out."""
+    plan = placed._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    found = re.findall(r"Exchange (?:SinglePartition|.*, (\d+)\)), REPARTITION_BY_NUM", plan)
+    return [int(n or 1) for n in found]
+
+
+@pytest.mark.parametrize(
+    ("count", "codegen"), [(1, "true"), (20, "true"), (21, "true"), (53, "false"), (60, "true")]
+)
+def test_many_partitions_are_dealt_out_in_short_lists(spark, monkeypatch, count, codegen):
+    monkeypatch.setattr(ordering, "LISTED_PARTITIONS", 20, raising=False)
+    monkeypatch.setattr(ordering, "STRETCHES", 12, raising=False)
+    slots = spark.range(count).select(F.format_string("s%03d", "id").alias("name"))
+    spark.conf.set("spark.sql.codegen.wholeStage", codegen)
+    try:
+        placed = one_slot_per_partition(slots)
+        assert max(lists(placed)) <= 20
+        assert placed.rdd.getNumPartitions() == count and placed.columns == ["name", "slot_index"]
+        rows = placed.select("name", F.spark_partition_id().alias("p")).collect()
+        assert sorted((r.p, r.name) for r in rows) == [(i, f"s{i:03d}") for i in range(count)]
+    finally:
+        spark.conf.unset("spark.sql.codegen.wholeStage")
+
+
+def test_more_slots_than_counted_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "LISTED_PARTITIONS", 20, raising=False)
+    monkeypatch.setattr(ordering, "STRETCHES", 12, raising=False)
+    slots = spark.range(70).select(F.col("id").cast("string").alias("name"))
+    for count in (53, 60):
+        placed = one_slot_per_partition(slots, count=count)
+        assert placed.rdd.getNumPartitions() == count and placed.count() == 70
