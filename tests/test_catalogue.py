@@ -323,3 +323,13 @@ def test_more_slots_than_counted_are_kept(spark, monkeypatch):
     for count in (53, 60):
         placed = one_slot_per_partition(slots, count=count)
         assert placed.rdd.getNumPartitions() == count and placed.count() == 70
+
+
+def test_many_packed_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "LISTED_PARTITIONS", 20, raising=False)
+    monkeypatch.setattr(ordering, "STRETCHES", 6, raising=False)
+    slots = spark.range(200).select(F.format_string("s%03d", "id").alias("name"))
+    packed = one_slot_per_partition(slots, slots_per_partition=7)
+    assert max(lists(packed)) <= 20
+    runs = packed.rdd.glom().map(lambda part: [r.name for r in part]).collect()
+    assert runs == [[f"s{i:03d}" for i in range(a, min(a + 7, 200))] for a in range(0, 200, 7)]
