@@ -166,8 +166,9 @@ def _packed_by_bytes(indexed: DataFrame, partition_bytes: int) -> DataFrame:
     within = Window.partitionBy("_run").orderBy("slot_index").rowsBetween(*earlier)
     placed = sized.withColumn("_before", F.coalesce(F.sum("_bytes").over(within), F.lit(0)))
     placed = placed.join(offsets, F.col("_run") == F.col("_of")).withColumn(
-        "_target", F.floor((F.col("_offset") + F.col("_before")) / partition_bytes).cast("int")
+        "_target", F.expr(f"(_offset + _before) div {partition_bytes}")
     )
+    shared_dir(indexed.sparkSession)
+    placed = placed.select(*indexed.columns, "_target").checkpoint()
     last = placed.agg(F.max("_target")).first()[0]
-    spread = placed.repartitionById(1 if last is None else last + 1, "_target")
-    return spread.select(*indexed.columns).sortWithinPartitions("slot_index")
+    return _placed(placed, 1 if last is None else last + 1).sortWithinPartitions("slot_index")

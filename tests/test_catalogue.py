@@ -333,3 +333,17 @@ def test_many_packed_partitions(spark, monkeypatch):
     assert max(lists(packed)) <= 20
     runs = packed.rdd.glom().map(lambda part: [r.name for r in part]).collect()
     assert runs == [[f"s{i:03d}" for i in range(a, min(a + 7, 200))] for a in range(0, 200, 7)]
+
+
+def test_partitions_by_bytes_send_few_counters(spark, monkeypatch):
+    """A sort takes the plan below it along to every task, and its counters come back."""
+    monkeypatch.setattr(ordering, "LISTED_PARTITIONS", 20, raising=False)
+    monkeypatch.setattr(ordering, "STRETCHES", 6, raising=False)
+    slots = spark.range(200).selectExpr("format_string('s%03d', id) AS name", "id AS length")
+    packed = one_slot_per_partition(slots, partition_bytes=300)
+    plan = packed._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    assert "Window" not in plan and "Aggregate" not in plan and max(lists(packed)) <= 20
+    found = {r.name: r.p for r in packed.select("name", F.spark_partition_id().alias("p")).collect()}
+    assert found == {f"s{i:03d}": i * (i - 1) // 2 // 300 for i in range(200)}
+    runs = [r for r in packed.rdd.glom().map(lambda part: [x.name for x in part]).collect() if r]
+    assert all(r == sorted(r) for r in runs)
