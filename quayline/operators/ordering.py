@@ -22,6 +22,8 @@ BROADCAST_ROWS = 200_000
 RUN_SLOTS = 4096
 # Partitions that one shuffle deals out, and shuffled stretches of more partitions than that.
 LISTED_PARTITIONS, STRETCHES = 2000, 2000
+# Partitions whose tasks may read a shuffle and return its counters.
+COUNTED_PARTITIONS = 20_000
 
 
 def slot_order(columns: Sequence[str]) -> list[Column]:
@@ -111,22 +113,40 @@ def one_slot_per_partition(
     # A checkpoint, because a task with a sort returns the counters of all steps before it.
     shared_dir(slots.sparkSession)
     placed = indexed.withColumn("_target", F.expr(f"slot_index div {pack}")).checkpoint()
-    spread = _placed(placed, max(1, math.ceil(count / pack)))
-    return spread if pack == 1 else spread.sortWithinPartitions("slot_index")
+    return _placed(placed, max(1, math.ceil(count / pack)), pack > 1)
 
 
-def _placed(slots: DataFrame, count: int) -> DataFrame:
-    """Checkpointed slots in ``count`` partitions by ``_target``, which is dropped.
+def _placed(slots: DataFrame, count: int, packed: bool) -> DataFrame:
+    """Checkpointed slots in ``count`` partitions by ``_target``, which is dropped; ``packed`` ones in order.
 
     Spark sends every task of a shuffle the list of its partitions, so that many partitions cost time
     that grows with the square of their number.  Beyond ``LISTED_PARTITIONS`` slots are dealt out to
     stretches of so many consecutive partitions, and the product of the stretches with the places of a
     stretch has one partition for every place: a task reads its stretch and keeps what is its own.
+
+    A task that reads a shuffle or sorts returns the counters of both, which the driver adds up one
+    task after the other.  Beyond ``COUNTED_PARTITIONS`` the stretches are checkpointed in order first.
     """
     target = F.col("_target")
+    cut = count > COUNTED_PARTITIONS
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.sortWithinPartitions("slot_index") if packed else df
+
+    def own(stretches: DataFrame, width: int, first: int) -> DataFrame:
+        """Each stretch ``width`` times, partition i of the product being place i % width of stretch
+        i div width, and of it what belongs there."""
+        if cut:
+            stretches = in_order(stretches).checkpoint()
+        places = slots.sparkSession.range(0, width, 1, width).select()
+        product = stretches.hint("shuffle_replicate_nl").crossJoin(places)
+        # Its number is a column first: in a filter it holds only where Spark makes code of whole stages.
+        here = product.withColumn("_here", F.spark_partition_id() + F.lit(first))
+        return here.filter("_target = _here").drop("_here")
+
     if count <= LISTED_PARTITIONS:
-        return slots.repartitionById(count, target.cast("int")).drop("_target")
-    # A width that divides the number saves a second shuffle, whose counters every task would return.
+        return in_order(slots.repartitionById(count, target.cast("int")).drop("_target"))
+    # A width that divides the number saves a second product, whose counters every task would return.
     least = math.ceil(count / max(STRETCHES, math.isqrt(count)))
     width = next((w for w in range(least, 4 * least) if count % w == 0), least)
     stretches = count // width
@@ -136,15 +156,12 @@ def _placed(slots: DataFrame, count: int) -> DataFrame:
     dealt = slots.filter(target < whole).repartitionById(
         stretches, F.expr(f"cast(_target div {width} as int)")
     )
-    places = slots.sparkSession.range(0, width, 1, width).select()
-    # Partition i of the product is place i % width of stretch i div width.  Its number is a column first:
-    # in a filter it holds only where Spark makes code of whole stages.
-    product = dealt.hint("shuffle_replicate_nl").crossJoin(places)
-    own = product.withColumn("_here", F.spark_partition_id()).filter("_target = _here").drop("_here")
+    spread = own(dealt, width, 0)
     if whole < count:
-        rest = slots.filter(target >= whole)
-        own = own.union(rest.repartitionById(count - whole, (target - whole).cast("int")))
-    return own.drop("_target")
+        rest = slots.filter(target >= whole).repartitionById(1, F.lit(0))
+        spread = spread.union(own(rest, count - whole, whole))
+    spread = spread.drop("_target")
+    return spread if cut else in_order(spread)
 
 
 def _packed_by_bytes(indexed: DataFrame, partition_bytes: int) -> DataFrame:
@@ -171,4 +188,4 @@ def _packed_by_bytes(indexed: DataFrame, partition_bytes: int) -> DataFrame:
     shared_dir(indexed.sparkSession)
     placed = placed.select(*indexed.columns, "_target").checkpoint()
     last = placed.agg(F.max("_target")).first()[0]
-    return _placed(placed, 1 if last is None else last + 1).sortWithinPartitions("slot_index")
+    return _placed(placed, 1 if last is None else last + 1, True)

@@ -25,6 +25,8 @@ def build_session(app: str = "quayline", master: str | None = None, **conf: str)
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Minutes.  Where a checkpointed partition lies is asked once, not for every task that reads it.
+        "spark.rdd.checkpoint.cachePreferredLocsExpireTime": "60",
         "spark.redaction.regex": "(?i)secret|password|token|access[.]?key|parameters",
         "spark.sql.redaction.options.regex": "(?i)url|secret|password|token|parameters",
     }

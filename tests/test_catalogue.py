@@ -347,3 +347,31 @@ def test_partitions_by_bytes_send_few_counters(spark, monkeypatch):
     assert found == {f"s{i:03d}": i * (i - 1) // 2 // 300 for i in range(200)}
     runs = [r for r in packed.rdd.glom().map(lambda part: [x.name for x in part]).collect() if r]
     assert all(r == sorted(r) for r in runs)
+
+
+@pytest.mark.parametrize(("count", "pack"), [(60, 1), (53, 1), (200, 7), (60, 2), (106, 2)])
+def test_very_many_partitions_read_no_shuffle(spark, monkeypatch, count, pack):
+    """Counters of a shuffle and of a sort would come back from every task."""
+    for name, value in {"LISTED_PARTITIONS": 20, "COUNTED_PARTITIONS": 20, "STRETCHES": 6}.items():
+        monkeypatch.setattr(ordering, name, value, raising=False)
+    slots = spark.range(count).select(F.format_string("s%03d", "id").alias("name"))
+    placed = one_slot_per_partition(slots, slots_per_partition=pack)
+    plan = placed._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    assert "Exchange" not in plan and "Sort" not in plan and placed.columns == ["name", "slot_index"]
+    runs = placed.rdd.glom().map(lambda part: [r.name for r in part]).collect()
+    expected = [f"s{i:03d}" for i in range(count)]
+    assert runs == [expected[a : a + pack] for a in range(0, count, pack)]
+    more = one_slot_per_partition(slots, count=count - 5)
+    assert more.rdd.getNumPartitions() == count - 5 and more.count() == count
+
+
+def test_very_many_partitions_by_bytes(spark, monkeypatch):
+    for name, value in {"LISTED_PARTITIONS": 20, "COUNTED_PARTITIONS": 20, "STRETCHES": 6}.items():
+        monkeypatch.setattr(ordering, name, value, raising=False)
+    slots = spark.range(200).selectExpr("format_string('s%03d', id) AS name", "id AS length")
+    packed = one_slot_per_partition(slots, partition_bytes=300)
+    plan = packed._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    assert "Exchange" not in plan and "Sort" not in plan
+    parts = packed.rdd.glom().map(lambda part: [r.name for r in part]).collect()
+    found = [(p, name) for p, part in enumerate(parts) for name in part]
+    assert found == [(i * (i - 1) // 2 // 300, f"s{i:03d}") for i in range(200)]
