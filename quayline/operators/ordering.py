@@ -9,12 +9,12 @@ per partition and group.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayline.session import shared_dir
+from quayline.session import scratch_path, shared_dir, stored
 
 # Offsets are broadcast up to this many rows (about 10 MB) and joined by shuffle beyond it.
 BROADCAST_ROWS = 200_000
@@ -24,6 +24,8 @@ RUN_SLOTS = 4096
 LISTED_PARTITIONS, STRETCHES = 2000, 2000
 # Partitions whose tasks may read a shuffle and return its counters.
 COUNTED_PARTITIONS = 20_000
+# Partitions whose tasks the driver has in hand at a time.
+STEP_PARTITIONS = 50_000
 
 
 def slot_order(columns: Sequence[str]) -> list[Column]:
@@ -116,6 +118,38 @@ def one_slot_per_partition(
     return _placed(placed, max(1, math.ceil(count / pack)), pack > 1)
 
 
+def rows_of_partitions(
+    slots: DataFrame,
+    rows: Callable[[DataFrame, Column], DataFrame],
+    key: str,
+    slots_per_partition: int = 1,
+) -> DataFrame:
+    """What ``rows`` makes of slots placed by ``one_slot_per_partition``, with a task for every partition.
+
+    The driver remembers every task of a job and what it returned, so that half a million in one job do not
+    fit a small driver.  Partitions are therefore run in steps, jobs of ``STEP_PARTITIONS`` consecutive ones,
+    and their rows shuffled by ``key`` and stored, so that there is no file for every task.  ``rows`` gets the
+    placed slots of a step, with the ``slot_index`` they have among all, and the number of their partition
+    among all.
+    """
+    indexed = stored(index_slots(slots), "indexed")
+    count = indexed.count()
+    step = STEP_PARTITIONS * slots_per_partition
+    path = scratch_path(slots.sparkSession, "rows")
+    place = F.col("slot_index")
+    for first in range(0, max(count, 1), step):
+        own = indexed.filter((place >= first) & (place < first + step))
+        placed = one_slot_per_partition(
+            own.withColumn("slot_index", place - first),
+            slots_per_partition,
+            count=min(step, count - first),
+        )
+        number = F.spark_partition_id().cast("long") + first // slots_per_partition
+        made = rows(placed.withColumn("slot_index", place + first), number)
+        made.repartition(key).write.mode("append").parquet(path)
+    return slots.sparkSession.read.schema(made.schema).parquet(path)
+
+
 def _placed(slots: DataFrame, count: int, packed: bool) -> DataFrame:
     """Checkpointed slots in ``count`` partitions by ``_target``, which is dropped; ``packed`` ones in order.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayline.functions.dcm import DCM_TYPES, dcm_type_of, parse_dcm_name
@@ -18,7 +18,12 @@ from quayline.operators.catalogue import (
     matching,
     read_catalogue,
 )
-from quayline.operators.ordering import dense_positions, index_slots, one_slot_per_partition
+from quayline.operators.ordering import (
+    dense_positions,
+    index_slots,
+    one_slot_per_partition,
+    rows_of_partitions,
+)
 from quayline.operators.payload import (
     fetch_payload,
     payload_lines,
@@ -459,12 +464,13 @@ def slot_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     slots = document_slots(spark, sf_dir).select(
         "name", "date", F.size(split_lines(F.col("text"))).cast("long").alias("n_lines")
     )
-    return one_slot_per_partition(slots).select(
-        F.col("name").alias("slot"),
-        "n_lines",
-        "slot_index",
-        F.spark_partition_id().cast("long").alias("partition_id"),
-    )
+
+    def rows(placed: DataFrame, partition: Column) -> DataFrame:
+        return placed.select(
+            F.col("name").alias("slot"), "n_lines", "slot_index", partition.alias("partition_id")
+        )
+
+    return rows_of_partitions(slots, rows, "slot")
 
 
 @query(

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from quayline import (
@@ -28,6 +29,7 @@ from quayline import (
     resume_range,
 )
 from quayline.operators import ordering
+from quayline.plans.queries import QUERIES
 
 SCHEMA = "name string, date timestamp"
 
@@ -375,3 +377,44 @@ def test_very_many_partitions_by_bytes(spark, monkeypatch):
     parts = packed.rdd.glom().map(lambda part: [r.name for r in part]).collect()
     found = [(p, name) for p, part in enumerate(parts) for name in part]
     assert found == [(i * (i - 1) // 2 // 300, f"s{i:03d}") for i in range(200)]
+
+
+@pytest.mark.parametrize(("count", "pack"), [(0, 1), (20, 1), (53, 1), (200, 7)])
+def test_rows_of_partitions_run_in_steps(spark, monkeypatch, count, pack):
+    """A task for every partition, and no job of more tasks than a step has."""
+    for name, value in {"LISTED_PARTITIONS": 8, "COUNTED_PARTITIONS": 15, "STEP_PARTITIONS": 20}.items():
+        monkeypatch.setattr(ordering, name, value)
+    slots = spark.range(count).select(F.format_string("s%03d", "id").alias("name"))
+    task = F.udf(lambda: TaskContext.get().taskAttemptId(), "long").asNondeterministic()
+    steps = []
+
+    def rows(placed, partition):
+        steps.append(placed.rdd.getNumPartitions())
+        return placed.select("name", "slot_index", partition.alias("partition_id"), task().alias("task"))
+
+    found = sorted(ordering.rows_of_partitions(slots, rows, "name", pack).collect())
+    partitions = -(-count // pack)
+    expected = [min(20, partitions - first) for first in range(0, partitions, 20)]
+    assert steps == (expected or [1])
+    assert [tuple(r)[:3] for r in found] == [(f"s{i:03d}", i, i // pack) for i in range(count)]
+    assert len({(r.partition_id, r.task) for r in found}) == len({r.task for r in found}) == partitions
+
+
+@pytest.mark.parametrize(("query", "pack"), [("slot_partitions", 1)])
+def test_no_job_has_a_task_for_every_slot(spark, monkeypatch, tmp_path, query, pack):
+    for name, value in {"LISTED_PARTITIONS": 8, "COUNTED_PARTITIONS": 15, "STEP_PARTITIONS": 20}.items():
+        monkeypatch.setattr(ordering, name, value, raising=False)
+    count = 20 * pack + 5
+    (
+        spark.range(count).selectExpr("id AS doc_id", "'en' AS lang", "concat('a\n', id) AS text")
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    )
+    spark.sparkContext.setJobGroup(query, query)
+    try:
+        rows = QUERIES[query](spark, str(tmp_path)).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.slot_index, r.partition_id) for r in rows) == [(i, i // pack) for i in range(count)]
+    tracker = spark.sparkContext.statusTracker()
+    stages = [i for job in tracker.getJobIdsForGroup(query) for i in tracker.getJobInfo(job).stageIds]
+    assert max(info.numTasks for i in stages if (info := tracker.getStageInfo(i))) == 20
