@@ -482,11 +482,11 @@ def slot_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def slot_partitions_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     slots = document_slots(spark, sf_dir).select("name", "date")
-    return one_slot_per_partition(slots, slots_per_partition=7).select(
-        F.col("name").alias("slot"),
-        "slot_index",
-        F.spark_partition_id().cast("long").alias("partition_id"),
-    )
+
+    def rows(placed: DataFrame, partition: Column) -> DataFrame:
+        return placed.select(F.col("name").alias("slot"), "slot_index", partition.alias("partition_id"))
+
+    return rows_of_partitions(slots, rows, "slot", slots_per_partition=7)
 
 
 @query(

@@ -400,7 +400,7 @@ def test_rows_of_partitions_run_in_steps(spark, monkeypatch, count, pack):
     assert len({(r.partition_id, r.task) for r in found}) == len({r.task for r in found}) == partitions
 
 
-@pytest.mark.parametrize(("query", "pack"), [("slot_partitions", 1)])
+@pytest.mark.parametrize(("query", "pack"), [("slot_partitions", 1), ("slot_partitions_packed", 7)])
 def test_no_job_has_a_task_for_every_slot(spark, monkeypatch, tmp_path, query, pack):
     for name, value in {"LISTED_PARTITIONS": 8, "COUNTED_PARTITIONS": 15, "STEP_PARTITIONS": 20}.items():
         monkeypatch.setattr(ordering, name, value, raising=False)
